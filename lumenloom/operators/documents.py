@@ -346,7 +346,7 @@ def _value_size(value: dict) -> int:
     return 1  # BOOL and NULL
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def item_size(items: pd.Series) -> pd.Series:
     """Bytes of an item: UTF-8 names and values, at any depth of nesting."""
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from decimal import Decimal
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -281,7 +282,7 @@ def _body_rules(v: Column, rules: list) -> Column:
             filled = F.size(items) > 0
             on_array.append(filled if rule["exists"] else ~filled)
         else:
-            on_array.append(leaf(F.exists(items, lambda x, r=rule: _body_rule(r, x))))
+            on_array.append(leaf(F.exists(items, partial(_body_rule, rule))))
     return F.when(leaf(jp.is_array(v)), some(on_array)).otherwise(
         some(_body_rule(r, v) for r in rules)
     )
@@ -320,6 +321,16 @@ def match_body(df: DataFrame, policy, body: str = "body") -> DataFrame:
 MOST_TESTS = 200  # patterns compiled into one expression; more are done in further passes
 
 
+def _labels(v: Column, labelled: list[tuple[Callable, dict]]) -> Column:
+    """The labels whose test holds for a row, null in the place of the others."""
+    return F.array(
+        *[
+            F.when(test(v), F.struct(*[F.lit(t).alias(k) for k, t in label.items()]))
+            for test, label in labelled
+        ]
+    )
+
+
 def tag_matches(df: DataFrame, json_column: str, labelled: list[tuple[Callable, dict]]) -> DataFrame:
     """One output row per input row and matching entry of ``labelled``.
 
@@ -333,15 +344,9 @@ def tag_matches(df: DataFrame, json_column: str, labelled: list[tuple[Callable,
     for first in range(0, len(labelled), MOST_TESTS):
         chunk = labelled[first : first + MOST_TESTS]
 
-        def labels(v: Column, chunk=chunk) -> Column:
-            return F.array(
-                *[
-                    F.when(test(v), F.struct(*[F.lit(t).alias(k) for k, t in label.items()]))
-                    for test, label in chunk
-                ]
-            )
-
-        hits = F.element_at(F.transform(F.array(jp.parse(F.col(json_column))), labels), 1)
+        hits = F.element_at(
+            F.transform(F.array(jp.parse(F.col(json_column))), lambda v: _labels(v, chunk)), 1
+        )
         part = df.select("*", F.explode(F.array_compact(hits)).alias("_hit"))
         part = part.select(*df.columns, "_hit.*")
         out = part if out is None else out.unionByName(part)

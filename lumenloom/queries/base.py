@@ -125,7 +125,7 @@ FROM ({DIMENSION}) GROUP BY 1, 2, 3, 4"""
 
 # ── log events ───────────────────────────────────────────────────────────────────
 
-_MS = ("unix_millis(CAST(ts AS TIMESTAMP))", "epoch_ms(ts)")
+_MS = ("unix_millis(CAST(ts AS TIMESTAMP))", "(epoch_us(ts) // 1000)")
 _K = "regexp_extract(props, '([0-9]+)', 1)"
 
 LOG_COLUMNS: list[tuple[Expression, str]] = [

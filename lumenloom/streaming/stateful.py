@@ -1,4 +1,10 @@
-"""Stateful streams: period statistics, first-accepted rows, change images, device state."""
+"""Stateful streams: period statistics, first-accepted rows, change images, device state.
+
+Statistics use Spark's own state. De-duplication and change images run the batch
+operators per micro-batch. Device documents are order-dependent patch by patch and
+use transformWithState; a trigger limit (maxFilesPerTrigger) bounds what one device
+can bring into a micro-batch.
+"""
 
 from __future__ import annotations
 
@@ -11,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from lumenloom.operators.changes import WINDOW_SECONDS, cdc_images, fifo_dedup, upsert_latest
 from lumenloom.operators.metrics import fill_statistics
-from lumenloom.operators.changes import WINDOW_SECONDS
+from lumenloom.operators.ordered import by_width
 
 
 def stream_metrics(sdf: DataFrame, ts: str, period: int, delay: str, keys: list[str] = ()) -> DataFrame:
@@ -40,105 +47,103 @@ def stream_metrics(sdf: DataFrame, ts: str, period: int, delay: str, keys: list[
     )
 
 
-class _FirstAccepted(StatefulProcessor):
-    """State: the last accepted time of the key, in microseconds."""
+# ── streams over the batch operators, with their state as a table ────────────────
 
-    def __init__(self, ts: str, tie: str, seconds: int):
-        self.ts, self.tie, self.window = ts, tie, seconds * 1_000_000
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        schema = T.StructType([T.StructField("accepted", T.LongType())])
-        self.last = handle.getValueState("last", schema)
+def _state_path(base: str, batch_id: int) -> str:
+    return f"{base}/batch={batch_id}"
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # one key of one micro-batch, whose size the trigger bounds
-        pdf = pd.concat(list(rows)).sort_values([self.ts, self.tie], kind="stable")
-        micros = pdf[self.ts].astype("datetime64[us]").astype("int64").to_numpy()
-        accepted = self.last.get()[0] if self.last.exists() else None
-        taken = []
-        for i, t in enumerate(micros):
-            if accepted is None or t >= accepted + self.window:
-                accepted = int(t)
-                taken.append(i)
-        if taken:
-            self.last.update((accepted,))
-            for timer in self.handle.listTimers():
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer((accepted + self.window) // 1000 + 1)
-            yield pdf.iloc[taken]
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # past the window nothing can be shadowed any more
-        self.last.clear()
-        return iter(())
 
-    def close(self) -> None:
-        pass
-
-
-def stream_fifo_dedup(
-    sdf: DataFrame, keys: list[str], ts: str, tie: str, seconds: int = WINDOW_SECONDS, delay: str = "10 minutes"
-) -> DataFrame:
-    """First-accepted rows of a stream; the state of a key goes when its window is over.
-
-    Within a micro-batch rows count in time order. ``delay`` is how late a row may be.
-    """
-    processor = _FirstAccepted(ts, tie, seconds)
-    marked = sdf.withColumn("_event_time", F.col(ts).cast("timestamp"))
-    out = marked.withWatermark("_event_time", delay).groupBy(*keys)
-    return out.transformWithStateInPandas(
-        processor, _plain(marked.schema), outputMode="Append", timeMode="EventTime"
-    ).drop("_event_time")
+def _read_state(spark, base: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """The state after the batch before, empty for the first one."""
+    if batch_id == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(_state_path(base, batch_id - 1))
 
 
 def _plain(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-class _LastImage(StatefulProcessor):
-    """State: the last version of the key as JSON text."""
-
-    def __init__(self, seq: str):
-        self.seq = seq
+def stream_fifo_dedup(
+    sdf: DataFrame,
+    keys: list[str],
+    ts: str,
+    path: str,
+    seconds: int = WINDOW_SECONDS,
+    tie: list[str] = (),
+    keep: str | None = "1 day",
+):
+    """A writer of first-accepted rows below path/rows.
+
+    Each micro-batch drops what the last accepted row of a key still shadows, runs
+    the batch operator on the rest (so a hot key spreads over tasks) and saves the
+    last accepted time per key below path/state. ``keep`` is how far behind the
+    newest accepted row a key is remembered (null: for ever); it has to exceed the
+    window by the lateness to expect. A batch that runs again replaces its folders.
+    """
+    spark = sdf.sparkSession
+    state_schema = _plain(
+        T.StructType([*[sdf.schema[k] for k in keys], T.StructField("_accepted", sdf.schema[ts].dataType)])
+    )
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.image = handle.getValueState(
-            "image", T.StructType([T.StructField("image", T.StringType())])
+    def write(batch: DataFrame, batch_id: int) -> None:
+        state = _read_state(spark, f"{path}/state", batch_id, state_schema)
+        open_again = F.col("_accepted") + F.make_dt_interval(secs=F.lit(float(seconds)))
+        fresh = batch.join(state, keys, "left").where(
+            F.col("_accepted").isNull() | (F.col(ts) >= open_again)
         )
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(self.seq, kind="stable")
-        old = self.image.get()[0] if self.image.exists() else None
-        images = pdf["new_image"]
-        before = images.shift(1)
-        before.iloc[0] = old
-        self.image.update((images.iloc[-1],))
-        name = before.isna().map({True: "INSERT", False: "MODIFY"})
-        yield pd.DataFrame(
-            {
-                "key": pdf["key"],
-                "seq": pdf[self.seq],
-                "event_name": name,
-                "new_image": images,
-                "old_image": before.astype(object).where(before.notna(), None),
-            }
+        taken = fifo_dedup(fresh.select(*batch.columns), keys, ts, seconds, tie)
+        rows = _state_path(f"{path}/rows", batch_id)
+        taken.write.mode("overwrite").parquet(rows)
+        # the saved rows are read back, so the operator runs once per batch
+        done = spark.read.schema(_plain(batch.schema)).parquet(rows)
+        seen = state.unionByName(done.select(*keys, F.col(ts).alias("_accepted")))
+        latest = seen.groupBy(*keys).agg(F.max("_accepted").alias("_accepted"))
+        if keep:
+            newest = done.agg(F.max(ts)).first()[0]
+            if newest is not None:
+                edge = F.lit(newest).cast(sdf.schema[ts].dataType) - F.expr(f"interval {keep}")
+                latest = latest.where(F.col("_accepted") >= edge)
+        latest.write.mode("overwrite").parquet(_state_path(f"{path}/state", batch_id))
+
+    return sdf.writeStream.foreachBatch(write)
+
+
+def stream_cdc(
+    sdf: DataFrame,
+    keys: list[str],
+    seq: str,
+    path: str,
+    width: int,
+    view: str = "NEW_AND_OLD_IMAGES",
+):
+    """A writer of change events (with images) below path/events.
+
+    The last version of every key is a table below path/state. A micro-batch puts it
+    in front of its rows, runs the batch operator, which cuts keys into ranges of
+    ``width`` sequence numbers, and saves the new last versions.
+    """
+    spark = sdf.sparkSession
+    schema = _plain(sdf.schema)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        state = _read_state(spark, f"{path}/state", batch_id, schema)
+        known = state.join(batch.select(*keys).distinct(), keys, "left_semi")
+        versions = cdc_images(known.unionByName(batch), keys, seq, by_width(seq, width), view)
+        # versions already known only give the first old images, they are no events
+        before = known.select(*keys, F.col(seq).alias("_seq"))
+        events = versions.join(before, keys, "left").where(
+            F.col("_seq").isNull() | (F.col(seq) > F.col("_seq"))
         )
+        events.drop("_seq").write.mode("overwrite").parquet(_state_path(f"{path}/events", batch_id))
+        latest = upsert_latest(state, batch, keys, seq)
+        latest.write.mode("overwrite").parquet(_state_path(f"{path}/state", batch_id))
 
-    def close(self) -> None:
-        pass
+    return sdf.writeStream.foreachBatch(write)
 
 
-def stream_cdc(sdf: DataFrame, key: str, seq: str) -> DataFrame:
-    """Change events (key, seq, event_name, new_image, old_image) with images as JSON."""
-    image = F.to_json(F.struct(*[F.col(c) for c in sdf.columns if c != key]))
-    rows = sdf.select(
-        F.col(key).cast("string").alias("key"), F.col(seq).cast("bigint").alias("seq"), image.alias("new_image")
-    )
-    schema = "key string, seq bigint, event_name string, new_image string, old_image string"
-    return rows.groupBy("key").transformWithStateInPandas(
-        _LastImage("seq"), T._parse_datatype_string(schema), outputMode="Append", timeMode="None"
-    )
+# ── device documents ─────────────────────────────────────────────────────────────
 
 
 class _DeviceState(StatefulProcessor):
@@ -151,7 +156,8 @@ class _DeviceState(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        columns = ["device", "seq", "patch", "stated_version"]
+        pdf = pd.concat([r[columns] for r in rows]).sort_values("seq", kind="stable")
         text, version = self.doc.get() if self.doc.exists() else ("{}", 0)
         state, out = json.loads(text), []
         for row in pdf.itertuples(index=False):
