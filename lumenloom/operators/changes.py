@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice, pairwise
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -128,27 +131,47 @@ def versions(df: DataFrame, keys: list[str], ts: str, chunk: Column) -> DataFram
 # ── first-accepted de-duplication ────────────────────────────────────────────────
 
 
-def _chunk_exits(window: int):
+def _sorted_groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """(key, chunk, known, times) per chunk, of rows that come sorted by key, chunk and time."""
+    current, known, parts = None, None, []
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        keys, chunks, times, others = (pdf[c].to_numpy() for c in ("_k", "_chunk", "_t", "_known"))
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]) | (chunks[1:] != chunks[:-1])) + 1
+        for a, b in pairwise([0, *cuts.tolist(), len(pdf)]):
+            if (keys[a], chunks[a]) != current:
+                if parts:
+                    yield *current, known, np.concatenate(parts)
+                current, known, parts = (keys[a], chunks[a]), others[a], []
+            parts.append(times[a:b])
+    if parts:
+        yield *current, known, np.concatenate(parts)
+
+
+def _frames(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    while some_rows := list(islice(rows, 10_000)):
+        yield pd.DataFrame(some_rows, columns=columns)
+
+
+def _exit_steps(window: int):
     """A chunk as a step function: entry threshold -> time accepted last in the chunk."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(pdf["_t"].to_numpy())
-        follower = np.searchsorted(times, times + window, side="left")
-        # a chunk is entered at its first time past the threshold, and thresholds
-        # end one window after its start: only these heads can be accepted first
-        heads = np.searchsorted(times, pdf["_chunk_start"].iat[0] + window, side="left")
-        place = np.arange(min(heads + 1, len(times)))
-        while (moving := follower[place] < len(times)).any():
-            place[moving] = follower[place[moving]]
-        exits = times[place]
-        # neighbours with the same exit are one step, named by their last threshold
-        last = np.append(exits[1:] != exits[:-1], True)
-        out = pd.DataFrame({"_upto": times[: len(place)][last], "_exit": exits[last]})
-        out.insert(0, "_chunk", pdf["_chunk"].iat[0])
-        out.insert(0, "_k", pdf["_k"].iat[0])
-        return out
+    def steps(chunks: Iterator[tuple]) -> Iterator[tuple]:
+        for key, chunk, start, times in chunks:
+            follower = np.searchsorted(times, times + window, side="left")
+            # a chunk is entered at its first time past the threshold, and thresholds
+            # end one window after its start: only these heads can be accepted first
+            heads = np.searchsorted(times, start + window, side="left")
+            place = np.arange(min(heads + 1, len(times)))
+            while (moving := follower[place] < len(times)).any():
+                place[moving] = follower[place[moving]]
+            exits = times[place]
+            # neighbours with the same exit are one step, named by their last threshold
+            for i in np.flatnonzero(np.append(exits[1:] != exits[:-1], True)):
+                yield key, chunk, times[i], exits[i]
 
-    return run
+    return lambda batches: _frames(steps(_sorted_groups(batches)), ["_k", "_chunk", "_upto", "_exit"])
 
 
 def _walk_chunks(window: int):
@@ -171,27 +194,34 @@ def _walk_chunks(window: int):
                     out.append((k, c, accepted))
                 if not entered and upto >= threshold:
                     accepted, entered = exit_time, True
-            frame = pd.DataFrame(out, columns=["_k", "_chunk", "_before"])
-            frame["_before"] = frame["_before"].astype("Int64")
+            frame = pd.DataFrame(out, columns=["_k", "_chunk", "_known"])
+            frame["_known"] = frame["_known"].astype("Int64")
             yield frame
 
     return run
 
 
 def _accepted_times(window: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(pdf["_t"].to_numpy())
-        before = pdf["_before"].iat[0]
-        at = 0 if pd.isna(before) else int(np.searchsorted(times, int(before) + window, side="left"))
-        taken = []
-        while at < len(times):
-            taken.append(times[at])
-            at = int(np.searchsorted(times, times[at] + window, side="left"))
-        out = pd.DataFrame({"_t": np.array(taken, dtype=np.int64)})
-        out.insert(0, "_k", pdf["_k"].iat[0])
-        return out
+    """The times a chunk accepts, given the last one accepted before it."""
 
-    return run
+    def accepted(chunks: Iterator[tuple]) -> Iterator[tuple]:
+        for key, _, before, times in chunks:
+            at = 0 if pd.isna(before) else np.searchsorted(times, int(before) + window, side="left")
+            while at < len(times):
+                yield key, times[at]
+                at = np.searchsorted(times, times[at] + window, side="left")
+
+    return lambda batches: _frames(accepted(_sorted_groups(batches)), ["_k", "_t"])
+
+
+def _by_chunk(times: DataFrame) -> DataFrame:
+    """Rows of a chunk in one task and in time order.
+
+    A window asks for this by itself. A repartition would not do: the planner drops
+    it over a join that already has the right layout, and may then split that join.
+    """
+    place = Window.partitionBy("_k", "_chunk").orderBy("_t")
+    return times.select("_k", "_chunk", "_t", "_known", F.row_number().over(place).alias("_n"))
 
 
 def fifo_dedup(
@@ -218,22 +248,20 @@ def fifo_dedup(
     span = max(chunk_seconds, seconds) * 1_000_000
     key_text = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
     timed = df.withColumn("_k", key_text).withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
-    # a JSON text and a microsecond count decide a row's place from here on
-    times = timed.select("_k", "_t").distinct().withColumn("_chunk", F.floor(F.col("_t") / span))
+    times = timed.select("_k", "_t").distinct().withColumn(
+        "_chunk", ((F.col("_t") - F.pmod("_t", F.lit(span))) / span).cast("bigint")
+    )
     alone, crowded = _by_neighbours(times, window)
-    crowded = crowded.withColumn("_chunk_start", F.col("_chunk") * span)
-    steps = crowded.groupBy("_k", "_chunk").applyInPandas(
-        _chunk_exits(window), "_k string, _chunk bigint, _upto bigint, _exit bigint"
+    steps = _by_chunk(crowded.withColumn("_known", F.col("_chunk") * span)).mapInPandas(
+        _exit_steps(window), "_k string, _chunk bigint, _upto bigint, _exit bigint"
     )
     before = (
         steps.repartition("_k")
         .sortWithinPartitions("_k", "_chunk", "_upto")
-        .mapInPandas(_walk_chunks(window), "_k string, _chunk bigint, _before bigint")
+        .mapInPandas(_walk_chunks(window), "_k string, _chunk bigint, _known bigint")
     )
-    picked = (
-        crowded.join(before, ["_k", "_chunk"])
-        .groupBy("_k", "_chunk")
-        .applyInPandas(_accepted_times(window), "_k string, _t bigint")
+    picked = _by_chunk(crowded.join(before, ["_k", "_chunk"])).mapInPandas(
+        _accepted_times(window), "_k string, _t bigint"
     )
     order = F.struct(*tie) if tie else F.xxhash64(*df.columns)
     row = F.struct(*[F.col(c) for c in df.columns])
