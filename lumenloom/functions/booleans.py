@@ -12,6 +12,11 @@ def leaf(test: Column) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
+def known(test: Column, column: Column) -> Column:
+    """As ``leaf`` for a test of one column, in a form that still reaches the file scan."""
+    return column.isNotNull() & test
+
+
 def every(tests) -> Column:
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 

@@ -17,7 +17,7 @@ from lumenloom.functions.billing_maps import (
     resource_type,
     service_category,
 )
-from lumenloom.functions.booleans import every, leaf, some
+from lumenloom.functions.booleans import every, known, some
 
 RATE_KEYS = ["service", "region", "usage_type"]
 
@@ -131,8 +131,8 @@ def _value_test(actual: Column, node: dict) -> Column:
     if not values:
         return actual.isNotNull()
     if "CASE_INSENSITIVE" in node.get("MatchOptions", []):
-        return leaf(F.lower(actual).isin([v.lower() for v in values]))
-    return leaf(actual.isin(values))
+        return known(F.lower(actual).isin([v.lower() for v in values]), actual)
+    return known(actual.isin(values), actual)
 
 
 def cost_where(lines: DataFrame, expression: dict | None) -> DataFrame:

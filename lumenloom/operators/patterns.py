@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenloom.functions import json_paths as jp
-from lumenloom.functions.booleans import compare, every, leaf, some
+from lumenloom.functions.booleans import compare, every, known, leaf, some
 
 
 
@@ -56,21 +56,21 @@ def _in_ranges(number: Column, conditions) -> Column:
 
 def _bus_element(element, value: Column) -> Column:
     if isinstance(element, str):
-        return leaf(value == element)
+        return known(value == element, value)
     if element is None:
         return value.isNull()
     if isinstance(element, dict):
         if "prefix" in element:
-            return leaf(value.startswith(element["prefix"]))
+            return known(value.startswith(element["prefix"]), value)
         if "suffix" in element:
-            return leaf(value.endswith(element["suffix"]))
+            return known(value.endswith(element["suffix"]), value)
         if "equals-ignore-case" in element:
-            return leaf(F.lower(value) == element["equals-ignore-case"].lower())
+            return known(F.lower(value) == element["equals-ignore-case"].lower(), value)
         but = element.get("anything-but")
         if isinstance(but, list):
-            return value.isNotNull() & ~leaf(value.isin([v for v in but if isinstance(v, str)]))
+            return known(~value.isin([v for v in but if isinstance(v, str)]), value)
         if isinstance(but, dict) and "prefix" in but:
-            return leaf(~value.startswith(but["prefix"]))
+            return known(~value.startswith(but["prefix"]), value)
         if "exists" in element:
             return value.isNotNull() if element["exists"] else value.isNull()
     return F.lit(False)  # numbers and other literals match nothing here
@@ -102,32 +102,42 @@ def _bus_detail(v: Column, pattern: dict) -> Column:
 ENVELOPE = {"source": "source", "detail-type": "detail_type", "account": "account", "region": "region"}
 
 
+def envelope_test(pattern: str | dict | None) -> Column:
+    """What a bus pattern asks of plain columns; $or and detail are left out."""
+    pattern = read_pattern(pattern) or {}
+    tests = [
+        _bus_array(pattern[key], F.col(column))
+        for key, column in ENVELOPE.items()
+        if isinstance(pattern.get(key), list)
+    ]
+    if isinstance(pattern.get("resources"), list):
+        elements = pattern["resources"]
+        tests.append(leaf(F.exists("resources", lambda r: _bus_array(elements, r))))
+    return every(tests)
+
+
 def event_test(pattern: str | dict | None, detail: Column) -> Column:
     """The test of a bus pattern; ``detail`` is the parsed detail (VARIANT).
 
     Only source, detail-type, account, region, detail, resources and $or count,
     every other key of the pattern is ignored.
     """
-    pattern = read_pattern(pattern)
-    if not pattern:
-        return F.lit(True)
-    tests = []
+    pattern = read_pattern(pattern) or {}
+    tests = [envelope_test(pattern)]
     if isinstance(pattern.get("$or"), list):
         tests.append(some(event_test(p, detail) for p in pattern["$or"]))
-    for key, column in ENVELOPE.items():
-        if isinstance(pattern.get(key), list):
-            tests.append(_bus_array(pattern[key], F.col(column)))
     if isinstance(pattern.get("detail"), dict):
         tests.append(detail.isNotNull() & _bus_detail(detail, pattern["detail"]))
-    if isinstance(pattern.get("resources"), list):
-        elements = pattern["resources"]
-        tests.append(leaf(F.exists("resources", lambda r: _bus_array(elements, r))))
     return every(tests)
 
 
 def match_event(df: DataFrame, pattern: str | dict, detail: str = "detail") -> DataFrame:
-    """Events a bus pattern accepts."""
-    return df.where(jp.with_parsed(F.col(detail), lambda v: event_test(pattern, v)))
+    """Events a bus pattern accepts; plain columns are tested first, in the scan if they can."""
+    pattern = read_pattern(pattern) or {}
+    chosen = df.where(envelope_test(pattern))
+    if isinstance(pattern.get("detail"), dict) or isinstance(pattern.get("$or"), list):
+        chosen = chosen.where(jp.with_parsed(F.col(detail), lambda v: event_test(pattern, v)))
+    return chosen
 
 
 # ── records: typed values, "anything-but" accepts a missing one ──────────────────

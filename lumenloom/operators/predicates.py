@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumenloom.functions.booleans import compare, every, leaf
+from lumenloom.functions.booleans import compare, every, known, leaf
 from lumenloom.functions.numbers import text_to_double
 from lumenloom.functions.text import like_pattern
 from lumenloom.sources.files import resolve
@@ -23,6 +23,12 @@ def _number(text) -> float | None:
     return float(value) if value.is_finite() else None
 
 
+def _literal(value) -> Column:
+    """A number without a fraction as an integer, so that comparisons with one need no cast."""
+    exact = Decimal(str(value))
+    return F.lit(int(exact)) if exact == exact.to_integral_value() else F.lit(float(exact))
+
+
 class LooseColumn:
     """A column compared as a number when both sides are numbers, else as text.
 
@@ -37,10 +43,10 @@ class LooseColumn:
     def _compare(self, op: str, value) -> Column:
         number = _number(value)
         if number is None:
-            return leaf(compare(self.text, op, F.lit(str(value))))
+            return known(compare(self.text, op, F.lit(str(value))), self.text)
         if self.numeric:
             # a plain comparison, which the optimiser can push into the scan
-            return leaf(compare(self.column, op, F.lit(number)))
+            return known(compare(self.column, op, _literal(value)), self.column)
         as_number = text_to_double(self.text)
         return leaf(
             F.when(as_number.isNotNull(), compare(as_number, op, F.lit(number))).otherwise(
@@ -71,10 +77,10 @@ class LooseColumn:
 
     def in_(self, values) -> Column:
         """Text equality only: 30 is not 30.0 here, although = says it is."""
-        return leaf(self.text.isin([str(v) for v in values]))
+        return known(self.text.isin([str(v) for v in values]), self.text)
 
     def like(self, pattern: str) -> Column:
-        return leaf(like_pattern(self.text, pattern))
+        return known(like_pattern(self.text, pattern), self.text)
 
     def is_null(self) -> Column:
         return self.column.isNull()
@@ -104,10 +110,10 @@ class PartitionColumn(LooseColumn):
 
     def _compare(self, op: str, value) -> Column:
         if _number(value) is None:
-            return leaf(compare(self.text, op, F.lit(str(value))))
-        wanted = F.lit(Decimal(str(value))).cast("decimal(38,12)")
+            return known(compare(self.text, op, F.lit(str(value))), self.text)
         if self.numeric:
-            return leaf(compare(self.column, op, wanted))
+            return known(compare(self.column, op, _literal(value)), self.column)
+        wanted = F.lit(Decimal(str(value))).cast("decimal(38,12)")
         mine = self.text.try_cast("decimal(38,12)")
         return leaf(
             F.when(mine.isNotNull(), compare(mine, op, wanted)).otherwise(
@@ -153,9 +159,9 @@ def where_attr(df: DataFrame, attr: str, op: str, value: str, attributes: str =
     column = aliases.get(attr, attr)
     actual = F.col(column) if column in df.columns else F.try_element_at(F.col(attributes), F.lit(attr))
     if op == "=":
-        return df.where(leaf(actual == value))
+        return df.where(actual == value)
     if op == "^=":
-        return df.where(leaf(actual.startswith(value)))
+        return df.where(actual.startswith(value))
     raise ValueError(f"unknown operator {op!r}")
 
 

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenloom.functions import json_paths as jp
-from lumenloom.functions.booleans import every, leaf, some
+from lumenloom.functions.booleans import every, known, leaf, some
 from lumenloom.functions.text import glob_regex, topic_regex
 from lumenloom.operators.patterns import (
     attribute_test,
     body_test,
+    envelope_test,
     event_test,
     tag_matches,
 )
@@ -21,13 +22,15 @@ def match_rules(events: DataFrame, rules: list[dict]) -> DataFrame:
 
     A rule has name, bus, pattern, targets and, optionally, enabled.
     """
-    labelled = []
+    labelled, possible = [], []
     for rule in rules:
         if not rule.get("enabled", True):
             continue
+        possible.append(known(F.col("bus") == rule["bus"], F.col("bus")) & envelope_test(rule.get("pattern")))
         test = lambda v, r=rule: leaf(F.col("bus") == r["bus"]) & event_test(r.get("pattern"), v)
         labelled += [(test, {"rule": rule["name"], "target": t}) for t in rule["targets"]]
-    return tag_matches(events, "detail", labelled)
+    # events no rule can take are dropped before their detail is parsed
+    return tag_matches(events.where(some(possible)), "detail", labelled)
 
 
 def fan_out(messages: DataFrame, subscriptions: list[dict]) -> DataFrame:
@@ -48,7 +51,8 @@ def fan_out(messages: DataFrame, subscriptions: list[dict]) -> DataFrame:
             return leaf(F.col("topic") == s["topic"]) & accepted
 
         labelled.append((test, {"subscription": sub["name"]}))
-    return tag_matches(messages, "body", labelled)
+    topics = sorted({s["topic"] for s in subscriptions if not s.get("pending")})
+    return tag_matches(messages.where(F.col("topic").isin(topics)), "body", labelled)
 
 
 def match_topic(df: DataFrame, rules: list[dict], topic: str = "topic") -> DataFrame:

@@ -37,7 +37,7 @@ def scan_json(spark: SparkSession, path: str, schema=None, document: bool = Fals
     if schema is not None:
         reader = spark.read.schema(schema).option("mode", "DROPMALFORMED")
         return reader.option("multiLine", document).json(path)
-    text = spark.read.option("wholetext", document).text(path)
+    text = spark.read.text(path, wholetext=document)
     value = json_paths.parse(F.col("value"))
     rows = text.select(value.alias("row")).where("row IS NOT NULL")
     if not document:
