@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lumenloom.functions.booleans import bound, leaf
+
 _STEP = re.compile(r"\[(\d+)\]")
 
 
@@ -87,12 +89,8 @@ def parse_inside(v: Column) -> Column:
 
 
 def with_parsed(json: Column, test) -> Column:
-    """Evaluate ``test(variant)`` with the text parsed once.
-
-    Binding the parsed value to a lambda variable keeps the optimiser from
-    copying the parse into every use of it.
-    """
-    return F.coalesce(F.element_at(F.transform(F.array(parse(json)), test), 1), F.lit(False))
+    """Evaluate ``test(variant)`` with the text parsed once; false where it gives null."""
+    return leaf(bound(parse(json), test))
 
 
 def walk(json: Column, path: str) -> Column:

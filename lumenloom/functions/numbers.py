@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lumenloom.functions.booleans import bound
+
 # digits with an optional fraction and exponent; words such as NaN are not numbers
 NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
@@ -22,33 +24,52 @@ def text_to_double(c: Column) -> Column:
     return F.when(c.rlike(NUMBER_TEXT), c.try_cast("double"))
 
 
+# what the shortest plain form leaves out, in this order: (pattern, replacement)
+_SHORTEN = [
+    (r"^\+", ""),
+    (r"^(-?)0+(?=\d)", "$1"),
+    (r"(\.\d*?)0+$", "$1"),
+    (r"\.$", ""),
+    (r"^(-?)\.", "$10."),
+    (r"^-0$", "0"),
+]
+
+
 def normalize_number(c: Column) -> Column:
     """Plain decimal text without leading or trailing zeros; null past 38 digits.
 
     Text in scientific notation goes through DECIMAL(38,18); plain text is only
     trimmed, so it keeps all of its digits.
     """
-    plain = F.when(c.rlike("[eE]"), c.try_cast("decimal(38,18)").cast("string")).otherwise(c)
-    plain = F.when(plain.rlike(NUMBER_TEXT), plain)
-    negative = plain.startswith("-")
-    bare = F.regexp_replace(plain, "^[+-]", "")
-    whole = F.regexp_replace(F.split_part(bare, F.lit("."), F.lit(1)), "^0+", "")
-    fraction = F.regexp_replace(F.split_part(bare, F.lit("."), F.lit(2)), "0+$", "")
-    digits = F.concat(
-        F.when(whole == "", F.lit("0")).otherwise(whole),
-        F.when(fraction == "", F.lit("")).otherwise(F.concat(F.lit("."), fraction)),
-    )
-    significant = F.length(
-        F.regexp_replace(
-            F.when(fraction == "", F.regexp_replace(whole, "0+$", "")).otherwise(
-                F.concat(whole, fraction)
-            ),
-            "^0+",
-            "",
-        )
-    )
-    signed = F.when(negative & (digits != "0"), F.concat(F.lit("-"), digits)).otherwise(digits)
-    return F.when(significant <= 38, signed)
+
+    def shorten(text: Column) -> Column:
+        plain = F.when(text.rlike("[eE]"), text.try_cast("decimal(38,18)").cast("string")).otherwise(text)
+        plain = F.when(text.rlike(NUMBER_TEXT), plain)
+        for pattern, replacement in _SHORTEN:
+            plain = F.regexp_replace(plain, pattern, replacement)
+        return plain
+
+    def checked(number: Column) -> Column:
+        digits = F.regexp_replace(F.regexp_replace(number, "[-.]", ""), "^0+", "")
+        # zeros at the end of a whole number only give its size
+        digits = F.when(number.contains("."), digits).otherwise(F.regexp_replace(digits, "0+$", ""))
+        return F.when(F.length(digits) <= 38, number)
+
+    return bound(bound(c, shorten), checked)
+
+
+def order_text(c: Column) -> Column:
+    """A text per number (as text, up to 38 digits and 130 places) that sorts like the number."""
+
+    def key(number: Column) -> Column:
+        size = F.ltrim(number, F.lit("-"))
+        whole = F.lpad(F.split_part(size, F.lit("."), F.lit(1)), 130, "0")
+        wide = F.concat(whole, F.lit("."), F.split_part(size, F.lit("."), F.lit(2)))
+        # below zero the digits turn round, and a longer fraction comes first
+        turned = F.concat(F.lit("-"), F.translate(wide, "0123456789", "9876543210"), F.lit(":"))
+        return F.when(number.startswith("-"), turned).otherwise(F.concat(F.lit("0"), wide))
+
+    return bound(normalize_number(c), key)
 
 
 def decimal_add(left: Column, right: Column) -> Column:

@@ -17,14 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenloom.functions import json_paths as jp
-from lumenloom.functions.booleans import compare, every, leaf, some
+from lumenloom.functions.booleans import bound, compare, every, leaf, some
+from lumenloom.functions.numbers import order_text
 from lumenloom.functions.text import text_units
 from lumenloom.operators.ordered import running_total
 
 PAGE_BYTES = 1024 * 1024  # fixed value: bytes of items one page may hold
 
-# numbers a DECIMAL(38,12) holds exactly; anything else is compared as a double
+# numbers a DECIMAL(38,12) holds exactly, and numbers without an exponent
 _EXACT = r"^[+-]?0*\d{0,26}(\.\d{0,12}0*)?$"
+_PLAIN = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 
 
 def typed_steps(path: str) -> list[str | int]:
@@ -58,11 +60,18 @@ def typed(value) -> dict:
 
 
 def compare_numbers(left: Column, op: str, right: Column) -> Column:
-    """Numbers given as text: exact where a decimal holds both, else as doubles."""
-    exact = left.rlike(_EXACT) & right.rlike(_EXACT)
-    by_decimal = compare(left.try_cast("decimal(38,12)"), op, right.try_cast("decimal(38,12)"))
-    by_double = compare(left.try_cast("double"), op, right.try_cast("double"))
-    return F.when(exact, by_decimal).otherwise(by_double)
+    """Numbers given as text: by value where a decimal or their digits can tell, else as doubles."""
+
+    def test(pair: Column) -> Column:
+        a, b = pair["a"], pair["b"]
+        exact = a.rlike(_EXACT) & b.rlike(_EXACT)
+        plain = a.rlike(_PLAIN) & b.rlike(_PLAIN)
+        by_decimal = compare(a.try_cast("decimal(38,12)"), op, b.try_cast("decimal(38,12)"))
+        by_digits = compare(order_text(a), op, order_text(b))
+        by_double = compare(a.try_cast("double"), op, b.try_cast("double"))
+        return F.when(exact, by_decimal).when(plain, by_digits).otherwise(by_double)
+
+    return bound(F.struct(left.alias("a"), right.alias("b")), test)
 
 
 class Attr:

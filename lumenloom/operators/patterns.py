@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenloom.functions import json_paths as jp
-from lumenloom.functions.booleans import compare, every, known, leaf, some
+from lumenloom.functions.booleans import bound, compare, every, known, leaf, some
 
 
 
@@ -116,6 +116,12 @@ def envelope_test(pattern: str | dict | None) -> Column:
     return every(tests)
 
 
+def has_envelope(pattern: str | dict | None) -> bool:
+    """Whether a bus pattern asks anything of plain columns."""
+    pattern = read_pattern(pattern) or {}
+    return any(isinstance(pattern.get(key), list) for key in (*ENVELOPE, "resources"))
+
+
 def event_test(pattern: str | dict | None, detail: Column) -> Column:
     """The test of a bus pattern; ``detail`` is the parsed detail (VARIANT).
 
@@ -354,9 +360,7 @@ def tag_matches(df: DataFrame, json_column: str, labelled: list[tuple[Callable,
     for first in range(0, len(labelled), MOST_TESTS):
         chunk = labelled[first : first + MOST_TESTS]
 
-        hits = F.element_at(
-            F.transform(F.array(jp.parse(F.col(json_column))), lambda v: _labels(v, chunk)), 1
-        )
+        hits = bound(jp.parse(F.col(json_column)), lambda v: _labels(v, chunk))
         part = df.select("*", F.explode(F.array_compact(hits)).alias("_hit"))
         part = part.select(*df.columns, "_hit.*")
         out = part if out is None else out.unionByName(part)

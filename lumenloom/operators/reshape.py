@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenloom.functions import json_paths as jp
+from lumenloom.functions.booleans import bound
 
 _PLACEHOLDER = re.compile(r"<(\$\.?[^>]*)>")
 _NAMED = re.compile(r"<([A-Za-z0-9_.-]+)>")
@@ -27,8 +28,7 @@ def project_paths(df: DataFrame, paths: list[str], json: str = "item") -> DataFr
     def build(v: Column) -> Column:
         return F.to_json(_rebuild(v, tree))
 
-    parsed = F.array(jp.parse(F.col(json)))
-    return df.withColumn("projected", F.element_at(F.transform(parsed, build), 1))
+    return df.withColumn("projected", bound(jp.parse(F.col(json)), build))
 
 
 def _rebuild(v: Column, tree: dict) -> Column:

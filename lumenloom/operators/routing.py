@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenloom.functions import json_paths as jp
-from lumenloom.functions.booleans import every, known, leaf, some
+from lumenloom.functions.booleans import bound, every, leaf, some
 from lumenloom.functions.text import glob_regex, topic_regex
 from lumenloom.operators.patterns import (
     attribute_test,
     body_test,
     envelope_test,
     event_test,
+    has_envelope,
     tag_matches,
 )
 
@@ -22,15 +23,16 @@ def match_rules(events: DataFrame, rules: list[dict]) -> DataFrame:
 
     A rule has name, bus, pattern, targets and, optionally, enabled.
     """
-    labelled, possible = [], []
-    for rule in rules:
-        if not rule.get("enabled", True):
-            continue
-        possible.append(known(F.col("bus") == rule["bus"], F.col("bus")) & envelope_test(rule.get("pattern")))
+    live = [r for r in rules if r.get("enabled", True)]
+    labelled = []
+    for rule in live:
         test = lambda v, r=rule: leaf(F.col("bus") == r["bus"]) & event_test(r.get("pattern"), v)
         labelled += [(test, {"rule": rule["name"], "target": t}) for t in rule["targets"]]
     # events no rule can take are dropped before their detail is parsed
-    return tag_matches(events.where(some(possible)), "detail", labelled)
+    possible = events.where(F.col("bus").isin(sorted({r["bus"] for r in live})))
+    if live and all(has_envelope(r.get("pattern")) for r in live):
+        possible = possible.where(some(envelope_test(r["pattern"]) for r in live))
+    return tag_matches(possible, "detail", labelled)
 
 
 def fan_out(messages: DataFrame, subscriptions: list[dict]) -> DataFrame:
@@ -160,8 +162,7 @@ def route(df: DataFrame, rules: list[dict], default: str | None = None, json: st
             chain = F.when(test, rule["Next"]) if chain is None else chain.when(test, rule["Next"])
         return chain.otherwise(F.lit(default)) if chain is not None else F.lit(default)
 
-    parsed = F.array(jp.parse(F.col(json)))
-    return df.withColumn("next", F.element_at(F.transform(parsed, first_match), 1))
+    return df.withColumn("next", bound(jp.parse(F.col(json)), first_match))
 
 
 # ── archive and replay ───────────────────────────────────────────────────────────
