@@ -177,21 +177,18 @@ def cost_and_usage(
     units = F.when(usd, F.coalesce("usage_unit", F.lit("USD"))).otherwise(F.col("usage_unit"))
     rows = scaled.select(
         "bucket_start",
-        "bucket_end",
         *keys,
         F.col("cost").cast(AMOUNT).alias("cost"),
         F.when(usd, 0.0).otherwise(F.col("quantity")).cast(AMOUNT).alias("quantity"),
         F.coalesce(units, F.lit("")).alias("unit"),
     )
-    # one pass for both the totals and the groups
-    sets = [["bucket_start", "bucket_end"]]
-    if names:
-        sets.append(["bucket_start", "bucket_end", *names])
-    summed = rows.groupingSets(sets, "bucket_start", "bucket_end", *names).agg(
-        F.sum("cost").alias("cost"),
-        F.sum("quantity").alias("quantity"),
-        F.min("unit").alias("unit"),
-        F.grouping_id().alias("gid"),
+    # summed per unit first: numbers only, so this pass hashes and needs no sort
+    sums = [F.sum(c).alias(c) for c in ("cost", "quantity")]
+    per_unit = rows.groupBy("bucket_start", *names, "unit").agg(*sums)
+    # totals and groups in one pass over what is left
+    sets = [["bucket_start"], ["bucket_start", *names]] if names else [["bucket_start"]]
+    summed = per_unit.groupingSets(sets, "bucket_start", *names).agg(
+        *sums, F.min("unit").alias("unit"), F.grouping_id().alias("gid")
     )
     values = [_metric(m) for m in metrics if m in COST_METRICS + QUANTITY_METRICS]
     long = summed.select(
@@ -236,9 +233,12 @@ def apply_credit(priced: DataFrame, monthly_credit: float) -> DataFrame:
     month_end = tb.bucket_end(F.col("month"), "MONTHLY")
     part = tb.seconds_between(F.greatest("period_start", "month"), F.least(F.col("period_end"), month_end))
     whole = F.greatest(tb.seconds_between(F.col("period_start"), F.col("period_end")), F.lit(1))
-    totals = spread.groupBy("region", "month").agg(
-        F.sum((F.col("cost") * part / whole).cast(AMOUNT)).cast("double").alias("spent"),
-        F.max("account").alias("account"),
+    # per account first, so that the wide pass hashes numbers only
+    per_account = spread.groupBy("region", "month", "account").agg(
+        F.sum((F.col("cost") * part / whole).cast(AMOUNT)).alias("spent")
+    )
+    totals = per_account.groupBy("region", "month").agg(
+        F.sum("spent").cast("double").alias("spent"), F.max("account").alias("account")
     )
     credit = totals.where("spent > 0").withColumn(
         "amount", -F.least(F.lit(float(monthly_credit)), F.col("spent"))

@@ -29,6 +29,13 @@ def merge_state(patches: DataFrame) -> DataFrame:
     )
 
 
+def compact_patches(patches: DataFrame) -> DataFrame:
+    """The patches that still matter: the last one per key, and per section the last null."""
+    return patches.groupBy("device", "section", "key").agg(
+        F.max_by(F.struct("value"), "seq").alias("_value"), F.max("seq").alias("seq")
+    ).select("device", "seq", "section", "key", F.col("_value.value").alias("value"))
+
+
 def state_versions(patches: DataFrame) -> DataFrame:
     """(device, version): the number of accepted patches; a patch may have many rows."""
     return patches.select("device", "seq").distinct().groupBy("device").agg(
@@ -37,7 +44,10 @@ def state_versions(patches: DataFrame) -> DataFrame:
 
 
 def state_documents(patches: DataFrame) -> DataFrame:
-    """(device, version, state): one map of maps per device."""
+    """(device, version, state): one map of maps per device.
+
+    A document is one row by definition; with very many keys use ``merge_state``.
+    """
     sections = merge_state(patches).groupBy("device", "section").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("values")
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lumenloom.functions import json_paths
-from lumenloom.functions.booleans import leaf
+from lumenloom.functions.booleans import bound, every, leaf
 from lumenloom.functions.timebuckets import millis_to_text
 
 ORDER = ["timestamp", "sequence", "event_id"]
@@ -91,18 +91,24 @@ def _edge(values: tuple) -> Column:
     return F.struct(*[F.lit(v).alias(c) for v, c in zip(values, ORDER)])
 
 
-def field_text(name: str) -> Column:
-    """The text of a field: a system field, or a dotted path in the JSON message."""
-    if name == "@timestamp":
-        return millis_to_text(F.col("timestamp"))
-    if name == "@ingestionTime":
-        return millis_to_text(F.col("ingestion_time"))
-    if name == "@message":
-        return F.col("message")
-    if name == "@ptr":
-        return F.col("event_id")
+SYSTEM_FIELDS = {
+    "@timestamp": lambda: millis_to_text(F.col("timestamp")),
+    "@ingestionTime": lambda: millis_to_text(F.col("ingestion_time")),
+    "@message": lambda: F.col("message"),
+    "@ptr": lambda: F.col("event_id"),
+}
+
+
+def field_text(name: str, message: Column | None = None) -> Column:
+    """The text of a field: a system field, or a dotted path in the JSON message.
+
+    ``message`` is the message if it is parsed already.
+    """
+    if name in SYSTEM_FIELDS:
+        return SYSTEM_FIELDS[name]()
     steps = [s for s in name.split(".") if s]
-    return json_paths.at(json_paths.parse(F.col("message")), steps, "string")
+    parsed = json_paths.parse(F.col("message")) if message is None else message
+    return json_paths.at(parsed, steps, "string")
 
 
 @dataclass(frozen=True)
@@ -123,11 +129,18 @@ class LogQuery:
     scanned: Observation | None = field(default=None, compare=False)
 
     def where_eq(self, name: str, value: str) -> LogQuery:
-        return replace(self, tests=(*self.tests, leaf(field_text(name) == value)))
+        return replace(self, tests=(*self.tests, (name, value, True)))
 
     def where_ne(self, name: str, value: str) -> LogQuery:
         """Keeps rows that lack the field."""
-        return replace(self, tests=(*self.tests, ~leaf(field_text(name) == value)))
+        return replace(self, tests=(*self.tests, (name, value, False)))
+
+    def _passes(self, message: Column) -> Column:
+        tests = []
+        for name, value, equal in self.tests:
+            test = leaf(field_text(name, message) == value)
+            tests.append(test if equal else ~test)
+        return every(tests)
 
     def sort(self, name: str, desc: bool = False) -> LogQuery:
         return replace(self, order=(name, desc))
@@ -201,8 +214,9 @@ class LogQuery:
         rows = self.logs
         if self.scanned is not None:
             rows = rows.observe(self.scanned, F.count(F.lit(1)).alias("records_scanned"))
-        for test in self.tests:
-            rows = rows.where(test)
+        if self.tests:
+            # a message is parsed once for all tests; one that is no JSON has no fields
+            rows = rows.where(bound(json_paths.parse(F.col("message")), self._passes))
         if self.unique:
             rows = self._first_per_tuple(rows)
         rows = rows.orderBy(*self._order_columns())

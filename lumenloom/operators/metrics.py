@@ -36,21 +36,31 @@ def period_start(ts: Column, period: int) -> Column:
     return F.floor(ts / F.lit(period)).cast("bigint") * F.lit(period)
 
 
-def statistics() -> list[Column]:
-    """The aggregates of one period, mergeable before the shuffle."""
+def statistics(rows: DataFrame, period: int) -> DataFrame:
+    """Statistics per period, in two steps.
+
+    The first sums per period and unit and holds numbers only, so it hashes and
+    combines before the shuffle; the second picks the unit among its few rows.
+    """
     # decimal sums do not depend on the order in which partitions arrive
-    total = F.sum(F.col("sum").cast("decimal(28,10)"))
-    samples = F.sum("sample_count")
-    named = F.col("unit").isNotNull() & (F.trim("unit") != "")
-    first_unit = F.min_by(F.when(named, F.col("unit")), F.when(named, F.struct("ts", "unit")))
-    return [
+    per_unit = rows.groupBy(period_start(F.col("ts"), period).alias("period_start"), "unit").agg(
+        F.sum("sample_count").alias("sample_count"),
+        F.sum(F.col("sum").cast("decimal(28,10)")).alias("sum"),
+        F.min("minimum").alias("minimum"),
+        F.max("maximum").alias("maximum"),
+        F.min("ts").alias("first_ts"),
+    )
+    named = F.when(F.trim("unit") != "", F.col("unit"))
+    first_unit = F.min_by(named, F.when(named.isNotNull(), F.struct("first_ts", "unit")))
+    samples, total = F.sum("sample_count"), F.sum("sum").cast("double")
+    return per_unit.groupBy("period_start").agg(
         samples.alias("sample_count"),
-        total.cast("double").alias("sum"),
-        F.when(samples > 0, total.cast("double") / samples).otherwise(0.0).alias("average"),
+        total.alias("sum"),
+        F.when(samples > 0, total / samples).otherwise(0.0).alias("average"),
         F.min("minimum").alias("minimum"),
         F.max("maximum").alias("maximum"),
         F.coalesce(first_unit, F.lit("None")).alias("unit"),
-    ]
+    )
 
 
 def _chosen(df, namespace, metric, dimensions, start, end, unit) -> DataFrame:
@@ -59,9 +69,10 @@ def _chosen(df, namespace, metric, dimensions, start, end, unit) -> DataFrame:
         out = out.where(F.col("ts") >= start)
     if end is not None:
         out = out.where(F.col("ts") <= end)
-    wanted = ",".join(f"{k}={v}" for k, v in sorted((dimensions or {}).items()))
-    key = F.coalesce(dimension_key(F.col("dimensions")), F.lit(""))
-    out = out.where(key == wanted)
+    wanted = dimensions or {}
+    out = out.where(F.coalesce(F.size("dimensions"), F.lit(0)) == len(wanted))
+    if wanted:
+        out = out.where(holds_all(F.col("dimensions"), wanted))
     if unit and unit.strip() and unit != "None":
         out = out.where(F.col("unit") == unit)
     return out
@@ -79,8 +90,7 @@ def metric_statistics(
 ) -> DataFrame:
     """Statistics of one metric per period; exactly these dimensions, both ends inclusive."""
     rows = fill_statistics(_chosen(df, namespace, metric, dimensions, start, end, unit))
-    stats = rows.groupBy(period_start(F.col("ts"), period).alias("period_start"))
-    return stats.agg(*statistics()).orderBy("period_start")
+    return statistics(rows, period).orderBy("period_start")
 
 
 @dataclass(frozen=True)
@@ -120,7 +130,7 @@ def metric_data(
     parts = []
     for (namespace, metric, period, dims, unit), group in shared.items():
         rows = fill_statistics(_chosen(df, namespace, metric, dict(dims), start, end, unit))
-        stats = rows.groupBy(period_start(F.col("ts"), period).alias("period_start")).agg(*statistics())
+        stats = statistics(rows, period)
         results = F.array(
             *[
                 F.struct(

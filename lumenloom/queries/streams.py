@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumenloom.operators import patterns
+from lumenloom.operators import devices, patterns
 from lumenloom.functions import json_paths as jp
 from lumenloom.queries.base import EVENT_COLUMNS, METRIC_COLUMNS, spark_columns, table
 from lumenloom.queries.registry import query
-from lumenloom.queries.versions import FIFO_SQL, STATE_SQL
+from lumenloom.queries.versions import FIFO_SQL, STATE_SQL, patch_rows
 from lumenloom.session import shared_dir
+from lumenloom.sources import connectors
 from lumenloom.streaming import flows, runs, stateful
 
 
@@ -137,22 +138,31 @@ def stream_cdc(spark, d):
 
 @query("stream_device_state", STATE_SQL)
 def stream_device_state(spark, d):
-    events = _stream(spark, d, "events")
-    k = F.regexp_extract("props", "([0-9]+)", 1)
-    key = F.concat("event_type", (F.col("user_id") % 7).cast("string"))
-    change = F.concat(
-        F.lit('{"'), key, F.lit('":'), F.when(F.col("event_id") % 8 == 7, "null").otherwise(F.concat(F.lit('"'), k, F.lit('"'))), F.lit("}")
-    )
-    section = F.when(F.col("event_id") % 3 == 0, "reported").otherwise("desired")
-    body = F.when(F.col("event_id") % 400 == 399, "null").otherwise(change)
-    patches = events.select(
-        (F.col("user_id") % 20).cast("string").alias("device"),
-        F.col("event_id").alias("seq"),
-        F.concat(F.lit('{"'), section, F.lit('":'), body, F.lit("}")).alias("patch"),
-        F.lit(None).cast("bigint").alias("stated_version"),
+    path = shared_dir(spark, "devices")
+    writer = stateful.stream_device_state(patch_rows(_stream(spark, d, "events")), path)
+    runs.finish(writer, spark, "devices")
+    return devices.merge_state(runs.latest_batch(spark, f"{path}/patches"))
+
+
+@query(
+    "kafka_source",
+    "SELECT event_type AS topic, CAST(user_id % 8 AS INTEGER) AS partition, event_id AS \"offset\","
+    " CAST(user_id AS VARCHAR) AS key, props AS value FROM events"
+    " WHERE CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) >= 50",
+)
+def kafka_source(spark, d):
+    """Records in the connector's layout (binary key and value), decoded, filtered, delivered.
+
+    The connector is not on this class path, so Spark derives its rows from a table.
+    """
+    raw = _stream(spark, d, "events").select(
+        F.col("event_type").alias("topic"),
+        (F.col("user_id") % 8).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").alias("timestamp"),
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        F.col("props").cast("binary").alias("value"),
     )
-    history = runs.stream_to_table(stateful.stream_device_state(patches), "devices")
-    last = history.groupBy("device").agg(F.max_by("state", "seq").alias("state"))
-    sections = F.from_json("state", "map<string,map<string,string>>")
-    rows = last.select("device", F.explode(sections).alias("section", "held"))
-    return rows.select("device", "section", F.explode("held").alias("key", "value"))
+    records = patterns.match_record(connectors.decode_records(raw), [{"k": [{"numeric": [">=", 50]}]}], "value")
+    out = runs.stream_to_table(records, "kafka")
+    return out.select("topic", "partition", "offset", "key", "value")

@@ -135,8 +135,11 @@ def fifo_dedup(spark, d):
 
 
 def patches(spark, d):
+    return patch_rows(table(spark, d, "events"))
+
+
+def patch_rows(events):
     """Device patches as rows: each event sets one key; some remove it or a whole section."""
-    events = table(spark, d, "events")
     k = F.regexp_extract("props", "([0-9]+)", 1)
     return events.select(
         (F.col("user_id") % 20).cast("string").alias("device"),

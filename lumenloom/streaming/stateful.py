@@ -1,9 +1,10 @@
 """Stateful streams: period statistics, first-accepted rows, change images, device state.
 
-Statistics use Spark's own state. De-duplication and change images run the batch
-operators per micro-batch. Device documents are order-dependent patch by patch and
-use transformWithState; a trigger limit (maxFilesPerTrigger) bounds what one device
-can bring into a micro-batch.
+Statistics use Spark's own state. De-duplication, change images and device state run
+the batch operators per micro-batch, so that a hot key spreads there as well, and keep
+their state as a table. Device documents with version checks depend on every patch
+before and use transformWithState; a trigger limit (maxFilesPerTrigger) bounds what
+one device can bring into a micro-batch.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lumenloom.operators.changes import WINDOW_SECONDS, cdc_images, fifo_dedup, upsert_latest
+from lumenloom.operators.devices import compact_patches, state_versions
 from lumenloom.operators.metrics import fill_statistics
 from lumenloom.operators.ordered import by_width
 
@@ -72,15 +74,15 @@ def stream_fifo_dedup(
     path: str,
     seconds: int = WINDOW_SECONDS,
     tie: list[str] = (),
-    keep: str | None = "1 day",
+    keep_seconds: int | None = 86_400,
 ):
     """A writer of first-accepted rows below path/rows.
 
     Each micro-batch drops what the last accepted row of a key still shadows, runs
     the batch operator on the rest (so a hot key spreads over tasks) and saves the
-    last accepted time per key below path/state. ``keep`` is how far behind the
-    newest accepted row a key is remembered (null: for ever); it has to exceed the
-    window by the lateness to expect. A batch that runs again replaces its folders.
+    last accepted time per key below path/state. ``keep_seconds`` is how far behind
+    the newest accepted row a key is remembered (None: for ever); it has to exceed
+    the window by the lateness to expect. A batch that runs again replaces its folders.
     """
     spark = sdf.sparkSession
     state_schema = _plain(
@@ -100,11 +102,11 @@ def stream_fifo_dedup(
         done = spark.read.schema(_plain(batch.schema)).parquet(rows)
         seen = state.unionByName(done.select(*keys, F.col(ts).alias("_accepted")))
         latest = seen.groupBy(*keys).agg(F.max("_accepted").alias("_accepted"))
-        if keep:
-            newest = done.agg(F.max(ts)).first()[0]
+        if keep_seconds:
+            micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+            newest = done.agg(F.max(micros(ts))).first()[0]
             if newest is not None:
-                edge = F.lit(newest).cast(sdf.schema[ts].dataType) - F.expr(f"interval {keep}")
-                latest = latest.where(F.col("_accepted") >= edge)
+                latest = latest.where(micros("_accepted") >= newest - keep_seconds * 1_000_000)
         latest.write.mode("overwrite").parquet(_state_path(f"{path}/state", batch_id))
 
     return sdf.writeStream.foreachBatch(write)
@@ -143,6 +145,30 @@ def stream_cdc(
     return sdf.writeStream.foreachBatch(write)
 
 
+def stream_device_state(sdf: DataFrame, path: str):
+    """A writer of device state, as the patch rows that still matter, below path/patches.
+
+    Every micro-batch joins its patches to those kept so far and keeps the last one
+    per key, an aggregate that stays cheap for a busy device. ``merge_state`` over the
+    newest folder is the state; path/versions counts the patches of every device.
+    """
+    spark = sdf.sparkSession
+    schema = _plain(sdf.select("device", "seq", "section", "key", "value").schema)
+    counts = T._parse_datatype_string("device string, version bigint")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = _read_state(spark, f"{path}/patches", batch_id, schema)
+        merged = compact_patches(kept.unionByName(batch.select(*schema.fieldNames())))
+        merged.write.mode("overwrite").parquet(_state_path(f"{path}/patches", batch_id))
+        before = _read_state(spark, f"{path}/versions", batch_id, counts)
+        total = before.unionByName(state_versions(batch)).groupBy("device")
+        total.agg(F.sum("version").alias("version")).write.mode("overwrite").parquet(
+            _state_path(f"{path}/versions", batch_id)
+        )
+
+    return sdf.writeStream.foreachBatch(write)
+
+
 # ── device documents ─────────────────────────────────────────────────────────────
 
 
@@ -180,7 +206,7 @@ class _DeviceState(StatefulProcessor):
         pass
 
 
-def stream_device_state(sdf: DataFrame) -> DataFrame:
+def stream_device_documents(sdf: DataFrame) -> DataFrame:
     """The document of a device after every patch, as (device, seq, accepted, version, state).
 
     A patch row has device, seq, patch (JSON of sections) and stated_version: if that
