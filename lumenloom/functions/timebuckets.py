@@ -45,7 +45,7 @@ def bucket_end(start: Column, granularity: str) -> Column:
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    return F.unix_timestamp(end) - F.unix_timestamp(start)
+    return F.unix_seconds(end) - F.unix_seconds(start)
 
 
 def billing_month(c: Column) -> tuple[Column, Column]:

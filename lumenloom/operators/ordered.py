@@ -18,6 +18,11 @@ def _chunked(df: DataFrame, keys: list[str], order: list[str], chunk: Column):
     return staged, rows, chunks
 
 
+def _rank(order: list[str]):
+    """What the order sorts by; a single number stays one, so its aggregate can hash."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def previous_row(
     df: DataFrame, keys: list[str], order: list[str], value: Column, chunk: Column, name: str
 ) -> DataFrame:
@@ -27,7 +32,7 @@ def previous_row(
     """
     staged, rows, chunks = _chunked(df, keys, order, chunk)
     last = staged.groupBy(*keys, "_chunk").agg(
-        F.max_by(value, F.struct(*order)).alias("_last")
+        F.max_by(value, _rank(order)).alias("_last")
     )
     carry = last.select(*keys, "_chunk", F.lag("_last").over(chunks).alias("_carry"))
     marked = staged.withColumn(name, F.lag(value).over(rows)).withColumn(
@@ -44,7 +49,7 @@ def next_row(
     """Adds ``value`` of the row after in key order; null on the last row of a key."""
     staged, rows, chunks = _chunked(df, keys, order, chunk)
     first = staged.groupBy(*keys, "_chunk").agg(
-        F.min_by(value, F.struct(*order)).alias("_head")
+        F.min_by(value, _rank(order)).alias("_head")
     )
     carry = first.select(*keys, "_chunk", F.lead("_head").over(chunks).alias("_carry"))
     # one window serves both columns: the last row of a chunk has no follower in it

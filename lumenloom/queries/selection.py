@@ -194,7 +194,7 @@ def keyset_page(spark, d):
     orders = table(spark, d, "orders")
     keys, after = ["o_custkey", "o_orderkey"], (500, 100)
     rows = doc.page(orders, keys, 400, after, F.col("o_orderstatus") == "F")
-    cursor = doc.page_cursor(orders, keys, 400, after).withColumn("o_orderstatus", F.lit("cursor"))
+    cursor = doc.page_cursor(orders, keys, 400, after).where("o_custkey IS NOT NULL").withColumn("o_orderstatus", F.lit("cursor"))
     return rows.select(*keys, "o_orderstatus").unionByName(cursor)
 
 
