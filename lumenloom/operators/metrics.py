@@ -7,11 +7,11 @@ sample_count, sum, minimum, maximum, unit.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenloom.functions.booleans import every, known, some
 from lumenloom.functions.collections import dimension_key, holds_all
 
 DEFAULT_PERIOD = 60  # fixed value: period in seconds of a query that names none
@@ -36,14 +36,14 @@ def period_start(ts: Column, period: int) -> Column:
     return F.floor(ts / F.lit(period)).cast("bigint") * F.lit(period)
 
 
-def statistics(rows: DataFrame, period: int) -> DataFrame:
-    """Statistics per period, in two steps.
+def statistics(rows: DataFrame, *keys: str) -> DataFrame:
+    """Statistics per group of ``keys``, in two steps.
 
-    The first sums per period and unit and holds numbers only, so it hashes and
+    The first sums per group and unit and holds numbers only, so it hashes and
     combines before the shuffle; the second picks the unit among its few rows.
     """
     # decimal sums do not depend on the order in which partitions arrive
-    per_unit = rows.groupBy(period_start(F.col("ts"), period).alias("period_start"), "unit").agg(
+    per_unit = rows.groupBy(*keys, "unit").agg(
         F.sum("sample_count").alias("sample_count"),
         F.sum(F.col("sum").cast("decimal(28,10)")).alias("sum"),
         F.min("minimum").alias("minimum"),
@@ -53,7 +53,7 @@ def statistics(rows: DataFrame, period: int) -> DataFrame:
     named = F.when(F.trim("unit") != "", F.col("unit"))
     first_unit = F.min_by(named, F.when(named.isNotNull(), F.struct("first_ts", "unit")))
     samples, total = F.sum("sample_count"), F.sum("sum").cast("double")
-    return per_unit.groupBy("period_start").agg(
+    return per_unit.groupBy(*keys).agg(
         samples.alias("sample_count"),
         total.alias("sum"),
         F.when(samples > 0, total / samples).otherwise(0.0).alias("average"),
@@ -63,19 +63,26 @@ def statistics(rows: DataFrame, period: int) -> DataFrame:
     )
 
 
-def _chosen(df, namespace, metric, dimensions, start, end, unit) -> DataFrame:
-    out = df.where((F.col("namespace") == namespace) & (F.col("metric") == metric))
+def _in_range(df: DataFrame, start: int | None, end: int | None) -> DataFrame:
     if start is not None:
-        out = out.where(F.col("ts") >= start)
+        df = df.where(F.col("ts") >= start)
     if end is not None:
-        out = out.where(F.col("ts") <= end)
-    wanted = dimensions or {}
-    out = out.where(F.coalesce(F.size("dimensions"), F.lit(0)) == len(wanted))
-    if wanted:
-        out = out.where(holds_all(F.col("dimensions"), wanted))
+        df = df.where(F.col("ts") <= end)
+    return df
+
+
+def _selection(namespace: str, metric: str, dimensions: dict[str, str], unit: str | None) -> Column:
+    """One metric with exactly these dimensions and, if a real one is given, this unit."""
+    tests = [
+        known(F.col("namespace") == namespace, F.col("namespace")),
+        known(F.col("metric") == metric, F.col("metric")),
+        F.coalesce(F.size("dimensions"), F.lit(0)) == len(dimensions),
+    ]
+    if dimensions:
+        tests.append(holds_all(F.col("dimensions"), dimensions))
     if unit and unit.strip() and unit != "None":
-        out = out.where(F.col("unit") == unit)
-    return out
+        tests.append(known(F.col("unit") == unit, F.col("unit")))
+    return every(tests)
 
 
 def metric_statistics(
@@ -89,8 +96,9 @@ def metric_statistics(
     unit: str | None = None,
 ) -> DataFrame:
     """Statistics of one metric per period; exactly these dimensions, both ends inclusive."""
-    rows = fill_statistics(_chosen(df, namespace, metric, dimensions, start, end, unit))
-    return statistics(rows, period).orderBy("period_start")
+    chosen = _in_range(df, start, end).where(_selection(namespace, metric, dimensions or {}, unit))
+    rows = fill_statistics(chosen).withColumn("period_start", period_start(F.col("ts"), period))
+    return statistics(rows, "period_start").orderBy("period_start")
 
 
 @dataclass(frozen=True)
@@ -120,33 +128,44 @@ def metric_data(
 ) -> DataFrame:
     """(id, label, period_start, value) of several queries, one statistic each.
 
-    Queries that share a metric, period, dimensions and unit share one aggregation.
+    All queries share one pass: a row is marked with the selections it belongs to
+    and aggregated once per selection and period.
     """
     asked = [q for q in queries if q.return_data]
-    shared: dict[tuple, list[MetricQuery]] = {}
-    for q in asked:
-        key = (q.namespace, q.metric, q.period or DEFAULT_PERIOD, tuple(sorted(q.dimensions.items())), q.unit)
-        shared.setdefault(key, []).append(q)
-    parts = []
-    for (namespace, metric, period, dims, unit), group in shared.items():
-        rows = fill_statistics(_chosen(df, namespace, metric, dict(dims), start, end, unit))
-        stats = statistics(rows, period)
-        results = F.array(
-            *[
+    selections = list(dict.fromkeys(_selection_of(q) for q in asked))
+    tests = [_selection(n, m, dict(dims), unit) for n, m, _, dims, unit in selections]
+    hits = F.array(
+        *[
+            F.when(test, F.struct(F.lit(i).alias("selection"), period_start(F.col("ts"), s[2]).alias("period_start")))
+            for i, (test, s) in enumerate(zip(tests, selections))
+        ]
+    )
+    # the lists reach the scan; the exact tests decide row by row
+    named = F.col("namespace").isin(sorted({q.namespace for q in asked})) & F.col("metric").isin(
+        sorted({q.metric for q in asked})
+    )
+    rows = fill_statistics(_in_range(df, start, end).where(named & some(tests)))
+    marked = rows.select("*", F.explode(F.array_compact(hits)).alias("hit")).select(*rows.columns, "hit.*")
+    stats = statistics(marked, "selection", "period_start")
+    results = F.array(
+        *[
+            F.when(
+                F.col("selection") == selections.index(_selection_of(q)),
                 F.struct(
                     F.lit(q.id).alias("id"),
                     F.lit(q.label or q.metric).alias("label"),
                     _value_of(q.stat).alias("value"),
-                )
-                for q in group
-            ]
-        )
-        parts.append(
-            stats.select("period_start", F.explode(results).alias("r")).select(
-                "r.id", "r.label", "period_start", "r.value"
+                ),
             )
-        )
-    return reduce(DataFrame.unionByName, parts)
+            for q in asked
+        ]
+    )
+    out = stats.select("period_start", F.explode(F.array_compact(results)).alias("r"))
+    return out.select("r.id", "r.label", "period_start", "r.value")
+
+
+def _selection_of(q: MetricQuery) -> tuple:
+    return q.namespace, q.metric, q.period or DEFAULT_PERIOD, tuple(sorted(q.dimensions.items())), q.unit
 
 
 def list_metrics(

@@ -208,3 +208,18 @@ def shard_of(key: Column, n: int) -> Column:
 def enrich(df: DataFrame, reference: DataFrame, on) -> DataFrame:
     """Every row with what the reference table knows about it."""
     return df.join(reference, on, "left")
+
+
+def enrich_with(df: DataFrame, function, schema: str) -> DataFrame:
+    """Rows after a user function from pandas frame to pandas frame, batch by batch.
+
+    A batch for which the function has nothing to say (None or no rows) is dropped.
+    """
+
+    def run(batches):
+        for pdf in batches:
+            out = function(pdf)
+            if out is not None and len(out):
+                yield out
+
+    return df.mapInPandas(run, schema)

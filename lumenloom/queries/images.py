@@ -147,11 +147,20 @@ def _write_files(path: str):
     return run
 
 
+def _uri(spark, path: str) -> str:
+    """The path with the scheme of the file system Spark finds it on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = fs.makeQualified(place).toUri()
+    if uri.getScheme() == "file":
+        return f"file://{uri.getPath()}"
+    return uri.toString().replace("s3a://", "s3://", 1)
+
+
 @query("image_source", FEATURES)
 def image_source(spark, d):
     """Files written by the tasks into the shared folder, read back by the image source."""
     path = shared_dir(spark, "images")
-    uri = path if "://" in path else f"file://{path}"
-    written = decoded(spark, d).mapInPandas(_write_files(uri), "id int")
+    written = decoded(spark, d).mapInPandas(_write_files(_uri(spark, path)), "id int")
     written.write.format("noop").mode("overwrite").save()
     return rounded(images.image_features(images.read_images(spark, path, "*.png")))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenloom.functions import json_paths
+from lumenloom.functions.booleans import bound
 
 
 def scan_csv(
@@ -103,6 +106,26 @@ def resolve(df: DataFrame, name: str):
     return F.lit(None).cast("string")
 
 
+def _child(step: str, node):
+    """A member by its key or, for digits, an item by its index."""
+    by_key = json_paths.at(node, [step])
+    return F.coalesce(by_key, json_paths.at(node, [int(step)])) if step.isdigit() else by_key
+
+
+def _entries(node):
+    """(key, value) of what a value holds: array items without key, or members by key."""
+    fields = F.try_variant_get(node, "$", "map<string,variant>")
+    listed = F.transform(
+        F.try_variant_get(node, "$", "array<variant>"),
+        lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")),
+    )
+    keyed = F.transform(
+        F.array_sort(F.map_keys(fields)),
+        lambda k: F.struct(k.alias("key"), F.element_at(fields, k).alias("value")),
+    )
+    return F.coalesce(listed, keyed)
+
+
 def explode_items(
     df: DataFrame, json: str, pointer: str = "", max_items: int | None = None
 ) -> DataFrame:
@@ -114,23 +137,8 @@ def explode_items(
     steps = [p.replace("~1", "/").replace("~0", "~") for p in pointer.split("/")[1:]]
     node = json_paths.parse(F.col(json))
     for step in steps:
-        by_key = json_paths.at(node, [step])
-        node = F.coalesce(by_key, json_paths.at(node, [int(step)])) if step.isdigit() else by_key
-    listed = F.transform(
-        F.try_variant_get(node, "$", "array<variant>"),
-        lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")),
-    )
-    entries = F.array_sort(
-        F.transform(
-            F.map_keys(F.try_variant_get(node, "$", "map<string,variant>")), lambda k: k
-        )
-    )
-    fields = F.try_variant_get(node, "$", "map<string,variant>")
-    keyed = F.transform(
-        entries,
-        lambda k: F.struct(k.alias("key"), F.element_at(fields, k).alias("value")),
-    )
-    items = F.coalesce(listed, keyed)
+        node = bound(node, partial(_child, step))
+    items = bound(node, _entries)
     if max_items:
         items = F.slice(items, 1, max_items)
     out = df.select("*", F.posexplode(items).alias("index", "item"))

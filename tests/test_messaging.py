@@ -264,9 +264,8 @@ def test_projection_keeps_nesting_and_drops_what_is_missing(spark):
 
 
 def test_archive_and_replay(spark, tmp_path):
-    events = bus(spark, DETAIL).crossJoin(spark.range(5)).withColumn(
-        "event_time", F.timestamp_seconds(F.col("id") * 86400)
-    )
+    events = bus(spark, DETAIL).select("*", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("id"))
+    events = events.withColumn("event_time", F.timestamp_seconds(F.col("id") * 86400))
     path = str(tmp_path / "arch")
     stored = routing.archive(events, {"source": ["my.app"]}, path)
     stored = routing.archive(events.where("id = 0"), {"source": ["other"]}, path)
@@ -286,3 +285,18 @@ def test_split_and_receive_limit(spark, rows):
     assert rows(good) == [("1", 1)] and rows(bad) == [("x",)]
     log = spark.createDataFrame([("a",), ("a",), ("a",), ("b",)], "message_id string")
     assert rows(routing.over_received(log, 2)) == [("a", 3)]
+
+
+def test_user_functions_enrich_and_drop_empty_batches(spark, rows):
+    df = spark.range(4).repartition(2)
+    doubled = routing.enrich_with(df, lambda pdf: pdf.assign(twice=pdf["id"] * 2), "id long, twice long")
+    assert rows(doubled) == [(0, 0), (1, 2), (2, 4), (3, 6)]
+    assert routing.enrich_with(df, lambda pdf: None, "id long").count() == 0
+
+
+def test_functions_are_found_by_pattern(spark):
+    from lumenloom.functions.user import list_functions, register_functions
+
+    assert register_functions(spark) == ["item_size"]
+    assert spark.sql("""SELECT item_size('{"a":{"S":"bc"}}') AS n""").first().n == 3
+    assert [r.function for r in list_functions(spark, "item_*").collect()] == ["item_size"]
