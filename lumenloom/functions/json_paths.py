@@ -57,7 +57,11 @@ def is_text(v: Column) -> Column:
 
 
 def is_number(v: Column) -> Column:
-    return kind_of(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    return _numeric(kind_of(v))
+
+
+def _numeric(kind: Column) -> Column:
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
 
 def is_boolean(v: Column) -> Column:
@@ -69,7 +73,23 @@ def is_array(v: Column) -> Column:
 
 
 def is_container(v: Column) -> Column:
-    return kind_of(v).rlike("^(ARRAY|OBJECT)")
+    return F.substring(kind_of(v), 1, 5).isin("ARRAY", "OBJEC")
+
+
+def facts(v: Column) -> Column:
+    """What tests of a value ask for, worked out once: kind, text of a text, number of a number."""
+
+    def of(pair: Column) -> Column:
+        value, kind = pair["v"], pair["kind"]
+        return F.struct(
+            value.alias("v"),
+            kind.alias("kind"),
+            leaf(kind != "VOID").alias("exists"),
+            F.when(kind == "STRING", as_text(value)).alias("text"),
+            F.when(_numeric(kind), F.try_variant_get(value, "$", "decimal(38,12)")).alias("number"),
+        )
+
+    return bound(bound(v, lambda x: F.struct(x.alias("v"), kind_of(x).alias("kind"))), of)
 
 
 def as_text(v: Column) -> Column:
@@ -85,7 +105,7 @@ def as_number(v: Column) -> Column:
 def parse_inside(v: Column) -> Column:
     """Text that holds a JSON object or array becomes that value."""
     inner = F.try_parse_json(F.when(is_text(v), as_text(v)))
-    return F.when(F.coalesce(is_container(inner), F.lit(False)), inner).otherwise(v)
+    return F.coalesce(bound(inner, lambda i: F.when(is_container(i), i)), v)
 
 
 def with_parsed(json: Column, test) -> Column:

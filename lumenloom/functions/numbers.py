@@ -21,7 +21,8 @@ def is_number_text(c: Column) -> Column:
 
 
 def text_to_double(c: Column) -> Column:
-    return F.when(c.rlike(NUMBER_TEXT), c.try_cast("double"))
+    """A number with or without blanks around it; null for other text."""
+    return F.when(F.trim(c).rlike(NUMBER_TEXT), c.try_cast("double"))
 
 
 # what the shortest plain form leaves out, in this order: (pattern, replacement)

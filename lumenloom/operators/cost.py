@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenloom.functions import json_paths as jp
 from lumenloom.functions import timebuckets as tb
 from lumenloom.functions.billing_maps import (
     charge_category,
@@ -61,6 +62,45 @@ def price_usage(lines: DataFrame, rates: DataFrame) -> DataFrame:
     return joined.withColumn("cost", cost).select(*lines.columns, "cost")
 
 
+def rates_from_offers(offers: DataFrame, service: str = "service", offer: str = "offer") -> DataFrame:
+    """Rates (service, region, usage_type, rate) from price-list offers given as JSON text.
+
+    The rate is the first positive on-demand price in USD. An offer without a usage
+    type gets one made from its attributes, where the service has a rule for it.
+    """
+
+    def attribute(v: Column, name: str) -> Column:
+        return jp.at(v, ["product", "attributes", name], "string")
+
+    def price(v: Column) -> Column:
+        terms = F.map_values(jp.at(v, ["terms", "OnDemand"], "map<string,variant>"))
+        dimensions = F.flatten(
+            F.transform(
+                terms,
+                lambda t: F.coalesce(
+                    F.map_values(jp.at(t, ["priceDimensions"], "map<string,variant>")),
+                    F.array().cast("array<variant>"),
+                ),
+            )
+        )
+        prices = F.transform(dimensions, lambda d: jp.at(d, ["pricePerUnit", "USD"], "string").try_cast("double"))
+        return F.try_element_at(F.filter(prices, lambda p: p > 0), F.lit(1))
+
+    v, code = jp.parse(F.col(offer)), F.col(service)
+    made = (
+        F.when(code == "AmazonEC2", F.concat(F.lit("BoxUsage:"), F.coalesce(attribute(v, "instanceType"), F.lit(""))))
+        .when(code == "AmazonS3", F.concat(F.lit("TimedStorage-"), F.coalesce(attribute(v, "volumeType"), F.lit(""))))
+        .when(code == "AWSLambda", F.coalesce(attribute(v, "group"), F.lit("AWS-Lambda-Requests")))
+    )
+    usage_type = F.when(attribute(v, "usagetype") != "", attribute(v, "usagetype"))
+    return offers.select(
+        code.alias("service"),
+        attribute(v, "regionCode").alias("region"),
+        F.coalesce(usage_type, made).alias("usage_type"),
+        price(v).alias("rate"),
+    ).where("usage_type IS NOT NULL AND rate > 0")
+
+
 def to_buckets(lines: DataFrame, start: str, end: str, granularity: str) -> DataFrame:
     """Each line once per bucket of [start, end) it overlaps, its quantity (and cost) in
 

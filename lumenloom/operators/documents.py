@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from lumenloom.functions import json_paths as jp
 from lumenloom.functions.booleans import bound, compare, every, leaf, some
-from lumenloom.functions.numbers import order_text
+from lumenloom.functions.numbers import normalize_number, order_text
 from lumenloom.functions.text import text_units
 from lumenloom.operators.ordered import running_total
 
@@ -200,33 +200,56 @@ def doc_where(df: DataFrame, predicate: Callable, item: str = "item") -> DataFra
 
 
 def legacy_test(attr: Attr, op: str, values: list) -> Column:
-    """One condition in the older per-attribute form."""
+    """One condition in the older per-attribute form, which compares written values.
+
+    A number is written in its shortest form first, so 1.0 is 1; but '1' is no number.
+    """
     if op == "NULL":
         return attr.not_exists()
     if op == "NOT_NULL":
         return attr.exists()
-    texts = [str(v).lower() if isinstance(v, bool) else str(v) for v in values]
+    written = F.coalesce(normalize_number(attr._get("N")), attr.scalar)
+    wanted = [_written(v) for v in values]
     if op == "IN":
-        return leaf(attr.scalar.isin(texts))
-    first = values[0]
+        return leaf(written.isin(wanted))
+    is_scalar = some(attr.is_type(k) for k in ("S", "N", "B", "BOOL"))
+    first, text = values[0], isinstance(values[0], str)
+    number = isinstance(first, (int, float, Decimal)) and not isinstance(first, bool)
+    in_text = leaf(attr._get("S").contains(str(first)))
+    in_set = leaf(F.array_contains(attr._get("SS", "array<string>"), str(first)))
+    in_numbers = leaf(F.array_contains(attr._get("NS", "array<string>"), str(first)))
     tests = {
-        # these two compare written values, so 1.0 is not 1
-        "EQ": lambda: leaf(attr.scalar == texts[0]),
-        "NE": lambda: ~leaf(attr.scalar == texts[0]),
-        "BEGINS_WITH": lambda: attr.begins_with(texts[0]),
-        "CONTAINS": lambda: attr.contains(first),
-        "NOT_CONTAINS": lambda: ~attr.contains(first),
-        "GT": lambda: attr.gt(first),
-        "GE": lambda: attr.ge(first),
-        "LT": lambda: attr.lt(first),
-        "LE": lambda: attr.le(first),
-        "BETWEEN": lambda: attr.between(values[0], values[1]),
+        "EQ": lambda: leaf(written == wanted[0]) & _same_side(attr, number),
+        "NE": lambda: ~leaf(written == wanted[0]),
+        "BEGINS_WITH": lambda: leaf(written.startswith(wanted[0])),
+        "CONTAINS": lambda: in_text | in_set if text else in_numbers if number else F.lit(False),
+        "NOT_CONTAINS": lambda: ~(in_text | in_set) if text else F.lit(True),
+        "GT": lambda: is_scalar & attr.gt(first),
+        "GE": lambda: is_scalar & attr.ge(first),
+        "LT": lambda: is_scalar & attr.lt(first),
+        "LE": lambda: is_scalar & attr.le(first),
+        "BETWEEN": lambda: is_scalar & attr.between(values[0], values[1]),
     }
     if op not in tests:
         raise ValueError(f"unknown condition {op!r}")
     return tests[op]()
 
 
+def _written(value) -> str:
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, (int, float, Decimal)):
+        plain = format(Decimal(str(value)).normalize(), "f")
+        return "0" if plain == "-0" else plain
+    return str(value)
+
+
+def _same_side(attr: Attr, number: bool) -> Column:
+    """A number on one side only is compared as it was written, which here needs its shortest form."""
+    raw_is_short = leaf(attr._get("N") == normalize_number(attr._get("N")))
+    return F.lit(True) if number else attr._get("N").isNull() | raw_is_short
+
+
 def doc_where_legacy(df: DataFrame, conditions: dict[str, tuple[str, list]], item: str = "item") -> DataFrame:
     """All (operator, values) conditions hold, one per attribute."""
 

@@ -90,14 +90,18 @@ def _bus_detail(v: Column, pattern: dict) -> Column:
         if key == "$or" and isinstance(expected, list):
             tests.append(some(_bus_detail(v, p) for p in expected))
         elif isinstance(expected, list):
-            tests.append(_bus_array(expected, _bus_text(jp.at(v, [key]))))
+            text = bound(jp.at(v, [key]), _bus_text)
+            tests.append(bound(text, partial(_bus_array, expected)))
         elif isinstance(expected, dict):
-            inner = jp.at(v, [key])
-            entered = jp.parse_inside(inner)
-            tests.append(leaf(jp.is_present(inner)) & _bus_detail(entered, expected))
+            tests.append(bound(jp.at(v, [key]), partial(_bus_inner, expected)))
     return every(tests)
 
 
+def _bus_inner(pattern: dict, value: Column) -> Column:
+    entered = bound(jp.parse_inside(value), lambda v: _bus_detail(v, pattern))
+    return leaf(jp.is_present(value)) & entered
+
+
 # Pattern key -> event column.
 ENVELOPE = {"source": "source", "detail-type": "detail_type", "account": "account", "region": "region"}
 
@@ -149,10 +153,8 @@ def match_event(df: DataFrame, pattern: str | dict, detail: str = "detail") -> D
 # ── records: typed values, "anything-but" accepts a missing one ──────────────────
 
 
-def _record_element(element, v: Column) -> Column:
-    exists = leaf(jp.is_present(v))
-    text = F.when(jp.is_text(v), jp.as_text(v))
-    number = jp.as_number(v)
+def _record_element(element, fact: Column) -> Column:
+    exists, text, number = fact["exists"], fact["text"], fact["number"]
     if isinstance(element, str):
         return leaf(text == element)
     if element is None:
@@ -169,9 +171,7 @@ def _record_element(element, v: Column) -> Column:
         if "anything-but" in element:
             but = element["anything-but"]
             if isinstance(but, list):
-                hits = [leaf(text == b) for b in but if isinstance(b, str)]
-                hits += [leaf(number == _decimal(b)) for b in but if _is_number(b)]
-                return ~exists | ~some(hits)
+                return ~exists | ~_any_equal(but, fact)
             if isinstance(but, dict) and "prefix" in but:
                 return ~exists | leaf(~text.startswith(but["prefix"]))
             if isinstance(but, str):
@@ -183,16 +183,25 @@ def _record_element(element, v: Column) -> Column:
     return F.lit(False)
 
 
-def _record_node(v: Column, pattern) -> Column:
-    if not isinstance(pattern, dict):
-        return F.lit(False)
+def _any_equal(literals: list, fact: Column) -> Column:
+    """The value is one of the texts or numbers."""
+    hits = [leaf(fact["text"] == b) for b in literals if isinstance(b, str)]
+    return some(hits + [leaf(fact["number"] == _decimal(b)) for b in literals if _is_number(b)])
+
+
+def _record_elements(elements: list, fact: Column) -> Column:
+    return some(_record_element(e, fact) for e in elements)
+
+
+def _record_node(pattern: dict, v: Column) -> Column:
     tests = []
     for key, expected in pattern.items():
         value = jp.at(v, [key])
         if isinstance(expected, list):
-            tests.append(some(_record_element(e, value) for e in expected))
+            tests.append(bound(jp.facts(value), partial(_record_elements, expected)))
         elif isinstance(expected, dict):
-            tests.append(_record_node(jp.parse_inside(value), expected))
+            inside = bound(value, jp.parse_inside)
+            tests.append(bound(inside, partial(_record_node, expected)))
         else:
             return F.lit(False)  # a bare scalar is no pattern
     return every(tests)
@@ -203,7 +212,8 @@ def record_test(filters: list, record: Column) -> Column:
     if not filters:
         return F.lit(True)
     patterns = [read_pattern(f) for f in filters]
-    return some(F.lit(True) if p is None else _record_node(record, p) for p in patterns)
+    known_form = [p for p in patterns if p is None or isinstance(p, dict)]
+    return some(F.lit(True) if p is None else _record_node(p, record) for p in known_form)
 
 
 def match_record(df: DataFrame, filters: list, record: str = "record") -> DataFrame:
@@ -259,59 +269,60 @@ def match_attributes(df: DataFrame, policy, attributes: str = "attributes") -> D
 # ── message bodies: typed values, arrays match per element ───────────────────────
 
 
-def _body_rule(rule, v: Column) -> Column:
-    text = F.when(jp.is_text(v), jp.as_text(v))
-    number = jp.as_number(v)
+def _body_rule(rule, fact: Column) -> Column:
+    text, number, v = fact["text"], fact["number"], fact["v"]
     if isinstance(rule, bool):
-        truth = F.when(jp.is_boolean(v), F.try_variant_get(v, "$", "boolean"))
+        truth = F.when(fact["kind"] == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
         return leaf(truth == F.lit(rule))
     if isinstance(rule, str):
         return leaf(text == rule)
     if _is_number(rule):
         return leaf(number == _decimal(rule))
     if rule is None:
-        return leaf(F.is_variant_null(v))
+        return leaf(fact["kind"] == "VOID")
     if isinstance(rule, dict):
-        present = leaf(jp.is_present(v))
         if "exists" in rule:
-            return present if rule["exists"] else ~present
+            filled = fact["exists"] & ~leaf(text == "") & ~leaf(F.to_json(v).isin("{}", "[]"))
+            return filled if rule["exists"] else ~filled
         if "prefix" in rule:
             return leaf(text.startswith(rule["prefix"]))
         if "anything-but" in rule:
             but = rule["anything-but"]
             if isinstance(but, list):
-                hits = [leaf(text == b) for b in but if isinstance(b, str)]
-                hits += [leaf(number == _decimal(b)) for b in but if _is_number(b)]
-                return present & ~some(hits)
-            return present & ~leaf(text == but) if isinstance(but, str) else F.lit(False)
+                return fact["exists"] & ~_any_equal(but, fact)
+            return fact["exists"] & ~leaf(text == but) if isinstance(but, str) else F.lit(False)
         if "numeric" in rule and len(rule["numeric"]) % 2 == 0:
             return _in_ranges(number, rule["numeric"])
     return F.lit(False)
 
 
-def _body_rules(v: Column, rules: list) -> Column:
+def _body_rules(rules: list, fact: Column) -> Column:
     """Rules against a value; against an array they are tried on every element."""
-    items = F.try_variant_get(v, "$", "array<variant>")
-    on_array = []
-    for rule in rules:
-        if isinstance(rule, dict) and "exists" in rule:
-            filled = F.size(items) > 0
-            on_array.append(filled if rule["exists"] else ~filled)
-        else:
-            on_array.append(leaf(F.exists(items, partial(_body_rule, rule))))
-    return F.when(leaf(jp.is_array(v)), some(on_array)).otherwise(
-        some(_body_rule(r, v) for r in rules)
-    )
+
+    def on_array(elements: Column) -> Column:
+        tests = []
+        for rule in rules:
+            if isinstance(rule, dict) and "exists" in rule:
+                filled = F.size(elements) > 0
+                tests.append(filled if rule["exists"] else ~filled)
+            else:
+                tests.append(leaf(F.exists(elements, partial(_body_rule, rule))))
+        return some(tests)
+
+    items = F.try_variant_get(fact["v"], "$", "array<variant>")
+    on_value = some(_body_rule(r, fact) for r in rules)
+    is_array = leaf(fact["kind"].startswith("ARRAY"))
+    return F.when(is_array, bound(F.transform(items, jp.facts), on_array)).otherwise(on_value)
 
 
-def _body_policy(v: Column, policy: dict) -> Column:
+def _body_policy(policy: dict, v: Column) -> Column:
     tests = []
     for key, rules in policy.items():
         value = jp.at(v, [key])
         if isinstance(rules, list):
-            tests.append(_body_rules(value, rules))
+            tests.append(bound(jp.facts(value), partial(_body_rules, rules)))
         elif isinstance(rules, dict):
-            tests.append(_body_policy(value, rules))
+            tests.append(bound(value, partial(_body_policy, rules)))
         else:
             return F.lit(False)
     return every(tests)
@@ -325,7 +336,7 @@ def body_test(policy: str | dict | None, body: Column) -> Column:
         return F.lit(False)
     if policy is None:
         return F.lit(True)
-    return body.isNotNull() & _body_policy(body, policy) if isinstance(policy, dict) else F.lit(False)
+    return body.isNotNull() & _body_policy(policy, body) if isinstance(policy, dict) else F.lit(False)
 
 
 def match_body(df: DataFrame, policy, body: str = "body") -> DataFrame:

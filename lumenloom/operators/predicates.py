@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
-from decimal import Decimal, InvalidOperation
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenloom.functions.booleans import compare, every, known, leaf
-from lumenloom.functions.numbers import text_to_double
+from lumenloom.functions.numbers import NUMBER_TEXT, text_to_double
 from lumenloom.functions.text import like_pattern
 from lumenloom.sources.files import resolve
 
 
 def _number(text) -> float | None:
-    try:
-        value = Decimal(str(text))
-    except InvalidOperation:
-        return None
-    return float(value) if value.is_finite() else None
+    return float(str(text)) if re.match(NUMBER_TEXT, str(text)) else None
 
 
 def _literal(value) -> Column:

@@ -31,6 +31,21 @@ def usage_rate_join(spark, d):
     )
 
 
+@query(
+    "price_list_rates",
+    f"SELECT service, region, usage_type, {_six('max(rate)', 'rate')} FROM ({RATES}) GROUP BY 1, 2, 3",
+)
+def price_list_rates(spark, d):
+    """Rates read from price-list offers, here made from the rate rows."""
+    name = F.struct(F.col("region").alias("regionCode"), F.col("usage_type").alias("usagetype"))
+    usd = F.struct(F.col("rate").cast("string").alias("USD"))
+    dims = F.create_map(F.lit("dim"), F.struct(usd.alias("pricePerUnit")))
+    terms = F.create_map(F.lit("term"), F.struct(dims.alias("priceDimensions")))
+    offer = F.struct(F.struct(name.alias("attributes")).alias("product"), F.struct(terms.alias("OnDemand")).alias("terms"))
+    found = c.rates_from_offers(rates(spark, d).select("service", F.to_json(offer).alias("offer")))
+    return _rounded(found.groupBy("service", "region", "usage_type").agg(F.max("rate").alias("rate")), "rate")
+
+
 def _buckets(unit: str) -> str:
     return (
         f"SELECT unnest(generate_series(TIMESTAMP '{START}', TIMESTAMP '{END}' - INTERVAL 1 {unit},"

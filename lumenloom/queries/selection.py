@@ -7,16 +7,13 @@ from pyspark.sql import functions as F
 from lumenloom.operators import documents as doc
 from lumenloom.operators import ordered, predicates, vectors
 from lumenloom.functions import collections as fc
-from lumenloom.queries.base import items, query_vector, table, usage, vector_literal
+from lumenloom.queries.base import items, query_vector, table, vector_literal
 from lumenloom.queries.registry import query
 from lumenloom.session import shared_dir
-from lumenloom.sources import files, positions
+from lumenloom.sources import positions
 
 # ── loose and partition predicates ───────────────────────────────────────────────
 
-_NUM = "TRY_CAST({} AS DOUBLE)"
-
-
 @query(
     "select_where",
     """SELECT p_partkey, p_name, size FROM (
@@ -315,9 +312,6 @@ def item_size(spark, d):
     return items(spark, d).select("c_custkey", doc.item_size("item").alias("bytes"))
 
 
-_SETS = "[l_returnflag, l_linestatus, concat('n', l_linenumber)]"
-
-
 @query(
     "set_add",
     "SELECT l_orderkey, l_linenumber, concat_ws(',', l_returnflag, l_linestatus,"

@@ -171,4 +171,4 @@ def device_state(spark, d):
     "SELECT CAST(user_id % 20 AS VARCHAR) AS device, count(*) AS version FROM events GROUP BY 1",
 )
 def device_versions(spark, d):
-    return devices.state_documents(patches(spark, d)).select("device", "version")
+    return devices.state_versions(patches(spark, d))

@@ -63,20 +63,21 @@ def scan_object(spark: SparkSession, path: str, content_type: str = "") -> DataF
 
 
 def format_of(serde: str | None, input_format: str | None = None) -> str:
-    hint = f"{serde or ''} {input_format or ''}".lower()
-    if "parquet" in hint:
+    """Parquet if either name says so, then JSON (a Hive input format counts as JSON), else CSV."""
+    reader, layout = (serde or "").lower(), (input_format or "").lower()
+    if "parquet" in reader or "parquet" in layout:
         return "parquet"
-    return "json" if "json" in hint or "hive" in hint else "csv"
+    return "json" if "json" in reader or "json" in layout or "hive" in layout else "csv"
 
 
 def register_catalog_views(spark: SparkSession, catalog: DataFrame) -> list[str]:
-    """A view per catalogue row (table_name, location, serde), files at all depths.
+    """A view per catalogue row (table_name, location, serde and, if there is one,
 
-    The catalogue is table metadata, one small row per table.
-    """
+    input_format), over files at all depths. The catalogue is table metadata, one
+    small row per table."""
     names = []
-    for row in catalog.select("table_name", "location", "serde").toLocalIterator():
-        kind = format_of(row["serde"])
+    for row in catalog.toLocalIterator():
+        kind = format_of(row["serde"], row["input_format"] if "input_format" in catalog.columns else None)
         reader = spark.read.option("recursiveFileLookup", True)
         if kind == "parquet":
             reader = reader.option("mergeSchema", True)

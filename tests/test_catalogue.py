@@ -199,3 +199,11 @@ def test_lines_quote_and_keep_nulls(spark):
     df = spark.createDataFrame([('a,"b"', None, "x\ny")], "p string, q string, r string")
     assert tables.to_lines(df, "csv").first().line == '"a,""b""",,"x\ny"'
     assert tables.to_lines(df, "json").first().line == '{"p":"a,\\"b\\"","q":null,"r":"x\\ny"}'
+
+
+def test_catalogue_formats():
+    assert files.format_of("x.ParquetHiveSerDe") == "parquet"
+    assert files.format_of("org.openx.JsonSerDe", "TextInputFormat") == "json"
+    assert files.format_of(None, "org.apache.hadoop.hive.ql.X") == "json"
+    assert files.format_of("org.apache.hadoop.hive.serde2.OpenCSVSerde", "TextInputFormat") == "csv"
+    assert files.format_of(None) == "csv"

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 import pytest
@@ -208,3 +209,25 @@ def test_dimension_and_tag_values(spark, rows):
     assert rows(c.tag_values(lines)) == [("env",), ("team",)]
     assert rows(c.tag_values(lines, "team")) == [("a",), ("b",)]
     assert rows(c.tag_values(lines, "team", "b")) == [("b",)]
+
+
+def test_rates_come_from_offers(spark, rows):
+    def offer(attributes, *prices):
+        dims = {f"d{i}": {"pricePerUnit": {"USD": p}} for i, p in enumerate(prices)}
+        return json.dumps({"product": {"attributes": attributes}, "terms": {"OnDemand": {"t": {"priceDimensions": dims}}}})
+
+    data = [
+        ("AmazonEC2", offer({"regionCode": "r", "usagetype": "BoxUsage:a"}, "0", "0.5", "0.7")),
+        ("AmazonEC2", offer({"regionCode": "r", "instanceType": "b"}, "2")),
+        ("AWSLambda", offer({"regionCode": "r"}, "x", "3e-1")),
+        ("AmazonSNS", offer({"regionCode": "r"}, "4")),
+        ("AmazonS3", offer({"regionCode": "r", "usagetype": "none"}, "0")),
+        ("AmazonS3", '{"product":{"attributes":{"regionCode":"r"}}}'),
+        ("AmazonS3", "no json"),
+    ]
+    df = spark.createDataFrame(data, "service string, offer string")
+    assert rows(c.rates_from_offers(df)) == [
+        ("AWSLambda", "r", "AWS-Lambda-Requests", 0.3),
+        ("AmazonEC2", "r", "BoxUsage:a", 0.5),
+        ("AmazonEC2", "r", "BoxUsage:b", 2.0),
+    ]

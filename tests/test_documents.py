@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +88,13 @@ def test_item_predicates(spark, test, want):
     [
         ({"age": ("EQ", [30]), "name": ("BEGINS_WITH", ["A"])}, True),
         ({"age": ("EQ", ["30.0"])}, False),
+        ({"age": ("EQ", [30.0])}, True),
+        ({"age": ("IN", [Decimal("30.00")])}, True),
+        ({"nums": ("CONTAINS", [2])}, True),
+        ({"nums": ("CONTAINS", [1])}, False),
+        ({"list": ("CONTAINS", ["x"])}, False),
+        ({"nums": ("NOT_CONTAINS", [2])}, True),
+        ({"map": ("LT", ["z"])}, False),
         ({"gone": ("NE", [1])}, True),
         ({"gone": ("NULL", [])}, True),
         ({"name": ("NOT_NULL", [])}, True),

@@ -169,7 +169,7 @@ def test_attribute_policies(spark, policy, want):
     assert (pt.match_attributes(df, policy).count() == 1) is want
 
 
-BODY = {"s": "abc", "n": 5, "b": True, "nil": None, "a": ["x", 3], "empty": [], "o": {"k": "v", "a": [{"q": 1}]}}
+BODY = {"s": "abc", "n": 5, "b": True, "nil": None, "a": ["x", 3], "empty": [], "blank": "", "bare": {}, "zero": 0, "o": {"k": "v", "a": [{"q": 1}]}}
 
 
 @pytest.mark.parametrize(
@@ -189,6 +189,9 @@ BODY = {"s": "abc", "n": 5, "b": True, "nil": None, "a": ["x", 3], "empty": [],
         ({"a": [{"exists": True}]}, True),
         ({"empty": [{"exists": True}]}, False),
         ({"empty": [{"exists": False}]}, True),
+        ({"blank": [{"exists": True}]}, False),
+        ({"bare": [{"exists": False}]}, True),
+        ({"zero": [{"exists": True}], "b": [{"exists": True}], "o": [{"exists": True}]}, True),
         ({"missing": [{"exists": False}]}, True),
         ({"missing": [{"anything-but": ["x"]}]}, False),
         ({"s": [{"anything-but": "abc"}]}, False),
