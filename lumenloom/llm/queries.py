@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenloom.llm import minhash_forest
+from lumenloom.llm import lm_automaton, minhash_forest
 from lumenloom.llm.tables import documents
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_lm_automaton")
+def op2_lm_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_automaton.score_documents(documents(spark, sf_dir))
+
+
 @query("op3_minhash_forest")
 def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(documents(spark, sf_dir), words_each=3, percent=85)
