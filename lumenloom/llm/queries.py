@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenloom.llm import lm_automaton, minhash_forest
+from lumenloom.llm import lm_automaton, minhash_forest, rule_cascade
 from lumenloom.llm.tables import documents
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def op2_lm_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_minhash_forest")
 def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(documents(spark, sf_dir), words_each=3, percent=85)
+
+
+@query("op7_rule_cascade")
+def op7_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_cascade.judge(documents(spark, sf_dir))
