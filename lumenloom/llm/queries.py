@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenloom.llm import lm_automaton, minhash_forest, rule_cascade
+from lumenloom.llm import language_id, lm_automaton, minhash_forest, rule_cascade
 from lumenloom.llm.tables import documents
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,8 @@ def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_rule_cascade")
 def op7_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_cascade.judge(documents(spark, sf_dir))
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
