@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenloom.llm import language_id, lm_automaton, minhash_forest, rule_cascade
+from lumenloom.llm import language_id, lm_automaton, minhash_forest, phrase_index, rule_cascade, weighted_mix
 from lumenloom.llm.tables import documents
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,54 @@ def op7_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_language_id")
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
+
+
+_MIX_SQL = """
+WITH q AS (SELECT doc_id, CASE WHEN max(quality) > 0 THEN 2.0 ELSE 0.5 END AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+d AS (
+  SELECT d.doc_id, d.source, len(regexp_extract_all(coalesce(d.text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+    -ln((('0x' || md5(CAST(d.doc_id AS VARCHAR))[1:12])::BIGINT + 0.5) / 281474976710656.0) / coalesce(q.quality, 1.0) AS key
+  FROM documents d LEFT JOIN q USING (doc_id)),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w, 3 * source_size AS most FROM s),
+c AS (SELECT a.source, a.w, a.most, a.source_size,
+    coalesce(sum(b.most) FILTER (WHERE b.most / b.w < a.most / a.w), 0) AS full_, sum(b.w) FILTER (WHERE b.most / b.w >= a.most / a.w) AS open_
+  FROM w a CROSS JOIN w b GROUP BY ALL),
+l AS (SELECT min(((SELECT sum(source_size) FROM s) - full_) / open_) FILTER (WHERE most / w >= ((SELECT sum(source_size) FROM s) - full_) / open_) AS level FROM c),
+t AS (SELECT source, source_size, least(most, coalesce((SELECT level FROM l) * w, most))::DOUBLE AS target FROM w),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size + 1e-12) ELSE 0 END::BIGINT AS epochs FROM t),
+r AS (SELECT d.*, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+  CAST(size * (epochs + CASE WHEN cum + size / 2.0 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM r
+"""
+
+
+@query("op10_weighted_mix", _MIX_SQL)
+def op10_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quality = weighted_mix.quality_weights(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    found = weighted_mix.plan(documents(spark, sf_dir), quality)
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+_PHRASE_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT item_id, least(13, len(w)) AS n, unnest(list_transform(range(1, len(w) - least(13, len(w)) + 2), lambda i: array_to_string(w[i:i + least(13, len(w)) - 1], ' '))) AS win FROM b WHERE len(w) > 0),
+lens AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT doc_id, n, unnest(range(1, greatest(len(w) - n + 2, 1))) AS i, unnest(list_transform(range(1, greatest(len(w) - n + 2, 1)), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS win FROM d, lens),
+m AS (SELECT doc_id, item_id, i, n FROM dw JOIN bw USING (n, win)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+@query("op6_phrase_index", _PHRASE_SQL)
+def op6_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return phrase_index.contamination(documents(spark, sf_dir), benchmark).drop("items")
