@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenloom.llm import language_id, lm_automaton, minhash_forest, phrase_index, rule_cascade, weighted_mix
+from lumenloom.llm import language_id, lm_automaton, minhash_forest, phrase_index, rule_cascade, secret_scan, weighted_mix
 from lumenloom.llm.tables import documents
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
 def op6_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return phrase_index.contamination(documents(spark, sf_dir), benchmark).drop("items")
+
+
+@query("op9_secret_scan")
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
