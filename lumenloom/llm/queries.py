@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenloom.llm import language_id, lm_automaton, minhash_forest, phrase_index, rule_cascade, secret_scan, weighted_mix
+from lumenloom.llm import language_id, length_histogram, lm_automaton, minhash_forest, phrase_index, rule_cascade, secret_scan, weighted_mix
 from lumenloom.llm.tables import documents
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,8 @@ def op6_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_secret_scan")
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
+
+
+@query("op8_length_histogram")
+def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram.answers(length_histogram.histogram(documents(spark, sf_dir)))
