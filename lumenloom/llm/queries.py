@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenloom.llm import language_id, length_histogram, lm_automaton, minhash_forest, phrase_index, rule_cascade, secret_scan, weighted_mix
+from lumenloom.llm import language_id, length_histogram, lm_automaton, minhash_forest, phrase_index, rule_cascade, secret_scan, sparse_suffixes, weighted_mix
 from lumenloom.llm.tables import documents
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,21 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_length_histogram")
 def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.answers(length_histogram.histogram(documents(spark, sf_dir)))
+
+
+_SUFFIX_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, unnest(range(0, greatest(len(w) - 49, 0))) AS i, unnest(list_transform(range(1, greatest(len(w) - 49, 0) + 1), lambda k: hash(array_to_string(w[k:k + 49], ' ')))) AS win FROM d),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY win) AS n FROM x) WHERE n > 1),
+p AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS pos FROM r),
+g AS (SELECT doc_id, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS grp, pos FROM p),
+s AS (SELECT doc_id, min(pos) AS a, max(pos) + 1 AS b FROM g GROUP BY doc_id, grp),
+t AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_repeated, count(*) AS n_spans, string_agg(a || ':' || b, ',' ORDER BY a) AS spans FROM s GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_repeated, 0) AS n_repeated, coalesce(n_spans, 0) AS n_spans, coalesce(spans, '') AS spans
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
+
+@query("op1_sparse_suffixes", _SUFFIX_SQL)
+def op1_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sparse_suffixes.repeated_passages(documents(spark, sf_dir))
