@@ -15,10 +15,13 @@ import re
 
 import numpy as np
 
-#: Pieces remembered by a worker; about 150 bytes each. Afterwards it starts anew.
-REMEMBERED = 600_000
+#: Pieces remembered by a worker; about 200 bytes each. Afterwards it starts anew.
+REMEMBERED = 1_200_000
 _WIDE_SPACE = re.compile(r"\s\s")
-_PIECE = re.compile(r" ?[^ \n]+|[ \n]")
+# Runs of letters, and the sentence signs after them, are pieces of their own if white space or the end
+# follows: the tokenizer cuts there, too. Anything else stays whole up to the next blank or line end.
+_LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+_PIECE = re.compile(rf" ?[{_LETTERS}]+(?=[.,;:!?]*(?:[ \n]|\Z))|[.,;:!?]+(?=[ \n]|\Z)| ?[^ \n]+|[ \n]")
 
 
 class Encoder:
@@ -27,30 +30,42 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.size = self.tokenizer.get_vocab_size()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, list[int]] = {}
+        self._forget()
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Number the pieces, and append their ids to those of earlier ones."""
+        rows = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+        more = np.fromiter(itertools.chain.from_iterable(rows), dtype=np.uint32, count=int(sizes.sum()))
+        self.known.update(zip(pieces, itertools.count(len(self.known))))
+        self.ids = np.concatenate([self.ids, more])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
 
     def _whole(self, text: str) -> bool:
         return bool(_WIDE_SPACE.search(text)) or any(t in text for t in self.added)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order as unsigned 32-bit numbers, and the number of ids of each text."""
-        pieces = [[] if not t else [t] if self._whole(t) else _PIECE.findall(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = {p for row in pieces for p in row if p not in self.known}
-        extra = [p for p in new if len(p) > 200]  # long pieces are not worth remembering
-        new = list(new.difference(extra))
-        self.known.update(zip(new, self._encode(new)))
-        known = self.known if not extra else {**dict(zip(extra, self._encode(extra)))}
-        find = self.known.get if not extra else lambda p: self.known[p] if p in self.known else known[p]
-        rows = [list(map(find, row)) for row in pieces]
-        lengths = np.fromiter((sum(map(len, r)) for r in rows), dtype=np.int64, count=len(rows))
-        flat = itertools.chain.from_iterable(itertools.chain.from_iterable(rows))
-        return np.fromiter(flat, dtype=np.uint32, count=int(lengths.sum())), lengths
+        rows = [[] if not t else [t] if self._whole(t) else _PIECE.findall(t) for t in texts]
+        if len(self.known) > REMEMBERED or self.ids.size > 8 * REMEMBERED:
+            self._forget()
+        new = set(itertools.chain.from_iterable(rows)).difference(self.known)
+        if new:
+            self._learn(list(new))
+        counts = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+        piece = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(rows)), dtype=np.int64, count=int(counts.sum()))
+        start, size = self.starts[piece], self.starts[piece + 1] - self.starts[piece]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if ends.size else 0
+        where = np.arange(total) + np.repeat(start - (ends - size), size)
+        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return self.ids[where], np.diff(upto)
 
 
 @functools.lru_cache(maxsize=2)

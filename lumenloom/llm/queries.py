@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenloom.llm import language_id, length_histogram, lm_automaton, minhash_forest, phrase_index, rule_cascade, secret_scan, sparse_suffixes, weighted_mix
+from lumenloom.llm import (
+    grammar_store,
+    language_id,
+    length_histogram,
+    lm_automaton,
+    minhash_forest,
+    phrase_index,
+    rule_cascade,
+    secret_scan,
+    sparse_suffixes,
+    weighted_mix,
+)
 from lumenloom.llm.tables import documents
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +131,8 @@ FROM d LEFT JOIN t USING (doc_id)
 @query("op1_sparse_suffixes", _SUFFIX_SQL)
 def op1_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sparse_suffixes.repeated_passages(documents(spark, sf_dir))
+
+
+@query("op4_grammar_store")
+def op4_grammar_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grammar_store.token_output(documents(spark, sf_dir))
