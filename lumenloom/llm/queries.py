@@ -65,8 +65,8 @@ w AS (SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) -
 c AS (SELECT a.source, a.w, a.most, a.source_size,
     coalesce(sum(b.most) FILTER (WHERE b.most / b.w < a.most / a.w), 0) AS full_, sum(b.w) FILTER (WHERE b.most / b.w >= a.most / a.w) AS open_
   FROM w a CROSS JOIN w b GROUP BY ALL),
-l AS (SELECT min(((SELECT sum(source_size) FROM s) - full_) / open_) FILTER (WHERE most / w >= ((SELECT sum(source_size) FROM s) - full_) / open_) AS level FROM c),
-t AS (SELECT source, source_size, least(most, coalesce((SELECT level FROM l) * w, most))::DOUBLE AS target FROM w),
+l AS (SELECT max(((SELECT sum(source_size) FROM s) - full_) / open_) AS level FROM c),
+t AS (SELECT source, source_size, least(most, (SELECT level FROM l) * w)::DOUBLE AS target FROM w),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size + 1e-12) ELSE 0 END::BIGINT AS epochs FROM t),
 r AS (SELECT d.*, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
     coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum

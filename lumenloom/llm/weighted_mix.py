@@ -46,8 +46,9 @@ def unit(doc_id: Column) -> Column:
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3) -> DataFrame:
     """One row per source of ``sizes`` (source, source_size, ...) with its target added.
 
-    Sources fill up in the order of limit per weight: the first k are full exactly if the level that
-    the rest would reach is above their limits. Rows here are sources, so one window over all is small.
+    Sources fill up in the order of limit per weight. With the first k full, the rest reaches a level
+    (words per weight) that rises with k as long as those k are rightly full and falls afterwards, so
+    the highest level is the one. Rows here are sources, so one window over all is small.
     """
     every = Window.partitionBy(F.lit(0))
     place = F.row_number().over(every.orderBy(F.col("source").isNull(), "source")) - 1
@@ -59,8 +60,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3)
     ranked = ranked.withColumn("_full", F.coalesce(F.sum("_limit").over(before), F.lit(0)))
     ranked = ranked.withColumn("_open", F.sum("_w").over(by_limit.rowsBetween(0, Window.unboundedFollowing)))
     level = (F.col("_total") - F.col("_full")) / F.col("_open")
-    ranked = ranked.withColumn("_level", F.min(F.when(F.col("_limit") / F.col("_w") >= level, level)).over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    target = F.least(F.col("_limit").cast("double"), F.coalesce(F.col("_level") * F.col("_w"), F.col("_limit").cast("double")))
+    ranked = ranked.withColumn("_level", F.max(level).over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    target = F.least(F.col("_limit").cast("double"), F.col("_level") * F.col("_w"))
     return ranked.withColumn("target", target).drop("_w", "_limit", "_total", "_full", "_open", "_level")
 
 
@@ -85,6 +86,7 @@ def plan(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[int,
     sources = targets(sources, weights, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(0)
     sources = sources.withColumn("_epochs", epochs.cast("long")).withColumn("_rest", F.col("target") - F.col("_epochs") * F.col("source_size"))
+    sources = written(sources, "sources")
 
     same = lambda x, y: F.col(x).eqNullSafe(F.col(y))
     rows = rows.join(sources.withColumnRenamed("source", "_source"), same("source", "_source")).drop("_source")
@@ -94,7 +96,7 @@ def plan(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[int,
     slices = rows.groupBy("source", "_slice").agg(F.sum("size").alias("_in"))
     upto = Window.partitionBy("source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_before", F.coalesce(F.sum("_in").over(upto), F.lit(0)))
-    slices = slices.select(F.col("source").alias("_source"), F.col("_slice").alias("_at"), "_in", "_before")
+    slices = written(slices, "slices").select(F.col("source").alias("_source"), F.col("_slice").alias("_at"), "_in", "_before")
     rows = rows.join(slices, same("source", "_source") & (F.col("_slice") == F.col("_at"))).drop("_source", "_at")
 
     # whole slices need no order; in the slice that holds the target, sum up row by row
@@ -117,9 +119,13 @@ def mixed(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[int,
     """The rows of the mix: every row as often as it is taken, with all columns of ``docs``."""
     times = plan(docs, quality, weights, most).groupBy("doc_id", "source", "tie").agg(F.sum("times").alias("_t"), F.count("*").alias("_c"))
     times = times.select(F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.col("tie").alias("_x"), "_t", "_c").where("_t > 0")
-    pick = F.col("doc_id").cast("long").eqNullSafe(F.col("_i")) & F.col("source").eqNullSafe(F.col("_s")) & (F.xxhash64("text") == F.col("_x"))
-    rows = docs.join(times, pick)
+    packed = docs.select(F.struct("*").alias("row"))
+    pick = F.col("row.doc_id").cast("long").eqNullSafe(F.col("_i")) & F.col("row.source").eqNullSafe(F.col("_s")) & (F.xxhash64("row.text") == F.col("_x"))
+    rows = packed.join(times, pick)
     # equal rows share their takes: the first of them get one more where it does not come out even
+    share = F.floor(F.col("_t") / F.col("_c")).cast("int")
+    alone = rows.where("_c = 1").select("row", F.col("_t").cast("int").alias("_k"))
     copy = F.row_number().over(Window.partitionBy("_i", "_s", "_x").orderBy(F.lit(0)))
-    rows = rows.withColumn("_k", F.when(F.col("_c") == 1, F.col("_t")).otherwise(F.floor(F.col("_t") / F.col("_c")) + (copy <= F.col("_t") % F.col("_c")).cast("int")))
-    return rows.where("_k > 0").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_k").cast("int")))).select(*docs.columns)
+    equal = rows.where("_c > 1").select("row", (share + (copy <= F.col("_t") % F.col("_c")).cast("int")).alias("_k"))
+    rows = alone.unionByName(equal).where("_k > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("_k")))).select("row.*")
