@@ -1,18 +1,18 @@
 """Benchmark decontamination over a positional inverted index, in DataFrame operations alone.
 
-A posting is (term, document, position, the words around the position). Test items are cut into
-windows of consecutive words; the rarest training term of each window is its anchor, so every
-occurrence of a window contains a posting of its anchor. Only postings of anchors are made, each is
-aligned with the items that hold the term by the offset between both positions, and the words around
-both are compared outward from the anchor: a run that covers a window is an exact phrase match, and a
-stretch that holds enough of an item's anchors close together is a proximity match.
+A posting is (term, document, position) of the training texts. Test items are cut into windows of
+consecutive words, and the rarest training terms of each window are its anchors; only terms that are
+anchors get postings. A posting is aligned with the items that hold its term by the offset between
+both positions, and the lists of a window's anchors are intersected at equal offsets. What is left is
+few: there the item's words are compared with the document's, which gives exact phrases; an item of
+which many anchors stand at about the same offset is a proximity match, exact or not.
 
-The list of anchors is sent to every task only while it is small (``FEW_ANCHORS`` rows, checked);
-beyond that it is joined by shuffle with the terms spread by salt.
+Tables of terms and ids are sent to every task only up to a checked number of rows; beyond that they
+are joined by shuffle, with frequent terms spread by salt.
 
 Defined results: a null or empty text has no words and is clean. An item without words matches
-nothing; null and repeated items are matched like any other, a null item_id is left out of the list of
-items. Repeated documents are judged by id. Extra columns, whatever their names, are ignored.
+nothing; repeated items match as one, and a null item_id is left out of the list of items. Documents
+without an id are judged clean by ``contamination``. Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -24,8 +24,10 @@ from pyspark.sql.window import Window
 from lumenloom.llm.tables import written
 
 WINDOW = 13
-#: About 1 KB a row.
-FEW_ANCHORS = 50_000
+#: Anchors of a window whose lists are intersected.
+RAREST = 3
+#: Rows sent to every task at most: terms and anchors (100 bytes each), document ids (8 bytes each).
+FEW_TERMS, FEW_IDS = 200_000, 1_000_000
 SALTS = 32
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -35,87 +37,81 @@ def words(text: Column) -> Column:
     """Words of a text with A-Z in lower case: letters, digits and anything beyond ASCII."""
     plain = F.octet_length(text) == F.length(text)
     low = F.when(plain, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
-    return F.filter(F.split(F.coalesce(low, F.lit("")), _BETWEEN), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(low, F.lit("")), _BETWEEN), "")
 
 
-def _positions(rows: DataFrame, *keep: str) -> DataFrame:
-    return rows.select(*keep, "ws", F.posexplode("ws").alias("pos", "term"))
+def _small(df: DataFrame, most: int) -> DataFrame:
+    """The written table, to be sent to every task if it has few rows."""
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """item_id, ws (its words) and need (words of one of its windows)."""
+    """k (a key), item_id, ws (the item's words) and need (words of one of its windows)."""
     items = benchmark.select("item_id", words(F.col("text")).alias("ws")).where("size(ws) > 0").distinct()
-    return items.withColumn("need", F.least(F.lit(WINDOW), F.size("ws")))
+    items = items.withColumn("need", F.least(F.lit(WINDOW), F.size("ws")))
+    return written(items.withColumn("k", F.xxhash64("item_id", "ws")), "items")
 
 
 def anchors_of(items: DataFrame, docs: DataFrame) -> DataFrame:
-    """The anchors: term, item_id, need, at (place in the item), left and right (words on both sides)."""
-    terms = written(_positions(items).select("term").distinct(), "terms")
-    known = F.broadcast(terms) if terms.count() <= FEW_ANCHORS else terms
-    seen = docs.select(F.explode(words(F.col("text"))).alias("term")).join(known, "term", "left_semi")
+    """The anchors: term, k and at (place in the item)."""
+    placed = items.select("k", "need", F.size("ws").alias("size"), F.posexplode("ws").alias("pos", "term"))
+    terms = written(placed.select("term").distinct(), "terms")
+    # outer, or the planner would split every text twice, once to see whether it has words
+    seen = docs.select(F.explode_outer(words(F.col("text"))).alias("term")).join(_small(terms, FEW_TERMS), "term", "left_semi")
     rarity = terms.join(seen.groupBy("term").agg(F.count("*").alias("df")), "term", "left").fillna(0, ["df"])
-    placed = _positions(items, "item_id", "need").join(rarity, "term")
-    # the rarest term of each window of the item; ties go to the first
-    item = Window.partitionBy("item_id", "ws").orderBy("pos").rowsBetween(0, WINDOW - 1)
-    best = F.min(F.struct("df", "pos")).over(item)
-    starts = placed.withColumn("best", best["pos"]).where(F.col("pos") + F.col("need") <= F.size("ws"))
-    chosen = starts.select("item_id", "ws", "need", F.col("best").alias("at")).distinct()
-    context = [
-        F.element_at("ws", F.col("at") + 1).alias("term"), "item_id", "need", "at",
-        F.reverse(F.slice("ws", F.greatest(F.lit(1), F.col("at") - WINDOW + 2), F.least(F.col("at"), F.lit(WINDOW - 1)))).alias("left"),
-        F.slice("ws", F.col("at") + 2, F.lit(WINDOW - 1)).alias("right"),
-    ]
-    return chosen.select(*context)
-
-
-def aligned(anchors: DataFrame, docs: DataFrame) -> DataFrame:
-    """One row per posting of an anchor term and item place: doc_id, pos, item_id, need, at and the
-    words that agree to the left (before) and to the right (after) of the anchor."""
-    anchors = written(anchors, "anchors")
-    n = anchors.count()
-    postings = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("ws"))
-    if n <= FEW_ANCHORS:
-        hit = _positions(postings, "doc_id").join(F.broadcast(anchors), "term")
+    ahead = Window.partitionBy("k").orderBy("pos").rowsBetween(0, WINDOW - 1)
+    placed = placed.join(rarity, "term").withColumn("seen", F.collect_list(F.struct("df", "pos", "term")).over(ahead))
+    starts = placed.where(F.col("pos") + F.col("need") <= F.col("size"))
+    rarest = F.slice(F.sort_array("seen"), 1, RAREST)
+    return written(starts.select("k", F.explode(rarest).alias("a")).select("a.term", "k", F.col("a.pos").alias("at")).distinct(), "anchors")
+
+
+def postings(anchors: DataFrame, docs: DataFrame) -> DataFrame:
+    """One row per posting of an anchor term and place in an item: doc_id, k, at and shift."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode_outer(words(F.col("text"))).alias("pos", "term"))
+    if anchors.count() <= FEW_TERMS:
+        hits = rows.join(F.broadcast(anchors), "term")
     else:
-        # only words that are terms of the index leave their document, with the words around them
-        hit = _positions(postings, "doc_id").withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)))
-        hit = hit.select("doc_id", "pos", "term", "salt", *_around())
-        hit = hit.join(anchors.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["term", "salt"])
-        return hit.select("doc_id", "pos", "item_id", "need", "at", _agree("near_left", "left").alias("before"), _agree("near_right", "right").alias("after"))
-    return hit.select("doc_id", "pos", "item_id", "need", "at", "left", "right", *_around()).select(
-        "doc_id", "pos", "item_id", "need", "at", _agree("near_left", "left").alias("before"), _agree("near_right", "right").alias("after")
-    )
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)))
+        hits = rows.join(anchors.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["term", "salt"])
+    return hits.select("doc_id", "k", "at", (F.col("pos") - F.col("at")).alias("shift"))
 
 
-def _around() -> list[Column]:
-    left = F.reverse(F.slice("ws", F.greatest(F.lit(1), F.col("pos") - WINDOW + 2), F.least(F.col("pos"), F.lit(WINDOW - 1))))
-    return [left.alias("near_left"), F.slice("ws", F.col("pos") + 2, F.lit(WINDOW - 1)).alias("near_right")]
-
-
-def _agree(a: str, b: str) -> Column:
-    """Leading words that two lists share; the shorter list ends it."""
-    equal = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    return F.coalesce(F.nullif(F.array_position(equal, False), F.lit(0)) - 1, F.size(equal)).cast("int")
-
-
-def phrase_matches(anchors: DataFrame, docs: DataFrame) -> DataFrame:
+def phrase_matches(items: DataFrame, anchors: DataFrame, docs: DataFrame) -> DataFrame:
     """doc_id, item_id, first and last: stretches of a document that are windows of an item."""
-    runs = aligned(anchors, docs).where(F.col("before") + F.col("after") + 1 >= F.col("need"))
-    return runs.select("doc_id", "item_id", (F.col("pos") - F.col("before")).alias("first"), (F.col("pos") + F.col("after")).alias("last"))
-
-
-def proximity_matches(anchors: DataFrame, docs: DataFrame, share: float = 0.5, slack: int = 4) -> DataFrame:
+    # the intersection: an occurrence has all anchors of its window at one offset
+    met = postings(anchors, docs).groupBy("doc_id", "k", "shift").agg(F.count("*").alias("n"))
+    met = met.join(items, "k").where(F.col("n") >= F.least(F.lit(RAREST), F.col("need")))
+    found = met.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "ws", "need", "shift")).alias("found"))
+    found = written(found, "alignments")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = texts.join(_small(found.select("doc_id"), FEW_IDS), "doc_id", "left_semi")
+    both = texts.join(found, "doc_id").select("doc_id", "found", words(F.col("text")).alias("doc"))
+
+    def compared(f: Column) -> Column:
+        same = F.transform(f["ws"], lambda w, i: F.when(F.get("doc", f["shift"] + i) == w, "1").otherwise("0"))
+        return F.struct(f["item_id"].alias("item_id"), f["need"].alias("need"), f["shift"].alias("shift"), F.array_join(same, "").alias("same"))
+
+    # a window occurs where as many words in a row are the same
+    lines = both.select("doc_id", F.transform("found", compared).alias("lines")).select("doc_id", F.inline("lines"))
+    lines = lines.where(F.contains("same", F.repeat(F.lit("1"), F.col("need"))))
+    runs = lines.select("doc_id", "item_id", "need", "shift", "same", F.explode(F.sequence(F.lit(0), F.length("same") - F.col("need"))).alias("s"))
+    runs = runs.where(F.substring("same", F.col("s") + 1, F.col("need")) == F.repeat(F.lit("1"), F.col("need")))
+    first = F.col("shift") + F.col("s")
+    return runs.select("doc_id", "item_id", first.alias("first"), (first + F.col("need") - 1).alias("last"))
+
+
+def proximity_matches(items: DataFrame, anchors: DataFrame, docs: DataFrame, share: float = 0.5, slack: int = 4) -> DataFrame:
     """doc_id, item_id, shift, n_anchors, n_found: items of which at least ``share`` of the anchors
     stand in the document at about the same offset (within ``slack`` words), in exact phrases or not."""
-    total = anchors.groupBy("item_id").agg(F.countDistinct("at").alias("n_anchors"))
-    hits = aligned(anchors, docs).select("doc_id", "item_id", "at", (F.col("pos") - F.col("at")).alias("shift"))
-    # every offset is seen from its own band and from the next, so a band of 2 * slack holds any range of slack
+    total = anchors.groupBy("k").agg(F.count("*").alias("n_anchors"))
+    # every offset is seen from its own band and from the one below, so some band of 2 * slack holds any range of slack
     band = F.floor(F.col("shift") / slack)
-    bands = hits.select("doc_id", "item_id", "at", F.explode(F.array(band - 1, band)).alias("band"))
-    found = bands.groupBy("doc_id", "item_id", "band").agg(F.countDistinct("at").alias("n_found"))
-    best = found.groupBy("doc_id", "item_id").agg(F.max("n_found").alias("n_found"), (F.max_by("band", "n_found") * slack).alias("shift"))
-    best = best.join(total, "item_id").where(F.col("n_found") >= share * F.col("n_anchors"))
-    return best.select("doc_id", "item_id", "shift", "n_anchors", "n_found")
+    bands = postings(anchors, docs).select("doc_id", "k", "at", F.explode(F.array(band - 1, band)).alias("band"))
+    found = bands.groupBy("doc_id", "k", "band").agg(F.countDistinct("at").alias("n_found"))
+    best = found.groupBy("doc_id", "k").agg(F.max("n_found").alias("n_found"), (F.max_by("band", "n_found") * slack).alias("shift"))
+    best = best.join(total, "k").where(F.col("n_found") >= share * F.col("n_anchors"))
+    return best.join(items.select("k", "item_id"), "k").select("doc_id", "item_id", "shift", "n_anchors", "n_found")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -123,8 +119,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A document is contaminated if at least a twentieth of its words stand in windows of items.
     """
-    anchors = anchors_of(items_of(benchmark), docs)
-    found = written(phrase_matches(anchors, docs), "phrases")
+    index = items_of(benchmark)
+    found = written(phrase_matches(index, anchors_of(index, docs), docs), "phrases")
     spots = found.select("doc_id", F.explode(F.sequence("first", "last")).alias("pos")).distinct()
     hits = spots.groupBy("doc_id").agg(F.count("*").alias("n_hit"))
     items = found.where("item_id IS NOT NULL").select("doc_id", F.col("item_id").cast("string").alias("item")).distinct()
