@@ -75,10 +75,23 @@ def order_text(c: Column) -> Column:
 
 def decimal_add(left: Column, right: Column) -> Column:
     """Sum of two numbers given as text, as normalised text."""
-    total = F.try_add(left.try_cast("decimal(37,15)"), right.try_cast("decimal(37,15)"))
-    return normalize_number(total.cast("string"))
+    return _exact(left, right, F.try_add)
 
 
 def decimal_subtract(left: Column, right: Column) -> Column:
-    total = F.try_subtract(left.try_cast("decimal(37,15)"), right.try_cast("decimal(37,15)"))
-    return normalize_number(total.cast("string"))
+    return _exact(left, right, F.try_subtract)
+
+
+def _exact(left: Column, right: Column, combine) -> Column:
+    """The sum or difference at the finest scale that holds it; null beyond 38 digits.
+
+    A number that a scale cannot hold without loss is null at that scale, so the first scale that
+    fits both is exact.
+    """
+    tries = []
+    for scale in (0, 12, 24, 36):
+        kind = f"decimal({37 if scale else 38},{scale})"
+        a, b = (c.try_cast(kind) for c in (left, right))
+        whole = (normalize_number(a.cast("string")) == normalize_number(left)) & (normalize_number(b.cast("string")) == normalize_number(right))
+        tries.append(F.when(whole, normalize_number(combine(a, b).cast("string"))))
+    return F.coalesce(*tries)

@@ -16,7 +16,8 @@ def register_functions(spark: SparkSession, functions: dict | None = None) -> li
     return sorted(functions)
 
 
-def list_functions(spark: SparkSession, pattern: str = "*", after: str = "", n: int = 100) -> DataFrame:
-    """One page of the function names that fit a pattern with *, in text order."""
+def list_functions(spark: SparkSession, pattern: str = "*", after: str = "", n: int | None = None) -> DataFrame:
+    """The function names that fit a pattern with *, in text order; one page of them if n is given."""
     names = spark.sql(f"SHOW ALL FUNCTIONS LIKE '{pattern}'").where(F.col("function") > after)
-    return names.orderBy("function").limit(n)
+    names = names.orderBy("function")
+    return names if n is None else names.limit(n)

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from lumenloom.functions import json_paths
 from lumenloom.functions.booleans import bound, every, leaf
 from lumenloom.functions.timebuckets import millis_to_text
+from lumenloom.session import shared_dir
 
 ORDER = ["timestamp", "sequence", "event_id"]
 LINE_OVERHEAD = 26  # fixed value: stored bytes added per event
-QUERY_CAP = 10_000  # fixed value: rows a query returns at most unless asked for all
 DEFAULT_FIELDS = ["@timestamp", "@message"]
 
 
@@ -37,16 +37,16 @@ def filter_logs(
     start_ms: int | None = None,
     end_ms: int | None = None,
     contains: str | None = None,
-    limit: int | None = QUERY_CAP,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Events of a group in time order, optionally by stream and text; None = all of them."""
+    """Events of a group in time order, optionally by stream and text; at most ``limit`` if one is asked for."""
     out = in_time_range(df.where(F.col("log_group") == group), start_ms, end_ms)
     if streams:
         out = out.where(F.col("log_stream").isin(streams))
     if contains and contains.strip():
         out = out.where(F.col("message").contains(contains))
     out = out.orderBy(*ORDER)
-    return out.limit(limit) if limit else out
+    return out if limit is None else out.limit(limit)
 
 
 def log_stream_stats(df: DataFrame) -> DataFrame:
@@ -62,14 +62,14 @@ def log_stream_stats(df: DataFrame) -> DataFrame:
 
 def log_page(
     df: DataFrame,
-    n: int = QUERY_CAP,
+    n: int | None = None,
     from_head: bool = True,
     after: tuple | None = None,
     before: tuple | None = None,
     start_ms: int | None = None,
     end_ms: int | None = None,
 ) -> DataFrame:
-    """One page of a stream in time order.
+    """One page of ``n`` events of a stream in time order; without n all there are.
 
     ``after`` and ``before`` are the (timestamp, sequence, event_id) of a page edge:
     a forward page starts past the one, a backward page ends ahead of the other.
@@ -82,8 +82,8 @@ def log_page(
     if before is not None:
         out = out.where(place < _edge(before))
     forward = after is not None or (before is None and from_head)
-    if forward:
-        return out.orderBy(*ORDER).limit(n)
+    if forward or n is None:
+        return out.orderBy(*ORDER) if n is None else out.orderBy(*ORDER).limit(n)
     return out.orderBy(*[F.desc(c) for c in ORDER]).limit(n).orderBy(*ORDER)
 
 
@@ -124,7 +124,6 @@ class LogQuery:
     order: tuple[str, bool] | None = None
     unique: tuple[str, ...] = ()
     most: int | None = None
-    cap: int | None = QUERY_CAP
     shown: tuple[str, ...] = ()
     scanned: Observation | None = field(default=None, compare=False)
 
@@ -151,14 +150,14 @@ class LogQuery:
     def limit(self, n: int) -> LogQuery:
         return replace(self, most=n)
 
-    def uncapped(self) -> LogQuery:
-        return replace(self, cap=None)
-
     def fields(self, *names: str) -> LogQuery:
         return replace(self, shown=(*self.shown, *names))
 
     def observe(self, observation: Observation) -> LogQuery:
-        """Count the scanned rows while the search runs (``records_scanned``)."""
+        """Count the scanned rows while the search runs (``records_scanned``).
+
+        Unless the search has a limit, ``run`` then writes what it found before sorting it.
+        """
         return replace(self, scanned=observation)
 
     def _order_columns(self) -> list[Column]:
@@ -219,10 +218,14 @@ class LogQuery:
             rows = rows.where(bound(json_paths.parse(F.col("message")), self._passes))
         if self.unique:
             rows = self._first_per_tuple(rows)
+        if self.scanned is not None and self.most is None:
+            # a full sort reads its input twice, which would count twice
+            path = shared_dir(rows.sparkSession, "found")
+            rows.write.parquet(path)
+            rows = rows.sparkSession.read.schema(rows.schema).parquet(path)
         rows = rows.orderBy(*self._order_columns())
-        bounds = [b for b in (self.most, self.cap) if b is not None]
-        if bounds:
-            rows = rows.limit(min(bounds))
+        if self.most is not None:
+            rows = rows.limit(self.most)
         names = list(dict.fromkeys(self.shown or DEFAULT_FIELDS))
         out = [F.coalesce(field_text(n), F.lit("")).alias(n) for n in names]
         if "@ptr" not in names:
@@ -242,11 +245,19 @@ def log_query(
 
 def query_counters(query: LogQuery) -> DataFrame:
     """Records in the time range, and rows the search returns, as one row."""
-    scanned = query.logs.agg(F.count("*").alias("n")).select(F.lit("s").alias("k"), "n")
-    matched = query.run().agg(F.count("*").alias("n")).select(F.lit("m").alias("k"), "n")
-    return scanned.unionByName(matched).agg(
-        F.sum(F.when(F.col("k") == "s", F.col("n"))).alias("records_scanned"),
-        F.sum(F.when(F.col("k") == "m", F.col("n"))).alias("records_matched"),
+    if query.unique:
+        scanned = query.logs.agg(F.count("*").alias("records_scanned"))
+        matched = query.run().agg(F.count("*").alias("records_matched"))
+        both = scanned.withColumn("records_matched", F.lit(None).cast("long")).unionByName(
+            matched.withColumn("records_scanned", F.lit(None).cast("long"))
+        )
+        return both.agg(F.max("records_scanned").alias("records_scanned"), F.max("records_matched").alias("records_matched"))
+    # one scan: without duplicates to drop, a row that passes is a row returned
+    passes = bound(json_paths.parse(F.col("message")), query._passes) if query.tests else F.lit(True)
+    matched = F.count_if(passes)
+    return query.logs.agg(
+        F.count("*").alias("records_scanned"),
+        (matched if query.most is None else F.least(matched, F.lit(query.most))).alias("records_matched"),
     )
 
 

@@ -33,7 +33,7 @@ def log_filter(spark, d):
 )
 def log_where(spark, d):
     search = lg.log_query(logs(spark, d), ["error", "click", "error"], START_MS, END_MS)
-    search = search.where_eq("level", "error").where_ne("zone", "z1").uncapped()
+    search = search.where_eq("level", "error").where_ne("zone", "z1")
     return search.fields("@timestamp", "params.job_id").run()
 
 
@@ -44,7 +44,7 @@ def log_where(spark, d):
     f" '' AS missing, event_id AS \"@ptr\" FROM ({LOGS}) WHERE log_group = 'view'",
 )
 def log_fields(spark, d):
-    search = lg.log_query(logs(spark, d), ["view"]).uncapped()
+    search = lg.log_query(logs(spark, d), ["view"])
     return search.fields(
         "@timestamp", "@ingestionTime", "@message", "zone", "params.job_id", "count", "missing"
     ).run()
@@ -68,7 +68,7 @@ def log_sort(spark, d):
               FROM ({LOGS}) WHERE log_group IN ('click', 'view')) WHERE n = 1""",
 )
 def log_dedup(spark, d):
-    search = lg.log_query(logs(spark, d), ["click", "view"]).dedup("zone", "params.job_id").uncapped()
+    search = lg.log_query(logs(spark, d), ["click", "view"]).dedup("zone", "params.job_id")
     return search.fields("zone", "params.job_id", "@timestamp").run()
 
 
@@ -91,7 +91,7 @@ def log_dedup_by_text(spark, d):
 )
 def query_counters(spark, d):
     search = lg.log_query(logs(spark, d), ["error", "view"], START_MS, END_MS).where_eq("zone", "z2")
-    return lg.query_counters(search.uncapped())
+    return lg.query_counters(search)
 
 
 @query(

@@ -158,7 +158,7 @@ def _records(spark, d):
 
 @query(
     "stream_read_position",
-    "SELECT 'OLDEST' AS start, * FROM (SELECT event_id AS sequence_number, user_id FROM events ORDER BY event_id LIMIT 1000)"
+    "SELECT 'OLDEST' AS start, * FROM (SELECT event_id AS sequence_number, user_id FROM events ORDER BY event_id LIMIT 5000)"
     " UNION ALL SELECT 'AT_SEQUENCE', * FROM (SELECT event_id, user_id FROM events WHERE event_id >= 500 ORDER BY event_id LIMIT 300)"
     " UNION ALL SELECT 'AFTER_SEQUENCE', * FROM (SELECT event_id, user_id FROM events WHERE event_id > 500 ORDER BY event_id LIMIT 300)"
     " UNION ALL SELECT 'AT_TIMESTAMP', * FROM (SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-15' ORDER BY event_id LIMIT 300)"

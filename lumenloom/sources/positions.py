@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PAGE_CAP = 1000  # fixed value: most records one read returns
-
 
 def read_from(
     df: DataFrame,
@@ -16,7 +14,7 @@ def read_from(
     seq: str = "sequence_number",
     arrival: str = "arrival",
 ) -> DataFrame:
-    """One page of a shard, in sequence order.
+    """A shard from a position on, in sequence order; one page of it if there is a limit.
 
     ``start``: OLDEST, NEWEST (nothing yet), AT_SEQUENCE, AFTER_SEQUENCE or
     AT_TIMESTAMP. The position is a range predicate, so it reaches the scan.
@@ -34,7 +32,8 @@ def read_from(
         chosen = df.where(F.col(arrival) >= F.lit(value))
     else:
         raise ValueError(f"unknown start {start!r}")
-    return chosen.orderBy(seq).limit(min(limit or PAGE_CAP, PAGE_CAP))
+    chosen = chosen.orderBy(seq)
+    return chosen if limit is None else chosen.limit(limit)
 
 
 def read_lag(
@@ -54,13 +53,13 @@ def list_prefixes(
     df: DataFrame,
     prefix: str = "",
     delimiter: str | None = "/",
-    max_keys: int | None = 1000,
+    max_keys: int | None = None,
     after: str | None = None,
     key: str = "key",
 ) -> DataFrame:
     """Listing below a prefix: objects, and what lies deeper as distinct common prefixes.
 
-    Returns (entry, is_prefix) in text order, both kinds counting towards max_keys.
+    Returns (entry, is_prefix) in text order, both kinds counting towards max_keys if given.
     """
     k = F.col(key)
     below = df.where(k.startswith(prefix)) if prefix else df
@@ -74,6 +73,4 @@ def list_prefixes(
         rows = below.select(k.alias("entry"), F.lit(False).alias("is_prefix"))
     if after is not None:
         rows = rows.where(F.col("entry") > after)
-    if max_keys:
-        rows = rows.orderBy("entry", "is_prefix").limit(max_keys)
-    return rows
+    return rows if max_keys is None else rows.orderBy("entry", "is_prefix").limit(max_keys)

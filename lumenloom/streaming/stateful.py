@@ -74,14 +74,14 @@ def stream_fifo_dedup(
     path: str,
     seconds: int = WINDOW_SECONDS,
     tie: list[str] = (),
-    keep_seconds: int | None = 86_400,
+    keep_seconds: int | None = None,
 ):
     """A writer of first-accepted rows below path/rows.
 
     Each micro-batch drops what the last accepted row of a key still shadows, runs
     the batch operator on the rest (so a hot key spreads over tasks) and saves the
     last accepted time per key below path/state. ``keep_seconds`` is how far behind
-    the newest accepted row a key is remembered (None: for ever); it has to exceed
+    the newest accepted row a key is remembered (for ever unless given); it has to exceed
     the window by the lateness to expect. A batch that runs again replaces its folders.
     """
     spark = sdf.sparkSession

@@ -175,3 +175,20 @@ def test_listing_needs_real_containment(data, rows):
 def test_periods_before_the_epoch(spark):
     got = spark.range(1).select(mt.period_start(F.lit(-1), 60).alias("p")).first().p
     assert got == -60
+
+
+def test_no_search_is_cut_unless_asked(spark):
+    from lumenloom.sources import positions
+
+    rows = spark.range(20_000).selectExpr(
+        "'g' AS log_group", "'s' AS log_stream", "id AS timestamp", "concat('{\"k\":', id % 7, '}') AS message",
+        "id AS ingestion_time", "id AS sequence", "cast(id AS string) AS event_id",
+    )
+    assert lg.filter_logs(rows, "g").count() == 20_000
+    assert lg.log_page(rows).count() == 20_000
+    assert lg.log_query(rows, ["g"]).run().count() == 20_000
+    assert lg.log_query(rows, ["g"]).limit(15_000).run().count() == 15_000
+    log = rows.selectExpr("sequence AS sequence_number", "timestamp AS arrival")
+    assert positions.read_from(log, "OLDEST").count() == 20_000
+    assert positions.read_from(log, "OLDEST", limit=5000).count() == 5000
+    assert positions.list_prefixes(rows.selectExpr("event_id AS key")).count() == 20_000

@@ -193,3 +193,25 @@ def test_listing(spark, rows):
     assert rows(positions.list_prefixes(df, "a/")) == [("a/1", False), ("a/2", False), ("a/b/", True)]
     assert rows(positions.list_prefixes(df, after="a/", max_keys=1)) == [("b", False)]
     assert len(rows(positions.list_prefixes(df, delimiter=None))) == 6
+
+
+def test_a_stream_reads_its_own_table_only(spark, tmp_path):
+    base = str(tmp_path)
+    spark.range(3).coalesce(1).write.parquet(f"{base}/orders")
+    spark.range(5).coalesce(1).write.parquet(f"{base}/orders_old")
+    assert runs.stream_to_table(runs.read_stream(spark, f"{base}/orders"), "own-folder").count() == 3
+    # single files beside each other, one of which has the other's name in front of its own
+    for name, folder in (("t.parquet", "orders"), ("t.parquet_old", "orders_old")):
+        part = next(p for p in (tmp_path / folder).iterdir() if p.name.startswith("part-"))
+        (tmp_path / name).write_bytes(part.read_bytes())
+    assert runs.stream_to_table(runs.read_stream(spark, f"{base}/t.parquet"), "own-file").count() == 3
+
+
+def test_exact_sums_of_number_text(spark):
+    from lumenloom.functions.numbers import decimal_add, decimal_subtract
+
+    cases = [("1e-16", "1", "1.0000000000000001"), ("0.1", "0.2", "0.3"), ("99999999999999999999999999", "1", "1" + "0" * 26), ("5", "x", None)]
+    df = spark.createDataFrame(cases, "a string, b string, want string")
+    for r in df.select("want", decimal_add(F.col("a"), F.col("b")).alias("got")).collect():
+        assert r.got == r.want
+    assert df.select(decimal_subtract(F.col("a"), F.col("b")).alias("d")).first().d == "-0.9999999999999999"
