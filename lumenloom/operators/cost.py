@@ -7,6 +7,8 @@ half-open. Rates have: service, region, usage_type, rate (USD per unit).
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +41,7 @@ DIMENSIONS = {
 COST_METRICS = ["UnblendedCost", "BlendedCost", "AmortizedCost", "NetUnblendedCost", "NetAmortizedCost"]
 QUANTITY_METRICS = ["UsageQuantity", "NormalizedUsageAmount"]
 
-AMOUNT = "decimal(28,12)"  # sums of decimals do not depend on their order
+AMOUNT = "decimal(38,12)"  # sums of decimals do not depend on their order
 BYTES_PER_GB = float(1 << 30)
 SECONDS_PER_MONTH = 30 * 86400.0
 
@@ -128,11 +130,16 @@ def to_buckets(lines: DataFrame, start: str, end: str, granularity: str) -> Data
 
 
 def _check_window(start: str, end: str) -> None:
-    # ISO text of one form orders like the time it names
-    if str(end) <= str(start):
+    if _instant(end) <= _instant(start):
         raise ValueError("end must be after start")
 
 
+def _instant(text: str) -> datetime:
+    """A date, a timestamp with offset or a local timestamp (read as UTC); anything else raises."""
+    time = datetime.fromisoformat(str(text))
+    return time if time.tzinfo else time.replace(tzinfo=UTC)
+
+
 def bucket_list(spark, start: str, end: str, granularity: str) -> DataFrame:
     """All buckets of a range, also those without lines."""
     _check_window(start, end)
@@ -314,7 +321,7 @@ def storage_usage(objects: DataFrame, start: str, end: str, region: str) -> Data
     month_share = tb.seconds_between(s, e) / F.lit(SECONDS_PER_MONTH)
     here = objects.where(F.coalesce("bucket_region", F.lit("us-east-1")) == region)
     size = F.greatest(F.coalesce("size", F.lit(0)), F.lit(0))
-    per_bucket = here.groupBy("bucket").agg(F.sum(size).alias("bytes"), F.first("tags", True).alias("tags"))
+    per_bucket = here.groupBy("bucket").agg(F.sum(size).alias("bytes"), F.min_by("tags", F.to_json("tags")).alias("tags"))
     used = per_bucket.where("bytes > 0").select(
         F.concat(F.lit("arn:aws:s3:::"), "bucket").alias("resource"),
         F.coalesce("tags", F.create_map().cast("map<string,string>")).alias("tags"),

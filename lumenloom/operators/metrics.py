@@ -42,17 +42,16 @@ def statistics(rows: DataFrame, *keys: str) -> DataFrame:
     The first sums per group and unit and holds numbers only, so it hashes and
     combines before the shuffle; the second picks the unit among its few rows.
     """
-    # decimal sums do not depend on the order in which partitions arrive
     per_unit = rows.groupBy(*keys, "unit").agg(
         F.sum("sample_count").alias("sample_count"),
-        F.sum(F.col("sum").cast("decimal(28,10)")).alias("sum"),
+        F.sum("sum").alias("sum"),
         F.min("minimum").alias("minimum"),
         F.max("maximum").alias("maximum"),
         F.min("ts").alias("first_ts"),
     )
     named = F.when(F.trim("unit") != "", F.col("unit"))
     first_unit = F.min_by(named, F.when(named.isNotNull(), F.struct("first_ts", "unit")))
-    samples, total = F.sum("sample_count"), F.sum("sum").cast("double")
+    samples, total = F.sum("sample_count"), F.sum("sum")
     return per_unit.groupBy(*keys).agg(
         samples.alias("sample_count"),
         total.alias("sum"),

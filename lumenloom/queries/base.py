@@ -228,10 +228,9 @@ RATE_COLUMNS: list[tuple[Expression, str]] = [
     (_SERVICES.format("p_partkey"), "service"),
     (_REGIONS.format("p_partkey"), "region"),
     ("concat('U', CAST(p_partkey % 4 AS STRING))", "usage_type"),
-    ("CAST(p_size AS DOUBLE) / 400", "rate"),
+    # one kind of usage has no rate
+    ("CASE WHEN p_partkey % 4 = 3 AND p_partkey % 3 = 2 THEN NULL ELSE CAST(p_size AS DOUBLE) / 400 END", "rate"),
 ]
-# one kind of usage has no rate
-_HAS_RATE = "NOT (p_partkey % 4 = 3 AND p_partkey % 3 = 2)"
 
 
 def usage(spark: SparkSession, folder: str) -> DataFrame:
@@ -239,7 +238,7 @@ def usage(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rates(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").where(_HAS_RATE).selectExpr(*spark_columns(RATE_COLUMNS))
+    return table(spark, folder, "part").selectExpr(*spark_columns(RATE_COLUMNS))
 
 
 USAGE = duck_select(
@@ -251,7 +250,7 @@ USAGE = duck_select(
     ],
     "lineitem",
 )
-RATES = duck_select(RATE_COLUMNS, f"part WHERE {_HAS_RATE}")
+RATES = duck_select(RATE_COLUMNS, "part")
 
 PRICED = f"""
 SELECT u.*, CASE WHEN u.record_type IN ('Credit', 'Refund', 'Tax', 'SavingsPlanUpfrontFee', 'SavingsPlanRecurringFee')

@@ -33,7 +33,7 @@ def usage_rate_join(spark, d):
 
 @query(
     "price_list_rates",
-    f"SELECT service, region, usage_type, {_six('max(rate)', 'rate')} FROM ({RATES}) GROUP BY 1, 2, 3",
+    f"SELECT service, region, usage_type, {_six('max(rate)', 'rate')} FROM ({RATES}) WHERE rate > 0 GROUP BY 1, 2, 3",
 )
 def price_list_rates(spark, d):
     """Rates read from price-list offers, here made from the rate rows."""

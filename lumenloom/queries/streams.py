@@ -91,16 +91,20 @@ def ndjson_delivery_sink(spark, d):
 
 @query(
     "stream_metrics",
-    """SELECT (s // 3600) * 3600 AS period_start, metric, CAST(count(*) AS DOUBLE) AS sample_count,
-              CAST(round(CAST(sum(CAST(value AS DECIMAL(28,10))) AS DECIMAL(38,10)), 6) AS DOUBLE) AS sum,
-              CAST(round(CAST(CAST(sum(CAST(value AS DECIMAL(28,10))) AS DOUBLE) / count(*) AS DECIMAL(38,10)), 6) AS DOUBLE) AS average,
-              min(value) AS minimum, max(value) AS maximum
-       FROM (SELECT event_type AS metric, value, epoch_us(ts) // 1000000 AS s FROM events WHERE event_id % 10 <> 0)
+    """SELECT (s // 3600) * 3600 AS period_start, metric, sum(n) AS sample_count,
+              CAST(round(CAST(sum(total) AS DECIMAL(38,10)), 6) AS DOUBLE) AS sum,
+              CAST(round(CAST(sum(total) / sum(n) AS DECIMAL(38,10)), 6) AS DOUBLE) AS average,
+              min(low) AS minimum, max(high) AS maximum, coalesce(max(unit), 'None') AS unit
+       FROM (SELECT event_type AS metric, epoch_us(ts) // 1000000 AS s, CASE event_id % 3 WHEN 0 THEN 'Count' END AS unit,
+                    CASE WHEN event_id % 10 = 0 THEN 5.0::DOUBLE ELSE 1.0::DOUBLE END AS n,
+                    CASE WHEN event_id % 10 = 0 THEN value * 4 ELSE value END AS total,
+                    CASE WHEN event_id % 10 = 0 THEN value / 2 ELSE value END AS low,
+                    CASE WHEN event_id % 10 = 0 THEN value * 2 ELSE value END AS high FROM events)
        GROUP BY 1, 2
-       HAVING (s // 3600) * 3600 + 3600 <= (SELECT epoch_us(max(ts)) // 1000 FROM events WHERE event_id % 10 <> 0) / 1000.0 - 600""",
+       HAVING (s // 3600) * 3600 + 3600 <= (SELECT epoch_us(max(ts)) // 1000 FROM events) / 1000.0 - 600""",
 )
 def stream_metrics(spark, d):
-    events = _stream(spark, d, "events").where("event_id % 10 <> 0")
+    events = _stream(spark, d, "events")
     data = events.selectExpr("CAST(ts AS TIMESTAMP) AS event_time", *spark_columns(METRIC_COLUMNS))
     stats = stateful.stream_metrics(data, "event_time", 3600, "10 minutes", ["metric"])
     out = runs.stream_to_table(stats, "metrics")

@@ -30,12 +30,13 @@ def stream_metrics(sdf: DataFrame, ts: str, period: int, delay: str, keys: list[
     Rows that come later than ``delay`` are dropped.
     """
     rows = fill_statistics(sdf).withWatermark(ts, delay)
-    total = F.sum(F.col("sum").cast("decimal(28,10)")).cast("double")
+    named = F.when(F.trim("unit") != "", F.col("unit"))
     stats = rows.groupBy(F.window(ts, f"{period} seconds"), *keys).agg(
         F.sum("sample_count").alias("sample_count"),
-        total.alias("sum"),
+        F.sum("sum").alias("sum"),
         F.min("minimum").alias("minimum"),
         F.max("maximum").alias("maximum"),
+        F.min_by(named, F.when(named.isNotNull(), F.struct(ts, "unit"))).alias("unit"),
     )
     average = F.when(F.col("sample_count") > 0, F.col("sum") / F.col("sample_count")).otherwise(0.0)
     return stats.select(
@@ -46,6 +47,7 @@ def stream_metrics(sdf: DataFrame, ts: str, period: int, delay: str, keys: list[
         average.alias("average"),
         "minimum",
         "maximum",
+        F.coalesce("unit", F.lit("None")).alias("unit"),
     )
 
 

@@ -231,3 +231,14 @@ def test_rates_come_from_offers(spark, rows):
         ("AmazonEC2", "r", "BoxUsage:a", 0.5),
         ("AmazonEC2", "r", "BoxUsage:b", 2.0),
     ]
+
+
+def test_windows_compare_instants(spark):
+    from lumenloom.operators import cost
+
+    # four hours, although the text of the end sorts before that of the start
+    assert cost.bucket_list(spark, "2024-01-01T05:00:00+09:00", "2024-01-01T00:00:00Z", "HOURLY").count() == 4
+    with pytest.raises(ValueError):
+        cost.bucket_list(spark, "2024-01-01T00:00:00Z", "2024-01-01T05:00:00+09:00", "HOURLY")
+    with pytest.raises(ValueError):
+        cost.bucket_list(spark, "soon", "2024-01-01", "DAILY")

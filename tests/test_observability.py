@@ -192,3 +192,16 @@ def test_no_search_is_cut_unless_asked(spark):
     assert positions.read_from(log, "OLDEST").count() == 20_000
     assert positions.read_from(log, "OLDEST", limit=5000).count() == 5000
     assert positions.list_prefixes(rows.selectExpr("event_id AS key")).count() == 20_000
+
+
+def test_sums_of_tiny_and_large_values(spark):
+    from lumenloom.operators import metrics
+
+    data = [("n", "m", {}, 10, v, None, None, None, None, u) for v, u in ((1e-12, " "), (3e-12, "Count"))]
+    data += [("n", "big", {}, 10, 1e19, None, None, None, None, None)]
+    kind = "namespace string, metric string, dimensions map<string,string>, ts bigint, value double, sample_count double, sum double, minimum double, maximum double, unit string"
+    rows = metrics.fill_statistics(spark.createDataFrame(data, kind))
+    got = {r.metric: r for r in metrics.statistics(rows, "metric").collect()}
+    assert got["m"]["sum"] == pytest.approx(4e-12)
+    assert got["m"].average == pytest.approx(2e-12)
+    assert (got["m"].unit, got["big"]["sum"]) == ("Count", 1e19)
