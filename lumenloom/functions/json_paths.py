@@ -77,7 +77,7 @@ def is_container(v: Column) -> Column:
 
 
 def facts(v: Column) -> Column:
-    """What tests of a value ask for, worked out once: kind, text of a text, number of a number."""
+    """What tests of a value ask for, worked out once: kind, text of a text, digits of a number."""
 
     def of(pair: Column) -> Column:
         value, kind = pair["v"], pair["kind"]
@@ -86,7 +86,7 @@ def facts(v: Column) -> Column:
             kind.alias("kind"),
             leaf(kind != "VOID").alias("exists"),
             F.when(kind == "STRING", as_text(value)).alias("text"),
-            F.when(_numeric(kind), F.try_variant_get(value, "$", "decimal(38,12)")).alias("number"),
+            F.when(_numeric(kind), as_text(value)).alias("number"),
         )
 
     return bound(bound(v, lambda x: F.struct(x.alias("v"), kind_of(x).alias("kind"))), of)
@@ -97,11 +97,6 @@ def as_text(v: Column) -> Column:
     return F.try_variant_get(v, "$", "string")
 
 
-def as_number(v: Column) -> Column:
-    """Exact decimal of a JSON number; null for anything else."""
-    return F.when(is_number(v), F.try_variant_get(v, "$", "decimal(38,12)"))
-
-
 def parse_inside(v: Column) -> Column:
     """Text that holds a JSON object or array becomes that value."""
     inner = F.try_parse_json(F.when(is_text(v), as_text(v)))
@@ -115,9 +110,14 @@ def with_parsed(json: Column, test) -> Column:
 
 def walk(json: Column, path: str) -> Column:
     """Follow a path; text on the way that holds JSON is parsed and entered."""
-    v = parse(json)
-    for step in segments(path):
-        v = at(parse_inside(v), [step])
+    return walk_in(parse_inside(parse(json)), path)
+
+
+def walk_in(v: Column, path: str) -> Column:
+    """As ``walk``, from a value that is parsed already."""
+    steps = segments(path)
+    for k, step in enumerate(steps):
+        v = at(parse_inside(v) if k else v, [step])
     return v
 
 

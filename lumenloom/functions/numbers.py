@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lumenloom.functions.booleans import bound
+from lumenloom.functions.booleans import bound, compare
 
 # digits with an optional fraction and exponent; words such as NaN are not numbers
 NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -73,6 +76,25 @@ def order_text(c: Column) -> Column:
     return bound(normalize_number(c), key)
 
 
+# numbers that DECIMAL(38,12) holds, and numbers without an exponent
+EXACT_TEXT = r"^[+-]?0*\d{0,26}(\.\d{0,12}0*)?$"
+PLAIN_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)$"
+
+
+def compare_to(number: Column, op: str, literal: int | float | Decimal | str) -> Column:
+    """A number given as text against a literal: by value where a decimal or the digits can tell,
+
+    else as doubles. Null for text that is no number."""
+    text = str(literal)
+    tests = F.when(~number.rlike(NUMBER_TEXT), F.lit(None).cast("boolean"))
+    if re.match(EXACT_TEXT, text):
+        exact = compare(number.try_cast("decimal(38,12)"), op, F.lit(Decimal(text)).cast("decimal(38,12)"))
+        tests = tests.when(number.rlike(EXACT_TEXT), exact)
+    if re.match(PLAIN_TEXT, text):
+        tests = tests.when(number.rlike(PLAIN_TEXT), compare(order_text(number), op, order_text(F.lit(text))))
+    return tests.otherwise(compare(number.try_cast("double"), op, F.lit(float(text))))
+
+
 def decimal_add(left: Column, right: Column) -> Column:
     """Sum of two numbers given as text, as normalised text."""
     return _exact(left, right, F.try_add)

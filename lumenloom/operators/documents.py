@@ -18,16 +18,12 @@ from pyspark.sql import types as T
 
 from lumenloom.functions import json_paths as jp
 from lumenloom.functions.booleans import bound, compare, every, leaf, some
-from lumenloom.functions.numbers import normalize_number, order_text
+from lumenloom.functions.numbers import EXACT_TEXT, PLAIN_TEXT, normalize_number, order_text
 from lumenloom.functions.text import text_units
 from lumenloom.operators.ordered import running_total
 
 PAGE_BYTES = 1024 * 1024  # fixed value: bytes of items one page may hold
 
-# numbers a DECIMAL(38,12) holds exactly, and numbers without an exponent
-_EXACT = r"^[+-]?0*\d{0,26}(\.\d{0,12}0*)?$"
-_PLAIN = r"^[+-]?(\d+\.?\d*|\.\d+)$"
-
 
 def typed_steps(path: str) -> list[str | int]:
     """'a.b[0]' -> ['a', 'M', 'b', 'L', 0]"""
@@ -64,8 +60,8 @@ def compare_numbers(left: Column, op: str, right: Column) -> Column:
 
     def test(pair: Column) -> Column:
         a, b = pair["a"], pair["b"]
-        exact = a.rlike(_EXACT) & b.rlike(_EXACT)
-        plain = a.rlike(_PLAIN) & b.rlike(_PLAIN)
+        exact = a.rlike(EXACT_TEXT) & b.rlike(EXACT_TEXT)
+        plain = a.rlike(PLAIN_TEXT) & b.rlike(PLAIN_TEXT)
         by_decimal = compare(a.try_cast("decimal(38,12)"), op, b.try_cast("decimal(38,12)"))
         by_digits = compare(order_text(a), op, order_text(b))
         by_double = compare(a.try_cast("double"), op, b.try_cast("double"))

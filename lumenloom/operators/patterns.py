@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenloom.functions import json_paths as jp
-from lumenloom.functions.booleans import bound, compare, every, known, leaf, some
+from lumenloom.functions.booleans import bound, every, known, leaf, some
+from lumenloom.functions.numbers import compare_to
 
 
 
@@ -31,10 +32,6 @@ def _is_number(x) -> bool:
     return isinstance(x, (int, float, Decimal)) and not isinstance(x, bool)
 
 
-def _decimal(x) -> Column:
-    return F.lit(Decimal(str(x))).cast("decimal(38,12)")
-
-
 def _text(x) -> str:
     """A JSON scalar as text."""
     return str(x).lower() if isinstance(x, bool) else str(x)
@@ -47,7 +44,7 @@ def _in_ranges(number: Column, conditions) -> Column:
     tests = []
     for op, operand in zip(conditions[::2], conditions[1::2]):
         known = op in ("=", ">", ">=", "<", "<=") and _is_number(operand)
-        tests.append(leaf(compare(number, op, _decimal(operand))) if known else F.lit(False))
+        tests.append(leaf(compare_to(number, op, operand)) if known else F.lit(False))
     return number.isNotNull() & every(tests)
 
 
@@ -160,7 +157,7 @@ def _record_element(element, fact: Column) -> Column:
     if element is None:
         return ~exists
     if _is_number(element):
-        return leaf(number == _decimal(element))
+        return leaf(compare_to(number, "=", element))
     if isinstance(element, dict):
         if "prefix" in element:
             return leaf(text.startswith(element["prefix"]))
@@ -186,7 +183,7 @@ def _record_element(element, fact: Column) -> Column:
 def _any_equal(literals: list, fact: Column) -> Column:
     """The value is one of the texts or numbers."""
     hits = [leaf(fact["text"] == b) for b in literals if isinstance(b, str)]
-    return some(hits + [leaf(fact["number"] == _decimal(b)) for b in literals if _is_number(b)])
+    return some(hits + [leaf(compare_to(fact["number"], "=", b)) for b in literals if _is_number(b)])
 
 
 def _record_elements(elements: list, fact: Column) -> Column:
@@ -224,11 +221,11 @@ def match_record(df: DataFrame, filters: list, record: str = "record") -> DataFr
 
 
 def _attribute_rule(rule, value: Column) -> Column:
-    number = value.try_cast("decimal(38,12)")
+    number = F.trim(value)
     if isinstance(rule, str):
         return leaf(value == rule)
     if _is_number(rule):
-        return leaf(number == _decimal(rule))
+        return leaf(compare_to(number, "=", rule))
     if isinstance(rule, dict):
         if "exists" in rule:
             return value.isNotNull() if rule["exists"] else value.isNull()
@@ -277,7 +274,7 @@ def _body_rule(rule, fact: Column) -> Column:
     if isinstance(rule, str):
         return leaf(text == rule)
     if _is_number(rule):
-        return leaf(number == _decimal(rule))
+        return leaf(compare_to(number, "=", rule))
     if rule is None:
         return leaf(fact["kind"] == "VOID")
     if isinstance(rule, dict):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenloom.functions.booleans import compare, every, known, leaf
-from lumenloom.functions.numbers import NUMBER_TEXT, text_to_double
+from lumenloom.functions.numbers import NUMBER_TEXT, compare_to, text_to_double
 from lumenloom.functions.text import like_pattern
 from lumenloom.sources.files import resolve
 
@@ -110,13 +110,8 @@ class PartitionColumn(LooseColumn):
             return known(compare(self.text, op, F.lit(str(value))), self.text)
         if self.numeric:
             return known(compare(self.column, op, _literal(value)), self.column)
-        wanted = F.lit(Decimal(str(value))).cast("decimal(38,12)")
-        mine = self.text.try_cast("decimal(38,12)")
-        return leaf(
-            F.when(mine.isNotNull(), compare(mine, op, wanted)).otherwise(
-                compare(self.text, op, F.lit(str(value)))
-            )
-        )
+        by_value = compare_to(F.trim(self.text), op, str(value).strip())
+        return leaf(F.coalesce(by_value, compare(self.text, op, F.lit(str(value)))))
 
 
 def prune_partitions(df: DataFrame, keys: list[str], predicate: Callable | None = None) -> DataFrame:

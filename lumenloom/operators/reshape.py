@@ -54,21 +54,26 @@ def render(df: DataFrame, template: str, json: str = "body", paths: dict[str, st
     ``<$.path>`` puts JSON text (strings quoted, text that holds JSON is entered);
     ``<name>``, with its path in ``paths``, puts bare text. Missing gives ''.
     """
-    pieces: list[Column] = []
     pattern = _PLACEHOLDER if paths is None else _NAMED
-    last = 0
-    for hit in pattern.finditer(template):
-        if paths is not None and hit.group(1) not in paths:
-            continue
-        pieces.append(F.lit(template[last : hit.start()]))
-        if paths is None:
-            value = jp.quoted(jp.walk(F.col(json), hit.group(1)))
-        else:
-            value = jp.as_text(jp.at(jp.parse(F.col(json)), jp.segments(paths[hit.group(1)])))
-        pieces.append(F.coalesce(value, F.lit("")))
-        last = hit.end()
-    pieces.append(F.lit(template[last:]))
-    return df.withColumn("rendered", F.concat(*pieces))
+
+    def filled(v: Column) -> Column:
+        pieces: list[Column] = []
+        last = 0
+        for hit in pattern.finditer(template):
+            if paths is not None and hit.group(1) not in paths:
+                continue
+            pieces.append(F.lit(template[last : hit.start()]))
+            if paths is None:
+                value = bound(jp.walk_in(v, hit.group(1)), jp.quoted)
+            else:
+                value = jp.as_text(jp.at(v, jp.segments(paths[hit.group(1)])))
+            pieces.append(F.coalesce(value, F.lit("")))
+            last = hit.end()
+        return F.concat(*pieces, F.lit(template[last:]))
+
+    # parsed once for all placeholders
+    parsed = jp.parse(F.col(json))
+    return df.withColumn("rendered", bound(bound(parsed, jp.parse_inside) if paths is None else parsed, filled))
 
 
 def map_items(df: DataFrame, items: str, selector, name: str = "mapped") -> DataFrame:

@@ -303,3 +303,17 @@ def test_functions_are_found_by_pattern(spark):
     assert register_functions(spark) == ["item_size"]
     assert spark.sql("""SELECT item_size('{"a":{"S":"bc"}}') AS n""").first().n == 3
     assert [r.function for r in list_functions(spark, "item_*").collect()] == ["item_size"]
+
+
+def test_numbers_of_any_size(spark):
+    from lumenloom.operators import patterns
+
+    cases = ['{"k": 1e30}', '{"k": 123456789012345678901234567890}', '{"k": 0.1234567890123}', '{"k": -5}', '{"k": "7"}']
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, record string")
+    found = lambda test: [r.i for r in patterns.match_record(df, [{"k": [test]}]).orderBy("i").collect()]
+    assert found({"numeric": [">", 0]}) == [0, 1, 2]
+    assert found({"numeric": [">", 10**30]}) == []
+    assert found({"numeric": [">=", 10**30]}) == [0]
+    assert found(0.1234567890124) == []
+    assert found(0.1234567890123) == [2]
+    assert found(123456789012345678901234567890) == [1]

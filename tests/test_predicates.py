@@ -109,3 +109,13 @@ def test_account_filter(spark):
     assert p.where_attr(df, "phone", "=", "1").count() == 0
     with pytest.raises(ValueError):
         p.where_attr(df, "email", "~", "x")
+
+
+def test_partition_numbers_of_any_size(spark):
+    from lumenloom.operators.predicates import prune_partitions
+
+    df = spark.createDataFrame([("0.1234567890123",), ("12345678901234567890123456789",), ("01",), ("x",)], "p string")
+    found = lambda test: [r.p for r in prune_partitions(df, ["p"], test).collect()]
+    assert found(lambda c: c("p").eq("0.1234567890124")) == []
+    assert "12345678901234567890123456789" in found(lambda c: c("p").gt("9"))
+    assert found(lambda c: c("p").eq("1")) == ["01"]
