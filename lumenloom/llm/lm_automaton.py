@@ -31,8 +31,11 @@ from lumenloom.llm.tables import written
 
 #: n-grams that one bucket adds up, on average: the memory of a task, not of the model.
 BUCKET_GRAMS = 1_000_000
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 _END = tv.salts(1, 99)[0]
+#: n-grams of two and more words are told apart by the upper 56 bits of their hash, words by all 64.
+_GRAM_BITS = np.uint64(0xFFFFFFFFFFFFFF00)
+_LOW = np.uint64(8)
 
 _BLOCK = pa.schema([("block", pa.int64()), ("grams", pa.int64()), ("ids", pa.binary()), ("train", pa.binary()), ("lengths", pa.binary()), ("vocabulary", pa.binary()), ("tokens", pa.binary())])
 _BLOCK_SQL = "block long, grams long, ids binary, train binary, lengths binary, vocabulary binary, tokens binary"
@@ -42,16 +45,25 @@ _SCORE = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens
 
 
 def _narrow(x: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes as their largest needs; the first byte tells the width."""
-    kind = np.min_scalar_type(int(x.max(initial=0)))
-    return bytes([kind.itemsize]) + x.astype(kind).tobytes()
+    """Whole numbers in as few bytes as their largest needs, byte by byte so that equal high bytes
+    stand together and compress; the first byte tells the width."""
+    x = x.astype("<u8")
+    width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + x.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
 def _wide(x: bytes) -> np.ndarray:
-    return np.frombuffer(x, dtype=f"<u{x[0]}", offset=1).astype(np.int64)
+    planes = np.frombuffer(x, dtype=np.uint8, offset=1).reshape(x[0], -1)
+    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    out[:, : x[0]] = planes.T
+    return out.view("<i8").reshape(-1)
 
 
-def _pack(modulus: int, held: int, order: int):
+def _keys_of(x: bytes) -> np.ndarray:
+    return np.cumsum(_wide(x).view(np.uint64), dtype=np.uint64)
+
+
+def _pack(modulus: int, held: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -59,9 +71,11 @@ def _pack(modulus: int, held: int, order: int):
                 ids = part.column("doc_id").to_pylist()
                 words, at = tv.word_hashes(tv.texts_of(part.column("text")), lower=True)
                 words = np.insert(words, at[1:], _END)
-                vocabulary, tokens = np.unique(words, return_inverse=True)
+                vocabulary, tokens, uses = np.unique(words, return_inverse=True, return_counts=True)
+                order = np.argsort(-uses, kind="stable")  # frequent words get small numbers
+                vocabulary, tokens = vocabulary[order], np.argsort(order)[tokens]
                 train = np.array([zlib.crc32(str(i).encode()) % modulus != held for i in ids], dtype=np.uint8)
-                grams = words.size * (order - 1) + vocabulary.size
+                grams = words.size * (most - 1) + vocabulary.size
                 row = [block, grams, np.array(ids, dtype="<i8").tobytes(), train.tobytes(), _narrow(np.diff(at) + 1), vocabulary.tobytes(), _narrow(tokens)]
                 yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _BLOCK)], schema=_BLOCK)
                 block += 1
@@ -79,10 +93,12 @@ class Block:
         self.at = np.concatenate([[0], np.cumsum(self.lengths)])
         vocabulary = np.frombuffer(row["vocabulary"], dtype=np.uint64)
         words, owner = vocabulary[self.tokens], np.repeat(np.arange(self.ids.size), self.lengths)
+        by_key = np.argsort(vocabulary)
+        vocabulary, self.tokens = vocabulary[by_key], np.argsort(by_key)[self.tokens]
         self.keys, self.starts, self.which = [vocabulary], [np.arange(words.size)], [self.tokens]
         for m in range(2, order + 1):
             start = np.flatnonzero(np.arange(words.size) + m <= self.at[1:][owner])
-            keys, which = np.unique(tv.gram_hashes(words, m, seed=200 + m)[start], return_inverse=True)
+            keys, which = np.unique(tv.gram_hashes(words, m, seed=200 + m)[start] & _GRAM_BITS, return_inverse=True)
             self.keys.append(keys)
             self.starts.append(start)
             self.which.append(which)
@@ -100,8 +116,11 @@ def _ask(order: int, bits: int):
                 for m, (keys, counts) in enumerate(zip(block.keys, block.counts()), 1):
                     bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
                     cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=1 << bits))
+                    low = keys if m == 1 else keys >> _LOW
                     for a, b in zip(cuts, cuts[1:]):
-                        out.append((int(bucket[a]), row["block"], m, keys[a:b].tobytes(), _narrow(counts[a:b])))
+                        # sorted, so steps from key to key are small; the first step is from the bucket's start
+                        start = np.uint64(int(bucket[a]) << (64 - bits)) >> (_LOW if m > 1 else np.uint64(0))
+                        out.append((int(bucket[a]), row["block"], m, _narrow(np.diff(low[a:b], prepend=start)), _narrow(counts[a:b])))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ASK)], schema=_ASK)
 
     return run
@@ -112,12 +131,13 @@ def _tell(asked: pa.Table) -> pa.Table:
     out = []
     for m in sorted(set(asked.column("size").to_pylist())):
         rows = asked.filter(pa.compute.equal(asked.column("size"), m)).to_pylist()
-        keys = np.concatenate([np.frombuffer(r["keys"], dtype=np.uint64) for r in rows])
+        parts = [_keys_of(r["keys"]) for r in rows]
+        keys = np.concatenate(parts)
         counts = np.concatenate([_wide(r["counts"]) for r in rows])
         distinct, which = np.unique(keys, return_inverse=True)
         totals = np.bincount(which, weights=counts, minlength=distinct.size).astype(np.int64)
         first = (int((totals > 0).sum()), int(totals.sum())) if m == 1 else (0, 0)
-        ends = np.cumsum([len(r["keys"]) // 8 for r in rows])
+        ends = np.cumsum([p.size for p in parts])
         for r, part in zip(rows, np.split(totals[which], ends[:-1])):
             out.append((r["block"], r["bucket"], m, _narrow(part), *first))
             first = (0, 0)
