@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from lumenloom.llm import textvec as tv
 
-#: The sample that orders the rules: documents at most.
-SAMPLE = 2_000
+#: The sample that orders the rules: documents at most, and bytes of each.
+SAMPLE, SAMPLE_BYTES = 500, 1 << 16
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -185,17 +185,9 @@ def cascade(x: Texts, rules: list[Rule]) -> np.ndarray:
 
 
 def plan(docs: DataFrame, rules: list[Rule], measured: tuple[str, ...] = ()) -> list[Rule]:
-    """The rules in the order that the sample asks for. Only costs and shares reach the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = [t for b in batches for t in tv.texts_of(b.column("text"))]
-        found = estimate(texts, rules, measured)
-        yield pa.RecordBatch.from_pydict({"rule": list(found), "cost": [v[0] for v in found.values()], "share": [v[1] for v in found.values()]})
-
-    sample = docs.select("text").limit(SAMPLE).coalesce(1)
-    rows = sample.mapInArrow(run, "rule string, cost double, share double").groupBy("rule").agg(F.avg("cost"), F.avg("share")).collect()
-    known = {r[0]: (r[1], r[2]) for r in rows}
-    return ordered(rules, {r.name: known.get(r.name, (0.0, 0.0)) for r in rules})
+    """The rules in the order that a sample asks for: the first documents, of which few parts are read."""
+    few = docs.select("text").where(F.octet_length("text") <= SAMPLE_BYTES).limit(SAMPLE).collect()
+    return ordered(rules, estimate([r[0].encode() for r in few], rules, measured))
 
 
 _REPORT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
