@@ -342,8 +342,6 @@ def match_body(df: DataFrame, policy, body: str = "body") -> DataFrame:
 
 # ── many patterns at once ────────────────────────────────────────────────────────
 
-MOST_TESTS = 200  # patterns compiled into one expression; more are done in further passes
-
 
 def _labels(v: Column, labelled: list[tuple[Callable, dict]]) -> Column:
     """The labels whose test holds for a row, null in the place of the others."""
@@ -355,21 +353,17 @@ def _labels(v: Column, labelled: list[tuple[Callable, dict]]) -> Column:
     )
 
 
-def tag_matches(df: DataFrame, json_column: str, labelled: list[tuple[Callable, dict]]) -> DataFrame:
-    """One output row per input row and matching entry of ``labelled``.
+def tag_matches(
+    df: DataFrame, json_column: str, labelled: list[tuple[Callable, dict]], names: tuple[str, ...]
+) -> DataFrame:
+    """One output row per input row and matching entry of ``labelled``, with its ``names``.
 
     Each entry is (test of the parsed JSON, label columns as text). The list is
-    rule metadata, so there is no join: a row is parsed once and carries an array
-    of the labels whose test holds.
+    rule metadata, so there is no join: a row is read and parsed once, however many
+    entries there are, and carries an array of the labels whose test holds.
     """
     if not labelled:
-        return df.where(F.lit(False))
-    out = None
-    for first in range(0, len(labelled), MOST_TESTS):
-        chunk = labelled[first : first + MOST_TESTS]
-
-        hits = bound(jp.parse(F.col(json_column)), lambda v: _labels(v, chunk))
-        part = df.select("*", F.explode(F.array_compact(hits)).alias("_hit"))
-        part = part.select(*df.columns, "_hit.*")
-        out = part if out is None else out.unionByName(part)
-    return out
+        return df.where(F.lit(False)).select(*df.columns, *[F.lit(None).cast("string").alias(n) for n in names])
+    hits = bound(jp.parse(F.col(json_column)), lambda v: _labels(v, labelled))
+    tagged = df.select("*", F.explode(F.array_compact(hits)).alias("_hit"))
+    return tagged.select(*df.columns, *[F.col("_hit")[n].alias(n) for n in names])

@@ -32,7 +32,7 @@ def match_rules(events: DataFrame, rules: list[dict]) -> DataFrame:
     possible = events.where(F.col("bus").isin(sorted({r["bus"] for r in live})))
     if live and all(has_envelope(r.get("pattern")) for r in live):
         possible = possible.where(some(envelope_test(r["pattern"]) for r in live))
-    return tag_matches(possible, "detail", labelled)
+    return tag_matches(possible, "detail", labelled, ("rule", "target"))
 
 
 def fan_out(messages: DataFrame, subscriptions: list[dict]) -> DataFrame:
@@ -54,7 +54,7 @@ def fan_out(messages: DataFrame, subscriptions: list[dict]) -> DataFrame:
 
         labelled.append((test, {"subscription": sub["name"]}))
     topics = sorted({s["topic"] for s in subscriptions if not s.get("pending")})
-    return tag_matches(messages.where(F.col("topic").isin(topics)), "body", labelled)
+    return tag_matches(messages.where(F.col("topic").isin(topics)), "body", labelled, ("subscription",))
 
 
 def match_topic(df: DataFrame, rules: list[dict], topic: str = "topic") -> DataFrame:

@@ -84,9 +84,11 @@ FEATURES = (
 
 def rounded(features):
     """Features to six places, so engines that sum in another order agree."""
-    return features.select(
-        "id", *[F.round(F.col(f).cast("decimal(38,10)"), 6).cast("double").alias(f) for f in images.FEATURES]
-    )
+    return features.select("id", *_six(images.FEATURES))
+
+
+def _six(columns):
+    return [F.round(F.col(f).cast("decimal(38,10)"), 6).cast("double").alias(f) for f in columns]
 
 
 @query("image_channel_stats", FEATURES)
@@ -106,10 +108,9 @@ def luminance_gradient(spark, d):
 )
 def product_image_join(spark, d):
     products = table(spark, d, "part").select(F.col("p_partkey").cast("int").alias("id"), "p_name")
-    features = images.image_features(decoded(spark, d))
-    sizes = features.select("id", "file_size_bytes")
-    joined = images.attach_features(products, rounded(features).select("id", "mean_r", "brightness"))
-    return joined.join(sizes, "id", "left").select("id", "p_name", "file_size_bytes", "mean_r", "brightness")
+    # rounded after the join: the images are read once
+    joined = images.attach_features(products, images.image_features(decoded(spark, d)))
+    return joined.select("id", "p_name", "file_size_bytes", *_six(["mean_r", "brightness"]))
 
 
 # ── image files ──────────────────────────────────────────────────────────────────

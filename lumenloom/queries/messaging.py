@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lumenloom.functions import json_paths as jp
 from lumenloom.operators import patterns, reshape, routing
-from lumenloom.queries.base import EVENTS, bus_events, items, table
+from lumenloom.queries.base import EVENT_COLUMNS, EVENTS, bus_events, items, spark_columns, table
 from lumenloom.queries.registry import query
 from lumenloom.session import shared_dir
 
@@ -56,20 +56,16 @@ def record_filter(spark, d):
 
 
 def _messages(spark, d):
-    events = bus_events(spark, d)
-    extra = table(spark, d, "events").select(
-        "event_id",
-        "user_id",
-        F.regexp_extract("props", "([0-9]+)", 1).alias("k"),
-        F.col("event_type").alias("topic"),
-    )
-    joined = events.select("event_id", F.col("detail").alias("body")).join(extra, "event_id")
+    """Messages with their body, topic and attributes, all from one row of the table."""
+    events = table(spark, d, "events").selectExpr(*spark_columns(EVENT_COLUMNS), "user_id", "props", "event_type AS topic")
+    k = F.regexp_extract("props", "([0-9]+)", 1).alias("k")
+    messages = events.select("event_id", F.col("detail").alias("body"), "user_id", k, "topic")
     level = F.when(F.col("event_id") % 3 == 0, None).otherwise(F.concat(F.lit("l"), (F.col("event_id") % 4).cast("string")))
     attributes = F.map_filter(
         F.create_map(F.lit("k"), "k", F.lit("level"), level, F.lit("user"), F.col("user_id").cast("string")),
         lambda _, v: v.isNotNull(),
     )
-    return joined.withColumn("attributes", attributes)
+    return messages.withColumn("attributes", attributes)
 
 
 _LEVEL = "CASE WHEN event_id % 3 = 0 THEN NULL ELSE concat('l', CAST(event_id % 4 AS STRING)) END"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumenloom.operators import devices, patterns
+from lumenloom.operators import devices, patterns, routing
 from lumenloom.functions import json_paths as jp
 from lumenloom.queries.base import EVENT_COLUMNS, METRIC_COLUMNS, spark_columns, table
 from lumenloom.queries.registry import query
@@ -45,6 +45,25 @@ def stream_enrich_route(spark, d):
     return spark.read.parquet(path).select("route", "event_id", "c_mktsegment")
 
 
+@query(
+    "stream_function_route",
+    "SELECT 'large' AS route, event_id, upper(event_type) AS kind FROM events WHERE value > 50",
+)
+def stream_function_route(spark, d):
+    """A user function as a step of a route: rows it drops never reach a target."""
+
+    def shout(pdf):
+        pdf = pdf[pdf["value"] > 50]
+        return pdf.assign(kind=pdf["event_type"].str.upper())[["event_id", "kind"]]
+
+    path = shared_dir(spark, "functions")
+    events = _stream(spark, d, "events").select("event_id", "event_type", "value")
+    step = lambda rows: routing.enrich_with(rows, shout, "event_id long, kind string")
+    writer = flows.route_stream(events, {"large": F.col("kind").isNotNull()}, path, step=step)
+    runs.finish(writer, spark, "functions")
+    return spark.read.parquet(path).select("route", "event_id", "kind")
+
+
 @query(
     "stream_record_filter",
     "SELECT event_id FROM events WHERE event_type IN ('error', 'view') AND CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) < 20",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +14,22 @@ from lumenloom.plans.medallion import MODELS
 def load_raw(df: DataFrame, table: str) -> DataFrame:
     """Replace a catalogue table by ``df``.
 
-    The new content is written to a side table first and swapped in afterwards,
-    so a failed load leaves the old rows in place.
+    The rows are written to a folder of their own in the warehouse; then one change in the catalogue
+    points the table there. A load that fails before that leaves the old rows in place, and readers
+    of the old folder are not disturbed. Other columns or types need the table to be made anew, which
+    takes two changes.
     """
     spark = df.sparkSession
-    incoming = f"{table}__incoming"
-    spark.sql(f"DROP TABLE IF EXISTS {incoming}")
-    df.write.mode("errorifexists").format("parquet").saveAsTable(incoming)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {incoming} RENAME TO {table}")
+    name = table.replace("`", "").replace(".", "-")
+    place = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    if spark.catalog.tableExists(table):
+        if spark.table(table).schema == spark.read.parquet(place).schema:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+            spark.catalog.refreshTable(table)
+            return spark.table(table)
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{place}'")
     return spark.table(table)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,15 +16,24 @@ def with_routes(df: DataFrame, routes: dict[str, Column]) -> DataFrame:
     return df.select("*", F.explode(F.array_compact(F.array(*hits))).alias("route"))
 
 
-def route_stream(sdf: DataFrame, routes: dict[str, Column], path: str, reference: DataFrame | None = None, on=None):
+def route_stream(
+    sdf: DataFrame,
+    routes: dict[str, Column],
+    path: str,
+    reference: DataFrame | None = None,
+    on=None,
+    step: Callable[[DataFrame], DataFrame] | None = None,
+):
     """A writer that filters, optionally enriches, and writes every route as a folder.
 
     All routes leave in one pass, as partitions of one write. Each batch has its own
     folder: one that runs again after a failure replaces it, so it counts once.
+    ``step`` changes the rows before they are routed, such as ``enrich_with``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch if reference is None else batch.join(reference, on, "left")
+        rows = step(rows) if step else rows
         routed = with_routes(rows, routes)
         routed.write.mode("overwrite").partitionBy("route").parquet(f"{path}/batch={batch_id}")
 

@@ -317,3 +317,19 @@ def test_numbers_of_any_size(spark):
     assert found(0.1234567890124) == []
     assert found(0.1234567890123) == [2]
     assert found(123456789012345678901234567890) == [1]
+
+
+def test_no_live_rule_keeps_the_label_columns(spark):
+    from lumenloom.operators import routing
+
+    events = spark.createDataFrame([("b", "t", "{}", {"a": "1"})], "bus string, topic string, detail string, attributes map<string,string>")
+    assert routing.match_rules(events, []).select("rule", "target").count() == 0
+    assert routing.fan_out(events.withColumnRenamed("detail", "body"), []).select("subscription").count() == 0
+
+
+def test_many_rules_in_one_scan(spark):
+    from lumenloom.operators import routing
+
+    events = spark.createDataFrame([("b", '{"k": "v7"}'), ("b", '{"k": "v399"}')], "bus string, detail string")
+    rules = [{"name": f"r{i}", "bus": "b", "pattern": {"detail": {"k": [f"v{i}"]}}, "targets": ["x"]} for i in range(400)]
+    assert sorted(r.rule for r in routing.match_rules(events, rules).collect()) == ["r399", "r7"]
