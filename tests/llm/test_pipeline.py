@@ -76,13 +76,14 @@ def test_columns_and_run(spark, sf_dir, stages):
 
 
 def test_odd_rows(spark, sf_dir):
-    text = " ".join(f"the w{i % 41}x{i} of" for i in range(60))
-    rows = [(1, text, "en", "s", 1, 2, 3), (1, text, "en", "s", 1, 2, 3), (None, text, "en", "s", 1, 2, 3), (5, None, None, None, None, None, None), (6, text[::-1], "en", None, 0, 1, 1)]
+    text = " ".join(f"the {chr(97 + i % 23)}{chr(97 + i % 19)}{chr(97 + i % 17)}a of" for i in range(60))
+    other = " ".join(f"and {chr(97 + i % 13)}{chr(97 + i % 11)}{chr(97 + i % 7)}b to" for i in range(60))
+    rows = [(1, text, "en", "s", 1, 2, 3), (1, text, "en", "s", 1, 2, 3), (None, text, "en", "s", 1, 2, 3), (5, None, None, None, None, None, None), (6, other, "en", None, 0, 1, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row int, _k int")
     for name, stage in cp.STAGES:
         empty = stage(spark, docs.limit(0), sf_dir)
         assert empty.count() == 0, name
         docs = written(stage(spark, docs, sf_dir), name)
         if name == "near_duplicates":
-            assert docs.count() == 2  # one of the three copies, and the reversed text
+            assert docs.count() == 2  # one of the three copies, and the other text
     assert docs.count() > 0
