@@ -31,6 +31,8 @@ from lumenloom.llm import textvec as tv
 from lumenloom.llm.tables import written
 
 PASSAGE, GRAM = 50, 16
+#: Ids of documents with repeated k-grams are sent to every task only up to this count (8 bytes each).
+FEW_IDS = 1_000_000
 LEFT = PASSAGE - GRAM  # a selected place lies at most so many words after the start of its window
 _U = np.uint64
 
@@ -226,8 +228,15 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     places = written(docs.mapInArrow(_places, _PLACE_SQL), "places")
     chosen = places.where("place IS NOT NULL").select("doc_id", "place", "h")
     again = chosen.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # a table of its own, so that the join can split a k-gram that very many documents hold
+    again = written(again, "again")
     kept = chosen.join(again, "h", "left_semi").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
-    suffixes = written(docs.join(kept, "doc_id").mapInArrow(_suffixes, _SUFFIX_SQL), "suffixes")
+    kept = written(kept, "kept")
+    ids = kept.select("doc_id")
+    if kept.count() <= FEW_IDS:
+        ids = F.broadcast(ids)
+    texts = docs.join(ids, "doc_id", "left_semi")
+    suffixes = written(texts.join(kept, "doc_id").mapInArrow(_suffixes, _SUFFIX_SQL), "suffixes")
 
     # equal contexts have equal windows: one row each, with their number
     contexts = suffixes.groupBy("h", "c1", "c2").agg(F.first("following").alias("following"), F.first("preceding").alias("preceding"), F.count("*").alias("n"))
@@ -237,11 +246,13 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     # groups of three or more contexts in which a window is still open: compare all their windows
     unsure = found.groupBy("h").agg(F.count("*").alias("n"), F.bool_or("open").alias("open")).where("open AND n > 2").select("h")
     left = found.where("following IS NOT NULL").join(unsure, "h", "left_semi").select("c1", "c2", "following", "preceding")
-    windows = written(left.mapInArrow(_windows, "c1 long, c2 long, o int, w1 long, w2 long"), "windows")
+    # made twice rather than kept: they are many times the contexts
+    windows = left.mapInArrow(_windows, "c1 long, c2 long, o int, w1 long, w2 long")
     twice = windows.groupBy("w1", "w2", "o").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2", "o")
     more = windows.join(twice, ["w1", "w2", "o"], "left_semi").groupBy("c1", "c2").agg(F.bit_or(F.expr("shiftleft(1L, o)")).alias("more"))
 
     masks = found.join(more, ["c1", "c2"], "left").select("c1", "c2", F.col("mask").bitwiseOR(F.coalesce("more", F.lit(0))).alias("mask")).where("mask <> 0")
+    masks = written(masks, "masks")  # as above, for a context that very many documents hold
     hits = suffixes.select("doc_id", "place", "c1", "c2").join(masks, ["c1", "c2"])
     hits = hits.groupBy("doc_id").agg(F.collect_list("place").alias("places"), F.collect_list("mask").alias("masks"))
     sizes = places.where("place IS NULL").select("doc_id", "n_words")
