@@ -1,9 +1,10 @@
 """Token ids of whole texts by a given tokenizer file, with repeated pieces encoded once.
 
-A byte-level tokenizer never joins two words, so a text may be cut before each single blank and at
-each single line end, and the pieces' ids are the text's ids. Pieces repeat, so each is encoded by the
-tokenizers library once and remembered. Texts with two white-space characters in a row, where such a
-cut could differ, or with an added token, are encoded whole.
+A byte-level tokenizer never joins two words, so a text may be cut before each single blank, around
+each single line end, and between a word of letters and the sentence signs that end it; the pieces'
+ids in order are the text's ids. Pieces repeat, so the tokenizers library encodes each once and a
+table keeps its ids. Pieces are found and told apart in numpy, by 64-bit hashes. Texts with two
+white-space characters in a row, where a cut could differ, or with an added token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -15,13 +16,49 @@ import re
 
 import numpy as np
 
-#: Pieces remembered by a worker; about 200 bytes each. Afterwards it starts anew.
+from lumenloom.llm import textvec as tv
+
+#: Pieces remembered by a worker, about 150 bytes each; afterwards it starts anew.
 REMEMBERED = 1_200_000
+#: Bytes of text cut into pieces at a time; a longer text is a step of its own.
+STEP = 4 << 20
 _WIDE_SPACE = re.compile(r"\s\s")
-# Runs of letters, and the sentence signs after them, are pieces of their own if white space or the end
-# follows: the tokenizer cuts there, too. Anything else stays whole up to the next blank or line end.
-_LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
-_PIECE = re.compile(rf" ?[{_LETTERS}]+(?=[.,;:!?]*(?:[ \n]|\Z))|[.,;:!?]+(?=[ \n]|\Z)| ?[^ \n]+|[ \n]")
+_U = np.uint64
+
+
+def _class(values: bytes) -> np.ndarray:
+    out = np.zeros(256, dtype=bool)
+    out[list(values)] = True
+    return out
+
+
+_BLANK, _LINE = _class(b" "), _class(b"\n")
+_SIGN = _class(b".,;:!?")
+# bytes of A-Z, a-z and of the letters U+00C0 to U+027F; times and divided-by are taken out below
+_LETTER = _class(bytes([*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xCA)]))
+
+
+def cut(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the pieces of a text without two white-space characters in a row."""
+    blank, line = _BLANK[data], _LINE[data]
+    edge = np.flatnonzero(np.diff(~(blank | line), prepend=False, append=False))
+    start, end = edge[::2], edge[1::2]
+    # a word of letters is cut off the signs after it
+    letter = _LETTER[data]
+    odd = np.flatnonzero((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
+    letter[odd] = False
+    others = np.concatenate([[0], np.cumsum(~letter)])
+    place = np.arange(data.size, dtype=np.int32 if data.size < 1 << 31 else np.int64)
+    body = np.maximum.accumulate(np.where(_SIGN[data], place.dtype.type(-1), place))[end - 1] + 1 if end.size else end
+    split = (body > start) & (body < end) & (others[np.clip(body, 0, data.size)] == others[start])
+    # the blank before a word belongs to it
+    lead = start - ((start > 0) & blank[np.maximum(start - 1, 0)])
+    last = np.append(line[1:], True)  # a blank at the end of a text stands alone
+    alone = np.flatnonzero(line | (blank & last))
+    starts = np.concatenate([lead, body[split], alone])
+    ends = np.concatenate([np.where(split, body, end), end[split], alone + 1])
+    order = np.argsort(starts, kind="stable")
+    return starts[order], ends[order]
 
 
 class Encoder:
@@ -35,37 +72,74 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[int, int] = {}
         self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Number the pieces, and append their ids to those of earlier ones."""
+    def _library(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rows = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-        more = np.fromiter(itertools.chain.from_iterable(rows), dtype=np.uint32, count=int(sizes.sum()))
-        self.known.update(zip(pieces, itertools.count(len(self.known))))
-        self.ids = np.concatenate([self.ids, more])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        return np.fromiter(itertools.chain.from_iterable(rows), dtype=np.uint32, count=int(sizes.sum())), sizes
 
     def _whole(self, text: str) -> bool:
         return bool(_WIDE_SPACE.search(text)) or any(t in text for t in self.added)
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in order as unsigned 32-bit numbers, and the number of ids of each text."""
-        rows = [[] if not t else [t] if self._whole(t) else _PIECE.findall(t) for t in texts]
-        if len(self.known) > REMEMBERED or self.ids.size > 8 * REMEMBERED:
+    def _pieces(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that may be cut, and the number of ids of each."""
+        joined = b"".join(texts)
+        upto = np.cumsum([0, *map(len, texts)])
+        data = np.frombuffer(joined, dtype=np.uint8)
+        found = [cut(data[a:b]) for a, b in zip(upto, upto[1:])] if len(texts) < 2 else [self._cut_many(data, upto)]
+        start = np.concatenate([s for s, _ in found])
+        end = np.concatenate([e for _, e in found])
+        keys, first, which = np.unique(tv.span_hashes(data, start, end), return_index=True, return_inverse=True)
+        if len(self.known) > REMEMBERED:
             self._forget()
-        new = set(itertools.chain.from_iterable(rows)).difference(self.known)
-        if new:
-            self._learn(list(new))
-        counts = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-        piece = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(rows)), dtype=np.int64, count=int(counts.sum()))
-        start, size = self.starts[piece], self.starts[piece + 1] - self.starts[piece]
+        place = np.fromiter(map(self.known.get, keys.tolist(), itertools.repeat(-1)), dtype=np.int64, count=keys.size)
+        new = np.flatnonzero(place < 0)
+        if new.size:
+            ids, sizes = self._library([joined[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
+            place[new] = len(self.known) + np.arange(new.size)
+            self.known.update(zip(keys[new].tolist(), place[new].tolist()))
+            self.ids = np.concatenate([self.ids, ids])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        piece = place[which]
+        at, size = self.starts[piece], self.starts[piece + 1] - self.starts[piece]
         ends = np.cumsum(size)
-        total = int(ends[-1]) if ends.size else 0
-        where = np.arange(total) + np.repeat(start - (ends - size), size)
-        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return self.ids[where], np.diff(upto)
+        where = np.arange(int(ends[-1]) if ends.size else 0) + np.repeat(at - (ends - size), size)
+        total = np.concatenate([[0], ends])[np.searchsorted(start, upto)]
+        return self.ids[where], np.diff(total)
+
+    @staticmethod
+    def _cut_many(data: np.ndarray, upto: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of several texts at once: they are set apart by line ends, which are taken out again."""
+        apart = np.insert(data, upto[1:-1], 10)
+        start, end = cut(apart)
+        between = upto[1:-1] + np.arange(upto.size - 2)
+        keep = ~np.isin(start, between)
+        start, end = start[keep], end[keep]
+        shift = np.searchsorted(between, start)
+        return start - shift, end - shift
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order as unsigned 32-bit numbers, and the number of ids of each text."""
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[bytes] = []
+        size = 0
+        for text in texts:
+            if text and self._whole(text):
+                parts += [self._pieces(held)] if held else []
+                parts.append(self._library([text]))
+                held, size = [], 0
+                continue
+            held.append((text or "").encode())
+            size += len(held[-1])
+            if size >= STEP:
+                parts.append(self._pieces(held))
+                held, size = [], 0
+        parts += [self._pieces(held)] if held else []
+        if not parts:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
 @functools.lru_cache(maxsize=2)

@@ -56,15 +56,18 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int) -> dict[str, np.ndar
         if symbols.size < 2:
             break
         key = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-        spot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE)).astype(np.int32)
+        spot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE)).astype(np.int32) + 1
         spot[last[:-1]] = 0
-        often = np.bincount(spot, minlength=1 << _TABLE).astype(np.uint32)
-        often[0] = 0
+        often = np.bincount(spot, minlength=(1 << _TABLE) + 1).astype(np.uint32)
+        often[0] = 0  # places between two documents
         often = often[spot]
-        # a place is taken if its pair is more frequent than those that overlap it
+        # a place is taken if no pair that overlaps it is more frequent; of equal neighbours every other one
         pick = often >= LEAST
-        pick[1:] &= often[1:] > often[:-1]
+        pick[1:] &= often[1:] >= often[:-1]
         pick[:-1] &= often[:-1] >= often[1:]
+        place = np.arange(often.size, dtype=np.int32 if often.size < 1 << 31 else np.int64)
+        first = np.maximum.accumulate(np.where(np.diff(often, prepend=0) != 0, place, place.dtype.type(0)))
+        pick &= (place - first) % 2 == 0
         at = np.flatnonzero(pick)
         pairs, which, uses = np.unique(key[at], return_inverse=True, return_counts=True)
         good = uses >= LEAST
@@ -140,7 +143,7 @@ def _write(path: str):
         tokens, part, number = encoder(path), TaskContext.get().partitionId(), 0
         docs, ids, lengths, held = [], [], [], 0
         for batch in batches:
-            for piece in tv.slices(batch, "text", 1 << 20):
+            for piece in tv.slices(batch, "text", 4 << 20):
                 got, n = tokens.encode(piece.column("text").to_pylist())
                 docs.append(piece.column("doc_id").fill_null(_NULL).to_numpy())
                 ids.append(np.insert(got, np.cumsum(n), END))

@@ -55,6 +55,23 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of bytes, which do not overlap and come in order."""
+    out = np.empty(start.size, dtype=_U)
+    at = 0
+    while at < start.size:
+        # about BLOCK bytes at a time, and one stretch at least
+        stop = max(at + 1, int(np.searchsorted(end, start[at] + BLOCK, side="right")))
+        base, size = start[at], int(end[stop - 1] - start[at])
+        up, down = _power_tables(size + 1)
+        summed = np.zeros(size + 1, dtype=_U)
+        np.cumsum(_BYTE[data[base : base + size]] * up[:size], out=summed[1:])
+        a, b = start[at:stop] - base, end[at:stop] - base
+        out[at:stop] = mix((summed[b] - summed[a]) * down[a])
+        at = stop
+    return out
+
+
 def _pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
     """Groups of whole texts of about BLOCK bytes; a longer text is cut at white space."""
     owners, parts, size = [], [], 0
