@@ -8,6 +8,11 @@ neighbours in sorted order, which share the longest prefixes, become candidates.
 where a region had to be split, its members are also paired with the region's most central member,
 so splitting cannot cut a star of near copies around one original. Links are confirmed on full sets.
 
+Splitting raises the chance that a pair is missed, and members of one template share minima without
+being alike. So all members of crowded regions are joined once more without chance: the shingles of a
+set are put in one order for all sets, rare ones first; two sets that are similar enough share one of
+their first shingles (prefix filter). Pairs that are in one component by then need no test.
+
 Defined results: a null text, or one without words, has no shingles and stays alone. Repeated rows
 are copies. Rows with a null id are left out, since nothing can name them. Columns besides id and
 text are not read, whatever their names.
@@ -29,6 +34,10 @@ from lumenloom.llm.tables import connected_components, written
 
 TREES, DEPTH = 16, 8
 REGION, NEIGHBOURS = 16, 8
+#: Buckets of shingle counts that the order of shingles comes from; any order gives the same links.
+BUCKETS = 1 << 20
+#: Members of a shingle's group that one piece of the prefix join holds.
+PIECE = 2_000
 #: Ids of documents in candidate pairs are sent to every task only up to this count (8 bytes each).
 FEW_IDS = 1_000_000
 MISSED = 2e-5
@@ -74,8 +83,8 @@ def _prefix(depth: Column | int) -> Column:
     return F.xxhash64("tree", F.substring(F.col("order"), F.lit(1), F.lit(depth) * 4))
 
 
-def candidates(reps: DataFrame, base: int) -> DataFrame:
-    """Pairs (a < b) of representatives (rep, sig) that the forest brings together."""
+def candidates(reps: DataFrame, base: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b) of representatives (rep, sig) that the forest brings together, and the crowded ones."""
     width = DEPTH * 4
     forest = reps.select("rep", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig").select(
         "rep", "tree", F.substring("sig", F.col("tree") * width + 1, F.lit(width)).alias("order")
@@ -83,7 +92,7 @@ def candidates(reps: DataFrame, base: int) -> DataFrame:
     forest = forest.withColumn("key", _prefix(base))
     sizes = forest.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     forest = written(forest.join(sizes, "key"), "forest")
-    calm = forest.where(F.col("size") <= REGION).select("rep", "order", "key")
+    calm = forest.where(F.col("size") <= REGION).select("rep", "order", "key", F.lit(REGION - 1).alias("most"))
 
     # crowded regions: one row per deeper level, then the first level that is small enough
     deeper = (
@@ -101,18 +110,78 @@ def candidates(reps: DataFrame, base: int) -> DataFrame:
 
     fits = deeper.where((F.col("size") <= REGION) | (F.col("level") == DEPTH))
     fits = fits.withColumn("first", F.min("level").over(Window.partitionBy("rep", "tree"))).where("level = first")
-    # equal in every minimum of the tree: any neighbours will do, so large leaves are dealt into pieces
+    # these pairs link most of a crowd; exact_pairs sees to the rest, so large leaves are dealt into pieces
     piece = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / REGION))
-    fits = fits.select("rep", "order", F.xxhash64("key", piece).alias("key"))
+    fits = fits.select("rep", "order", F.xxhash64("key", piece).alias("key"), F.lit(NEIGHBOURS).alias("most"))
 
-    ordered = Window.partitionBy("key").orderBy("order", "rep").rowsBetween(1, NEIGHBOURS)
+    ordered = Window.partitionBy("key").orderBy("order", "rep").rowsBetween(1, REGION - 1)
     near = (
         calm.unionByName(fits)
-        .withColumn("others", F.collect_list("rep").over(ordered))
+        .withColumn("others", F.slice(F.collect_list("rep").over(ordered), F.lit(1), F.col("most")))
         .select("rep", F.explode("others").alias("other"))
         .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
     )
-    return near.unionByName(spokes).distinct()
+    return near.unionByName(spokes).distinct(), forest.where(F.col("size") > REGION).select("rep").distinct()
+
+
+def _counts(words_each: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for part in tv.slices(batch, "text", 2 << 20):
+                sets, _ = tv.shingle_sets(*tv.word_hashes(tv.texts_of(part.column("text")), lower=True), words_each)
+                np.add.at(count, _bucket(sets), 1)
+        some = np.flatnonzero(count)
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(some, pa.int32()), "n": pa.array(count[some])})
+
+    return run
+
+
+def _bucket(sets: np.ndarray) -> np.ndarray:
+    return (sets >> np.uint64(40)).astype(np.int64) % BUCKETS
+
+
+def _prefixes(words_each: int, percent: int, rank: np.ndarray):
+    """The first shingles of each set; ``small`` marks those that do where the other set is no smaller."""
+    schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("shingle", pa.int64()), ("place", pa.int32()), ("small", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tv.slices(batch, "text", 2 << 20):
+                sets, at = tv.shingle_sets(*tv.word_hashes(tv.texts_of(part.column("text")), lower=True), words_each)
+                owner, n = tv.owners(at), np.diff(at)
+                order = np.lexsort((sets, rank[_bucket(sets)], owner))
+                place = np.arange(sets.size) - at[:-1][owner]
+                # with o in common: o >= n * percent, and in the smaller set o >= 2 n * percent / (1 + percent)
+                first = np.flatnonzero(place <= (n + -percent * n // 100)[owner])
+                own = owner[first]
+                small = place[first] <= (n + -2 * percent * n // (100 + percent))[own]
+                rows = [np.asarray(part.column("doc_id"))[own], n[own], sets[order[first]].view(np.int64), place[first], small]
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(rows, schema)], schema=schema)
+
+    return run
+
+
+def exact_pairs(texts: DataFrame, parts: DataFrame, words_each: int, percent: int) -> DataFrame:
+    """Pairs (a < b) of ``texts`` (doc_id, text) that can be similar enough and are apart in ``parts`` (id, component)."""
+    counts = texts.mapInArrow(_counts(words_each), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rank = np.zeros(BUCKETS, dtype=np.uint8)
+    rank[counts["bucket"].to_numpy()] = 4 * np.log2(1 + counts["n"].to_numpy(dtype=float))
+    posts = texts.mapInArrow(_prefixes(words_each, percent, rank), "rep long, n long, shingle long, place int, small boolean")
+    posts = posts.join(parts.withColumnRenamed("id", "rep"), "rep", "left")
+    posts = written(posts.withColumn("component", F.coalesce("component", "rep")), "prefixes")
+    shared = posts.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.bool_or("small").alias("any"), F.count("*").alias("size"))
+    shared = shared.where("lo <> hi AND any").select("shingle", F.ceil(F.col("size") / PIECE).alias("pieces"))
+    posts = written(posts.join(written(shared, "shared"), "shingle"), "shared-prefixes")
+
+    # a group of many members is dealt into pieces of its larger sets, each met by all smaller ones
+    x = posts.where("small").select("shingle", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("at_a"), F.col("component").alias("in_a"))
+    y = posts.select("shingle", F.pmod(F.xxhash64("rep"), "pieces").alias("piece"), F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("at_b"), F.col("component").alias("in_b"))
+    both = x.join(y, ["shingle", "piece"]).where("in_a <> in_b AND n_a <= n_b").where(100 * F.col("n_a") >= percent * F.col("n_b"))
+    # of the first shingle in common, no more than what follows it can be in common
+    rest = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    both = both.where((100 + percent) * rest >= percent * (F.col("n_a") + F.col("n_b")))
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _agreement(threshold: float):
@@ -157,6 +226,21 @@ def confirm_links(pairs: DataFrame, docs: DataFrame, words_each: int, percent: i
     return both.mapInArrow(_confirm(words_each, percent), "a long, b long")
 
 
+def _placed(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs with the components of both ends, in_a and in_b."""
+    for x in ("a", "b"):
+        pairs = pairs.join(parts.select(F.col("id").alias(x), F.col("component").alias(f"in_{x}")), x, "left")
+    return pairs.withColumns({f"in_{x}": F.coalesce(f"in_{x}", x) for x in ("a", "b")})
+
+
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (id, component) once further links hold: whole components are linked, not their members."""
+    ends = _placed(links, parts).select(F.col("in_a").alias("a"), F.col("in_b").alias("b"))
+    top = written(connected_components(ends), "tops")
+    moved = parts.join(top.toDF("component", "top"), "component", "left").select("id", F.coalesce("top", "component").alias("component"))
+    return written(moved.unionByName(top.join(parts, "id", "left_anti")), "components")
+
+
 def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) -> DataFrame:
     """Component of every document under Jaccard >= percent / 100 of word shingles.
 
@@ -169,29 +253,36 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) ->
     sets = signed.where("n_shingles > 0").groupBy("h1", "h2", "n_shingles")
     reps = written(sets.agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig")), "representatives")
 
-    pairs = candidates(reps.select("rep", "sig"), base_depth(percent / 100))
+    pairs, crowded = candidates(reps.select("rep", "sig"), base_depth(percent / 100))
     side = lambda s: reps.select(F.col("rep").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"))
-    sized = pairs.join(side("a"), "a").join(side("b"), "b")
-    sized = sized.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    pairs = written(sized.mapInArrow(_agreement(percent / 100), "a long, b long, near double"), "pairs")
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    ids = written(ids, "paired")
-    if ids.count() <= FEW_IDS:
-        ids = F.broadcast(ids)
-    texts = written(docs.join(ids, "doc_id", "left_semi"), "paired-texts").dropDuplicates(["doc_id"])
+    def agreeing(pairs: DataFrame) -> DataFrame:
+        sized = pairs.join(side("a"), "a").join(side("b"), "b")
+        sized = sized.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+        return written(sized.mapInArrow(_agreement(percent / 100), "a long, b long, near double"), "pairs")
+
+    def texts_of(ids: DataFrame) -> DataFrame:
+        few = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+        return written(docs.join(few, "doc_id", "left_semi"), "paired-texts").dropDuplicates(["doc_id"])
+
+    pairs = agreeing(pairs)
+    texts = texts_of(written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "paired"))
 
     # the most similar partner of each document first; after that only pairs still apart are left to test
     ends = [pairs.select(F.col(x).alias("id"), "a", "b", "near") for x in ("a", "b")]
     best = reduce(DataFrame.unionByName, ends).groupBy("id").agg(F.max_by(F.struct("a", "b"), F.struct("near", "a", "b")).alias("p"))
     links = written(confirm_links(best.select("p.a", "p.b").distinct(), texts, words_each, percent), "links")
     parts = written(connected_components(links), "components")
-    place = lambda s: parts.select(F.col("id").alias(s), F.col("component").alias(f"in_{s}"))
-    apart = pairs.join(place("a"), "a", "left").join(place("b"), "b", "left")
-    apart = apart.where(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).select("a", "b")
+    apart = _placed(pairs, parts).where("in_a <> in_b").select("a", "b")
     tested = best.select("p.a", "p.b")
     more = confirm_links(apart.join(tested, ["a", "b"], "left_anti"), texts, words_each, percent)
-    parts = connected_components(links.unionByName(more))
+    parts = _merged(parts, more)
+
+    crowded = written(crowded.withColumnRenamed("rep", "doc_id"), "crowded")
+    if not crowded.isEmpty():
+        texts = texts_of(crowded)
+        more = confirm_links(agreeing(exact_pairs(texts, parts, words_each, percent)).select("a", "b"), texts, words_each, percent)
+        parts = _merged(parts, more)
 
     whole = reps.select("h1", "h2", "n_shingles", "rep").join(parts.withColumnRenamed("id", "rep"), "rep", "left")
     whole = whole.select("h1", "h2", "n_shingles", F.coalesce("component", "rep").alias("component"))

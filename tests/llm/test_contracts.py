@@ -81,6 +81,19 @@ def test_near_duplicates_in_a_crowd(spark):
     assert got == brute.components(rows, 3, 85)
 
 
+def test_near_duplicates_apart_in_a_crowd(spark):
+    """Separate pairs among members of one template, which share most minima and are no near duplicates."""
+    r = random.Random(10)
+    template, rows = [f"w{r.randrange(10**6)}" for _ in range(450)], []
+    for k in range(150):
+        own, other = [f"y{r.randrange(10**7)}" for _ in range(50)], [f"z{r.randrange(10**7)}" for _ in range(35)]
+        rows += [(k, " ".join([*template, *own])), (1000 + k, " ".join([*template, *own[:-35], *other]))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_forest.near_duplicates(table(spark, [(d, t, None, None) for d, t in rows]), 3, 85).collect()}
+    want = brute.components(rows, 3, 85)
+    assert len({c for _, c in want.values()}) == 150
+    assert got == want
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_language_model(docs, texts, order):
     want = brute.language_model(texts, order, 20.0)
