@@ -122,8 +122,8 @@ def _common(a: np.ndarray) -> np.ndarray:
     return np.where(same.all(axis=1), a.shape[1], same.argmin(axis=1)) if len(a) > 1 else np.empty(0, np.int64)
 
 
-_FOUND = pa.schema([("h", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("mask", pa.int64()), ("open", pa.bool_()), ("following", pa.binary()), ("preceding", pa.binary())])
-_FOUND_SQL = "h long, c1 long, c2 long, mask long, open boolean, following binary, preceding binary"
+_FOUND = pa.schema([("h", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("mask", pa.int64()), ("open", pa.bool_()), ("edge", pa.bool_()), ("following", pa.binary()), ("preceding", pa.binary())])
+_FOUND_SQL = "h long, c1 long, c2 long, mask long, open boolean, edge boolean, following binary, preceding binary"
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -133,7 +133,8 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted contexts: bit o of the mask is set if the window that starts o words before repeats.
 
-    ``open`` tells that a further window could match a suffix that is not a neighbour.
+    ``open`` tells that a further window could match a suffix that is not a neighbour, ``edge`` that a
+    neighbour is unknown, as the row is the first or last one of the task.
     """
     held, edge = None, True  # the last row so far waits for its next neighbour
 
@@ -144,22 +145,22 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right, left = _common(after), _common(before)
         right = np.where(h[1:] == h[:-1], right, 0)
         pair = np.where(right > 0, _bits(np.maximum(0, PASSAGE - right), np.minimum(left, LEFT)), 0)
-        mask, reach = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        mask, reach, cut = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, dtype=bool)
         mask[1:] |= pair
         mask[:-1] |= pair
         reach[1:] = np.maximum(reach[1:], right)
         reach[:-1] = np.maximum(reach[:-1], right)
         if known == 0 and edge:
-            reach[0] = PASSAGE
+            reach[0], cut[0] = PASSAGE, True
         if last:
-            reach[-1] = PASSAGE
+            reach[-1], cut[-1] = PASSAGE, True
         n_after, n_before = (after != 0).sum(axis=1), (before != 0).sum(axis=1)
         mask |= np.where(rows.column("n").to_numpy() > 1, _bits(np.maximum(0, PASSAGE - n_after), n_before), 0)
         could = _bits(np.maximum(0, PASSAGE - np.minimum(reach, n_after)), n_before)
         pick = np.arange(known, n if last else n - 1)
         useful = pa.array(np.where(could[pick] != 0, pick, 0), mask=could[pick] == 0)  # a null index gives a null context
         context = [rows.column(c).take(useful).combine_chunks() for c in ("following", "preceding")]
-        out = [*(rows.column(c).take(pa.array(pick)).combine_chunks() for c in ("h", "c1", "c2")), pa.array(mask[pick]), pa.array((could & ~mask)[pick] != 0), *context]
+        out = [*(rows.column(c).take(pa.array(pick)).combine_chunks() for c in ("h", "c1", "c2")), pa.array(mask[pick]), pa.array((could & ~mask)[pick] != 0), pa.array(cut[pick]), *context]
         return pa.RecordBatch.from_arrays(out, schema=_FOUND)
 
     # two rows are carried: the one that waits, and the one before it, which it is compared with
@@ -243,8 +244,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     order = ["h", "following", "preceding"]
     found = written(contexts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, _FOUND_SQL), "found")
 
-    # groups of three or more contexts in which a window is still open: compare all their windows
-    unsure = found.groupBy("h").agg(F.count("*").alias("n"), F.bool_or("open").alias("open")).where("open AND n > 2").select("h")
+    # groups in which a window is still open, of three or more contexts or cut by the edge of a task: compare all their windows
+    unsure = found.groupBy("h").agg(F.count("*").alias("n"), F.bool_or("open").alias("open"), F.bool_or("edge").alias("edge"))
+    unsure = unsure.where("open AND (n > 2 OR (n = 2 AND edge))").select("h")
     left = found.where("following IS NOT NULL").join(unsure, "h", "left_semi").select("c1", "c2", "following", "preceding")
     # made twice rather than kept: they are many times the contexts
     windows = left.mapInArrow(_windows, "c1 long, c2 long, o int, w1 long, w2 long")

@@ -123,6 +123,25 @@ def test_repeated_passages_that_overlap_in_many_ways(spark):
     assert got == brute.repeated(rows, 50)
 
 
+def test_repeated_passages_cut_by_task_edges(spark):
+    """Passages shared by two documents each, in many more tasks than groups of contexts."""
+    r = random.Random(13)
+    new = lambda n: [f"t{r.randrange(10**7)}" for _ in range(n)]
+    rows = []
+    for k in range(6):
+        passage = new(52)
+        rows += [(2 * k + i, " ".join([*new(60), *passage, *new(60)])) for i in range(2)]
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        got = {x.doc_id: x.spans for x in sparse_suffixes.repeated_passages(table(spark, [(d, t, None, None) for d, t in rows])).collect()}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert got == brute.repeated(rows, 50)
+
+
 def test_quality_measures(docs, texts):
     text = dict(texts)
     for r in rule_cascade.judge(docs).collect():
