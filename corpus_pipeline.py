@@ -3,8 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 again as the next stage's documents. All but the last give the columns they got.
 
-Defined results: a document without an id is known by its text. Rows that repeat an id count as copies
-of one document. Extra columns, whatever their names, are carried along. Empty tables stay empty.
+Defined results: a document without an id is known by its text. Rows that repeat id and text count as
+copies of one document; rows that share an id alone are documents of their own. Extra columns, whatever their names, are carried along. Empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -20,9 +20,12 @@ SHINGLE, PERCENT = 5, 80
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """row (all columns), doc_id (never null: hash of the text where there is none) and text."""
+    """row (all columns), doc_id (a hash of id and text, so that no two documents share it), number and text.
+
+    ``number`` is the id, or a hash of the text where there is none.
+    """
     number = F.coalesce(F.col("doc_id").cast("long"), -F.abs(F.xxhash64("text") % (1 << 62)) - 1)
-    return docs.select(F.struct("*").alias("row"), number.alias("doc_id"), "text")
+    return docs.select(F.struct("*").alias("row"), F.xxhash64(number, "text").alias("doc_id"), number.alias("number"), "text")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +36,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates."""
     rows = _packed(docs)
-    found = minhash_forest.near_duplicates(rows, SHINGLE, PERCENT)
-    marks = found.groupBy("doc_id").agg((~F.bool_or("kept")).alias("gone"), (F.count("*") > 1).alias("many")).where("gone OR many")
+    found = minhash_forest.near_duplicates(rows.select("doc_id", "text"), SHINGLE, PERCENT)
+    found = found.groupBy("doc_id").agg(F.first("component_id").alias("component"), (F.count("*") > 1).alias("many"))
+    found = written(found.join(rows.select("doc_id", "number").distinct(), "doc_id"), "found")
+    firsts = found.groupBy("component").agg(F.min(F.struct("number", "doc_id")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    marks = found.join(firsts, "component", "left").select("doc_id", F.expr("coalesce(first.doc_id <> doc_id, false)").alias("gone"), "many").where("gone OR many")
     left = rows.join(marks, "doc_id", "left").where("NOT coalesce(gone, false)")
     once = left.where("NOT coalesce(many, false)").select("row.*")
     return once.unionByName(left.where("many").dropDuplicates(["doc_id"]).select("row.*"))

@@ -87,3 +87,15 @@ def test_odd_rows(spark, sf_dir):
         if name == "near_duplicates":
             assert docs.count() == 2  # one of the three copies, and the other text
     assert docs.count() > 0
+
+
+def test_documents_that_share_an_id(spark, sf_dir):
+    """Different texts under one id are documents of their own, with their own verdicts."""
+    texts = [" ".join(f"{w} {chr(97 + i % a)}{chr(97 + i % b)}{w}" for i in range(80)) for w, a, b in (("the", 23, 19), ("and", 17, 13), ("of", 11, 7))]
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("length(text) > 80").orderBy("item_id").first().text
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (2, texts[0]), (3, texts[2]), (3, item), (0, texts[1] + " end")]
+    docs = spark.createDataFrame([(d, t, "en", "s") for d, t in rows], "doc_id long, text string, lang string, source string")
+    near = cp.near_duplicates(spark, docs, sf_dir)
+    assert sorted((r.doc_id, r.text) for r in near.collect()) == sorted([(1, texts[0]), (3, texts[2]), (3, item), (0, texts[1] + " end")])
+    clean = cp.decontamination(spark, near, sf_dir)
+    assert sorted((r.doc_id, r.text) for r in clean.collect()) == sorted([(1, texts[0]), (3, texts[2]), (0, texts[1] + " end")])
