@@ -29,9 +29,16 @@ _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _DIGIT = np.zeros(256, dtype=bool)
 _DIGIT[list(b"0123456789")] = True
+_LATIN = np.zeros(256, dtype=bool)  # ASCII letters and first bytes of U+00C0 to U+024F
+_LATIN[[*range(65, 91), *range(97, 123), *range(0xC3, 0xCA)]] = True
+_OTHER = np.zeros(256, dtype=bool)  # first bytes of other scripts, without signs and symbols
+_OTHER[[*range(0xCD, 0xE2), *range(0xE3, 0xEE)]] = True
 _FIRST = (np.arange(256) & 0xC0) != 0x80  # first bytes of a code point
 
-# Frequent function words of the languages at hand; fixed values.
+#: Distinct words are counted in windows of so many words, since their share falls with length.
+WINDOW = 1_000
+
+# Frequent function words of the languages at hand, all in Latin script; fixed values.
 STOP_WORDS = "the of and to in is that with for die der das und ist zu mit le la les de des et un une est el los las y en que se del por con a an e o il van het".split()
 
 
@@ -94,14 +101,23 @@ def _repeat_words(x: Texts, n: int = 8) -> np.ndarray:
     return np.bincount(owner[covered], minlength=len(x.texts)).astype(np.int64)
 
 
-def _distinct_words(x: Texts) -> np.ndarray:
+def _window_distinct(x: Texts) -> np.ndarray:
+    """Distinct words of the median window: whole windows from the start and one that ends the text."""
     words, at = x.words()
-    owner = tv.owners(at)
-    order = np.lexsort((words, owner))
-    w, o = words[order], owner[order]
+    size = np.diff(at)
+    starts = [np.unique(np.append(np.arange(0, n - WINDOW + 1, WINDOW), max(0, n - WINDOW))) for n in size]
+    many = np.array([s.size for s in starts], dtype=np.int64)
+    first = np.concatenate([np.empty(0, np.int64), *(a + s for a, s in zip(at, starts))])
+    wide = np.repeat(np.minimum(size, WINDOW), many)
+    owner = np.repeat(np.arange(first.size), wide)
+    place = np.arange(owner.size) - (np.cumsum(wide) - wide)[owner] + first[owner]
+    picked = words[place.astype(np.int64)]
+    order = np.lexsort((picked, owner))
+    w, o = picked[order], owner[order]
     new = np.ones(w.size, dtype=bool)
     new[1:] = (w[1:] != w[:-1]) | (o[1:] != o[:-1])
-    return np.bincount(o[new], minlength=len(x.texts)).astype(np.int64)
+    found = np.split(np.bincount(o[new], minlength=first.size), np.cumsum(many)[:-1]) if many.size else []
+    return np.array([np.sort(f)[f.size // 2] for f in found], dtype=np.int64)
 
 
 def _stop_words(x: Texts) -> np.ndarray:
@@ -119,7 +135,9 @@ MEASURES: dict[str, Callable[[Texts], np.ndarray]] = {
     "n_lines": lambda x: np.array([t.count(b"\n") + 1 for t in x.texts], dtype=np.int64),
     "n_dup_lines": _dup_lines,
     "n_repeat_words": _repeat_words,
-    "n_distinct_words": _distinct_words,
+    "n_window_distinct": _window_distinct,
+    "n_latin": _count(_LATIN),
+    "n_other": _count(_OTHER),
     "n_stop_words": _stop_words,
 }
 
@@ -143,14 +161,15 @@ BASE = [
     _rule("few_words", "n_words")(lambda w: w < 20),
     _rule("repeated_passages", "n_words", "n_repeat_words")(lambda w, r: 100 * r > 30 * w),
 ]
-#: Further rules, wide enough that running prose of any of the languages passes.
+#: Further rules, wide enough that running prose passes; those on length and choice of words hold for
+#: texts in Latin script only.
 RULES = [
-    _rule("word_length", "n_words", "word_chars")(lambda w, c: (c < 2 * w) | (c > 15 * w)),
+    _rule("word_length", "n_words", "word_chars", "n_latin", "n_other")(lambda w, c, a, b: (a >= b) & ((c < 2 * w) | (c > 15 * w))),
     _rule("symbols", "word_chars", "n_symbols")(lambda c, s: 10 * s > c),
     _rule("digits", "word_chars", "n_digits")(lambda c, d: 10 * d > 3 * c),
     _rule("repeated_lines", "n_lines", "n_dup_lines")(lambda n, d: (d >= 3) & (10 * d > 3 * n)),
-    _rule("few_distinct_words", "n_words", "n_distinct_words")(lambda w, d: (w >= 50) & (100 * d < 8 * w)),
-    _rule("no_stop_words", "n_words", "n_stop_words")(lambda w, s: (w >= 50) & (200 * s < w)),
+    _rule("few_distinct_words", "n_words", "n_window_distinct")(lambda w, d: (w >= 50) & (100 * d < 8 * np.minimum(w, WINDOW))),
+    _rule("no_stop_words", "n_words", "n_stop_words", "n_latin", "n_other")(lambda w, s, a, b: (a >= b) & (w >= 50) & (200 * s < w)),
 ]
 
 

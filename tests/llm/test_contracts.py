@@ -155,6 +155,20 @@ def test_quality_measures(docs, texts):
     assert {r.doc_id for r in passed.collect()} == kept
 
 
+def test_prose_of_any_length_and_script_passes():
+    r = random.Random(14)
+    rules = [*rule_cascade.BASE, *rule_cascade.RULES]
+    failed = lambda t: [([x.name for x in rules] + [None])[k] for k in rule_cascade.cascade(rule_cascade.Texts([t.encode()]), rules)][0]
+    made = lambda letters, n, vocabulary: " ".join(r.choices(["".join(r.choices(letters, k=r.randint(3, 8))) for _ in range(vocabulary)], k=n))
+    for letters in ("абвгдежзиклмнопрст", "αβγδεζηθικλμνξοπρστ", "ابتثجحخدذرزسشصضطظ"):
+        assert failed(made(letters, 120, 400)) is None
+    assert failed(" ".join(made("的一是不了人我在有他", 1, 5) * 6 for _ in range(60))) is None
+    assert failed(" ".join(f"the {w}" for w in made("abcdefghij", 100_000, 9_000).split())) is None
+    assert failed(made("abcdefghij", 120, 400)) == "no_stop_words"
+    assert failed("x" * 40 + " " + " ".join(r.choices(["y" * 30, "z" * 31, "the"], [9, 9, 1], k=100))) is not None
+    assert failed(" ".join(r.choices(["the", "cat", "and", "dog", "is", "of", "to", "in", "on", "at"], k=2_500))) == "few_distinct_words"
+
+
 def test_cascade_order_does_not_change_verdicts(texts):
     some = [t.encode() if t is not None else None for _, t in texts]
     rules = [*rule_cascade.BASE, *rule_cascade.RULES]
