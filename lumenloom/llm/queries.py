@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lumenloom.llm import (
+    boundary_bpe,
+    conversation_repair,
     grammar_store,
     language_id,
     length_histogram,
@@ -16,8 +18,10 @@ from lumenloom.llm import (
     rule_cascade,
     secret_scan,
     sparse_suffixes,
+    spelling_variants,
     weighted_mix,
 )
+from lumenloom.llm.sql_twins import REPAIR_SQL, VARIANTS_SQL
 from lumenloom.llm.tables import documents
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +140,20 @@ def op1_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_grammar_store")
 def op4_grammar_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar_store.token_output(documents(spark, sf_dir))
+
+
+@query("op11_conversation_repair", REPAIR_SQL)
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query("op12_boundary_bpe")
+def op12_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return boundary_bpe.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op13_spelling_variants", VARIANTS_SQL)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(documents(spark, sf_dir))
