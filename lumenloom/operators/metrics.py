@@ -18,7 +18,9 @@ DEFAULT_PERIOD = 60  # fixed value: period in seconds of a query that names none
 
 
 def fill_statistics(df: DataFrame) -> DataFrame:
-    """A datum with only a value counts as one sample of it."""
+    """A datum with only a value counts as one sample of it; data without a unit column have none."""
+    if "unit" not in df.columns:
+        df = df.withColumn("unit", F.lit(None).cast("string"))
     scalar = (F.coalesce("sample_count", F.lit(0.0)) == 0) & (F.coalesce("sum", F.lit(0.0)) == 0)
     value = F.col("value")
     return df.withColumns(
