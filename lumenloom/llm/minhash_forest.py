@@ -4,9 +4,9 @@ Each distinct shingle set is one representative, so copies cost one row each. A
 ``trees * depth`` minima is read as several sorted orders, one per tree. In a tree, representatives
 that share the first ``base`` minima form a region. A region with more than ``region`` members is
 read one minimum deeper, and so on, so depth adapts to how crowded the place is; inside a region
-neighbours in sorted order, which share the longest prefixes, become candidates. At every level
-where a region had to be split, its members are also paired with the region's most central member,
-so splitting cannot cut a star of near copies around one original. Links are confirmed on full sets.
+neighbours in sorted order, which share the longest prefixes, become candidates. The members of a
+region that had to be split are also paired with its most central member, so in no tree splitting
+cuts a star of near copies around one original. Links are confirmed on full sets.
 
 Splitting raises the chance that a pair is missed, and members of one template share minima without
 being alike. So all members of crowded regions are joined once more without chance: the shingles of a
@@ -102,8 +102,9 @@ def candidates(reps: DataFrame, base: int) -> tuple[DataFrame, DataFrame]:
     )
     levels = deeper.groupBy("key").agg(F.count("*").alias("size"))
     deeper = written(deeper.join(levels, "key"), "levels")
+    # one hub a region, where it first splits: deeper regions would name the same hubs again and again
     central = deeper.where(F.col("level") == DEPTH).groupBy("rep").agg(F.sum("size").alias("weight"))
-    crowded = deeper.where(F.col("size") > REGION).select("rep", "key").join(central, "rep")
+    crowded = forest.where(F.col("size") > REGION).select("rep", "key").join(central, "rep")
     hubs = crowded.groupBy("key").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("hub"))
     spokes = crowded.join(hubs, "key").where("rep <> hub").select("rep", "hub")
     spokes = spokes.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
