@@ -149,8 +149,9 @@ def stream_fifo_dedup(spark, d):
 def stream_cdc(spark, d):
     path = shared_dir(spark, "cdc")
     orders = _stream(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
-    runs.finish(stateful.stream_cdc(orders, ["o_custkey"], "o_orderkey", path, 5000), spark, "cdc")
-    return spark.read.parquet(f"{path}/events").select(
+    runs.finish(stateful.stream_cdc(orders, ["o_custkey"], "o_orderkey", path, 1_000_000), spark, "cdc")
+    events = stateful.latest_events(spark.read.parquet(f"{path}/events"), ["o_custkey"], "o_orderkey")
+    return events.select(
         "o_custkey",
         "o_orderkey",
         "event_name",
@@ -164,7 +165,7 @@ def stream_device_state(spark, d):
     path = shared_dir(spark, "devices")
     writer = stateful.stream_device_state(patch_rows(_stream(spark, d, "events")), path)
     runs.finish(writer, spark, "devices")
-    return devices.merge_state(runs.latest_batch(spark, f"{path}/patches"))
+    return devices.merge_state(spark.read.parquet(f"{path}/patches"))
 
 
 @query(

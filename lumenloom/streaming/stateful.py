@@ -1,27 +1,27 @@
 """Stateful streams: period statistics, first-accepted rows, change images, device state.
 
-Statistics use Spark's own state. De-duplication, change images and device state run
-the batch operators per micro-batch, so that a hot key spreads there as well, and keep
-their state as a table. Device documents with version checks depend on every patch
-before and use transformWithState; a trigger limit (maxFilesPerTrigger) bounds what
-one device can bring into a micro-batch.
+All state is Spark's own, in its state store. Statistics and device state are aggregates, which combine
+before the shuffle, so a busy key stays cheap. De-duplication and change images follow an order within a
+key; their state is a map per key, cut into chunks of the order, of which a row touches its neighbours
+only. What one key brings into a micro-batch is sorted in one task: a trigger limit (maxFilesPerTrigger)
+bounds it.
 """
 
 from __future__ import annotations
 
+import bisect
 import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from lumenloom.operators.changes import WINDOW_SECONDS, cdc_images, fifo_dedup, upsert_latest
-from lumenloom.operators.devices import compact_patches, state_versions
+from lumenloom.operators.changes import VIEWS, WINDOW_SECONDS
+from lumenloom.operators.devices import state_versions
 from lumenloom.operators.metrics import fill_statistics
-from lumenloom.operators.ordered import by_width
 
 
 def stream_metrics(sdf: DataFrame, ts: str, period: int, delay: str, keys: list[str] = ()) -> DataFrame:
@@ -51,22 +51,107 @@ def stream_metrics(sdf: DataFrame, ts: str, period: int, delay: str, keys: list[
     )
 
 
-# ── streams over the batch operators, with their state as a table ────────────────
+# ── outputs of a micro-batch ─────────────────────────────────────────────────────
 
 
-def _state_path(base: str, batch_id: int) -> str:
+def _batch_path(base: str, batch_id: int) -> str:
     return f"{base}/batch={batch_id}"
 
 
-def _read_state(spark, base: str, batch_id: int, schema: T.StructType) -> DataFrame:
-    """The state after the batch before, empty for the first one."""
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(_state_path(base, batch_id - 1))
+def _split_writer(sdf: DataFrame, path: str, name: str):
+    """A writer of rows below path/``name`` and, where ``_late`` is true, below path/late.
 
+    A batch that runs again replaces its folders.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # two folders from one run of the operator
+        for place, some in ((name, ~F.col("_late")), ("late", F.col("_late"))):
+            batch.where(some).drop("_late").write.mode("overwrite").parquet(_batch_path(f"{path}/{place}", batch_id))
+        batch.unpersist()
+
+    return sdf.writeStream.foreachBatch(write)
+
+
+# ── first accepted rows ──────────────────────────────────────────────────────────
 
-def _plain(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+def _nulls_first(values) -> tuple:
+    return tuple((v is not None, v) for v in values)
+
+
+class _FirstAccepted(StatefulProcessor):
+    """State: the accepted times of a key, in microseconds, per chunk of one window.
+
+    Two accepted times are a window apart at least, so a chunk holds one, and whether a row is accepted
+    depends on its own chunk and the two beside it.
+    """
+
+    def __init__(self, window: int, columns: list[str], expires: bool) -> None:
+        self.window, self.columns, self.expires = window, columns, expires
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.chunks = handle.getMapState("accepted", "chunk bigint", "times array<bigint>")
+
+    def _times(self, chunk: int) -> list[int]:
+        return list(self.chunks.getValue((chunk,))[0]) if self.chunks.containsKey((chunk,)) else []
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        firsts: dict = {}
+        for row in rows:
+            t, order = row["_t"], _nulls_first(row["_order"])
+            if t not in firsts or order < firsts[t][0]:
+                firsts[t] = order, row
+        known: dict = {}
+        changed: set = set()
+        final = timerValues.getCurrentWatermarkInMs() * 1000 if self.expires else None
+        for t in sorted(firsts, key=lambda t: (t is not None, t)):
+            # rows without a time are one instant of their key, in a chunk of their own
+            chunk = t // self.window if t is not None else None
+            near = [chunk - 1, chunk, chunk + 1] if t is not None else [_NO_TIME]
+            for c in near:
+                if c not in known:
+                    known[c] = self._times(c)
+            if t is None:
+                if not known[_NO_TIME]:
+                    known[_NO_TIME] = [0]
+                    changed.add(_NO_TIME)
+                    yield self._out(firsts[t][1], False)
+                continue
+            if final is not None and t < final:
+                yield self._out(firsts[t][1], True)
+                continue
+            accepted = [a for c in near for a in known[c]]
+            if any(a <= t < a + self.window for a in accepted):
+                continue  # a repeat
+            if any(t < a < t + self.window for a in accepted):
+                # a later row was accepted that this one would have shadowed
+                yield self._out(firsts[t][1], True)
+                continue
+            known[chunk] = sorted([*known[chunk], t])
+            changed.add(chunk)
+            yield self._out(firsts[t][1], False)
+        for c in changed:
+            self.chunks.updateValue((c,), (known[c],))
+            gone = (c + 2) * (self.window // 1000)  # milliseconds: a window after the chunk has ended
+            if self.expires and c != _NO_TIME and gone > 0:
+                self.handle.registerTimer(gone)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        chunk = expiredTimerInfo.getExpiryTimeInMs() // (self.window // 1000) - 2
+        if self.chunks.containsKey((chunk,)):
+            self.chunks.removeKey((chunk,))
+        return iter([])
+
+    def _out(self, row: Row, late: bool) -> Row:
+        return Row(**{c: row[c] for c in self.columns}, _late=late)
+
+    def close(self) -> None:
+        pass
+
+
+_NO_TIME = -(1 << 62)
 
 
 def stream_fifo_dedup(
@@ -78,40 +163,156 @@ def stream_fifo_dedup(
     tie: list[str] = (),
     keep_seconds: int | None = None,
 ):
-    """A writer of first-accepted rows below path/rows.
+    """A writer of first-accepted rows below path/rows, and of rows that came too late below path/late.
 
-    Each micro-batch drops what the last accepted row of a key still shadows, runs
-    the batch operator on the rest (so a hot key spreads over tasks) and saves the
-    last accepted time per key below path/state. ``keep_seconds`` is how far behind
-    the newest accepted row a key is remembered (for ever unless given); it has to exceed
-    the window by the lateness to expect. A batch that runs again replaces its folders.
+    A row is a repeat if it is within ``seconds`` after an accepted row of its key. Rows may come in any
+    order: a late one is accepted where no accepted row is near, as the batch twin would. It is too late,
+    and no more than reported, where it would have shadowed a row that is out already, or where it is more
+    than ``keep_seconds`` behind the newest row of the stream: then what was accepted around it is
+    forgotten, chunk by chunk, when the watermark has passed. Without ``keep_seconds`` nothing is forgotten.
     """
-    spark = sdf.sparkSession
-    state_schema = _plain(
-        T.StructType([*[sdf.schema[k] for k in keys], T.StructField("_accepted", sdf.schema[ts].dataType)])
+    columns = sdf.columns
+    order = F.struct(*tie) if tie else F.struct(F.xxhash64(*columns).alias("h"))
+    time = F.col(ts).cast("timestamp")
+    rows = sdf.select(*columns, F.unix_micros(time).alias("_t"), order.alias("_order"), time.alias("_clock"))
+    if keep_seconds is not None:
+        rows = rows.withWatermark("_clock", f"{keep_seconds} seconds")
+    # the clock stays behind: of rows that carry it, Spark would drop the late ones before anybody sees them
+    rows = rows.drop("_clock")
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in sdf.schema), T.StructField("_late", T.BooleanType())])
+    processor = _FirstAccepted(seconds * 1_000_000, columns, keep_seconds is not None)
+    decided = rows.groupBy(*keys).transformWithState(
+        processor, schema, outputMode="Append", timeMode="None" if keep_seconds is None else "EventTime"
     )
+    return _split_writer(decided, path, "rows")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        state = _read_state(spark, f"{path}/state", batch_id, state_schema)
-        open_again = F.col("_accepted") + F.make_dt_interval(secs=F.lit(float(seconds)))
-        fresh = batch.join(state, keys, "left").where(
-            F.col("_accepted").isNull() | (F.col(ts) >= open_again)
+
+# ── change images ────────────────────────────────────────────────────────────────
+
+
+def _as_state(value, kind: T.DataType):
+    """A value of a row as state takes it: structs as tuples, at any depth."""
+    if value is None:
+        return None
+    if isinstance(kind, T.StructType):
+        parts = [value[n] for n in kind.names] if isinstance(value, dict) else value
+        return tuple(_as_state(v, f.dataType) for v, f in zip(parts, kind.fields))
+    if isinstance(kind, T.ArrayType):
+        return [_as_state(v, kind.elementType) for v in value]
+    return value
+
+
+def _as_output(value, kind: T.DataType):
+    """A value of the state as rows take it: structs as dicts, at any depth."""
+    if value is None:
+        return None
+    if isinstance(kind, T.StructType):
+        return {f.name: _as_output(v, f.dataType) for v, f in zip(value, kind.fields)}
+    if isinstance(kind, T.ArrayType):
+        return [_as_output(v, kind.elementType) for v in value]
+    return value
+
+
+class _Versions(StatefulProcessor):
+    """State: the versions of a key in order, per chunk of sequence numbers, and the highest number."""
+
+    def __init__(self, names: list[str], image: T.StructType, width: int, keep: int | None, view: str) -> None:
+        self.names, self.image, self.width, self.keep, self.view = names, image, width, keep, VIEWS[view]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        version = T.StructType(
+            [
+                T.StructField("seq", T.LongType()),
+                T.StructField("gone", T.BooleanType()),
+                T.StructField("revision", T.IntegerType()),
+                T.StructField("shown", T.BooleanType()),
+                T.StructField("image", self.image),
+            ]
         )
-        taken = fifo_dedup(fresh.select(*batch.columns), keys, ts, seconds, tie)
-        rows = _state_path(f"{path}/rows", batch_id)
-        taken.write.mode("overwrite").parquet(rows)
-        # the saved rows are read back, so the operator runs once per batch
-        done = spark.read.schema(_plain(batch.schema)).parquet(rows)
-        seen = state.unionByName(done.select(*keys, F.col(ts).alias("_accepted")))
-        latest = seen.groupBy(*keys).agg(F.max("_accepted").alias("_accepted"))
-        if keep_seconds:
-            micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-            newest = done.agg(F.max(micros(ts))).first()[0]
-            if newest is not None:
-                latest = latest.where(micros("_accepted") >= newest - keep_seconds * 1_000_000)
-        latest.write.mode("overwrite").parquet(_state_path(f"{path}/state", batch_id))
+        self.versions = T.ArrayType(version)
+        held = T.StructType([T.StructField("versions", self.versions)])
+        self.chunks = handle.getMapState("versions", "chunk bigint", held)
+        self.top = handle.getValueState("top", "seq bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        top = self.top.get()[0] if self.top.exists() else None
+        oldest = None if self.keep is None or top is None else top - self.keep
+        rows = sorted(rows, key=lambda r: r["_seq"])
+        # versions that come in order touch the last chunk only
+        in_order = top is None or rows[0]["_seq"] > top
+        places = sorted(k[0] for k in self.chunks.keys()) if not in_order else [] if top is None else [top // self.width]
+        known: dict = {}
+        changed, fresh = set(), set()
+
+        def chunk(c: int) -> list:
+            if c not in known:
+                at = bisect.bisect_left(places, c)
+                held = at < len(places) and places[at] == c
+                known[c] = [list(v) for v in _as_state(self.chunks.getValue((c,))[0], self.versions)] if held else []
+                if not held:
+                    bisect.insort(places, c)
+            return known[c]
+
+        def neighbour(c: int, i: int, step: int) -> list | None:
+            """The version before (-1) or after (1) place ``i`` of chunk ``c``, and where it is."""
+            if 0 <= i + step < len(chunk(c)):
+                return [c, chunk(c)[i + step]]
+            at = bisect.bisect_left(places, c) + step
+            while 0 <= at < len(places):
+                if chunk(places[at]):
+                    return [places[at], chunk(places[at])[-1 if step < 0 else 0]]
+                at += step
+            return None
+
+        for row in rows:
+            seq, image = row["_seq"], _as_state(row["_image"], self.image)
+            if oldest is not None and seq < oldest:
+                yield self._out(key, seq, None, image, None, 0, True)
+                continue
+            c = seq // self.width
+            versions = chunk(c)
+            at = bisect.bisect_left([v[0] for v in versions], seq)
+            if at < len(versions) and versions[at][0] == seq:
+                continue  # a number names one version: this one has come before
+            versions.insert(at, [seq, bool(row["_gone"]), 0, False, image])
+            changed.add(c)
+            fresh.add(seq)
+        # what has to be told: new versions, and old ones whose predecessor is new
+        told = {}
+        for c in sorted(changed):
+            for i, v in enumerate(chunk(c)):
+                if v[0] in fresh:
+                    told[v[0]] = c, v, neighbour(c, i, -1)
+                    after = neighbour(c, i, 1)
+                    if after and after[1][0] not in fresh:
+                        told[after[1][0]] = after[0], after[1], [c, v]
+        for seq in sorted(told):
+            c, v, before = told[seq]
+            old = None if before is None or before[1][1] else before[1][4]
+            name = "REMOVE" if v[1] else "INSERT" if old is None else "MODIFY"
+            is_new, shown = seq in fresh, not (name == "REMOVE" and old is None)
+            if shown or v[3]:
+                v[2] += not is_new
+                new = None if v[1] or not shown or not self.view[0] else v[4]
+                yield self._out(key, seq, name if shown else None, new, old if shown and self.view[1] else None, v[2], False)
+            v[3] = shown
+            changed.add(c)
+        for c in changed:
+            self.chunks.updateValue((c,), ([tuple(v) for v in known[c]],))
+        if fresh and (top is None or max(fresh) > top):
+            before, top = top, max(fresh)
+            self.top.update((top,))
+            if self.keep is not None and (before is None or before // self.width < top // self.width):
+                for c in [k[0] for k in self.chunks.keys()]:
+                    if (c + 1) * self.width <= top - self.keep:
+                        self.chunks.removeKey((c,))
+
+    def _out(self, key, seq, name, new, old, revision: int, late: bool) -> Row:
+        images = (_as_output(x, self.image) for x in (new, old))
+        return Row(**dict(zip(self.names, (*key, seq, name, *images, revision, late))))
 
-    return sdf.writeStream.foreachBatch(write)
+    def close(self) -> None:
+        pass
 
 
 def stream_cdc(
@@ -121,52 +322,75 @@ def stream_cdc(
     path: str,
     width: int,
     view: str = "NEW_AND_OLD_IMAGES",
+    deleted: Column | None = None,
+    keep: int | None = None,
 ):
-    """A writer of change events (with images) below path/events.
+    """A writer of change events (with images) below path/events, and of versions too late below path/late.
+
+    A row is a version of its key, ``seq`` its whole number, ``deleted`` whether it is a removal. Versions
+    may come in any order. One that comes late gives its event, and the version behind it, whose old image
+    has changed, another one with the next ``revision``; if nothing is left to tell (the removal of what is
+    not there) its event name is null. So per key and seq the event of the highest revision is that of
+    the batch twin. A number that comes again is ignored. Versions are kept in chunks of ``width`` numbers;
+    ``keep`` is how many numbers behind the highest a version may be, for ever unless given.
+    """
+    images = [c for c in sdf.columns if c not in keys]
+    gone = deleted if deleted is not None else F.lit(False)
+    rows = sdf.select(*keys, F.col(seq).cast("bigint").alias("_seq"), F.coalesce(gone, F.lit(False)).alias("_gone"), F.struct(*images).alias("_image"))
+    image = T.StructType([T.StructField(c, sdf.schema[c].dataType) for c in images])
+    schema = T.StructType(
+        [
+            *(T.StructField(k, sdf.schema[k].dataType) for k in keys),
+            T.StructField(seq, T.LongType()),
+            T.StructField("event_name", T.StringType()),
+            T.StructField("new_image", image),
+            T.StructField("old_image", image),
+            T.StructField("revision", T.IntegerType()),
+            T.StructField("_late", T.BooleanType()),
+        ]
+    )
+    events = rows.groupBy(*keys).transformWithState(
+        _Versions(schema.names, image, width, keep, view), schema, outputMode="Append", timeMode="None"
+    )
+    return _split_writer(events, path, "events")
 
-    The last version of every key is a table below path/state. A micro-batch puts it
-    in front of its rows, runs the batch operator, which cuts keys into ranges of
-    ``width`` sequence numbers, and saves the new last versions.
+
+def latest_events(events: DataFrame, keys: list[str], seq: str) -> DataFrame:
+    """The events that hold in the end: the highest revision of each version, without withdrawn ones."""
+    row = F.struct(*[F.col(c) for c in events.columns if c not in (*keys, seq)])
+    last = events.groupBy(*keys, seq).agg(F.max_by(row, "revision").alias("_row"))
+    return last.select(*keys, seq, "_row.*").where("event_name IS NOT NULL").select(*events.columns)
+
+
+# ── device state ─────────────────────────────────────────────────────────────────
+
+
+def stream_device_state(sdf: DataFrame, path: str):
+    """A writer of device state: the entries a micro-batch touches, below path/patches.
+
+    State is one entry per (device, section, key), the patch with the highest sequence, so a patch writes its
+    own entries however many devices and entries there are; patches may come in any order. A null key
+    stands for its whole section, as in a patch. ``merge_state`` over all folders is the state.
     """
-    spark = sdf.sparkSession
-    schema = _plain(sdf.schema)
+    latest = sdf.groupBy("device", "section", "key").agg(
+        F.max_by(F.struct("value"), "seq").alias("_value"), F.max("seq").alias("seq")
+    )
+    entries = latest.select("device", "seq", "section", "key", F.col("_value.value").alias("value"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        state = _read_state(spark, f"{path}/state", batch_id, schema)
-        known = state.join(batch.select(*keys).distinct(), keys, "left_semi")
-        versions = cdc_images(known.unionByName(batch), keys, seq, by_width(seq, width), view)
-        # versions already known only give the first old images, they are no events
-        before = known.select(*keys, F.col(seq).alias("_seq"))
-        events = versions.join(before, keys, "left").where(
-            F.col("_seq").isNull() | (F.col(seq) > F.col("_seq"))
-        )
-        events.drop("_seq").write.mode("overwrite").parquet(_state_path(f"{path}/events", batch_id))
-        latest = upsert_latest(state, batch, keys, seq)
-        latest.write.mode("overwrite").parquet(_state_path(f"{path}/state", batch_id))
+        batch.write.mode("overwrite").parquet(_batch_path(f"{path}/patches", batch_id))
 
-    return sdf.writeStream.foreachBatch(write)
+    return entries.writeStream.outputMode("update").foreachBatch(write)
 
 
-def stream_device_state(sdf: DataFrame, path: str):
-    """A writer of device state, as the patch rows that still matter, below path/patches.
+def stream_device_versions(sdf: DataFrame, path: str):
+    """A writer of how many patches a micro-batch had per device, below path/versions; their sum is the version.
 
-    Every micro-batch joins its patches to those kept so far and keeps the last one
-    per key, an aggregate that stays cheap for a busy device. ``merge_state`` over the
-    newest folder is the state; path/versions counts the patches of every device.
+    The rows of one patch have to come together.
     """
-    spark = sdf.sparkSession
-    schema = _plain(sdf.select("device", "seq", "section", "key", "value").schema)
-    counts = T._parse_datatype_string("device string, version bigint")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = _read_state(spark, f"{path}/patches", batch_id, schema)
-        merged = compact_patches(kept.unionByName(batch.select(*schema.fieldNames())))
-        merged.write.mode("overwrite").parquet(_state_path(f"{path}/patches", batch_id))
-        before = _read_state(spark, f"{path}/versions", batch_id, counts)
-        total = before.unionByName(state_versions(batch)).groupBy("device")
-        total.agg(F.sum("version").alias("version")).write.mode("overwrite").parquet(
-            _state_path(f"{path}/versions", batch_id)
-        )
+        state_versions(batch).write.mode("overwrite").parquet(_batch_path(f"{path}/versions", batch_id))
 
     return sdf.writeStream.foreachBatch(write)
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import time
 
 import pytest
@@ -85,16 +86,53 @@ def test_metrics_drop_what_comes_past_the_watermark(spark, feed):
     assert got == {0: (2.0, 4.0, 2.0, 1.0, 3.0), 180: (2.0, 10.0, 5.0, 1.0, 9.0)}
 
 
+def stored(spark, checkpoint, variable):
+    """What Spark's state store holds at the end, by key."""
+    return spark.read.format("statestore").option("stateVarName", variable).load(str(checkpoint))
+
+
+def finish(writer, checkpoint):
+    writer.option("checkpointLocation", str(checkpoint)).trigger(availableNow=True).start().awaitTermination()
+
+
+def seconds(df):
+    return sorted((r.k, r.s) for r in df.collect())
+
+
 def test_deduplication_remembers_across_batches(spark, feed, tmp_path):
     times = [[0, 100, 299], [301, 500, 600], [], [601, 602, 90], [5000]]
     batches = [[("a", t, i) for i, t in enumerate(b)] + ([("b", 100, 9)] if n == 1 else []) for n, b in enumerate(times) if b]
     sdf = feed(batches, "k string, s long, i int").withColumn("ts", F.timestamp_seconds("s"))
     path = str(tmp_path / "out")
-    runs.finish(stateful.stream_fifo_dedup(sdf, ["k"], "ts", path, 300, ["i"], keep_seconds=3000), spark, "f")
-    got = sorted((r.k, r.s) for r in spark.read.parquet(f"{path}/rows").collect())
+    finish(stateful.stream_fifo_dedup(sdf, ["k"], "ts", path, 300, ["i"], keep_seconds=3000), tmp_path / "ck")
+    got = seconds(spark.read.parquet(f"{path}/rows"))
     assert got == [("a", 0), ("a", 301), ("a", 601), ("a", 5000), ("b", 100)]
-    state = runs.latest_batch(spark, f"{path}/state")
-    assert [r.k for r in state.collect()] == ["a"]  # b is past what is kept
+    state = stored(spark, tmp_path / "ck", "accepted").select("key.k")
+    assert {r.k for r in state.collect()} == {"a"}  # b is past what is kept
+
+
+def test_late_rows_are_accepted_as_in_one_batch(spark, feed, tmp_path):
+    """Rows far behind what is accepted are accepted; one that would have shadowed such a row is reported."""
+    batches = [[("a", 10000, 0), ("n", None, 1)], [("a", 100, 2), ("a", 399, 3), ("n", None, 4)], [("a", 9800, 5), ("a", 9700, 6), ("a", 10299, 7)]]
+    sdf = feed(batches, "k string, s long, i int").withColumn("ts", F.timestamp_seconds("s"))
+    path = str(tmp_path / "out")
+    finish(stateful.stream_fifo_dedup(sdf, ["k"], "ts", path, 300, ["i"]), tmp_path / "ck")
+    got, late = (spark.read.parquet(f"{path}/{x}") for x in ("rows", "late"))
+    assert seconds(got.where("s IS NOT NULL")) == [("a", 100), ("a", 9700), ("a", 10000)]
+    assert [(r.k, r.i) for r in got.where("s IS NULL").collect()] == [("n", 1)]
+    assert seconds(late) == []
+    whole = spark.createDataFrame([r for b in batches for r in b], "k string, s long, i int").withColumn("ts", F.timestamp_seconds("s"))
+    assert sorted(r.i for r in changes.fifo_dedup(whole, ["k"], "ts", 300, ["i"]).collect()) == sorted(r.i for r in got.collect())
+
+
+def test_rows_that_come_too_late_are_told(spark, feed, tmp_path):
+    batches = [[("a", 10000), ("b", 20000)], [("a", 9800)], [("a", 30000)], [("a", 100), ("a", 29000), ("c", 50)]]
+    sdf = feed(batches, "k string, s long").withColumn("ts", F.timestamp_seconds("s"))
+    path = str(tmp_path / "out")
+    finish(stateful.stream_fifo_dedup(sdf, ["k"], "ts", path, 300, keep_seconds=2000), tmp_path / "ck")
+    assert seconds(spark.read.parquet(f"{path}/rows")) == [("a", 10000), ("a", 29000), ("a", 30000), ("b", 20000)]
+    # 9800 is behind the watermark of its batch already, as are 100 and 50 later
+    assert seconds(spark.read.parquet(f"{path}/late")) == [("a", 100), ("a", 9800), ("c", 50)]
 
 
 def test_change_stream_equals_the_batch_twin(spark, feed, tmp_path):
@@ -110,23 +148,73 @@ def test_change_stream_equals_the_batch_twin(spark, feed, tmp_path):
     assert key(got) == key(twin) and len(key(got)) == 6
 
 
+VERSION = "k string, seq long, v string, gone boolean"
+
+
+@pytest.mark.parametrize("width", [1, 3, 100])
+def test_late_versions_and_removals_equal_the_batch_twin(spark, feed, tmp_path, width):
+    """Versions in any order over four micro-batches, with removals before and behind them, and repeats."""
+    r = random.Random(width)
+    versions = [(k, s, f"{k}{s}", r.random() < 0.3) for k in "abc" for s in r.sample(range(20), 12)] + [("d", 5, None, True)]
+    r.shuffle(versions)
+    batches = [versions[i::4] for i in range(4)]
+    batches[2] += versions[:3]  # come again
+    path = str(tmp_path / "out")
+    writer = stateful.stream_cdc(feed(batches, VERSION), ["k"], "seq", path, width, deleted=F.col("gone"))
+    finish(writer, tmp_path / "ck")
+    whole = spark.createDataFrame(versions, VERSION)
+    columns = ["k", "seq", "event_name", "new_image.v", "old_image.v"]
+    twin = changes.cdc_images(whole, ["k"], "seq", F.floor(F.col("seq") / 2), deleted=F.col("gone"))
+    events = spark.read.parquet(f"{path}/events")
+    got = stateful.latest_events(events, ["k"], "seq")
+    key = lambda df: sorted((tuple(x) for x in df.select(*columns).collect()), key=lambda x: x[:2])
+    assert key(got) == key(twin)
+    assert events.where("revision > 0").count() > 0
+    assert spark.read.parquet(f"{path}/late").count() == 0
+
+
+def test_versions_past_what_is_kept_are_told(spark, feed, tmp_path):
+    batches = [[("a", 1, "x", False), ("a", 50, "y", False)], [("a", 2, "late", False), ("a", 45, "back", False), ("a", 51, "z", False)]]
+    path = str(tmp_path / "out")
+    finish(stateful.stream_cdc(feed(batches, VERSION), ["k"], "seq", path, 5, "NEW_IMAGE", keep=10), tmp_path / "ck")
+    events = spark.read.parquet(f"{path}/events")
+    assert sorted((r.seq, r.event_name, r.revision, r.new_image.v, r.old_image) for r in events.collect()) == [
+        (1, "INSERT", 0, "x", None), (45, "INSERT", 0, "back", None), (50, "MODIFY", 0, "y", None), (50, "MODIFY", 1, "y", None), (51, "MODIFY", 0, "z", None),
+    ]
+    assert [(r.seq, r.new_image.v) for r in spark.read.parquet(f"{path}/late").collect()] == [(2, "late")]
+    kept = stored(spark, tmp_path / "ck", "versions").selectExpr("user_map_key.chunk AS c")
+    assert min(r.c for r in kept.collect()) >= 8
+
+
 PATCH = "device string, seq long, section string, key string, value string"
 
 
 def test_device_state_stream(spark, feed, tmp_path, rows):
     data = [
         [("d", 1, "desired", "a", "1"), ("d", 2, "desired", "b", "2"), ("e", 1, "reported", "x", "1")],
-        [("d", 3, "desired", "a", None), ("e", 2, "reported", None, None)],
-        [("d", 4, "desired", "a", "back"), ("e", 3, "reported", "y", "2")],
+        [("d", 4, "desired", "a", "back"), ("e", 2, "reported", None, None)],
+        [("d", 3, "desired", "a", None), ("e", 3, "reported", "y", "2")],  # 3 comes after 4
     ]
     path = str(tmp_path / "out")
     runs.finish(stateful.stream_device_state(feed(data, PATCH), path), spark, "s")
-    state = devices.merge_state(runs.latest_batch(spark, f"{path}/patches"))
+    patches = spark.read.parquet(f"{path}/patches")
     whole = spark.createDataFrame([r for b in data for r in b], PATCH)
-    assert rows(state) == rows(devices.merge_state(whole)) == [
+    assert rows(devices.merge_state(patches)) == rows(devices.merge_state(whole)) == [
         ("d", "desired", "a", "back"), ("d", "desired", "b", "2"), ("e", "reported", "y", "2"),
     ]
-    assert rows(runs.latest_batch(spark, f"{path}/versions")) == [("d", 4), ("e", 3)]
+    # a micro-batch writes the entries it touches, and no others
+    written = patches.groupBy("batch").agg(F.collect_set(F.concat_ws(".", "device", "section", "key")).alias("e"))
+    assert {r.batch: sorted(r.e) for r in written.collect()} == {
+        0: ["d.desired.a", "d.desired.b", "e.reported.x"], 1: ["d.desired.a", "e.reported"], 2: ["d.desired.a", "e.reported.y"],
+    }
+
+
+def test_device_versions_stream(spark, feed, tmp_path, rows):
+    data = [[("d", 1, "s", "a", "1"), ("d", 1, "s", "b", "1"), ("e", 1, "s", "a", "1")], [("d", 2, "s", "a", "2")]]
+    path = str(tmp_path / "out")
+    runs.finish(stateful.stream_device_versions(feed(data, PATCH), path), spark, "v")
+    total = spark.read.parquet(f"{path}/versions").groupBy("device").agg(F.sum("version"))
+    assert rows(total) == [("d", 2), ("e", 1)]
 
 
 def test_documents_refuse_a_wrong_version(spark, feed):
