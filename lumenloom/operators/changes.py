@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import islice, pairwise
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenloom.functions.collections import list_append
+from lumenloom.operators.firsts import WINDOW_SECONDS, fifo_dedup
 from lumenloom.operators.ordered import next_row, previous_row, row_numbers
 
+__all__ = ["VIEWS", "WINDOW_SECONDS", "apply_updates", "cdc_images", "content_id", "fifo_dedup", "upsert_latest", "versions", "with_old_image"]
+
 # View type -> (new image shown, old image shown).
 VIEWS = {
     "KEYS_ONLY": (False, False),
@@ -21,8 +19,6 @@ VIEWS = {
     "NEW_AND_OLD_IMAGES": (True, True),
 }
 
-WINDOW_SECONDS = 300  # fixed value: how long an accepted message shadows its repeats
-
 
 def with_old_image(df: DataFrame, keys: list[str], seq: str, chunk: Column, deleted: Column | None = None) -> DataFrame:
     """Adds ``old_image``: the previous version of the row's key, null if there was none
@@ -128,170 +124,6 @@ def versions(df: DataFrame, keys: list[str], ts: str, chunk: Column) -> DataFram
     return ended.withColumn("is_current", F.col("valid_to").isNull())
 
 
-# ── first-accepted de-duplication ────────────────────────────────────────────────
-
-
-def _sorted_groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-    """(key, chunk, known, times) per chunk, of rows that come sorted by key, chunk and time."""
-    current, known, parts = None, None, []
-    for pdf in batches:
-        if not len(pdf):
-            continue
-        keys, chunks, times, others = (pdf[c].to_numpy() for c in ("_k", "_chunk", "_t", "_known"))
-        cuts = np.flatnonzero((keys[1:] != keys[:-1]) | (chunks[1:] != chunks[:-1])) + 1
-        for a, b in pairwise([0, *cuts.tolist(), len(pdf)]):
-            if (keys[a], chunks[a]) != current:
-                if parts:
-                    yield *current, known, np.concatenate(parts)
-                current, known, parts = (keys[a], chunks[a]), others[a], []
-            parts.append(times[a:b])
-    if parts:
-        yield *current, known, np.concatenate(parts)
-
-
-def _frames(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
-    while some_rows := list(islice(rows, 10_000)):
-        yield pd.DataFrame(some_rows, columns=columns)
-
-
-def _exit_steps(window: int):
-    """A chunk as a step function: entry threshold -> time accepted last in the chunk."""
-
-    def steps(chunks: Iterator[tuple]) -> Iterator[tuple]:
-        for key, chunk, start, times in chunks:
-            follower = np.searchsorted(times, times + window, side="left")
-            # a chunk is entered at its first time past the threshold, and thresholds
-            # end one window after its start: only these heads can be accepted first
-            heads = np.searchsorted(times, start + window, side="left")
-            place = np.arange(min(heads + 1, len(times)))
-            while (moving := follower[place] < len(times)).any():
-                place[moving] = follower[place[moving]]
-            exits = times[place]
-            # neighbours with the same exit are one step, named by their last threshold
-            for i in np.flatnonzero(np.append(exits[1:] != exits[:-1], True)):
-                yield key, chunk, times[i], exits[i]
-
-    return lambda batches: _frames(steps(_sorted_groups(batches)), ["_k", "_chunk", "_upto", "_exit"])
-
-
-def _walk_chunks(window: int):
-    """Tells every chunk the last time accepted before it, null if there is none.
-
-    Reads steps sorted by key, chunk and threshold and remembers one key at a time.
-    """
-
-    def run(batches):
-        key = chunk = accepted = None
-        threshold, entered = -np.inf, False
-        for pdf in batches:
-            out = []
-            for k, c, upto, exit_time in pdf.itertuples(index=False):
-                if k != key:
-                    key, chunk, accepted = k, None, None
-                if c != chunk:
-                    chunk, entered = c, False
-                    threshold = -np.inf if accepted is None else accepted + window
-                    out.append((k, c, accepted))
-                if not entered and upto >= threshold:
-                    accepted, entered = exit_time, True
-            frame = pd.DataFrame(out, columns=["_k", "_chunk", "_known"])
-            frame["_known"] = frame["_known"].astype("Int64")
-            yield frame
-
-    return run
-
-
-def _accepted_times(window: int):
-    """The times a chunk accepts, given the last one accepted before it."""
-
-    def accepted(chunks: Iterator[tuple]) -> Iterator[tuple]:
-        for key, _, before, times in chunks:
-            at = 0 if pd.isna(before) else np.searchsorted(times, int(before) + window, side="left")
-            while at < len(times):
-                yield key, times[at]
-                at = np.searchsorted(times, times[at] + window, side="left")
-
-    return lambda batches: _frames(accepted(_sorted_groups(batches)), ["_k", "_t"])
-
-
-def _by_chunk(times: DataFrame) -> DataFrame:
-    """Rows of a chunk in one task and in time order.
-
-    A window asks for this by itself. A repartition would not do: the planner drops
-    it over a join that already has the right layout, and may then split that join.
-    """
-    place = Window.partitionBy("_k", "_chunk").orderBy("_t")
-    return times.select("_k", "_chunk", "_t", "_known", F.row_number().over(place).alias("_n"))
-
-
-def fifo_dedup(
-    df: DataFrame,
-    keys: list[str],
-    ts: str,
-    seconds: int = WINDOW_SECONDS,
-    tie: list[str] = (),
-    chunk_seconds: int = 3600,
-) -> DataFrame:
-    """Rows that are accepted: a repeat of a key within ``seconds`` of the accepted row
-
-    is dropped and does not extend the window. ``keys`` is the de-duplication id, with
-    the group if ids count per group. Among rows of one instant the first by ``tie``
-    (or by content) is taken.
-
-    Times without a neighbour inside the window are accepted by built-in functions.
-    The crowded rest is worked in chunks of time, so a key that holds most rows still
-    spreads: every chunk reports what it would accept last for any entry time, a walk
-    over these few steps tells each chunk where it really begins, and then each chunk
-    picks its times. Only distinct times of a key travel, in microseconds.
-    """
-    window = seconds * 1_000_000
-    span = max(chunk_seconds, seconds) * 1_000_000
-    key_text = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
-    timed = df.withColumn("_k", key_text).withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
-    times = timed.select("_k", "_t").distinct().withColumn(
-        "_chunk", ((F.col("_t") - F.pmod("_t", F.lit(span))) / span).cast("bigint")
-    )
-    alone, crowded = _by_neighbours(times, window)
-    steps = _by_chunk(crowded.withColumn("_known", F.col("_chunk") * span)).mapInPandas(
-        _exit_steps(window), "_k string, _chunk bigint, _upto bigint, _exit bigint"
-    )
-    before = (
-        steps.repartition("_k")
-        .sortWithinPartitions("_k", "_chunk", "_upto")
-        .mapInPandas(_walk_chunks(window), "_k string, _chunk bigint, _known bigint")
-    )
-    picked = _by_chunk(crowded.join(before, ["_k", "_chunk"])).mapInPandas(
-        _accepted_times(window), "_k string, _t bigint"
-    )
-    order = F.struct(*tie) if tie else F.xxhash64(*df.columns)
-    row = F.struct(*[F.col(c) for c in df.columns])
-    first = timed.groupBy("_k", "_t").agg(F.min_by(row, order).alias("_row"))
-    taken = alone.select("_k", "_t").unionByName(picked)
-    return first.join(taken, ["_k", "_t"], "left_semi").select("_row.*")
-
-
-def _by_neighbours(times: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """(times with no other time of their key inside the window, all others)."""
-    rows = Window.partitionBy("_k", "_chunk").orderBy("_t")
-    chunks = Window.partitionBy("_k").orderBy("_chunk")
-    edges = times.groupBy("_k", "_chunk").agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
-    edges = edges.select(
-        "_k",
-        "_chunk",
-        F.lag("_hi").over(chunks).alias("_before_chunk"),
-        F.lead("_lo").over(chunks).alias("_after_chunk"),
-    )
-    near = times.withColumns({"_prev": F.lag("_t").over(rows), "_next": F.lead("_t").over(rows)})
-    near = near.join(edges, ["_k", "_chunk"])
-    prev = F.coalesce("_prev", "_before_chunk")
-    following = F.coalesce("_next", "_after_chunk")
-    close = F.coalesce(F.col("_t") - prev < window, F.lit(False)) | F.coalesce(
-        following - F.col("_t") < window, F.lit(False)
-    )
-    marked = near.select("_k", "_chunk", "_t", close.alias("_close"))
-    return marked.where("NOT _close"), marked.where("_close").drop("_close")
-
-
 def content_id(body: Column) -> Column:
     """The de-duplication id of a message that brings none."""
     return F.md5(body)

@@ -37,9 +37,9 @@ def test_repeats_count_from_the_accepted_message(spark):
     assert accepted(stamped(spark, [("a", 0.0), ("a", 300.0), ("b", 100.0)])) == {"a": [0, 300], "b": [100]}
 
 
-@pytest.mark.parametrize(("spread", "chunk"), [(2_000, 300), (20_000, 300), (20_000, 3600), (200_000, 3600), (90_000, 86_400)])
-def test_chunks_agree_with_one_pass_per_key(spark, spread, chunk):
-    rng = random.Random(spread + chunk)
+@pytest.mark.parametrize(("spread", "tasks"), [(2_000, 40), (20_000, 40), (20_000, 7), (200_000, 150), (90_000, 1), (90_000, 3)])
+def test_tasks_agree_with_one_pass_per_key(spark, spread, tasks):
+    rng = random.Random(spread + tasks)
     pairs = [("hot", round(rng.uniform(-1000, spread), 3)) for _ in range(900)]
     pairs += [(f"k{rng.randrange(20)}", float(rng.randrange(spread))) for _ in range(400)]
     # a steady beat, whose chains from different starts never meet
@@ -48,7 +48,26 @@ def test_chunks_agree_with_one_pass_per_key(spark, spread, chunk):
     for k, t in pairs:
         want.setdefault(k, []).append(t)
     want = {k: greedy(v, 300) for k, v in want.items()}
-    assert accepted(stamped(spark, pairs), chunk_seconds=chunk) == want
+    assert accepted(stamped(spark, pairs), tasks=tasks) == want
+
+
+def test_one_key_of_nine_tenths_spreads_over_tasks(spark):
+    """A busy key in 120 tasks: the step functions are composed in a tree of two levels."""
+    rng = random.Random(1)
+    pairs = [("hot", t / 10) for t in rng.sample(range(200_000), 4_500)] + [(f"k{i % 50}", float(rng.randrange(20_000))) for i in range(500)]
+    times = {}
+    for k, t in pairs:
+        times.setdefault(k, []).append(t)
+    assert accepted(stamped(spark, pairs), tasks=120) == {k: greedy(v, 300) for k, v in times.items()}
+
+
+def test_close_keys_and_missing_times(spark):
+    """Keys a microsecond apart are two keys; a null is a key; rows without a time are one instant of their key."""
+    rows = [(0, 1, 1, 0), (1, 1, 2, 10), (0, 1, 3, 10), (None, 1, 4, 5), (None, 1, 5, 305), (None, 1, 6, 200), (0, 1, 7, None), (0, 1, 8, None), (0, 2, 9, 20), (1, 1, 10, None)]
+    df = spark.createDataFrame(rows, "k long, g int, i long, s long").select(F.timestamp_micros("k").alias("k"), "g", "i", F.timestamp_seconds("s").alias("ts"))
+    got = sorted(r.i for r in changes.fifo_dedup(df, ["k", "g"], "ts", 300, ["i"], tasks=5).collect())
+    assert got == [1, 2, 4, 5, 7, 9, 10]
+    assert changes.fifo_dedup(df.limit(0), ["k"], "ts").count() == 0
 
 
 def test_one_row_per_instant(spark):
