@@ -14,8 +14,9 @@ set are put in one order for all sets, rare ones first; two sets that are simila
 their first shingles (prefix filter). Pairs that are in one component by then need no test.
 
 Defined results: a null text, or one without words, has no shingles and stays alone. Repeated rows
-are copies. Rows with a null id are left out, since nothing can name them. Columns besides id and
-text are not read, whatever their names.
+are copies. Rows that share an id but not the text are documents of their own, and each is linked by
+its own text. A row with a null id stays alone, with a null component id, and is kept. Columns besides
+id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ def base_depth(similarity: float) -> int:
 def _signatures(words_each: int):
     a, b = tv.salts(TREES * DEPTH, 31), tv.salts(TREES * DEPTH, 32)
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sig", pa.binary())]
+        [("id", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sig", pa.binary())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,13 +70,13 @@ def _signatures(words_each: int):
                     h[0, full] = np.add.reduceat(sets, first)
                     h[1, full] = np.add.reduceat(tv.mix(sets ^ np.uint64(0x5851F42D4C957F2D)), first)
                 h = h.view(np.int64)
-                rows = [part.column("doc_id"), size, h[0], h[1], [r.tobytes() for r in sig]]
+                rows = [part.column("id"), part.column("doc_id"), size, h[0], h[1], [r.tobytes() for r in sig]]
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) if not isinstance(x, pa.Array) else x for x, f in zip(rows, schema)], schema=schema)
 
     return run
 
 
-_SIGNATURE_SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, sig binary"
+_SIGNATURE_SCHEMA = "id long, doc_id long, n_shingles long, h1 long, h2 long, sig binary"
 
 
 def _prefix(depth: Column | int) -> Column:
@@ -245,14 +246,15 @@ def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) -> DataFrame:
     """Component of every document under Jaccard >= percent / 100 of word shingles.
 
-    ``docs`` has doc_id and text. Returns doc_id, n_shingles, component_id (smallest id reachable)
-    and kept (true for that smallest id). Ids are expected to be distinct; rows that share an id
-    share its component.
+    ``docs`` has doc_id and text. Returns doc_id, n_shingles, component_id (smallest id reachable),
+    kept (true for that smallest id) and component_row, which tells components apart even where their
+    documents share an id: an id is a name only, a row is known by a hash of id and text.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    number = F.col("doc_id").cast("long")
+    docs = docs.select(number.alias("id"), F.xxhash64(number, "text").alias("doc_id"), "text")
     signed = written(docs.mapInArrow(_signatures(words_each), _SIGNATURE_SCHEMA), "signatures")
-    sets = signed.where("n_shingles > 0").groupBy("h1", "h2", "n_shingles")
-    reps = written(sets.agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig")), "representatives")
+    sets = signed.where("n_shingles > 0 AND id IS NOT NULL").groupBy("h1", "h2", "n_shingles")
+    reps = written(sets.agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig"), F.min("id").alias("first")), "representatives")
 
     pairs, crowded = candidates(reps.select("rep", "sig"), base_depth(percent / 100))
     side = lambda s: reps.select(F.col("rep").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"))
@@ -264,7 +266,7 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) ->
 
     def texts_of(ids: DataFrame) -> DataFrame:
         few = F.broadcast(ids) if ids.count() <= FEW_IDS else ids
-        return written(docs.join(few, "doc_id", "left_semi"), "paired-texts").dropDuplicates(["doc_id"])
+        return written(docs.select("doc_id", "text").join(few, "doc_id", "left_semi"), "paired-texts").dropDuplicates(["doc_id"])
 
     pairs = agreeing(pairs)
     texts = texts_of(written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "paired"))
@@ -285,8 +287,11 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) ->
         more = confirm_links(agreeing(exact_pairs(texts, parts, words_each, percent)).select("a", "b"), texts, words_each, percent)
         parts = _merged(parts, more)
 
-    whole = reps.select("h1", "h2", "n_shingles", "rep").join(parts.withColumnRenamed("id", "rep"), "rep", "left")
-    whole = whole.select("h1", "h2", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    found = signed.select("doc_id", "n_shingles", "h1", "h2").join(whole, ["h1", "h2", "n_shingles"], "left")
-    found = found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    whole = reps.select("h1", "h2", "n_shingles", "rep", "first").join(parts.withColumnRenamed("id", "rep"), "rep", "left")
+    whole = written(whole.withColumn("component", F.coalesce("component", "rep")), "placed")
+    named = whole.groupBy("component").agg(F.min("first").alias("component_id"))
+    whole = whole.join(named, "component").select("h1", "h2", "n_shingles", "component", "component_id")
+    # a row without an id is in no set of its own, although another row may have the same one
+    found = signed.withColumn("h1", F.when(F.col("id").isNotNull(), F.col("h1"))).join(whole, ["h1", "h2", "n_shingles"], "left")
+    found = found.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component_id", "id").alias("component_id"), F.coalesce("component", found["doc_id"]).alias("component_row"))
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "component_row")

@@ -94,6 +94,21 @@ def test_near_duplicates_apart_in_a_crowd(spark):
     assert got == want
 
 
+def test_near_duplicates_that_share_an_id(spark):
+    """Two documents have id 5: a copy or near copy of one is no copy of the other."""
+    r = random.Random(11)
+    one, two = ([f"w{r.randrange(10**6)}" for _ in range(80)] for _ in range(2))
+    for change in (0, 1):
+        copies = [" ".join([*t[: len(t) - change], *["changed"] * change]) for t in (one, two)]
+        rows = [(5, " ".join(one)), (5, " ".join(two)), (7, copies[0]), (8, copies[1]), (None, copies[1])]
+        found = minhash_forest.near_duplicates(table(spark, [(d, t, None, None) for d, t in rows]), 3, 85).collect()
+        groups = {}
+        for x in found:
+            groups.setdefault(x.component_row, []).append((x.doc_id, x.component_id, x.kept))
+        want = [[(5, 5, True), (7, 5, False)], [(5, 5, True), (8, 5, False)], [(None, None, True)]]
+        assert sorted(map(sorted, groups.values()), key=repr) == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_language_model(docs, texts, order):
     want = brute.language_model(texts, order, 20.0)
@@ -398,7 +413,7 @@ def test_repeated_rows_and_null_ids(spark):
     text = " ".join(f"w{i}" for i in range(60))
     docs = table(spark, [(1, text, "xx", "s"), (1, text, "xx", "s"), (2, text + " end", None, None), (None, text, "xx", "s"), (4, "other words", None, "t")])
     near = {(r.doc_id, r.component_id) for r in minhash_forest.near_duplicates(docs).collect()}
-    assert near == {(1, 1), (2, 1), (4, 4)}
+    assert near == {(1, 1), (2, 1), (4, 4), (None, None)}
     spans = sorted((r.doc_id, r.spans) for r in sparse_suffixes.repeated_passages(docs).collect())
     assert spans == [(1, "0:60"), (1, "0:60"), (2, "0:60"), (4, "")]
     assert lm_automaton.score_documents(docs).count() == 4
