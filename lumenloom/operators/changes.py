@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenloom.functions.collections import list_append
 from lumenloom.operators.firsts import WINDOW_SECONDS, fifo_dedup
-from lumenloom.operators.ordered import next_row, previous_row, row_numbers
+from lumenloom.operators.ordered import previous_row, with_neighbours
 
 __all__ = ["VIEWS", "WINDOW_SECONDS", "apply_updates", "cdc_images", "content_id", "fifo_dedup", "upsert_latest", "versions", "with_old_image"]
 
@@ -20,25 +20,25 @@ VIEWS = {
 }
 
 
-def with_old_image(df: DataFrame, keys: list[str], seq: str, chunk: Column, deleted: Column | None = None) -> DataFrame:
+def with_old_image(df: DataFrame, keys: list[str], seq: str, deleted: Column | None = None) -> DataFrame:
     """Adds ``old_image``: the previous version of the row's key, null if there was none
 
     or if it was a deletion."""
     image = F.struct(*[F.col(c) for c in df.columns if c not in keys])
     if deleted is not None:
         image = F.when(~deleted, image)
-    return previous_row(df, keys, [seq], image, chunk, "old_image")
+    return previous_row(df, keys, [seq], image, "old_image")
 
 
 def cdc_images(
-    df: DataFrame, keys: list[str], seq: str, chunk: Column, view: str = "NEW_AND_OLD_IMAGES",
+    df: DataFrame, keys: list[str], seq: str, view: str = "NEW_AND_OLD_IMAGES",
     deleted: Column | None = None,
 ) -> DataFrame:
     """Change events of a version log: event name, keys, and the images the view shows."""
     show_new, show_old = VIEWS[view]
     gone = deleted if deleted is not None else F.lit(False)
     image = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    versions = with_old_image(df, keys, seq, chunk, gone)
+    versions = with_old_image(df, keys, seq, gone)
     name = F.when(gone, "REMOVE").when(F.col("old_image").isNull(), "INSERT").otherwise("MODIFY")
     nothing = F.when(F.lit(False), image)
     events = versions.select(
@@ -117,11 +117,10 @@ def apply_updates(
     return both.where(kept).select(*[after(c) if c in values else F.col(c) for c in base.columns])
 
 
-def versions(df: DataFrame, keys: list[str], ts: str, chunk: Column) -> DataFrame:
+def versions(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """Every version with its number from 1, and from when to when it held (end open)."""
-    numbered = row_numbers(df, keys, [ts], chunk, "version")
-    ended = next_row(numbered, keys, [ts], F.col(ts), chunk, "valid_to")
-    return ended.withColumn("is_current", F.col("valid_to").isNull())
+    told = with_neighbours(df, keys, [ts], following={"valid_to": F.col(ts)}, totals={"version": F.lit(1)})
+    return told.withColumn("is_current", F.col("valid_to").isNull()).select(*df.columns, "version", "valid_to", "is_current")
 
 
 def content_id(body: Column) -> Column:

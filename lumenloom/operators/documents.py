@@ -336,10 +336,10 @@ def lookup(df: DataFrame, keys: DataFrame, on) -> DataFrame:
 
 
 def page_by_size(
-    df: DataFrame, keys: list[str], order: list[str], size: Column, chunk: Column, most: int = PAGE_BYTES
+    df: DataFrame, keys: list[str], order: list[str], size: Column, most: int = PAGE_BYTES, tasks: int | None = None
 ) -> DataFrame:
     """Per key, the leading rows whose sizes add up to at most ``most``; the first always."""
-    total = running_total(df, keys, order, size, chunk, "running_size")
+    total = running_total(df, keys, order, size, "running_size", tasks)
     within = F.col("running_size") <= most
     first = F.col("running_size") == size
     return total.where(within | first)

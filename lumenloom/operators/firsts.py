@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lumenloom.session import shared_dir
+from lumenloom.session import written
 
 WINDOW_SECONDS = 300  # fixed value: how long an accepted message shadows its repeats
 #: Tasks, or groups of tasks, whose step functions are composed at once.
@@ -223,17 +223,11 @@ def _entries(functions: DataFrame, most: int, window: int) -> DataFrame:
     if most >= FAN:
         schema = to_arrow_schema(functions.schema)
         above = functions.groupBy(groups).applyInArrow(_group(window, schema), functions.schema)
-        above = _entries(_saved(above, "steps"), most // FAN, window)
+        above = _entries(written(above, "steps"), most // FAN, window)
         heads = above.select((F.col("part") * FAN).alias("part"), "h1", "h2", "last", F.lit(True).alias("head"))
         nodes = nodes.unionByName(heads, allowMissingColumns=True)
     walked = nodes.groupBy(groups).applyInArrow(_walk(window), "part int, entry bigint, h1 bigint, h2 bigint, last bigint")
-    return _saved(walked, "entries")
-
-
-def _saved(df: DataFrame, name: str) -> DataFrame:
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(walked, "entries")
 
 
 def fifo_dedup(df: DataFrame, keys: list[str], ts: str, seconds: int = WINDOW_SECONDS, tie: list[str] = (), tasks: int | None = None) -> DataFrame:
@@ -257,7 +251,7 @@ def fifo_dedup(df: DataFrame, keys: list[str], ts: str, seconds: int = WINDOW_SE
     by = ["_h1", "_h2", "_t"]
     laid = (laid.repartitionByRange(tasks, *by) if tasks else laid.repartitionByRange(*by)).sortWithinPartitions(*by)
     schema = T.StructType([T.StructField("row", laid.schema["_row"].dataType), *T._parse_datatype_string(f"ranges {_RANGES}, {_FUNCTION}").fields])
-    marked = _saved(laid.mapInArrow(_marked(window, to_arrow_schema(schema)), schema), "accepted")
+    marked = written(laid.mapInArrow(_marked(window, to_arrow_schema(schema)), schema), "accepted")
     functions = marked.where("whole IS NOT NULL").select(*T._parse_datatype_string(_FUNCTION).names)
     most = functions.agg(F.max("part")).first()[0]
     taken = marked.where("whole IS NULL").select("row", "ranges", "part")

@@ -205,7 +205,7 @@ def keyset_page(spark, d):
 def page_by_size(spark, d):
     turns = table(spark, d, "conversations")
     size = F.octet_length("text").cast("bigint")
-    paged = doc.page_by_size(turns, ["conv_id"], ["turn"], size, ordered.by_width("turn", 3), 1500)
+    paged = doc.page_by_size(turns, ["conv_id"], ["turn"], size, 1500)
     return paged.select("conv_id", "turn", "running_size")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumenloom.operators import changes, devices, ordered
+from lumenloom.operators import changes, devices
 from lumenloom.queries.base import table
 from lumenloom.queries.registry import query
 
@@ -14,18 +14,13 @@ def order_log(spark, d):
     return table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
 
 
-_CHUNK = 5000  # order keys per chunk
-
-
 @query(
     "latest_image",
     "SELECT o_custkey, o_orderkey, lag(o_orderstatus) OVER w AS old_status, lag(o_totalprice) OVER w AS old_price"
     " FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)",
 )
 def latest_image(spark, d):
-    out = changes.with_old_image(
-        order_log(spark, d), ["o_custkey"], "o_orderkey", ordered.by_width("o_orderkey", _CHUNK)
-    )
+    out = changes.with_old_image(order_log(spark, d), ["o_custkey"], "o_orderkey")
     return out.select(
         "o_custkey",
         "o_orderkey",
@@ -50,7 +45,6 @@ def change_images(spark, d):
         order_log(spark, d),
         ["o_custkey"],
         "o_orderkey",
-        ordered.by_width("o_orderkey", _CHUNK),
         deleted=F.col("o_orderstatus") == "F",
     )
     return events.select(
@@ -69,7 +63,7 @@ def change_images(spark, d):
 )
 def table_versions(spark, d):
     log = order_log(spark, d).select("o_custkey", "o_orderkey")
-    out = changes.versions(log, ["o_custkey"], "o_orderkey", ordered.by_width("o_orderkey", _CHUNK))
+    out = changes.versions(log, ["o_custkey"], "o_orderkey")
     return out.select("o_custkey", "o_orderkey", "version", "valid_to", "is_current")
 
 

@@ -79,25 +79,32 @@ def test_content_ids(spark):
     assert spark.range(1).select(changes.content_id(F.lit("x")).alias("h")).first().h == "9dd4e461268c8034f5c8564e155c67a6"
 
 
-@pytest.mark.parametrize("width", [1, 3, 1000])
-def test_previous_next_and_totals_cross_chunks(spark, width):
-    rng = random.Random(width)
-    data = [(f"k{rng.randrange(3)}", i, None if i % 5 == 0 else i * 10) for i in rng.sample(range(100), 60)]
-    df = spark.createDataFrame(data, "k string, i long, v long")
-    chunk = ordered.by_width("i", width)
-    prev = ordered.previous_row(df, ["k"], ["i"], F.col("v"), chunk, "p")
-    both = ordered.next_row(prev, ["k"], ["i"], F.col("v"), chunk, "n")
-    total = ordered.running_total(both, ["k"], ["i"], F.coalesce("v", F.lit(0)), chunk, "t")
-    numbered = ordered.row_numbers(total, ["k"], ["i"], chunk, "r")
-    got = {(r.k, r.i): (r.p, r.n, r.t, r.r) for r in numbered.collect()}
-    assert len(got) == len(data)
+@pytest.mark.parametrize("tasks", [1, 3, 40])
+def test_previous_next_and_totals_cross_tasks(spark, tasks):
+    rng = random.Random(tasks)
+    data = [(None if k == 2 else f"k{k}", i, None if i % 5 == 0 else i * 10, i / 4) for i in rng.sample(range(200), 120) for k in [rng.choice([0, 0, 0, 0, 1, 2])]]
+    df = spark.createDataFrame(data, "k string, i long, v long, w double")
+    out = ordered.with_neighbours(
+        df, ["k"], ["i"], {"p": F.col("v"), "ps": F.struct("i", "v")}, {"n": F.col("v")}, {"t": F.col("v"), "f": F.col("w"), "r": F.lit(1)}, tasks
+    )
+    got = {(r.k, r.i): (r.p, r.ps and tuple(r.ps), r.n, r.t, r.f, r.r) for r in out.collect()}
+    assert len(got) == len(data) and out.columns == ["k", "i", "v", "w", "p", "ps", "n", "t", "f", "r"]
     for k in {d[0] for d in data}:
-        mine, total = sorted(d for d in data if d[0] == k), 0
-        for j, (_, i, v) in enumerate(mine):
-            total += v or 0
-            p = mine[j - 1][2] if j else None
+        mine, total, floats = sorted((d for d in data if d[0] == k), key=lambda d: d[1]), 0, 0.0
+        for j, (_, i, v, w) in enumerate(mine):
+            total, floats = total + (v or 0), floats + w
+            p = mine[j - 1] if j else (None,) * 4
             n = mine[j + 1][2] if j + 1 < len(mine) else None
-            assert got[k, i] == (p, n, total, j + 1)
+            assert got[k, i] == (p[2], p[1:3] if j else None, n, total, pytest.approx(floats), j + 1)
+    assert ordered.with_neighbours(df.limit(0), ["k"], ["i"], {"p": F.col("v")}).count() == 0
+
+
+def test_one_key_over_many_tasks_takes_one_pass(spark):
+    """All rows of one key: every task but the edges holds nothing else."""
+    df = spark.range(5000).select(F.lit("hot").alias("k"), "id", (F.col("id") * 0 + 2).alias("v"))
+    out = ordered.with_neighbours(df, ["k"], ["id"], {"p": F.col("id")}, {"n": F.col("id")}, {"t": F.col("v")}, 64)
+    wrong = "t <> 2 * (id + 1) OR coalesce(p, -1) <> id - 1 OR coalesce(n, 5000) <> id + 1"
+    assert out.count() == 5000 and out.where(wrong).count() == 0
 
 
 def test_change_events(spark):
@@ -105,7 +112,7 @@ def test_change_events(spark):
     df = spark.createDataFrame(data, "k string, seq long, v string, gone boolean")
 
     def run(view):
-        out = changes.cdc_images(df, ["k"], "seq", ordered.by_width("seq", 2), view, F.col("gone"))
+        out = changes.cdc_images(df, ["k"], "seq", view, F.col("gone"))
         return [
             (r.seq, r.event_name, r.new_image and r.new_image.v, r.old_image and r.old_image.v)
             for r in out.orderBy("seq").collect()
@@ -142,7 +149,7 @@ def test_updates(spark, rows):
 
 def test_versions_close_each_other(spark, rows):
     df = spark.createDataFrame([("t", 10), ("t", 20), ("u", 5)], "k string, at long")
-    out = changes.versions(df, ["k"], "at", ordered.by_width("at", 10))
+    out = changes.versions(df, ["k"], "at")
     assert rows(out, "k", "at", "version", "valid_to", "is_current") == [
         ("t", 10, 1, 20, False), ("t", 20, 2, None, True), ("u", 5, 1, None, True),
     ]
