@@ -21,6 +21,7 @@ import functools
 import heapq
 from array import array
 from collections.abc import Iterator
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from lumenloom.llm import textvec as tv
 
 #: Characters of a text that are matched at once, and bytes of a match that are merged at once.
-LEAF_TEXT, LEAF_BYTES = 1 << 16, 8
+LEAF_TEXT, LEAF_BYTES = 1 << 16, 16
+#: Bytes merged by looking at all pairs each time; more need a heap.
+FEW_BYTES, NEVER = 64, 1 << 40
 #: Ids decoded at once.
 LEAF_IDS = 1 << 18
 #: Matches whose ids a worker remembers; afterwards it starts anew.
@@ -72,8 +75,19 @@ class Ranks:
         self.flat, self.starts = array("i"), array("q", [0])
 
     def merged(self, data: bytes) -> list[int]:
-        """The ids of a few bytes: the lowest rank merges first, the leftmost of equal ones."""
+        """The ids of bytes: the lowest rank merges first, the leftmost of equal ones."""
         n, ranks = len(data), self.ranks
+        if n <= FEW_BYTES:
+            get, at = ranks.get, list(range(n + 1))
+            pairs = [get(data[i : i + 2], NEVER) for i in range(n - 1)]
+            while pairs and (least := min(pairs)) < NEVER:
+                i = pairs.index(least)
+                del at[i + 1], pairs[i]
+                if i < len(pairs):
+                    pairs[i] = get(data[at[i] : at[i + 2]], NEVER)
+                if i:
+                    pairs[i - 1] = get(data[at[i - 1] : at[i + 1]], NEVER)
+            return [ranks[data[a:b]] for a, b in pairwise(at)]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         alive = [True] * n
         heap = [(ranks[data[i : i + 2]], i, i + 2) for i in range(n - 1) if data[i : i + 2] in ranks]
@@ -129,11 +143,14 @@ class Ranks:
         if len(self.known) > REMEMBERED:
             self._forget()
         known = self.known
-        for match in set(matches).difference(known):
-            known[match] = len(known)
-            self.flat.extend(self.encoded(match.encode()))
-            self.starts.append(len(self.flat))
-        which = np.fromiter(map(known.__getitem__, matches), np.int64, len(matches))
+        which = np.fromiter(map(known.get, matches, repeat(-1)), np.int64, len(matches))
+        for i in np.flatnonzero(which < 0).tolist():
+            match = matches[i]
+            if match not in known:
+                known[match] = len(known)
+                self.flat.extend(self.encoded(match.encode()))
+                self.starts.append(len(self.flat))
+            which[i] = known[match]
         starts = np.frombuffer(self.starts, np.int64)
         return _stretches(np.frombuffer(self.flat, np.int32), starts[which], starts[which + 1])
 
