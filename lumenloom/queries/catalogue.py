@@ -362,14 +362,28 @@ def row_serializer(spark, d):
     return tables.to_lines(part, "CSV").unionByName(tables.to_lines(part, "JSON"))
 
 
-@query("snapshot_export", "SELECT n.n AS items, n.n AS lines FROM (SELECT count(*) AS n FROM customer) n")
+_ITEM = (
+    "concat('{\"Item\":{\"c_custkey\":', c_custkey, ',\"c_name\":\"', c_name, '\",\"c_mktsegment\":\"', c_mktsegment,"
+    " '\",\"c_acctbal\":', CAST(c_acctbal AS VARCHAR), '}}', chr(10))"
+)
+
+
+@query(
+    "snapshot_export",
+    f"SELECT concat('nation=', CAST(c_nationkey AS VARCHAR)) AS folder, count(*) AS items, CAST(sum(strlen(line)) AS BIGINT) AS raw_bytes,"
+    f" md5(string_agg(line, '' ORDER BY c_custkey)) AS raw_md5, true AS as_told FROM (SELECT *, {_ITEM} AS line FROM customer) GROUP BY c_nationkey",
+)
 def snapshot_export(spark, d):
+    """The manifest, and whether the files are as it says when they are read again."""
     path = shared_dir(spark, "snapshot")
-    manifest = tables.export_snapshot(table(spark, d, "customer"), path)
-    items = manifest.agg(F.max("item_count").alias("n")).select(F.lit("items").alias("k"), "n")
-    wrapped = spark.read.schema("Item struct<c_custkey: bigint>").json(f"{path}/data")
-    lines = wrapped.where("Item.c_custkey IS NOT NULL").agg(F.count("*").alias("n")).select(F.lit("lines").alias("k"), "n")
-    return items.unionByName(lines).groupBy().pivot("k", ["items", "lines"]).agg(F.max("n"))
+    nation = F.concat(F.lit("nation="), F.col("c_nationkey").cast("string"))
+    customers = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal", nation.alias("nation"))
+    items = customers.drop("nation")
+    manifest = tables.export_snapshot(customers, path, F.col("nation"), ["c_custkey"], items.columns)
+    found = spark.read.text(f"{path}/data").groupBy("nation").agg(F.sum(F.octet_length("value") + 1).alias("found"))
+    told = manifest.where("file <> '*'").withColumn("folder", F.element_at(F.split("file", "/"), 1))
+    both = told.join(found, F.col("folder") == F.concat(F.lit("nation="), F.col("nation").cast("string")))
+    return both.select("folder", F.col("item_count").alias("items"), "raw_bytes", "raw_md5", (F.col("found") == F.col("raw_bytes")).alias("as_told"))
 
 
 # ── data tests ───────────────────────────────────────────────────────────────────

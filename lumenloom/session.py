@@ -12,8 +12,6 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 # Settings every job needs for right results; all can be set on a live session.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
-    # the width test of read_products_csv needs unpruned rows
-    "spark.sql.csv.parser.columnPruning.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenloom.functions.text import csv_line, json_line
 from lumenloom.plans.medallion import MODELS
+from lumenloom.sinks.line_files import write_lines
 
 
 def load_raw(df: DataFrame, table: str) -> DataFrame:
@@ -67,27 +68,26 @@ def to_lines(df: DataFrame, kind: str) -> DataFrame:
     raise ValueError("kind must be CSV or JSON")
 
 
-def export_snapshot(df: DataFrame, path: str) -> DataFrame:
+_MANIFEST = "file string, bytes bigint, md5 string, items bigint, raw_bytes bigint, raw_md5 string"
+
+
+def export_snapshot(df: DataFrame, path: str, folder: Column | None = None, order: list[str] = (), columns: list[str] | None = None) -> DataFrame:
     """Gzip lines {"Item": ...} below path/data, and the manifest of what was written.
 
-    The manifest is a DataFrame with one row per data file (name, bytes, md5) and
-    the number of items in all; it is also saved as JSON below path/manifest.
+    The manifest is a DataFrame with one row per data file (file, bytes, md5, item_count and, before
+    compression, raw_bytes and raw_md5) and one row "*" with the number of items in all; the rows of the files are
+    also saved as JSON below path/manifest. Writers count and hash as they write. ``folder`` puts the
+    rows of each of its values, in ``order``, into a folder of that name. Items have all columns, or ``columns``.
     """
     spark = df.sparkSession
-    item = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    lines = df.select(F.to_json(F.struct(item.alias("Item"))).alias("value"))
-    lines.write.mode("overwrite").option("compression", "gzip").text(f"{path}/data")
-    files = spark.read.format("binaryFile").load(f"{path}/data/*.gz")
-    items = spark.read.text(f"{path}/data").agg(F.count("*").alias("item_count"))
-    manifest = files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.col("length").alias("bytes"),
-        F.md5("content").alias("md5"),
-    )
-    summary = items.select(
-        F.lit("*").alias("file"), F.lit(None).cast("bigint").alias("bytes"),
-        F.lit(None).cast("string").alias("md5"), "item_count",
-    )
-    manifest = manifest.withColumn("item_count", F.lit(None).cast("bigint")).unionByName(summary)
-    manifest.write.mode("overwrite").json(f"{path}/manifest")
-    return spark.read.schema(manifest.schema).json(f"{path}/manifest")
+    item = F.struct(*[F.col(f"`{c}`") for c in columns or df.columns])
+    line = F.to_json(F.struct(item.alias("Item"))).alias("value")
+    if folder is None:
+        lines = df.select(F.lit("").alias("folder"), line)
+    else:
+        placed = df.withColumn("_folder", folder).repartition("_folder").sortWithinPartitions("_folder", *order)
+        lines = placed.select(F.col("_folder").alias("folder"), line)
+    write_lines(lines, f"{path}/data", ".json.gz", zipped=True, manifest=f"{path}/manifest")
+    files = spark.read.schema(_MANIFEST).json(f"{path}/manifest").withColumnRenamed("items", "item_count")
+    total = files.agg(F.lit("*").alias("file"), F.coalesce(F.sum("item_count"), F.lit(0)).alias("item_count"))
+    return files.unionByName(total, allowMissingColumns=True)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenloom.functions.timebuckets import path_tokens
+from lumenloom.sinks.line_files import write_lines
 
 
 def with_routes(df: DataFrame, routes: dict[str, Column]) -> DataFrame:
@@ -61,20 +62,22 @@ def delivery_lines(df: DataFrame, value: Column, ts: Column) -> DataFrame:
     return df.select(F.regexp_replace(value, "\n$", "").alias("value"), *tokens)
 
 
-def deliver(df: DataFrame, value: Column, ts: Column, path: str, max_records: int = 1_000_000):
+def deliver(df: DataFrame, value: Column, ts: Column, path: str, max_records: int = 1_000_000, max_bytes: int = 128 << 20):
     """Newline-delimited records below year=/month=/day=/hour= (UTC), batch or stream.
 
-    A stream gives a writer to start; a batch is written at once. Each batch of a
-    stream has its own folder. Rows are rebalanced by hour, so that an hour neither
-    makes one file per task nor is written by a single task.
+    A stream gives a writer to start; a batch is written at once. Each batch of a stream has its own
+    folder; one that runs again replaces it. Records go to tasks by ranges of the hour and a hash, whose
+    bounds are sampled from the records: a task takes many quiet hours or a part of a busy one. A task
+    writes one file after the other and starts a new one when the hour changes or the file has
+    ``max_records`` records or about ``max_bytes``.
     """
     parts = ["year", "month", "day", "hour"]
 
     def write(batch: DataFrame, target: str) -> None:
         lines = delivery_lines(batch, value, ts)
-        # adaptive execution merges small and splits large groups of this shuffle
-        spread = lines.hint("rebalance", *parts)
-        spread.write.mode("overwrite").option("maxRecordsPerFile", max_records).partitionBy(*parts).text(target)
+        folder = F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.coalesce(p, F.lit("none"))) for p in parts])
+        placed = lines.select(folder.alias("folder"), "value").repartitionByRange("folder", F.xxhash64("value"))
+        write_lines(placed.sortWithinPartitions("folder"), target, most_records=max_records, most_bytes=max_bytes)
 
     if not df.isStreaming:
         return write(df, path)

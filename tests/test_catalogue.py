@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import gzip
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from lumenloom.operators import quality
 from lumenloom.plans import medallion as m
-from lumenloom.sinks import tables
+from lumenloom.sinks import line_files, tables
 from lumenloom.sources import files
 from lumenloom.sources import products as src
 
@@ -207,3 +210,56 @@ def test_catalogue_formats():
     assert files.format_of(None, "org.apache.hadoop.hive.ql.X") == "json"
     assert files.format_of("org.apache.hadoop.hive.serde2.OpenCSVSerde", "TextInputFormat") == "csv"
     assert files.format_of(None) == "csv"
+
+
+def test_files_are_what_their_writers_tell(spark, tmp_path):
+    """Several folders and full files in gzip: bytes and hashes of the manifest are those of the files."""
+    rows_ = [(f"g={i % 3}", f"line {i} é") for i in range(3000)] + [("g=9", None)]
+    df = spark.createDataFrame(rows_, "folder string, value string").repartition(4, "folder").sortWithinPartitions("folder")
+    path, manifest = str(tmp_path / "out"), str(tmp_path / "told")
+    for _ in range(2):  # the second run replaces the first
+        line_files.write_lines(df, path, ".gz", zipped=True, most_records=400, most_bytes=5000, manifest=manifest)
+    told = {r.file: r for r in spark.read.json(manifest).collect()}
+    found = {str(p.relative_to(path)): p.read_bytes() for p in (tmp_path / "out").rglob("*.gz")}
+    assert told.keys() == found.keys() and len(told) > 3 * 1000 * 12 // 5000
+    for name, data in found.items():
+        raw = gzip.decompress(data)
+        t = told[name]
+        assert (t.bytes, t.md5) == (len(data), hashlib.md5(data).hexdigest())
+        assert (t.raw_bytes, t.raw_md5, t.items) == (len(raw), hashlib.md5(raw).hexdigest(), raw.count(b"\n"))
+        assert t.items <= 400 and t.raw_bytes <= 5000 + 20
+    assert sorted((r.g, r.value) for r in spark.read.text(path).collect()) == sorted((int(f[2:]), v or "") for f, v in rows_)
+
+
+def test_failed_writes_leave_nothing(spark, tmp_path):
+    bad = spark.range(2000).select(F.lit("f").alias("folder"), F.when(F.col("id") < 1999, F.col("id").cast("string")).otherwise(F.raise_error(F.lit("stop"))).alias("value"))
+    with pytest.raises(Exception, match="stop"):
+        line_files.write_lines(bad.repartition(3), str(tmp_path / "out"), most_records=100)
+    assert not [p for p in (tmp_path / "out").rglob("*.txt")]
+
+
+def test_sample_by_histogram_is_the_lowest_ranks(spark):
+    """The cut bucket is refined until it is small; equal keys and equal rows are cut exactly too."""
+    rows_ = [(i % 700, i // 2) for i in range(3000)] + [(1, 1)] * 500 + [(None, 5)] * 3
+    df = spark.createDataFrame(rows_, "id int, v int")
+    ranked = df.withColumn("r", F.coalesce(F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit("42"))), F.lit("x"))).orderBy("r")
+    keys = [r.id for r in ranked.collect()]
+    for n in (0, 1, 37, 1500, 3400, 3502, 3503, 9000):
+        got = src.sample_products(df, n, 42, few=20).collect()
+        assert len(got) == min(n, 3503)
+        assert sorted(map(str, (r.id for r in got))) == sorted(map(str, keys[:n]))
+    again = src.sample_products(df.repartition(9), 1500, 42, few=20)
+    assert sorted(map(str, again.collect())) == sorted(map(str, src.sample_products(df, 1500, 42, few=20).collect()))
+
+
+def test_csv_lines_are_counted_before_they_are_parsed(spark, tmp_path):
+    header = ",".join(src.PRODUCT_SCHEMA.fieldNames())
+    full = '1,Men,"A ""x"", b",c,d,e,f,2011,g,"name, with, commas"'
+    (tmp_path / "a.csv").write_bytes(f"{header}\r\n{full}\r\n\r\n2,Men\r\n3{',x' * 10}\r\n".encode())
+    (tmp_path / "b.csv").write_text(f'﻿"{header.replace(",", chr(34) + "," + chr(34))}"\n4,,,,,,,,,last\n5,,,,,,,,,,\n')
+    before = spark.conf.get("spark.sql.csv.parser.columnPruning.enabled")
+    got = sorted(map(tuple, src.read_products_csv(spark, str(tmp_path)).select("id", "masterCategory", "year", "productDisplayName").collect()))
+    assert got == [(1, 'A "x", b', 2011, "name, with, commas"), (2, None, None, None), (4, None, None, "last")]
+    assert spark.conf.get("spark.sql.csv.parser.columnPruning.enabled") == before
+    multi = src.read_products_csv(spark, str(tmp_path / "a.csv"), multi_line=True)
+    assert sorted((r.id, r.year) for r in multi.select("id", "year").collect()) == [(1, 2011), (2, None)]
