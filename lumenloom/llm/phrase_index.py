@@ -4,15 +4,16 @@ A posting is (term, document, position) of the training texts. Test items are cu
 consecutive words, and the rarest training terms of each window are its anchors; only terms that are
 anchors get postings. A posting is aligned with the items that hold its term by the offset between
 both positions, and the lists of a window's anchors are intersected at equal offsets. What is left is
-few: there the item's words are compared with the document's, which gives exact phrases; an item of
-which many anchors stand at about the same offset is a proximity match, exact or not.
+few: there every word of the item meets the document's word at its place, which gives exact phrases; an
+item of which many anchors stand at about the same offset is a proximity match, exact or not.
 
 Tables of terms and ids are sent to every task only up to a checked number of rows; beyond that they
 are joined by shuffle, with frequent terms spread by salt.
 
 Defined results: a null or empty text has no words and is clean. An item without words matches
 nothing; repeated items match as one, and a null item_id is left out of the list of items. Documents
-without an id are judged clean by ``contamination``. Extra columns, whatever their names, are ignored.
+that share an id, or have none, are each judged by their own text. Extra columns, whatever their names,
+are ignored.
 """
 
 from __future__ import annotations
@@ -77,60 +78,77 @@ def postings(anchors: DataFrame, docs: DataFrame) -> DataFrame:
     return hits.select("doc_id", "k", "at", (F.col("pos") - F.col("at")).alias("shift"))
 
 
-def phrase_matches(items: DataFrame, anchors: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc_id, item_id, first and last: stretches of a document that are windows of an item."""
-    # the intersection: an occurrence has all anchors of its window at one offset
-    met = postings(anchors, docs).groupBy("doc_id", "k", "shift").agg(F.count("*").alias("n"))
-    met = met.join(items, "k").where(F.col("n") >= F.least(F.lit(RAREST), F.col("need")))
-    found = met.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "ws", "need", "shift")).alias("found"))
-    found = written(found, "alignments")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = texts.join(_small(found.select("doc_id"), FEW_IDS), "doc_id", "left_semi")
-    both = texts.join(found, "doc_id").select("doc_id", "found", words(F.col("text")).alias("doc"))
-
-    def compared(f: Column) -> Column:
-        same = F.transform(f["ws"], lambda w, i: F.when(F.get("doc", f["shift"] + i) == w, "1").otherwise("0"))
-        return F.struct(f["item_id"].alias("item_id"), f["need"].alias("need"), f["shift"].alias("shift"), F.array_join(same, "").alias("same"))
+def phrase_matches(items: DataFrame, anchors: DataFrame, docs: DataFrame, posted: DataFrame | None = None) -> DataFrame:
+    """doc_id, item_id, first and last: stretches of a document that are windows of an item.
 
+    Ids have to tell rows of ``docs`` apart. ``posted`` are its postings, if they are there already.
+    """
+    posted = postings(anchors, docs) if posted is None else posted
+    # the intersection: an occurrence has all anchors of its window at one offset
+    met = posted.groupBy("doc_id", "k", "shift").agg(F.count("*").alias("n"))
+    met = met.join(items.select("k", "need"), "k").where(F.col("n") >= F.least(F.lit(RAREST), F.col("need")))
+    met = written(met.select("doc_id", "k", "shift"), "alignments")
+    texts = docs.join(_small(met.select("doc_id").distinct(), FEW_IDS), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    spoken = texts.select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "term"))
+    # every word of an aligned item meets the document's word at its place: no row holds a text or an item
+    lines = met.join(items.select("k", F.posexplode("ws").alias("at", "term")), "k")
+    lines = lines.select("doc_id", "k", "shift", "at", (F.col("shift") + F.col("at")).alias("pos"), "term")
+    same = lines.join(spoken, ["doc_id", "pos", "term"]).groupBy("doc_id", "k", "shift").agg(F.array_sort(F.collect_list("at")).alias("same"))
     # a window occurs where as many words in a row are the same
-    lines = both.select("doc_id", F.transform("found", compared).alias("lines")).select("doc_id", F.inline("lines"))
-    lines = lines.where(F.contains("same", F.repeat(F.lit("1"), F.col("need"))))
-    runs = lines.select("doc_id", "item_id", "need", "shift", "same", F.explode(F.sequence(F.lit(0), F.length("same") - F.col("need"))).alias("s"))
-    runs = runs.where(F.substring("same", F.col("s") + 1, F.col("need")) == F.repeat(F.lit("1"), F.col("need")))
-    first = F.col("shift") + F.col("s")
+    same = same.join(items.select("k", "item_id", "need"), "k").where(F.size("same") >= F.col("need"))
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size("same") - F.col("need")),
+        lambda j: F.get("same", j + F.col("need") - 1) - F.get("same", j) == F.col("need") - 1,
+    )
+    runs = same.select("doc_id", "item_id", "need", "shift", "same", F.explode(starts).alias("j"))
+    first = F.col("shift") + F.get("same", F.col("j"))
     return runs.select("doc_id", "item_id", first.alias("first"), (first + F.col("need") - 1).alias("last"))
 
 
-def proximity_matches(items: DataFrame, anchors: DataFrame, docs: DataFrame, share: float = 0.5, slack: int = 4) -> DataFrame:
+def proximity_matches(
+    items: DataFrame, anchors: DataFrame, docs: DataFrame, share: float = 0.5, slack: int = 4, posted: DataFrame | None = None
+) -> DataFrame:
     """doc_id, item_id, shift, n_anchors, n_found: items of which at least ``share`` of the anchors
     stand in the document at about the same offset (within ``slack`` words), in exact phrases or not."""
     total = anchors.groupBy("k").agg(F.count("*").alias("n_anchors"))
     # every offset is seen from its own band and from the one below, so some band of 2 * slack holds any range of slack
     band = F.floor(F.col("shift") / slack)
-    bands = postings(anchors, docs).select("doc_id", "k", "at", F.explode(F.array(band - 1, band)).alias("band"))
+    bands = (postings(anchors, docs) if posted is None else posted).select("doc_id", "k", "at", F.explode(F.array(band - 1, band)).alias("band"))
     found = bands.groupBy("doc_id", "k", "band").agg(F.countDistinct("at").alias("n_found"))
     best = found.groupBy("doc_id", "k").agg(F.max("n_found").alias("n_found"), (F.max_by("band", "n_found") * slack).alias("shift"))
     best = best.join(total, "k").where(F.col("n_found") >= share * F.col("n_anchors"))
     return best.join(items.select("k", "item_id"), "k").select("doc_id", "item_id", "shift", "n_anchors", "n_found")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, near: bool = False) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items (ids as sorted strings), items_sha256 and contaminated.
 
-    A document is contaminated if at least a twentieth of its words stand in windows of items.
+    A document is contaminated if at least a twentieth of its words stand in windows of items. With
+    ``near`` a column n_near follows: the number of items that are proximity matches, exact or not.
     """
+    number = F.col("doc_id").cast("long")
+    # an id is a name only: rows are known by a hash of id and text
+    docs = docs.select(number.alias("id"), F.xxhash64(number, "text").alias("doc_id"), "text")
     index = items_of(benchmark)
-    found = written(phrase_matches(index, anchors_of(index, docs), docs), "phrases")
+    anchors = anchors_of(index, docs)
+    posted = written(postings(anchors, docs), "postings") if near else None
+    found = written(phrase_matches(index, anchors, docs, posted), "phrases")
     spots = found.select("doc_id", F.explode(F.sequence("first", "last")).alias("pos")).distinct()
     hits = spots.groupBy("doc_id").agg(F.count("*").alias("n_hit"))
     items = found.where("item_id IS NOT NULL").select("doc_id", F.col("item_id").cast("string").alias("item")).distinct()
     items = items.groupBy("doc_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
-    rows = sizes.join(hits, "doc_id", "left").join(items, "doc_id", "left")
+    marks = hits.join(items, "doc_id", "full")
+    if near:
+        close = proximity_matches(index, anchors, docs, posted=posted).groupBy("doc_id").agg(F.count_distinct("item_id").alias("n_near"))
+        marks = marks.join(close, "doc_id", "full")
+    sizes = docs.select("id", "doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    rows = sizes.join(marks, "doc_id", "left")
     n_hit, items = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
-    rows = rows.select("doc_id", "n_words", n_hit.alias("n_hit"), items.alias("items"))
+    others = [F.coalesce("n_near", F.lit(0)).alias("n_near")] if near else []
+    rows = rows.select(F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), items.alias("items"), *others)
     return rows.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        *(["n_near"] if near else []),
     )

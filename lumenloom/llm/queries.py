@@ -96,17 +96,27 @@ lens AS (SELECT DISTINCT n FROM bw),
 dw AS (SELECT doc_id, n, unnest(range(1, greatest(len(w) - n + 2, 1))) AS i, unnest(list_transform(range(1, greatest(len(w) - n + 2, 1)), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS win FROM d, lens),
 m AS (SELECT doc_id, item_id, i, n FROM dw JOIN bw USING (n, win)),
 h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+o AS (SELECT DISTINCT item_id, w FROM b WHERE len(w) > 0),
+q AS (SELECT row_number() OVER () AS k, item_id, w FROM o),
+qw AS (SELECT k, len(w) AS n, least(13, len(w)) AS need, unnest(range(len(w))) AS pos, unnest(w) AS term FROM q),
+dd AS (SELECT doc_id, unnest(range(len(w))) AS pos, unnest(w) AS term FROM d),
+df AS (SELECT term, count(*) AS df FROM dd GROUP BY term),
+qs AS (SELECT k, s, a.pos, a.term, row_number() OVER (PARTITION BY k, s ORDER BY coalesce(df, 0), a.pos, a.term) AS r FROM (SELECT *, unnest(range(greatest(0, pos - need + 1), least(pos, n - need) + 1)) AS s FROM qw) a LEFT JOIN df USING (term)),
+an AS (SELECT DISTINCT k, pos AS at_, term FROM qs WHERE r <= 3),
+po AS (SELECT doc_id, k, at_, unnest([floor((pos - at_) / 4) - 1, floor((pos - at_) / 4)]) AS band FROM dd JOIN an USING (term)),
+pb AS (SELECT doc_id, k, band, count(DISTINCT at_) AS n FROM po GROUP BY ALL),
+ne AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM (SELECT doc_id, k, max(n) AS n FROM pb GROUP BY ALL) JOIN (SELECT k, count(*) AS most FROM an GROUP BY k) USING (k) JOIN q USING (k) WHERE n >= 0.5 * most GROUP BY doc_id),
 it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id) LEFT JOIN ne USING (doc_id)
 """
 
 
 @query("op6_phrase_index", _PHRASE_SQL)
 def op6_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return phrase_index.contamination(documents(spark, sf_dir), benchmark).drop("items")
+    return phrase_index.contamination(documents(spark, sf_dir), benchmark, near=True).drop("items")
 
 
 @query("op9_secret_scan")

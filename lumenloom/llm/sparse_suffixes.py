@@ -14,8 +14,8 @@ by content. A suffix at the edge of a task counts as one whose neighbour is unkn
 Contexts hold 32 bits a word, so two different words agree with a chance of 2**-32.
 
 Defined results: null, empty and short texts have no repeated words. A passage repeated inside one
-document counts, too. Repeated rows are copies of each other; rows that share an id but not the text
-are not supported. Rows with a null id are left out. Columns besides doc_id and text are not read.
+document counts, too. Repeated rows are copies of each other; rows that share an id but not the text, or
+have none, are documents of their own. Columns besides doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -55,7 +55,7 @@ def selected(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return place, grams[place]
 
 
-_PLACE_SQL = "doc_id long, place int, h long, n_words long"
+_PLACE_SQL = "id long, doc_id long, place int, h long, n_words long"
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,6 +68,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = np.asarray(part.column("doc_id").to_numpy(zero_copy_only=False), dtype=np.int64)
             none = len(ids)
             yield pa.RecordBatch.from_pydict({
+                "id": pa.concat_arrays([part.column("id"), pa.nulls(place.size, pa.int64())]),
                 "doc_id": pa.array(np.concatenate([ids, ids[owner]])),
                 "place": pa.array(np.concatenate([np.zeros(none, np.int32), (place - at[owner]).astype(np.int32)]), mask=np.arange(none + place.size) < none),
                 "h": pa.array(np.concatenate([np.zeros(none, np.int64), h.view(np.int64)])),
@@ -212,7 +213,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, place, mask = (batch.column(c).to_pylist() for c in ("n_words", "places", "masks"))
         found = [_covered(k, p or [], m or []) for k, p, m in zip(n, place, mask)]
         yield pa.RecordBatch.from_pydict({
-            "doc_id": batch.column("doc_id"), "n_words": batch.column("n_words"),
+            "doc_id": batch.column("id"), "n_words": batch.column("n_words"),
             "n_repeated": pa.array([sum(b - a for a, b in f) for f in found], pa.int64()),
             "n_spans": pa.array([len(f) for f in found], pa.int64()),
             "spans": pa.array([",".join(f"{a}:{b}" for a, b in f) for f in found], pa.string()),
@@ -225,7 +226,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     A word is repeated if it lies in a window of PASSAGE words that occurs at another place, in this or
     another document. ``spans`` lists stretches of repeated words as start:end word numbers.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    number = F.col("doc_id").cast("long")
+    # an id is a name only: rows are known by a hash of id and text
+    docs = docs.select(number.alias("id"), F.xxhash64(number, "text").alias("doc_id"), "text")
     places = written(docs.mapInArrow(_places, _PLACE_SQL), "places")
     chosen = places.where("place IS NOT NULL").select("doc_id", "place", "h")
     again = chosen.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
@@ -236,7 +239,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     ids = kept.select("doc_id")
     if kept.count() <= FEW_IDS:
         ids = F.broadcast(ids)
-    texts = docs.join(ids, "doc_id", "left_semi")
+    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     suffixes = written(texts.join(kept, "doc_id").mapInArrow(_suffixes, _SUFFIX_SQL), "suffixes")
 
     # equal contexts have equal windows: one row each, with their number
@@ -257,5 +260,5 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     masks = written(masks, "masks")  # as above, for a context that very many documents hold
     hits = suffixes.select("doc_id", "place", "c1", "c2").join(masks, ["c1", "c2"])
     hits = hits.groupBy("doc_id").agg(F.collect_list("place").alias("places"), F.collect_list("mask").alias("masks"))
-    sizes = places.where("place IS NULL").select("doc_id", "n_words")
+    sizes = places.where("place IS NULL").select("id", "doc_id", "n_words")
     return sizes.join(hits, "doc_id", "left").mapInArrow(_spans, _RESULT_SQL)

@@ -137,3 +137,62 @@ def targets(sizes, weights=(5, 2, 1), most=3):
         if not over:
             return {**full, **got}
         full.update({s: most * sizes[s] for s in over})
+
+
+def base_secrets(text):
+    """(kind, start, end) of the fixed patterns, character by character, without regular expressions."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    value = set(letters + letters.upper() + "0123456789+/_.=-")
+    low = text.translate(LOW)
+    out = []
+
+    def run(at, allowed):
+        end = at
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    def assign(at):
+        """The end of a match that starts here and where its value starts, or nothing."""
+        for name in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if not low.startswith(name, at):
+                continue
+            i = at + len(name)
+            i += text[i : i + 1] in ('"', "'") and i < len(text)
+            i = run(i, " ")
+            if text[i : i + 1] not in (":", "=") or i >= len(text):
+                continue
+            # an optional quote after optional blanks; the value must follow
+            i = run(i + 1, " ")
+            i += text[i : i + 1] in ('"', "'") and i < len(text)
+            end = run(i, value)
+            if end > i:
+                return end, i
+        return None
+
+    i = 0
+    while i < len(text):
+        found = assign(i)
+        if found:
+            if found[0] - found[1] >= 6:
+                out.append(("assign", i, found[0]))
+            i = found[0]
+        else:
+            i += 1
+    i = 0
+    while i < len(text):
+        end = run(i + 4, set(letters.upper() + "0123456789")) if text.startswith("AKIA", i) else i
+        if end > i + 4:
+            if end - i >= 20:
+                out.append(("access", i, end))
+            i = end
+        else:
+            i += 1
+    i = 0
+    while i < len(text):
+        end = run(i, "0123456789abcdef")
+        if end - i >= 24:
+            out.append(("hex", i, end))
+        i = max(end, i + 1)
+    kinds = ("assign", "access", "hex")
+    return sorted(out, key=lambda x: (x[1], kinds.index(x[0])))
