@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from decimal import Decimal
 
@@ -76,6 +77,19 @@ def order_text(c: Column) -> Column:
     return bound(normalize_number(c), key)
 
 
+def _order_text(text: str) -> str | None:
+    """``order_text`` of a literal in plain digits."""
+    value = Decimal(text)
+    whole, _, rest = f"{value.copy_abs():f}".partition(".")
+    whole, rest = whole.lstrip("0"), rest.rstrip("0")
+    if len((whole + rest).lstrip("0") if rest else whole.rstrip("0")) > 38:
+        return None
+    wide = f"{(whole or '0').rjust(130, '0')[:130]}.{rest}"
+    if value < 0:
+        return "-" + wide.translate(str.maketrans("0123456789", "9876543210")) + ":"
+    return "0" + wide
+
+
 # numbers that DECIMAL(38,12) holds, and numbers without an exponent
 EXACT_TEXT = r"^[+-]?0*\d{0,26}(\.\d{0,12}0*)?$"
 PLAIN_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)$"
@@ -84,17 +98,26 @@ PLAIN_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 def compare_to(number: Column, op: str, literal: int | float | Decimal | str) -> Column:
     """A number given as text against a literal: by value where a decimal or the digits can tell,
 
-    else as doubles. Null for text that is no number."""
+    else as doubles. Null for text that is no number. Doubles that are further apart than their rounding
+    decide by themselves, so only values next to the literal are compared digit by digit."""
     text = str(literal)
     tests = F.when(~number.rlike(NUMBER_TEXT), F.lit(None).cast("boolean"))
+    near = float(text)
+    if math.isfinite(near):
+        value = number.try_cast("double")
+        tests = tests.when(F.abs(value - F.lit(near)) > F.lit(1e-14 * abs(near)), compare(value, op, F.lit(near)))
     if re.match(EXACT_TEXT, text):
         exact = compare(number.try_cast("decimal(38,12)"), op, F.lit(Decimal(text)).cast("decimal(38,12)"))
         tests = tests.when(number.rlike(EXACT_TEXT), exact)
     if re.match(PLAIN_TEXT, text):
-        tests = tests.when(number.rlike(PLAIN_TEXT), compare(order_text(number), op, order_text(F.lit(text))))
+        tests = tests.when(number.rlike(PLAIN_TEXT), compare(order_text(number), op, F.lit(_order_text(text))))
     return tests.otherwise(compare(number.try_cast("double"), op, F.lit(float(text))))
 
 
+# numbers of which DECIMAL(28,9) holds sums and differences
+_SHORT_TEXT = r"^[+-]?\d{1,18}(\.\d{1,9})?$"
+
+
 def decimal_add(left: Column, right: Column) -> Column:
     """Sum of two numbers given as text, as normalised text."""
     return _exact(left, right, F.try_add)
@@ -108,9 +131,11 @@ def _exact(left: Column, right: Column, combine) -> Column:
     """The sum or difference at the finest scale that holds it; null beyond 38 digits.
 
     A number that a scale cannot hold without loss is null at that scale, so the first scale that
-    fits both is exact.
+    fits both is exact. Short numbers, nearly all there are, take one scale and one replacement.
     """
-    tries = []
+    short = left.rlike(_SHORT_TEXT) & right.rlike(_SHORT_TEXT)
+    sums = combine(*(c.try_cast("decimal(28,9)") for c in (left, right))).cast("string")
+    tries = [F.when(short, F.regexp_replace(sums, r"\.?0+$", ""))]
     for scale in (0, 12, 24, 36):
         kind = f"decimal({37 if scale else 38},{scale})"
         a, b = (c.try_cast(kind) for c in (left, right))
