@@ -266,16 +266,17 @@ def json_scan(spark, d):
 )
 def catalog_table_scan(spark, d):
     base = shared_dir(spark, "catalogue")
+    nation = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table(spark, d, "nation").schema)
     table(spark, d, "customer").write.parquet(f"{base}/customer/deep/er")
     table(spark, d, "nation").write.option("header", True).csv(f"{base}/nation")
     table(spark, d, "orders").select("o_orderkey", "o_custkey").write.json(f"{base}/orders")
     catalog = spark.createDataFrame(
         [
-            ("cat_customer", f"{base}/customer", "ParquetHiveSerDe"),
-            ("cat_nation", f"{base}/nation", "OpenCSVSerde"),
-            ("cat_orders", f"{base}/orders", "JsonSerDe"),
+            ("cat_customer", f"{base}/customer", "ParquetHiveSerDe", "c_custkey BIGINT, c_nationkey INT"),
+            ("cat_nation", f"{base}/nation", "OpenCSVSerde", nation),
+            ("cat_orders", f"{base}/orders", "JsonSerDe", "o_custkey BIGINT"),
         ],
-        "table_name string, location string, serde string",
+        "table_name string, location string, serde string, columns string",
     )
     files.register_catalog_views(spark, catalog)
     return spark.sql(

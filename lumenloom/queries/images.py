@@ -8,12 +8,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow.fs as pafs
 from pyspark.sql import functions as F
 
 from lumenloom.queries.base import table
 from lumenloom.queries.registry import query
-from lumenloom.session import shared_dir
+from lumenloom.session import shared_dir, written
+from lumenloom.sinks.line_files import place_of, qualified
 from lumenloom.sources import images
 
 SIDE = 8  # a vector has 64 values, one per pixel of a square
@@ -132,9 +132,10 @@ def png(rgb: np.ndarray) -> bytes:
 
 def _write_files(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, root = pafs.FileSystem.from_uri(path)
+        fs, root = place_of(path)
         fs.create_dir(root, recursive=True)
         for pdf in batches:
+            sizes = []
             for r in pdf.itertuples(index=False):
                 if r.data is None:
                     body = b"no image"
@@ -143,25 +144,17 @@ def _write_files(path: str):
                 # the whole file appears under its name at once, also when a task runs again
                 with fs.open_output_stream(f"{root}/{r.id}.png") as out:
                     out.write(body)
-            yield pd.DataFrame({"id": pdf["id"]})
+                sizes.append(len(body))
+            yield pd.DataFrame({"id": pdf["id"], "bytes": sizes})
 
     return run
 
 
-def _uri(spark, path: str) -> str:
-    """The path with the scheme of the file system Spark finds it on."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    uri = fs.makeQualified(place).toUri()
-    if uri.getScheme() == "file":
-        return f"file://{uri.getPath()}"
-    return uri.toString().replace("s3a://", "s3://", 1)
-
-
-@query("image_source", FEATURES)
+@query("image_source", f"SELECT *, CASE WHEN mean_r IS NOT NULL THEN true END AS size_as_written FROM ({FEATURES})")
 def image_source(spark, d):
-    """Files written by the tasks into the shared folder, read back by the image source."""
+    """Files written by the tasks into the shared folder, read back by the image source, with the sizes written."""
     path = shared_dir(spark, "images")
-    written = decoded(spark, d).mapInPandas(_write_files(_uri(spark, path)), "id int")
-    written.write.format("noop").mode("overwrite").save()
-    return rounded(images.image_features(images.read_images(spark, path, "*.png")))
+    sizes = written(decoded(spark, d).mapInPandas(_write_files(qualified(spark, path)), "id int, bytes int"), "image-sizes")
+    features = images.image_features(images.read_images(spark, path, "*.png")).select("id", "file_size_bytes", *_six(images.FEATURES))
+    as_written = (F.col("bytes") == F.col("file_size_bytes")).alias("size_as_written")
+    return features.join(sizes, "id").select("id", *images.FEATURES, as_written)

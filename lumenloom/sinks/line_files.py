@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 FORMAT = "lumenloom_lines"
@@ -35,6 +35,13 @@ def place_of(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path without a scheme, as Spark reads it: on the default file system of the session."""
+    if ":" in path.split("/", 1)[0]:
+        return path
+    return f"{spark.conf.get('spark.hadoop.fs.defaultFS', 'file://').rstrip('/')}{path}"
+
+
 class _Hashed:
     """A stream that counts and hashes the bytes that pass."""
 
@@ -176,7 +183,8 @@ def write_lines(
     items, raw_bytes and raw_md5 (before compression).
     """
     rows.sparkSession.dataSource.register(LineFiles)
-    writer = rows.select("folder", "value").write.format(FORMAT).mode("overwrite").option("path", path)
+    spark = rows.sparkSession
+    writer = rows.select("folder", "value").write.format(FORMAT).mode("overwrite").option("path", qualified(spark, path))
     writer = writer.option("suffix", suffix).option("gzip", str(zipped).lower())
     writer = writer.option("mostRecords", most_records).option("mostBytes", most_bytes)
-    (writer.option("manifest", manifest) if manifest else writer).save()
+    (writer.option("manifest", qualified(spark, manifest)) if manifest else writer).save()

@@ -71,17 +71,22 @@ def format_of(serde: str | None, input_format: str | None = None) -> str:
 
 
 def register_catalog_views(spark: SparkSession, catalog: DataFrame) -> list[str]:
-    """A view per catalogue row (table_name, location, serde and, if there is one,
+    """A view per catalogue row (table_name, location, serde and, if there are any,
 
-    input_format), over files at all depths. The catalogue is table metadata, one
+    input_format and columns), over files at all depths. ``columns`` are the names and types of the
+    table, such as "id INT, name STRING": with them no file is read before a query asks. Without them
+    Parquet files are merged, JSON is read through and CSV is all text. The catalogue is table metadata, one
     small row per table."""
     names = []
     for row in catalog.toLocalIterator():
-        kind = format_of(row["serde"], row["input_format"] if "input_format" in catalog.columns else None)
+        has = lambda c: row[c] if c in catalog.columns else None  # noqa: B023, E731
+        kind, columns = format_of(row["serde"], has("input_format")), has("columns")
         reader = spark.read.option("recursiveFileLookup", True)
-        if kind == "parquet":
+        if columns:
+            reader = reader.schema(columns)
+        elif kind == "parquet":
             reader = reader.option("mergeSchema", True)
-        elif kind == "csv":
+        if kind == "csv":
             reader = reader.option("header", True)
         reader.format(kind).load(row["location"]).createOrReplaceTempView(row["table_name"])
         names.append(row["table_name"])
