@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from lumenloom.functions import billing_maps as maps
 from lumenloom.functions import collections as fc
-from lumenloom.functions import numbers, text, vectors
+from lumenloom.functions import numbers, text, user, vectors
 from lumenloom.functions import timebuckets as tb
 from lumenloom.queries.base import query_vector, table, usage, vector_literal
 from lumenloom.queries.registry import query
@@ -103,6 +104,52 @@ def collection_functions(spark, d):
     )
 
 
+_KINDS = "CASE o_orderkey % 3 WHEN 0 THEN 3 WHEN 1 THEN 2 END"
+
+
+@query(
+    "array_functions",
+    f"""SELECT o_orderkey, CAST({_KINDS} AS INTEGER) AS length,
+              CASE o_orderkey % 3 WHEN 0 THEN o_orderstatus = 'F' AND o_custkey % 4 = 1 WHEN 1 THEN false END AS held,
+              CASE o_orderkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS nested,
+              concat('[', CAST(o_custkey AS VARCHAR), ',"', o_orderstatus, '",null]') AS built, o_custkey + 7 AS added FROM orders""",
+)
+def array_functions(spark, d):
+    """Length, membership at all depths, building and whole sums on JSON that Spark makes of the rows."""
+    member = F.to_json(F.struct((F.col("o_custkey") % 4).alias("a"), F.col("o_orderstatus").alias("b")))
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("["), member, F.lit(',[1,{"y":2,"x":[]}],1]')))
+    text = text.when(F.col("o_orderkey") % 3 == 1, F.lit('["1",1.0]')).otherwise(member)
+    parsed = lambda literal: F.parse_json(F.lit(literal))
+    key = F.parse_json(F.col("o_custkey").cast("string"))
+    status = F.parse_json(F.concat(F.lit('"'), "o_orderstatus", F.lit('"')))
+    rows = table(spark, d, "orders").select("o_orderkey", F.parse_json(text).alias("v"), key.alias("key"), status.alias("status"))
+    return rows.select(
+        "o_orderkey",
+        fc.array_length(F.col("v")).alias("length"),
+        fc.array_contains(F.col("v"), parsed('{"b":"F","a":1}')).alias("held"),
+        fc.array_contains(F.col("v"), parsed('[1,{"x":[],"y":2}]')).alias("nested"),
+        F.to_json(fc.array_of(F.col("key"), F.col("status"), F.lit(None).cast("variant"))).alias("built"),
+        fc.add_whole(F.col("key"), parsed('"7"')).alias("added"),
+    )
+
+
+@query(
+    "function_catalogue",
+    "SELECT p_partkey, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT) AS brand, 'brand_number' AS function FROM part",
+)
+def function_catalogue(spark, d):
+    """A user function is registered, found in the catalogue by pattern, and called from SQL text."""
+
+    @F.pandas_udf("bigint")
+    def brand_number(brands: pd.Series) -> pd.Series:
+        return brands.str.extract("([0-9]+)", expand=False).astype("Int64")
+
+    user.register_functions(spark, {"brand_number": brand_number})
+    table(spark, d, "part").createOrReplaceTempView("function_parts")
+    name = user.list_functions(spark, "brand_num*", n=1).first()["function"]
+    return spark.sql(f"SELECT p_partkey, {name}(p_brand) AS brand, '{name}' AS function FROM function_parts")
+
+
 @query(
     "mapping_functions",
     """SELECT DISTINCT CASE l_suppkey % 5 WHEN 0 THEN 'Compute' WHEN 1 THEN 'Storage' WHEN 2 THEN 'Compute' WHEN 3 THEN 'Databases' ELSE 'Other' END AS category,

@@ -204,3 +204,21 @@ def test_decimal_text_arithmetic(spark):
         numbers.decimal_add(F.lit("x"), F.lit("1")).alias("c"),
     ).first()
     assert tuple(row) == ("0.3", "0", None)
+
+
+def test_arrays_and_sums_in_json(spark):
+    data = [
+        ('[{"a":1,"b":[2]},"x",null]', '{"b":[2],"a":1}', 3, True), ("[1,2]", "1.5", 2, False), ("[1]", '"1"', 1, False), ('["é"]', '"é"', 1, True),
+        ("[null]", "null", 1, True), ("[]", "1", 0, False), ('{"a":1}', "1", None, None), ('"text"', '"t"', None, None), (None, "1", None, None),
+    ]
+    df = spark.createDataFrame(data, "v string, w string, n int, held boolean").select(F.parse_json("v").alias("v"), F.parse_json("w").alias("w"), "n", "held")
+    for r in df.select("n", "held", fc.array_length(F.col("v")).alias("got_n"), fc.array_contains(F.col("v"), F.col("w")).alias("got_held")).collect():
+        assert (r.got_n, r.got_held) == (r.n, r.held)
+    sums = [("1", "2", 3), ("1.9", "-1.9", 0), ('"5"', "1", 6), ('"x"', "4", 4), ("null", "4", 4), ("true", "1e3", 1001)]
+    df = spark.createDataFrame(sums, "a string, b string, want long")
+    for r in df.select("a", "want", fc.add_whole(F.parse_json("a"), F.parse_json("b")).alias("got")).collect():
+        assert r.got == r.want, r
+    row = spark.range(1).select(F.to_json(fc.array_of(F.parse_json(F.lit('{"k":[1]}')), F.lit(None).cast("variant"))).alias("j")).first()
+    assert row.j == '[{"k":[1]},null]'
+    ids = [r.u for r in spark.range(50).select(F.uuid().alias("u")).collect()]
+    assert len(set(ids)) == 50 and all(len(u) == 36 and u.count("-") == 4 for u in ids)
