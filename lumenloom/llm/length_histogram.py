@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 
 from lumenloom.llm import textvec as tv
 from lumenloom.llm.encoding import default_path, encoder
+from lumenloom.llm.tables import written
 
 #: Lengths that one window of the running sums holds.
 BAND = 4096
@@ -47,6 +48,7 @@ def answers(counted: DataFrame) -> DataFrame:
     truncated_tokens (all tokens if every document is cut after L) and share_up_to (documents of at
     most L tokens, of all: the length whose share first reaches q is the quantile q).
     """
+    counted = written(counted, "histogram")  # read twice: the texts behind it are encoded once
     rows = counted.withColumn("band", F.floor(F.col("length") / BAND)).withColumn("tokens", F.col("length") * F.col("n_docs"))
     bands = rows.groupBy("band").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     # rows here are bands of lengths: as many as the longest text has, over the width of a band
