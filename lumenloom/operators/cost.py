@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenloom.functions import json_paths as jp
@@ -129,6 +129,74 @@ def to_buckets(lines: DataFrame, start: str, end: str, granularity: str) -> Data
     return out
 
 
+#: What a line adds per second, 9 whole digits of it, so that sums over any bucket keep 18 places.
+SLOPE = "decimal(27,18)"
+
+
+def bucket_totals(
+    lines: DataFrame, start: str | None, end: str | None, granularity: str, keys: list[Column], values: dict[str, Column]
+) -> DataFrame:
+    """Sums of ``values`` per ``keys`` and bucket of [start, end), or of all time, as ``to_buckets`` would spread the lines.
+
+    A line gives at most three rows, however many buckets it spans: its part of the first bucket, its part
+    of the last one, and between them what it adds per second, once from there on and once taken back. The
+    running sum of these, over the buckets of a key that have rows at all, is what every bucket between gets.
+    A line within one bucket gives one row. Sums are of decimals, so they do not depend on their order.
+    """
+    inside, low, high = lines, F.col("period_start"), F.col("period_end")
+    if start is not None:
+        _check_window(start, end)
+        first = tb.floor_to(F.lit(start).cast("timestamp"), granularity)
+        last = tb.ceil_to(F.lit(end).cast("timestamp"), granularity)
+        inside = lines.where((low < last) & (high > first))
+        low, high = F.greatest(low, first), F.least(high, last)
+    names = list(values)
+    staged = inside.select(
+        *keys,
+        *[v.alias(f"_v{i}") for i, v in enumerate(values.values())],
+        low.alias("_s"),
+        high.alias("_e"),
+        F.greatest(tb.seconds_between(F.col("period_start"), F.col("period_end")), F.lit(1)).alias("_whole"),
+    )
+    groups = staged.columns[: len(keys)]
+    staged = staged.withColumns(
+        {"_b0": tb.floor_to(F.col("_s"), granularity), "_b1": tb.floor_to(F.col("_e") - F.expr("interval 1 microsecond"), granularity)}
+    ).where("_b1 >= _b0")
+
+    def row(bucket: Column, seconds: Column | None, turn: int) -> Column:
+        parts = [bucket.alias("bucket_start")]
+        for i in range(len(names)):
+            value = F.col(f"_v{i}")
+            direct = (value * seconds / F.col("_whole")) if seconds is not None else F.lit(0)
+            parts.append(direct.cast(AMOUNT).alias(f"_d{i}"))
+            parts.append((value * turn / F.col("_whole") if turn else F.lit(0)).cast(SLOPE).alias(f"_r{i}"))
+        return F.struct(*parts, F.lit(turn).alias("_active"))
+
+    second = tb.bucket_end(F.col("_b0"), granularity)
+    one = F.array(row(F.col("_b0"), tb.seconds_between(F.col("_s"), F.col("_e")), 0))
+    many = F.array(
+        row(F.col("_b0"), tb.seconds_between(F.col("_s"), second), 0),
+        row(second, None, 1),
+        row(F.col("_b1"), tb.seconds_between(F.col("_b1"), F.col("_e")), -1),
+    )
+    events = staged.select(*groups, F.inline(F.when(F.col("_b0") == F.col("_b1"), one).otherwise(many)))
+    sums = [F.sum(f"_{x}{i}").alias(f"_{x}{i}") for i in range(len(names)) for x in "dr"]
+    summed = events.groupBy(*groups, "bucket_start").agg(*sums, F.sum("_active").alias("_active"))
+    in_order = Window.partitionBy(*groups).orderBy("bucket_start")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    running = {f"_r{i}": F.sum(f"_r{i}").over(so_far).cast(SLOPE) for i in range(len(names))}
+    running |= {"_active": F.sum("_active").over(so_far), "_next": F.lead("bucket_start").over(in_order)}
+    step = tb.step_of(granularity)
+    between = F.sequence("bucket_start", F.col("_next") - step, step)
+    spread = summed.withColumns(running).withColumn("_all", F.when(F.col("_active") > 0, between).otherwise(F.array("bucket_start")))
+    spread = spread.select("*", F.posexplode("_all").alias("_at", "_bucket"))
+    size = tb.seconds_between(F.col("_bucket"), tb.bucket_end(F.col("_bucket"), granularity)).cast("decimal(10,0)")
+    own = lambda i: F.when(F.col("_at") == 0, F.col(f"_d{i}")).otherwise(0)
+    flow = lambda i: F.when(F.col("_active") > 0, F.col(f"_r{i}") * size).otherwise(0)
+    made = [(own(i) + flow(i)).cast(AMOUNT).alias(n) for i, n in enumerate(names)]
+    return spread.select(*groups, F.col("_bucket").alias("bucket_start"), *made)
+
+
 def _check_window(start: str, end: str) -> None:
     if _instant(end) <= _instant(start):
         raise ValueError("end must be after start")
@@ -217,21 +285,14 @@ def cost_and_usage(
     priced = price_usage(cost_where(lines, expression), rates)
     if monthly_credit > 0:
         priced = with_credits(priced, apply_credit(priced, monthly_credit), expression)
-    scaled = to_buckets(priced, start, end, granularity)
     keys = [group_key(k, v).alias(f"key{i}") for i, (k, v) in enumerate(group_by or [])]
     names = [f"key{i}" for i in range(len(keys))]
     usd = is_usd(F.col("record_type"))
     units = F.when(usd, F.coalesce("usage_unit", F.lit("USD"))).otherwise(F.col("usage_unit"))
-    rows = scaled.select(
-        "bucket_start",
-        *keys,
-        F.col("cost").cast(AMOUNT).alias("cost"),
-        F.when(usd, 0.0).otherwise(F.col("quantity")).cast(AMOUNT).alias("quantity"),
-        F.coalesce(units, F.lit("")).alias("unit"),
-    )
+    amounts = {"cost": F.col("cost"), "quantity": F.when(usd, 0.0).otherwise(F.col("quantity"))}
     # summed per unit first: numbers only, so this pass hashes and needs no sort
-    sums = [F.sum(c).alias(c) for c in ("cost", "quantity")]
-    per_unit = rows.groupBy("bucket_start", *names, "unit").agg(*sums)
+    per_unit = bucket_totals(priced, start, end, granularity, [*keys, F.coalesce(units, F.lit("")).alias("unit")], amounts)
+    sums = [F.sum(c).alias(c) for c in amounts]
     # totals and groups in one pass over what is left
     sets = [["bucket_start"], ["bucket_start", *names]] if names else [["bucket_start"]]
     summed = per_unit.groupingSets(sets, "bucket_start", *names).agg(
@@ -275,15 +336,10 @@ def apply_credit(priced: DataFrame, monthly_credit: float) -> DataFrame:
     Lines are spread over the months they cover by their seconds.
     """
     usage = priced.where((F.col("record_type") == "Usage") & (F.col("cost") != 0))
-    months = tb.bucket_starts(F.col("period_start"), F.col("period_end"), "MONTHLY")
-    spread = usage.where("period_start < period_end").withColumn("month", F.explode(months))
-    month_end = tb.bucket_end(F.col("month"), "MONTHLY")
-    part = tb.seconds_between(F.greatest("period_start", "month"), F.least(F.col("period_end"), month_end))
-    whole = F.greatest(tb.seconds_between(F.col("period_start"), F.col("period_end")), F.lit(1))
     # per account first, so that the wide pass hashes numbers only
-    per_account = spread.groupBy("region", "month", "account").agg(
-        F.sum((F.col("cost") * part / whole).cast(AMOUNT)).alias("spent")
-    )
+    keys = [F.col("region"), F.col("account")]
+    spread = bucket_totals(usage.where("period_start < period_end"), None, None, "MONTHLY", keys, {"spent": F.col("cost")})
+    per_account = spread.withColumnRenamed("bucket_start", "month")
     totals = per_account.groupBy("region", "month").agg(
         F.sum("spent").cast("double").alias("spent"), F.max("account").alias("account")
     )

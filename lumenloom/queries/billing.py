@@ -93,16 +93,16 @@ WITH lines AS (SELECT *, cost * share AS c, CASE WHEN {usd} THEN 0 ELSE quantity
                 FROM lines GROUP BY GROUPING SETS ((bucket_start), (bucket_start, {names})))
 SELECT b.bucket_start, total = 1 AS is_total,
        CASE WHEN total = 1 THEN '' ELSE concat_ws('|', {names}) END AS keys,
-       m.metric, CASE m.metric WHEN 'UnblendedCost' THEN cost ELSE quantity END AS amount,
+       m.metric, CAST(round(CAST(CASE m.metric WHEN 'UnblendedCost' THEN cost ELSE quantity END AS DECIMAL(38,10)), 6) AS DOUBLE) AS amount,
        CASE m.metric WHEN 'UnblendedCost' THEN 'USD' ELSE 'Hrs' END AS unit
 FROM ({_buckets('MONTH')}) b JOIN summed s USING (bucket_start)
 CROSS JOIN (SELECT unnest(['UnblendedCost', 'UsageQuantity']) AS metric) m"""
 
 
 def _flat(df):
-    return df.select("bucket_start", "is_total", F.array_join("keys", "|").alias("keys"), "metric", "amount", "unit").where(
-        "metric IS NOT NULL"
-    )
+    flat = df.select("bucket_start", "is_total", F.array_join("keys", "|").alias("keys"), "metric", "amount", "unit")
+    # to six places: lines are spread in another order than SQL does it
+    return _rounded(flat.where("metric IS NOT NULL"), "amount")
 
 
 @query(

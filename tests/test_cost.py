@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -113,6 +114,34 @@ def test_cost_and_usage(spark, rates):
         c.cost_and_usage(lines, rates, "2024-01-01", "2024-04-01", "MONTHLY", [])
 
 
+@pytest.mark.parametrize("granularity", ["HOURLY", "DAILY", "MONTHLY"])
+def test_running_sums_give_what_every_bucket_gets(spark, granularity):
+    """Lines from a second to a year against the lines spread over their buckets one by one."""
+    r = random.Random(granularity)
+    lines = []
+    for i in range(60):
+        start = 1_704_067_200 + r.randrange(-40 * 86400, 60 * 86400)
+        size = r.choice([0, 1, 1800, 3600, 90_000, 40 * 86400, 366 * 86400])
+        lines.append((f"s{i % 3}" if i % 7 else None, start, start + size, r.randrange(1, 1000) / 8))
+    df = spark.createDataFrame(lines, "service string, a long, b long, quantity double")
+    df = df.select("service", F.timestamp_seconds("a").alias("period_start"), F.timestamp_seconds("b").alias("period_end"), "quantity")
+    window = ("2024-01-01", "2024-02-10")
+    got = c.bucket_totals(df, *window, granularity, [F.col("service")], {"q": F.col("quantity")})
+    one_by_one = c.to_buckets(df, *window, granularity).groupBy("service", "bucket_start").agg(F.sum("quantity").alias("q"))
+    want = {(x.service, x.bucket_start): x.q for x in one_by_one.collect()}
+    have = {(x.service, x.bucket_start): float(x.q) for x in got.collect()}
+    assert have.keys() == want.keys()
+    assert all(have[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_long_lines_do_not_multiply(spark):
+    """A hundred lines of a year by the hour: three rows each, and one per bucket and key in the end."""
+    df = spark.range(100).select(F.lit("s").alias("service"), F.lit("2024-01-01").cast("timestamp").alias("period_start"), F.lit("2025-01-01").cast("timestamp").alias("period_end"), F.lit(8784.0).alias("quantity"))
+    out = c.bucket_totals(df, None, None, "HOURLY", [F.col("service")], {"q": F.col("quantity")})
+    rows = out.collect()
+    assert len(rows) == 8784 and {float(r.q) for r in rows} == {100.0}
+
+
 def test_ungrouped_costs_have_only_totals(spark, rates):
     lines = spark.createDataFrame([line("2024-01-01", "2024-01-02", 10.0)], LINE)
     out = c.cost_and_usage(lines, rates, "2024-01-01", "2024-02-01", "MONTHLY", ["BlendedCost"]).collect()
