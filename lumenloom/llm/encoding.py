@@ -18,10 +18,10 @@ import numpy as np
 
 from lumenloom.llm import textvec as tv
 
-#: Pieces remembered by a worker, about 150 bytes each; afterwards it starts anew.
+#: Pieces remembered by a worker, about 40 bytes each; afterwards it starts anew.
 REMEMBERED = 1_200_000
 #: Bytes of text cut into pieces at a time; a longer text is a step of its own.
-STEP = 4 << 20
+STEP = 2 << 20
 _WIDE_SPACE = re.compile(r"\s\s")
 _U = np.uint64
 
@@ -72,7 +72,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        # hashes in order and the number of the piece each belongs to
+        self.known, self.number = np.empty(0, _U), np.empty(0, np.int32)
         self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
     def _library(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -92,14 +93,19 @@ class Encoder:
         start = np.concatenate([s for s, _ in found])
         end = np.concatenate([e for _, e in found])
         keys, first, which = np.unique(tv.span_hashes(data, start, end), return_index=True, return_inverse=True)
-        if len(self.known) > REMEMBERED:
+        if self.known.size > REMEMBERED:
             self._forget()
-        place = np.fromiter(map(self.known.get, keys.tolist(), itertools.repeat(-1)), dtype=np.int64, count=keys.size)
+        at = np.searchsorted(self.known, keys)
+        place = np.full(keys.size, -1, dtype=np.int64)
+        if self.known.size:
+            near = np.minimum(at, self.known.size - 1)
+            place = np.where(self.known[near] == keys, self.number[near], place)
         new = np.flatnonzero(place < 0)
         if new.size:
             ids, sizes = self._library([joined[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
-            place[new] = len(self.known) + np.arange(new.size)
-            self.known.update(zip(keys[new].tolist(), place[new].tolist()))
+            place[new] = self.known.size + np.arange(new.size)
+            self.known = np.insert(self.known, at[new], keys[new])
+            self.number = np.insert(self.number, at[new], place[new].astype(np.int32))
             self.ids = np.concatenate([self.ids, ids])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
         piece = place[which]

@@ -69,8 +69,9 @@ def bucketed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return np.concatenate(out), np.concatenate(whose), some[: len(texts)]
 
 
-def _trains(doc_id: int, modulus: int, held: int) -> bool:
-    return zlib.crc32(str(doc_id).encode()) % modulus != held
+def _trains(doc_id: int | None, modulus: int, held: int) -> bool | None:
+    """Whether a document trains; null for one without an id, which does not."""
+    return None if doc_id is None else zlib.crc32(str(doc_id).encode()) % modulus != held
 
 
 _COUNTS = pa.schema([("lang", pa.string()), ("chunk", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
@@ -133,7 +134,7 @@ def identify(docs: DataFrame, modulus: int = 4, held: int = 2) -> DataFrame:
 
     Documents whose crc32(id) mod ``modulus`` is ``held``, or whose lang is null, do not train.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where("doc_id IS NOT NULL")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     langs, matrix = train(docs, modulus, held)
     model = docs.sparkSession.sparkContext.broadcast(matrix)
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
@@ -150,7 +151,7 @@ def identify(docs: DataFrame, modulus: int = 4, held: int = 2) -> DataFrame:
                     odds = 1 / np.exp(logs - logs.max(axis=0)).sum(axis=0)
                     pred = [langs[k] if s else UNKNOWN for k, s in zip(best, some)]
                     score = np.where(some, odds, 0.0)
-                out = [not _trains(i, modulus, held) for i in ids]
+                out = [None if i is None else not _trains(i, modulus, held) for i in ids]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, out, pred, score), schema)], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")

@@ -12,7 +12,8 @@ p(w | c) = (count(c w) + prior * p(w | shorter c)) / (count(c) + prior), down to
 p(w) = (count(w) + 1) / (N + V + 1). So the failure arc of c weighs prior / (count(c) + prior).
 
 Defined results: a null or empty text has the end token alone. Repeated rows are scored each, and
-counted each if they train. Rows with a null id get no hash, train nothing and are left out.
+counted each if they train. Rows with a null id train nothing and are scored; whether they are held out
+is null.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from lumenloom.llm.tables import written
 #: n-grams that one bucket adds up, on average: the memory of a task, not of the model.
 BUCKET_GRAMS = 1_000_000
 BLOCK_BYTES = 4 << 20
+#: Requests of one bucket that one task adds up or answers; a bucket that more blocks ask takes two steps.
+ASKED = 4_096
 _END = tv.salts(1, 99)[0]
 #: n-grams of two and more words are told apart by the upper 56 bits of their hash, words by all 64.
 _GRAM_BITS = np.uint64(0xFFFFFFFFFFFFFF00)
@@ -63,20 +66,24 @@ def _keys_of(x: bytes) -> np.ndarray:
     return np.cumsum(_wide(x).view(np.uint64), dtype=np.uint64)
 
 
+_NAMELESS = 2  # beside 0 for held out and 1 for training
+
+
 def _pack(modulus: int, held: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in tv.slices(batch, "text", BLOCK_BYTES):
                 ids = part.column("doc_id").to_pylist()
+                numbers = np.array([0 if i is None else i for i in ids], dtype="<i8")
                 words, at = tv.word_hashes(tv.texts_of(part.column("text")), lower=True)
                 words = np.insert(words, at[1:], _END)
                 vocabulary, tokens, uses = np.unique(words, return_inverse=True, return_counts=True)
                 order = np.argsort(-uses, kind="stable")  # frequent words get small numbers
                 vocabulary, tokens = vocabulary[order], np.argsort(order)[tokens]
-                train = np.array([zlib.crc32(str(i).encode()) % modulus != held for i in ids], dtype=np.uint8)
+                train = np.array([_NAMELESS if i is None else zlib.crc32(str(i).encode()) % modulus != held for i in ids], dtype=np.uint8)
                 grams = words.size * (most - 1) + vocabulary.size
-                row = [block, grams, np.array(ids, dtype="<i8").tobytes(), train.tobytes(), _narrow(np.diff(at) + 1), vocabulary.tobytes(), _narrow(tokens)]
+                row = [block, grams, numbers.tobytes(), train.tobytes(), _narrow(np.diff(at) + 1), vocabulary.tobytes(), _narrow(tokens)]
                 yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _BLOCK)], schema=_BLOCK)
                 block += 1
 
@@ -88,7 +95,8 @@ class Block:
 
     def __init__(self, row: dict, order: int) -> None:
         self.ids = np.frombuffer(row["ids"], dtype="<i8")
-        self.train = np.frombuffer(row["train"], dtype=np.uint8).astype(bool)
+        part = np.frombuffer(row["train"], dtype=np.uint8)
+        self.train, self.nameless = part == 1, part == _NAMELESS
         self.lengths, self.tokens = _wide(row["lengths"]), _wide(row["tokens"])
         self.at = np.concatenate([[0], np.cumsum(self.lengths)])
         vocabulary = np.frombuffer(row["vocabulary"], dtype=np.uint64)
@@ -126,24 +134,74 @@ def _ask(order: int, bits: int):
     return run
 
 
+def _added(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys of some requests, their totals, and where the keys of each request are among them."""
+    parts = [_keys_of(r["keys"]) for r in rows]
+    counts = np.concatenate([_wide(r["counts"]) for r in rows])
+    distinct, which = np.unique(np.concatenate(parts), return_inverse=True)
+    totals = np.bincount(which, weights=counts, minlength=distinct.size).astype(np.int64)
+    return distinct, totals, np.split(which, np.cumsum([p.size for p in parts])[:-1])
+
+
+def _by_size(asked: pa.Table) -> Iterator[tuple[int, list[dict]]]:
+    for m in sorted(set(asked.column("size").to_pylist())):
+        yield m, asked.filter(pa.compute.equal(asked.column("size"), m)).to_pylist()
+
+
 def _tell(asked: pa.Table) -> pa.Table:
     """The training totals of one bucket, in the order in which each block asked for them."""
     out = []
-    for m in sorted(set(asked.column("size").to_pylist())):
-        rows = asked.filter(pa.compute.equal(asked.column("size"), m)).to_pylist()
-        parts = [_keys_of(r["keys"]) for r in rows]
-        keys = np.concatenate(parts)
-        counts = np.concatenate([_wide(r["counts"]) for r in rows])
-        distinct, which = np.unique(keys, return_inverse=True)
-        totals = np.bincount(which, weights=counts, minlength=distinct.size).astype(np.int64)
+    for m, rows in _by_size(asked):
+        _, totals, where = _added(rows)
         first = (int((totals > 0).sum()), int(totals.sum())) if m == 1 else (0, 0)
-        ends = np.cumsum([p.size for p in parts])
-        for r, part in zip(rows, np.split(totals[which], ends[:-1])):
-            out.append((r["block"], r["bucket"], m, _narrow(part), *first))
+        for r, at in zip(rows, where):
+            out.append((r["block"], r["bucket"], m, _narrow(totals[at]), *first))
             first = (0, 0)
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), _TELL)], schema=_TELL)
 
 
+_SUM = pa.schema([("bucket", pa.int64()), ("size", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+_SUM_SQL = "bucket long, size int, keys binary, counts binary"
+
+
+def _sum(asked: pa.Table) -> pa.Table:
+    """Some requests of a bucket as one: its distinct keys and their totals."""
+    out = []
+    for m, rows in _by_size(asked):
+        keys, totals, _ = _added(rows)
+        out.append((rows[0]["bucket"], m, _narrow(np.diff(keys, prepend=np.uint64(0))), _narrow(totals)))
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), _SUM)], schema=_SUM)
+
+
+def _answer(asked: pa.Table, summed: pa.Table) -> pa.Table:
+    """What a part of the blocks asked of a bucket, from the totals of the whole bucket."""
+    out, known = [], {r["size"]: r for r in summed.to_pylist()}
+    for m, rows in _by_size(asked):
+        keys, totals = _keys_of(known[m]["keys"]), _wide(known[m]["counts"])
+        first = (int((totals > 0).sum()), int(totals.sum())) if m == 1 and known[m]["slice0"] == 0 else (0, 0)
+        for r in rows:
+            out.append((r["block"], r["bucket"], m, _narrow(totals[np.searchsorted(keys, _keys_of(r["keys"]))]), *first))
+            first = (0, 0)
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), _TELL)], schema=_TELL) if out else _TELL.empty_table()
+
+
+def _told(asked: DataFrame, blocks: int) -> DataFrame:
+    """The answers to all requests. A bucket that very many blocks ask is added up in two levels and
+    answered in as many parts, so no task holds the requests of a common n-gram from all blocks."""
+    schema = "block long, bucket long, size int, totals binary, words long, tokens long"
+    slices = -(-blocks // ASKED)
+    if slices <= 1:
+        return asked.groupBy("bucket").applyInArrow(_tell, schema)
+    asked = written(asked.withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(slices))), "asked")
+    parts = asked.groupBy("bucket", "slice").applyInArrow(_sum, _SUM_SQL)
+    summed = written(parts.groupBy("bucket").applyInArrow(_sum, _SUM_SQL), "bucket-sums")
+    here = asked.select("bucket", "slice").distinct()
+    first = here.groupBy("bucket").agg(F.min("slice").alias("lowest"))
+    # the lowest slice that a bucket has is its slice 0
+    here = written(here.join(first, "bucket").select("bucket", "slice", (F.col("slice") - F.col("lowest")).alias("slice0")), "slices")
+    return asked.groupBy("bucket", "slice").cogroup(summed.join(here, "bucket").select("bucket", "slice", "size", "keys", "counts", "slice0").groupBy("bucket", "slice")).applyInArrow(_answer, schema)
+
+
 class Automaton:
     """What a block can reach. State 0 is the empty context; arcs are keyed state * width + token."""
 
@@ -198,7 +256,10 @@ def _score(order: int, n: int, v: int, prior: float):
             base = np.add.reduceat(automaton.unigram[b.tokens], b.at[:-1])
             known = np.add.reduceat((totals[0] > 0)[b.tokens].astype(np.int64), b.at[:-1])
             score = [automaton.score(b.tokens[i:j].tolist()) for i, j in zip(b.at, b.at[1:])]
-            out.append(pa.table([pa.array(x, f.type) for x, f in zip((b.ids, ~b.train, b.lengths, known, base, score), _SCORE)], schema=_SCORE))
+            columns = [pa.array(x, f.type) for x, f in zip((b.ids, ~b.train, b.lengths, known, base, score), _SCORE)]
+            for c in (0, 1):  # what has no id has no remainder either
+                columns[c] = pa.array(columns[c].to_pylist(), _SCORE[c].type, mask=b.nameless)
+            out.append(pa.table(columns, schema=_SCORE))
         return pa.concat_tables(out) if out else _SCORE.empty_table()
 
     return run
@@ -210,13 +271,12 @@ def score_documents(docs: DataFrame, order: int = 2, prior: float = 20.0, modulu
     ``docs`` has doc_id and text. Returns doc_id, held_out, n_tokens (with the end token), n_known,
     train_tokens, base_score (order 1) and score (the automaton of the given order).
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     blocks = written(docs.mapInArrow(_pack(modulus, held, order), _BLOCK_SQL), "blocks")
-    grams = blocks.agg(F.sum("grams")).first()[0] or 0
+    grams, n_blocks = (x or 0 for x in blocks.agg(F.sum("grams"), F.count("*")).first())
     bits = max(1, int(np.ceil(np.log2(max(1, grams / BUCKET_GRAMS)))))
     asked = blocks.mapInArrow(_ask(order, bits), "bucket long, block long, size int, keys binary, counts binary")
-    told = asked.groupBy("bucket").applyInArrow(_tell, "block long, bucket long, size int, totals binary, words long, tokens long")
-    told = written(told, "answers")
+    told = written(_told(asked, n_blocks), "answers")
     n, v = (x or 0 for x in told.agg(F.sum("tokens"), F.sum("words")).first())
     scored = blocks.groupBy("block").cogroup(told.drop("words", "tokens").groupBy("block"))
     scored = scored.applyInArrow(_score(order, n, v, prior), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

@@ -5,8 +5,13 @@ from __future__ import annotations
 import collections
 import math
 import re
+import unicodedata
 import zlib
 
+import numpy as np
+
+from lumenloom.llm import textvec
+
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LETTERED = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -196,3 +201,32 @@ def base_secrets(text):
         i = max(end, i + 1)
     kinds = ("assign", "access", "hex")
     return sorted(out, key=lambda x: (x[1], kinds.index(x[0])))
+
+
+def language(rows, buckets=1 << 16):
+    """doc_id -> (language, posterior, posterior of the next) by Bayes' rule over counted n-grams of 1 to 3 characters."""
+    factors = [int(x) for x in textvec.salts(3, 51)]
+
+    def grams(text):
+        symbols = [ord(c) if unicodedata.category(c)[0] == "L" else 32 for c in (text or "").lower()]
+        padded, out = symbols + [32, 32], []
+        for n in (1, 2, 3):
+            for i in range(len(symbols)):
+                part = padded[i : i + n]
+                if any(s != 32 for s in part):
+                    key = (sum(s * f for s, f in zip(part, factors)) + n - 1) % (1 << 64)
+                    out.append(int(textvec.mix(np.array([key], dtype=np.uint64))[0]) >> 48)
+        return out
+
+    count = collections.defaultdict(collections.Counter)
+    for d, t, lang in rows:
+        if lang is not None and d is not None and zlib.crc32(str(d).encode()) % 4 != 2:
+            count[lang].update(grams(t))
+    out = {}
+    for d, t, _ in rows:
+        logs = {x: sum(math.log((c[g] + 1) / (sum(c.values()) + buckets)) for g in grams(t)) for x, c in count.items()}
+        top = max(logs.values())
+        odds = sorted(((math.exp(v - top), x) for x, v in logs.items()), reverse=True)
+        total = sum(o for o, _ in odds)
+        out[d] = (odds[0][1], odds[0][0] / total, odds[1][0] / total)
+    return out

@@ -145,6 +145,17 @@ def test_language_model(docs, texts, order):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
 
 
+def test_language_model_of_buckets_in_parts(docs, texts, monkeypatch):
+    """Buckets that many blocks ask are added up in two levels; the scores are the same."""
+    monkeypatch.setattr(lm_automaton, "BLOCK_BYTES", 1 << 10)
+    whole = {r.doc_id: (r.n_known, r.train_tokens, round(r.score, 6)) for r in lm_automaton.score_documents(docs.repartition(6), 3).collect()}
+    monkeypatch.setattr(lm_automaton, "ASKED", 2)
+    parts = {r.doc_id: (r.n_known, r.train_tokens, round(r.score, 6)) for r in lm_automaton.score_documents(docs.repartition(6), 3).collect()}
+    assert whole == parts
+    for d, r in brute.language_model(texts, 3, 20.0).items():
+        assert parts[d][:2] == (r[1], r[2]) and parts[d][2] == pytest.approx(r[4], abs=1e-5)
+
+
 def test_repeated_passages(docs, texts):
     got = {r.doc_id: r.spans for r in sparse_suffixes.repeated_passages(docs).collect()}
     assert got == brute.repeated(texts, 50)
@@ -308,6 +319,24 @@ def test_language(spark):
         assert x.lang_pred == ("und" if 900 <= x.doc_id <= 902 else truth[x.doc_id])
 
 
+def test_language_against_plain_bayes(spark):
+    """Texts of overlapping alphabets, mixed and short ones too: the same predictions and scores."""
+    r = random.Random(31)
+    letters = {"xx": "aabcdeé", "yy": "abbcdfñ", "zz": "acdeeßж"}
+    made = []
+    for i in range(150):
+        lang = r.choice([*letters, None])
+        mixed = "".join(r.choices(letters[lang or "xx"], k=r.randint(1, 40))) + r.choice(["", " ", "1", ". "]) + "".join(r.choices(letters[r.choice(list(letters))], k=r.randint(0, 9)))
+        made.append((i if i % 30 else None, mixed.upper() if i % 7 == 0 else mixed, lang, None))
+    want = brute.language([(d, t, lang) for d, t, lang, _ in made])
+    got = {(x.doc_id, x.held_out): [] for x in language_id.identify(table(spark, made)).collect()}
+    assert {d for d, _ in got} == {m[0] for m in made} and got.get((None, None)) is not None
+    for x in language_id.identify(table(spark, [m for m in made if m[0] is not None])).collect():
+        lang, score, runner = want[x.doc_id]
+        assert x.score == pytest.approx(score, abs=2e-3)
+        assert x.lang_pred == lang or score - runner < 2e-3
+
+
 def test_language_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = language_id.identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
@@ -529,8 +558,10 @@ def test_repeated_rows_and_null_ids(spark):
     assert near == {(1, 1), (2, 1), (4, 4), (None, None)}
     spans = sorted(((r.doc_id, r.spans) for r in sparse_suffixes.repeated_passages(docs).collect()), key=lambda x: (x[0] is None, x))
     assert spans == [(1, "0:60"), (1, "0:60"), (2, "0:60"), (4, ""), (None, "0:60")]
-    assert lm_automaton.score_documents(docs).count() == 4
-    assert language_id.identify(docs).count() == 4
+    scored = lm_automaton.score_documents(docs).collect()
+    assert sorted((r.doc_id is None, r.held_out is None) for r in scored) == [(False, False)] * 4 + [(True, True)]
+    assert len({round(r.score, 6) for r in scored if r.doc_id in (1, None)}) == 1  # the same text
+    assert sorted((r.doc_id is None, r.held_out is None) for r in language_id.identify(docs).collect()) == [(False, False)] * 4 + [(True, True)]
     assert rule_cascade.judge(docs).count() == 5
     assert secret_scan.scan(docs).count() == 5
     assert weighted_mix.plan(docs).count() == 5
