@@ -11,13 +11,14 @@ import json
 from collections.abc import Callable
 from decimal import Decimal
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenloom.functions import json_paths as jp
 from lumenloom.functions.booleans import bound, compare, every, leaf, some
+from lumenloom.functions.item_sizes import item_sizes
 from lumenloom.functions.numbers import EXACT_TEXT, PLAIN_TEXT, normalize_number, order_text
 from lumenloom.functions.text import text_units
 from lumenloom.operators.ordered import running_total
@@ -348,37 +349,7 @@ def page_by_size(
 # ── item size ────────────────────────────────────────────────────────────────────
 
 
-def _utf8(text: str) -> int:
-    return len(text.encode("utf-8"))
-
-
-def _binary(base64_text: str) -> int:
-    return len(base64_text) * 3 // 4 - base64_text[-2:].count("=")
-
-
-def _value_size(value: dict) -> int:
-    ((kind, body),) = value.items()
-    if kind == "S":
-        return _utf8(body)
-    if kind == "N":
-        return len(body)
-    if kind == "B":
-        return _binary(body)
-    if kind in ("SS", "NS", "BS"):
-        unit = {"SS": _utf8, "NS": len, "BS": _binary}[kind]
-        return sum(unit(v) + 1 for v in body)
-    if kind == "L":
-        return sum(_value_size(v) + 3 for v in body)
-    if kind == "M":
-        return sum(_utf8(k) + 4 + _value_size(v) for k, v in body.items())
-    return 1  # BOOL and NULL
-
-
-@F.pandas_udf(T.LongType())
-def item_size(items: pd.Series) -> pd.Series:
+@F.arrow_udf(T.LongType())
+def item_size(items: pa.Array) -> pa.Array:
     """Bytes of an item: UTF-8 names and values, at any depth of nesting."""
-
-    def size(text):
-        return None if text is None else sum(_utf8(k) + _value_size(v) for k, v in json.loads(text).items())
-
-    return items.map(size).astype("Int64")
+    return item_sizes(items)

@@ -1,13 +1,17 @@
 from __future__ import annotations
 
+import base64
 import json
+import random
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lumenloom.functions import collections as fc
 from lumenloom.functions import numbers
+from lumenloom.functions.item_sizes import item_sizes
 from lumenloom.operators import documents as doc
 
 ITEM = {
@@ -109,6 +113,50 @@ def test_legacy_conditions(spark, conditions, want):
     assert (doc.doc_where_legacy(df, conditions).count() == 1) is want
 
 
+def plain_size(value):
+    ((kind, body),) = value.items()
+    binary = lambda x: len(base64.b64decode(x))
+    if kind in ("S", "N"):
+        return len(body.encode())
+    if kind == "B":
+        return binary(body)
+    if kind in ("SS", "NS", "BS"):
+        return sum((binary(v) if kind == "BS" else len(v.encode())) + 1 for v in body)
+    if kind == "L":
+        return sum(plain_size(v) + 3 for v in body)
+    if kind == "M":
+        return sum(len(k.encode()) + 4 + plain_size(v) for k, v in body.items())
+    return 1
+
+
+def test_item_sizes_of_any_shape():
+    """Random nesting, escapes, surrogates and white space, against parsed objects; also of slices and nulls."""
+    r = random.Random(17)
+    text = lambda: "".join(r.choices(["a", "é", "😀", '"', "\\", "\n", "{", "}", "[", ":", ",", "=", " ", "的", "/", "\u0001"], k=r.randrange(7)))
+    coded = lambda: base64.b64encode(r.randbytes(r.randrange(8))).decode()
+
+    def value(deep):
+        kinds = ["S", "N", "B", "BOOL", "NULL", "SS", "NS", "BS"] + ["L", "M"] * (2 if deep < 4 else 0)
+        kind = r.choice(kinds)
+        some = range(r.randrange(4))
+        made = {
+            "S": text, "N": lambda: str(r.randrange(10**6)), "B": coded, "BOOL": lambda: r.random() < 0.5, "NULL": lambda: True,
+            "SS": lambda: [text() for _ in some], "NS": lambda: [str(r.random()) for _ in some], "BS": lambda: [coded() for _ in some],
+            "L": lambda: [value(deep + 1) for _ in some], "M": lambda: {text(): value(deep + 1) for _ in some},
+        }
+        return {kind: made[kind]()}
+
+    items = [{text() or "k": value(0) for _ in range(r.randrange(5))} for _ in range(600)]
+    texts = [json.dumps(x, ensure_ascii=r.random() < 0.5, indent=r.choice([None, 1]), separators=r.choice([None, (",", ":"), (" , ", " : ")])) for x in items]
+    want = [sum(len(k.encode()) + plain_size(v) for k, v in x.items()) for x in items]
+    column = pa.array([t if i % 50 else None for i, t in enumerate(texts)])
+    got = item_sizes(column).to_pylist()
+    assert got == [w if i % 50 else None for i, w in enumerate(want)]
+    assert item_sizes(column.slice(33, 70)).to_pylist() == got[33:103]
+    assert item_sizes(pa.array([], pa.string())).to_pylist() == []
+    assert item_sizes(pa.array([None, "{}", " { } "])).to_pylist() == [None, 0, 0]
+
+
 def test_item_size(spark):
     item = {
         "é": {"S": "ü"},  # 2 + 2
