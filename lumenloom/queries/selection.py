@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lumenloom.operators import documents as doc
-from lumenloom.operators import ordered, predicates, vectors
+from lumenloom.operators import predicates, vectors
 from lumenloom.functions import collections as fc
 from lumenloom.queries.base import items, query_vector, table, vector_literal
 from lumenloom.queries.registry import query

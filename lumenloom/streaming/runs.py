@@ -54,10 +54,3 @@ def stream_to_table(sdf: DataFrame, name: str) -> DataFrame:
     path = shared_dir(spark, name)
     finish(sdf.writeStream.format("parquet").option("path", path), spark, name)
     return spark.read.schema(sdf.schema).parquet(path)
-
-
-def latest_batch(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the newest ``batch=<id>`` folder."""
-    rows = spark.read.parquet(path)
-    newest = rows.agg({"batch": "max"}).first()[0]  # folder names only
-    return rows.where(rows["batch"] == newest).drop("batch")
