@@ -119,8 +119,8 @@ class Block:
 def _ask(order: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                block, out = Block(row, order), []
+            for i in range(batch.num_rows):
+                block, out = Block(row := batch.slice(i, 1).to_pylist()[0], order), []
                 for m, (keys, counts) in enumerate(zip(block.keys, block.counts()), 1):
                     bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
                     cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=1 << bits))
@@ -249,8 +249,8 @@ def _score(order: int, n: int, v: int, prior: float):
     def run(block: pa.Table, told: pa.Table) -> pa.Table:
         out = []
         answers = told.sort_by([("size", "ascending"), ("bucket", "ascending")]).to_pylist()
-        for row in block.to_pylist():
-            b = Block(row, order)
+        for i in range(block.num_rows):
+            b = Block(block.slice(i, 1).to_pylist()[0], order)
             totals = [np.concatenate([_wide(r["totals"]) for r in answers if r["size"] == m] or [np.empty(0, np.int64)]) for m in range(1, order + 1)]
             automaton = Automaton(b, totals, n, v, prior)
             base = np.add.reduceat(automaton.unigram[b.tokens], b.at[:-1])
