@@ -8,10 +8,12 @@ only scored. It is calibrated on a part of the findings it has not seen, and its
 still finds ``RECALL`` of that part's secrets. Candidates above the threshold that base findings do not
 cover are added; base findings always stay.
 
-The network is fitted on a bounded sample: at most ``SAMPLE`` findings that are none and a third as many of
-each kind of secret, those with the smallest hashes among all documents and of at most ``PIECE`` characters.
-``PRIOR`` made examples of either label are part of every sample, so that a corpus with few or no findings
-has a network as well. Every candidate of every text is scored.
+The network learns from every labelled finding there is, each window once and a run of more than ``PIECE``
+characters in pieces. ``PRIOR`` made examples of either label are among the findings, so that a corpus with few
+or none has a network too. A round sends the network to buckets of findings, dealt by hash, each learns on, and
+Spark averages what they have learned, and Adam's moments, by their sizes. Every fourth
+finding by hash is held out: calibration and threshold come from all of these. Every candidate of every text is
+scored.
 
 Defined results: a null or empty text has no findings. Repeated rows are scanned each. Columns besides
 doc_id and text are not read.
@@ -19,21 +21,25 @@ doc_id and text are not read.
 
 from __future__ import annotations
 
+import copy
 import functools
 import hashlib
-import heapq
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenloom.llm import textvec as tv
 from lumenloom.llm.tables import written
 
-SAMPLE, PRIOR = 1_500, 300
+PRIOR = 300
+#: Findings of a bucket, and their characters at most, roughly.
+BUCKET, BUCKET_CHARS = 4_096, 1 << 20
+#: Rounds of learning between which buckets are averaged, and how often a bucket reads its findings in each.
+ROUNDS, READINGS = 5, 3
 RECALL = 0.99
 BEFORE, AFTER = 16, 4
 SHORT = 16
@@ -51,9 +57,10 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]*[A-Za-z0-9+/_=-]")
 LEAST, LONG = 8, 20
 _DIGIT, _TURN = re.compile(r"[0-9]"), re.compile(r"[a-z][A-Z]")
 # What is no secret: numbers, UUIDs, dates, and words, with up to four digits behind, between signs.
+_WORD = "([A-Z]?[a-z]+|[A-Z]+)?[0-9]{0,4}"
 _NONE = re.compile(
     r"[^A-Za-z]*|[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[0-9]{4}-[0-9]{2}-[0-9]{2}[T_][0-9:.-]*Z?"
-    r"|[-+/_=.]*(([A-Z]?[a-z]+|[A-Z]+)?[0-9]{0,4}[-+/_=.]+)*([A-Z]?[a-z]+|[A-Z]+)?[0-9]{0,4}"
+    rf"|{_WORD}([-+/_=.]{_WORD})*"
 )
 
 Span = tuple[int, int, int]  # start, place of the kind, end
@@ -109,7 +116,7 @@ def _codes(window: str) -> np.ndarray:
     return _CLASS[np.minimum(code, 127)]
 
 
-_CLASS = np.zeros(128, dtype=np.int64)
+_CLASS = np.zeros(128, dtype=np.uint8)
 for _k, _group in enumerate(["0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", " ", "\0", *"\"'=:.,-_/+|@()\n"], 1):
     for _c in _group:
         _CLASS[ord(_c)] = _k
@@ -133,6 +140,8 @@ class Network:
             "out": r.normal(0, 0.1, 2 * filters),
             "shift": np.zeros(1),
         }
+        self.moments = {k: np.zeros((2, *v.shape)) for k, v in self.p.items()}
+        self.steps = 0
         self.scale = np.array([1.0, 0.0])
 
     def _responses(self, rows: list[np.ndarray]):
@@ -180,12 +189,15 @@ class Network:
     def probability(self, rows: list[np.ndarray]) -> np.ndarray:
         return _sigmoid(self.scale[0] * self.logit(rows) + self.scale[1])
 
-    def fit(self, rows: list[np.ndarray], y: np.ndarray, rounds: int = 15, batch: int = 64, rate: float = 0.01) -> None:
-        r, moments, t = np.random.default_rng(6), {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in self.p.items()}, 0
-        weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
+    def fit(self, rows: list[np.ndarray], y: np.ndarray, share: float, rounds: int = 15, batch: int = 64, rate: float = 0.01) -> None:
+        """Adam over the rows; ``share`` of all there are, here or not, have the label 1. A step has ``batch`` rows or STEP characters."""
+        r = np.random.default_rng(6 + self.steps)
+        weight = np.where(y == 1, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9))
+        size = np.fromiter(map(len, rows), np.int64, len(rows))
         for _ in range(rounds):
             order = r.permutation(len(y))
-            for some in np.array_split(order, max(1, len(y) // batch)):
+            stop = np.flatnonzero((np.diff(np.cumsum(size[order]) // STEP) > 0) | (np.arange(1, len(y)) % batch == 0)) + 1
+            for some in np.split(order, stop):
                 views, w, h, start, n = self._responses([rows[i] for i in some])
                 top, mean = np.maximum.reduceat(h, start), np.add.reduceat(h, start) / n[:, None]
                 d = (_sigmoid(self._unit(top, mean)) - y[some]) * weight[some] / len(some)
@@ -200,49 +212,37 @@ class Network:
                 dw = (dh @ self.p["conv"].T).reshape(len(views), self.reach, -1)
                 g = {"out": np.concatenate([top, mean], axis=1).T @ d, "shift": d.sum(keepdims=True), "conv": w.T @ dh, "bias": dh.sum(0), "embed": np.zeros_like(self.p["embed"])}
                 np.add.at(g["embed"], views, dw)
-                t += 1
-                for k, (m, v) in moments.items():
+                self.steps += 1
+                for k, (m, v) in self.moments.items():
                     m += 0.1 * (g[k] - m)
                     v += 0.001 * (g[k] ** 2 - v)
-                    self.p[k] -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-
-    def calibrate(self, rows: list[np.ndarray], y: np.ndarray) -> None:
-        """Slope and shift of the logit that make held-out probabilities right (Platt's targets)."""
-        z, up = self.logit(rows), y.sum()
-        goal = np.where(y == 1, (up + 1) / (up + 2), 1 / (len(y) - up + 2))
-        a = np.array([1.0, 0.0])
-        for _ in range(100):
-            q = _sigmoid(a[0] * z + a[1])
-            grad = np.array([((q - goal) * z).sum(), (q - goal).sum()]) + a - [1.0, 0.0]
-            s = q * (1 - q)
-            hess = np.array([[(s * z * z).sum(), (s * z).sum()], [(s * z).sum(), s.sum()]]) + np.eye(2)
-            a = a - np.clip(np.linalg.solve(hess, grad), -0.5, 0.5)
-        self.scale = a
+                    self.p[k] -= rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.999**self.steps)) + 1e-8)
 
+    def flat(self) -> np.ndarray:
+        """All that is learned, in one row: steps, weights and their moments."""
+        return np.concatenate([[self.steps], *(v.ravel() for part in (self.p, self.moments) for v in part.values())])
 
-def _most(label: int) -> int:
-    return SAMPLE if label == 0 else SAMPLE // 3
+    def take(self, flat: np.ndarray) -> None:
+        self.steps, at = max(1, round(flat[0])), 1
+        for part in (self.p, self.moments):
+            for k, v in part.items():
+                part[k] = flat[at : at + v.size].reshape(v.shape).copy()
+                at += v.size
 
 
-def _findings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of labelled candidates (0: none, else one more than the place of their kind), those with the smallest hashes."""
-    held: dict[int, dict[str, int]] = {label: {} for label in range(4)}
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows of all labelled candidates (0: none, else one more than the place of their kind), long ones in pieces."""
     for batch in batches:
+        found: set[tuple[str, int]] = set()
         for text in batch.column("text").to_pylist():
             if not text or not (spans := candidates(text)):
                 continue
             base = base_spans(text)
             for a, b in spans:
                 kind = _kind(a, b, base)
-                if b - a > PIECE or kind is None and not is_none(text[a:b]):
-                    continue
-                window = _window(text, a, b)
-                held[0 if kind is None else kind + 1][window] = int.from_bytes(hashlib.blake2b(window.encode("utf-8", "surrogatepass"), digest_size=7).digest())
-        for label, some in held.items():
-            if len(some) > 4 * _most(label):
-                held[label] = dict(heapq.nsmallest(_most(label), some.items(), key=lambda x: (x[1], x[0])))
-    out = [(w, label, h) for label, some in held.items() for w, h in heapq.nsmallest(_most(label), some.items(), key=lambda x: (x[1], x[0]))]
-    yield pa.RecordBatch.from_pydict({"window": pa.array([w for w, _, _ in out], pa.string()), "label": pa.array([y for _, y, _ in out], pa.int32()), "h": pa.array([h for _, _, h in out], pa.int64())})
+                if kind is not None or is_none(text[a:b]):
+                    found |= {(_window(text, at, min(at + PIECE, b)), 0 if kind is None else kind + 1) for at in range(a, b, PIECE)}
+        yield pa.RecordBatch.from_pydict({"window": pa.array([w for w, _ in found], pa.string()), "label": pa.array([y for _, y in found], pa.int32())})
 
 
 @functools.cache
@@ -256,6 +256,7 @@ def made_examples() -> tuple[list[str], list[str]]:
     secret = [
         lambda: some(hexa, 16, 64), lambda: some(low + low.upper() + digits, 16, 48), lambda: some(low + low.upper() + digits + "+/", 20, 60) + "=",
         lambda: some(low.upper() + digits, 16, 32), lambda: some(low + digits, 14, 40), lambda: f"{some(low, 2, 4)}_{some(low + low.upper() + digits, 20, 40)}",
+        lambda: some(low + low.upper() + digits + "-_", 20, 50), lambda: f"{some(hexa, 8, 40)}-{some(hexa, 0, 12)}",
     ]
     none = [
         lambda: some(digits, 8, 20), lambda: f"{some(digits, 3, 4)}-{some(digits, 4, 9)}", lambda: ".".join(some(digits, 1, 4) for _ in range(4)),
@@ -283,39 +284,104 @@ def _views(window: str) -> list[np.ndarray]:
     return [_codes(w) for w in (window, " " * BEFORE + run + " " * AFTER, " " * BEFORE + run[:SHORT] + " " * AFTER)]
 
 
-def _sample(docs: DataFrame) -> dict[int, list[str]]:
-    """The windows of each label with the smallest hashes, from one pass over the texts."""
-    found = written(docs.select("text").mapInArrow(_findings, "window string, label int, h long").distinct(), "findings")
-    return {label: [r["window"] for r in found.where(F.col("label") == label).orderBy("h", "window").limit(_most(label)).collect()] for label in range(4)}
+#: The labels of made runs that are none and of made secrets.
+MADE_NONE, MADE_SECRET = -1, len(KINDS) + 1
 
 
-def fitted(sample: dict[int, list[str]]) -> tuple[Network, float]:
-    """The calibrated network and its threshold."""
+def findings(docs: DataFrame) -> DataFrame:
+    """Every labelled window of the texts and the made ones, once: window, label (above 0: a secret), h (its hash)."""
     secret, none = made_examples()
-    windows = [*none, *sample[0], *secret, *(w for label in (1, 2, 3) for w in sample[label])]
-    y = np.repeat([0.0, 1.0], [len(none) + len(sample[0]), len(windows) - len(none) - len(sample[0])])
-    held = np.arange(len(windows)) % 4 == 3
-    views = [_views(w) for w in windows]
-    part = lambda pick: ([v for i in np.flatnonzero(pick) for v in views[i]], np.repeat(y[pick], 3))
+    made = docs.sparkSession.createDataFrame([*((w, MADE_NONE) for w in none), *((w, MADE_SECRET) for w in secret)], "window string, label int")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _labelled(part for batch in batches for part in tv.slices(batch, "text"))
+
+    found = docs.select("text").mapInArrow(run, "window string, label int").unionByName(made).distinct()
+    return written(found.withColumn("h", F.xxhash64("window")), "findings")
+
+
+def _learned(net: Network, share: float):
+    """What a bucket makes of the network, times its findings, by place."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("window", "ascending"), ("label", "ascending")])
+        here, n = copy.deepcopy(net), table.num_rows
+        rows = [v for w in table["window"].to_pylist() for v in _views(w)]
+        here.fit(rows, np.repeat((table["label"].to_numpy() > 0).astype(float), 3), share, READINGS)
+        flat = here.flat()
+        return pa.table({"place": pa.array(np.arange(flat.size), pa.int32()), "value": pa.array(flat * n, pa.float64())})
+
+    return run
+
+
+def _scored(found: DataFrame, net: Network, every_view: bool) -> DataFrame:
+    """label and logit z of windows, of all their views or as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels, windows = batch.column("label").to_numpy(), batch.column("window").to_pylist()
+            for at in range(0, len(windows), 256):
+                views = [_views(w) if every_view else [_codes(w)] for w in windows[at : at + 256]]
+                z = net.logit([v for some in views for v in some])
+                yield pa.RecordBatch.from_pydict({"label": pa.array(np.repeat(labels[at : at + 256], len(views[0])), pa.int32()), "z": pa.array(z, pa.float64())})
+
+    return found.select("window", "label").mapInArrow(run, "label int, z double")
+
+
+def _exact(x: Column) -> Column:
+    """A sum that does not depend on the order of its rows."""
+    return F.sum(x.cast("decimal(38,15)")).cast("double")
+
+
+def _probability(scale: np.ndarray) -> Column:
+    z = F.greatest(F.lit(-60.0), F.least(F.lit(60.0), F.lit(float(scale[0])) * F.col("z") + F.lit(float(scale[1]))))
+    return 1 / (1 + F.exp(-z))
+
+
+def _calibration(rows: DataFrame) -> np.ndarray:
+    """Slope and shift of the logit that make held-out probabilities right (Platt's targets), by Newton steps over all rows."""
+    up, of = rows.agg(F.count(F.when(F.col("label") > 0, 1)), F.count("*")).first()
+    goal = F.when(F.col("label") > 0, (up + 1) / (up + 2)).otherwise(1 / (of - up + 2))
+    a, z = np.array([1.0, 0.0]), F.col("z")
+    for _ in range(100):
+        q = _probability(a)
+        d, s = q - goal, q * (1 - q)
+        gz, g, hzz, hz, h = rows.agg(*map(_exact, (d * z, d, s * z * z, s * z, s))).first()
+        step = np.clip(np.linalg.solve(np.array([[hzz, hz], [hz, h]]) + np.eye(2), np.array([gz, g]) + a - [1.0, 0.0]), -0.5, 0.5)
+        a = a - step
+        if np.abs(step).max() < 1e-9:
+            break
+    return a
+
+
+def fitted(found: DataFrame) -> tuple[Network, float]:
+    """The calibrated network and its threshold, from all findings (window, label, h)."""
+    held = F.pmod("h", F.lit(4)) == 3
     net = Network()
-    net.fit(*part(~held))
-    rows, goal = part(held)
-    net.calibrate(rows, goal)
-    p = net.probability(rows)
-    secrets = np.sort(p[goal == 1])
-    least = secrets[int((1 - RECALL) * secrets.size)]
+    n, secret, chars = found.where(~held).agg(F.count("*"), F.count(F.when(F.col("label") > 0, 1)), F.sum(F.length("window"))).first()
+    buckets = max(-(-n // BUCKET), -(-chars // BUCKET_CHARS))
+    dealt = found.where(~held).select("window", "label", F.pmod(F.shiftright("h", 2), F.lit(buckets)).alias("bucket")).repartition(buckets, "bucket")
+    for _ in range(ROUNDS):
+        parts = dealt.groupBy("bucket").applyInArrow(_learned(net, secret / n), "place int, value double")
+        net.take(np.array([r["value"] for r in parts.groupBy("place").agg(_exact(F.col("value")).alias("value")).orderBy("place").collect()]) / n)
+    rows = written(_scored(found.where(held), net, True), "held-out")
+    net.scale = _calibration(rows)
+    rows = rows.select((F.col("label") > 0).alias("secret"), _probability(net.scale).alias("p"))
+    secrets = rows.where("secret")
+    least = secrets.orderBy("p").limit(int((1 - RECALL) * secrets.count()) + 1).agg(F.max("p")).first()[0]
     # half way to the next score below, so that a gap between both labels is cut in its middle
-    return net, float((least + p[p < least].max(initial=0.0)) / 2)
+    below = rows.where(F.col("p") < least).agg(F.max("p")).first()[0]
+    return net, (least + (below or 0.0)) / 2
 
 
 def held_out_recall(docs: DataFrame, kind: str) -> tuple[int, int, int, int]:
     """How the network does where no pattern helps: secrets of ``kind`` found and in all, by a network that has
-    seen none of them, and labelled runs that are none taken for secrets, and in all (of the sample)."""
-    sample, label = _sample(docs), KINDS.index(kind) + 1
-    hidden = sample[label]
-    net, least = fitted({**sample, label: []})
-    hit = lambda windows: int((net.probability([_codes(w) for w in windows]) >= least).sum()) if windows else 0
-    return hit(hidden), len(hidden), hit(sample[0]), len(sample[0])
+    seen none of them, and labelled runs that are none taken for secrets, and in all."""
+    found, label = findings(docs), KINDS.index(kind) + 1
+    net, least = fitted(found.where(F.col("label") != label))
+    scored = _scored(found.where(F.col("label").isin(0, label)), net, False)
+    hit = {r["label"]: (r["hit"], r["n"]) for r in scored.groupBy("label").agg(F.count(F.when(_probability(net.scale) >= least, 1)).alias("hit"), F.count("*").alias("n")).collect()}
+    return *hit.get(label, (0, 0)), *hit.get(0, (0, 0))
 
 
 def _joined(spans: list[Span]) -> str:
@@ -327,7 +393,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     ``n_network`` counts the spans that the network adds, ``n_scored`` the candidates it has judged.
     """
-    net, least = fitted(_sample(docs))
+    net, least = fitted(findings(docs))
     numbers = ("n_assign", "n_access", "n_hex")
     schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in numbers), ("base_sha256", pa.string()), ("spans", pa.string()), ("n_network", pa.int64()), ("n_scored", pa.int64())])
 
