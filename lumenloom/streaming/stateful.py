@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import bisect
 import json
+import pickle
+import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -80,6 +83,51 @@ def _nulls_first(values) -> tuple:
     return tuple((v is not None, v) for v in values)
 
 
+class _Blocks:
+    """Rows of one key in blocks of a temporary file; of each, its time alone is held. Of one instant, a block keeps the first."""
+
+    SIZE = 10_000
+
+    def __init__(self) -> None:
+        self.file = tempfile.SpooledTemporaryFile(1 << 24)
+        self.times: list[np.ndarray] = []
+        self.open: dict = {}
+
+    def add(self, t: int, order: tuple, values: tuple) -> None:
+        if t not in self.open or order < self.open[t][0]:
+            self.open[t] = order, values
+            if len(self.open) == self.SIZE:
+                self.pack()
+
+    def pack(self) -> None:
+        self.times.append(np.fromiter(self.open, np.int64, len(self.open)))
+        pickle.dump(list(self.open.values()), self.file, pickle.HIGHEST_PROTOCOL)
+        self.open = {}
+
+    def instants(self) -> tuple[np.ndarray, np.ndarray]:
+        """All times in order, and in how many blocks each is."""
+        self.pack()
+        return np.unique(np.concatenate(self.times), return_counts=True)
+
+    def firsts(self, times: np.ndarray, blocks: np.ndarray) -> Iterator[tuple[int, tuple]]:
+        """Time and values of the first row of each of some instants (in order), given in how many blocks they are."""
+        left, best = dict(zip(times[blocks > 1].tolist(), blocks[blocks > 1].tolist())), {}
+        self.file.seek(0)
+        for held in self.times:
+            rows = pickle.load(self.file)
+            for i in np.flatnonzero(np.isin(held, times)).tolist():
+                t = int(held[i])
+                if t in left:
+                    if t not in best or rows[i][0] < best[t][0]:
+                        best[t] = rows[i]
+                    left[t] -= 1
+                    if left[t]:
+                        continue
+                    yield t, best.pop(t)[1]
+                else:
+                    yield t, rows[i][1]
+
+
 class _FirstAccepted(StatefulProcessor):
     """State: the accepted times of a key, in microseconds, per chunk of one window.
 
@@ -98,40 +146,52 @@ class _FirstAccepted(StatefulProcessor):
         return list(self.chunks.getValue((chunk,))[0]) if self.chunks.containsKey((chunk,)) else []
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        firsts: dict = {}
+        blocks, untimed = _Blocks(), None
         for row in rows:
-            t, order = row["_t"], _nulls_first(row["_order"])
-            if t not in firsts or order < firsts[t][0]:
-                firsts[t] = order, row
+            t, order, values = row["_t"], _nulls_first(row["_order"]), tuple(row[c] for c in self.columns)
+            if t is not None:
+                blocks.add(t, order, values)
+            elif untimed is None or order < untimed[0]:
+                untimed = order, values
         known: dict = {}
         changed: set = set()
+
+        def near(c: int) -> list[int]:
+            if c not in known:
+                known[c] = self._times(c)
+            return known[c]
+
+        # rows without a time are one instant of their key, in a chunk of their own
+        if untimed is not None and not near(_NO_TIME):
+            known[_NO_TIME] = [0]
+            changed.add(_NO_TIME)
+            yield self._out(untimed[1], False)
+        times, count = blocks.instants()
         final = timerValues.getCurrentWatermarkInMs() * 1000 if self.expires else None
-        for t in sorted(firsts, key=lambda t: (t is not None, t)):
-            # rows without a time are one instant of their key, in a chunk of their own
-            chunk = t // self.window if t is not None else None
-            near = [chunk - 1, chunk, chunk + 1] if t is not None else [_NO_TIME]
-            for c in near:
-                if c not in known:
-                    known[c] = self._times(c)
-            if t is None:
-                if not known[_NO_TIME]:
-                    known[_NO_TIME] = [0]
-                    changed.add(_NO_TIME)
-                    yield self._out(firsts[t][1], False)
-                continue
-            if final is not None and t < final:
-                yield self._out(firsts[t][1], True)
-                continue
-            accepted = [a for c in near for a in known[c]]
-            if any(a <= t < a + self.window for a in accepted):
-                continue  # a repeat
-            if any(t < a < t + self.window for a in accepted):
-                # a later row was accepted that this one would have shadowed
-                yield self._out(firsts[t][1], True)
-                continue
-            known[chunk] = sorted([*known[chunk], t])
-            changed.add(chunk)
-            yield self._out(firsts[t][1], False)
+        at = int(np.searchsorted(times, final)) if final is not None else 0
+        told = np.zeros(len(times), dtype=np.int8)  # 1: accepted, 2: late
+        told[:at] = 2
+        while at < len(times):
+            t = int(times[at])
+            chunk = t // self.window
+            accepted = [a for c in (chunk - 1, chunk, chunk + 1) for a in near(c)]
+            before = max((a for a in accepted if a <= t), default=None)
+            if before is None or before + self.window <= t:
+                if any(t < a < t + self.window for a in accepted):
+                    # a later row was accepted that this one would have shadowed
+                    told[at] = 2
+                    at += 1
+                    continue
+                told[at] = 1
+                known[chunk] = sorted([*known[chunk], t])
+                changed.add(chunk)
+                before = t
+            # all up to a window after an accepted row are repeats
+            at += int(np.searchsorted(times[at:], before + self.window))
+        out = told > 0
+        late = set(times[told == 2].tolist())
+        for t, values in blocks.firsts(times[out], count[out]):
+            yield self._out(values, t in late)
         for c in changed:
             self.chunks.updateValue((c,), (known[c],))
             gone = (c + 2) * (self.window // 1000)  # milliseconds: a window after the chunk has ended
@@ -144,8 +204,8 @@ class _FirstAccepted(StatefulProcessor):
             self.chunks.removeKey((chunk,))
         return iter([])
 
-    def _out(self, row: Row, late: bool) -> Row:
-        return Row(**{c: row[c] for c in self.columns}, _late=late)
+    def _out(self, values: tuple, late: bool) -> Row:
+        return Row(**dict(zip(self.columns, values)), _late=late)
 
     def close(self) -> None:
         pass

@@ -4,7 +4,9 @@ import json
 import os
 import random
 import time
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +127,42 @@ def test_late_rows_are_accepted_as_in_one_batch(spark, feed, tmp_path):
     assert sorted(r.i for r in changes.fifo_dedup(whole, ["k"], "ts", 300, ["i"]).collect()) == sorted(r.i for r in got.collect())
 
 
+def test_a_busy_key_is_held_as_its_times(spark, feed, tmp_path):
+    """Many rows of one key, some of one instant in many blocks, need little more memory than their times."""
+    r = random.Random(31)
+    whole = [(r.randrange(3000), i) for i in range(4000)] + [(None, i) for i in range(3)]
+    path = str(tmp_path / "out")
+    sdf = feed([[("a", s, i, b"x") for s, i in part] for part in (whole[::2], whole[1::2])], "k string, s long, i int, b binary").withColumn("ts", F.timestamp_seconds("s"))
+    finish(stateful.stream_fifo_dedup(sdf, ["k"], "ts", path, 7, ["i"]), tmp_path / "ck")
+    # a plain scan, batch after batch
+    accepted, want, late = [], [], []
+    for n, part in enumerate((whole[::2], whole[1::2])):
+        firsts = {}
+        for s, i in part:
+            firsts[s] = min(i, firsts.get(s, i))
+        want += [(None, firsts.pop(None))] if n == 0 and None in firsts else []
+        firsts.pop(None, None)
+        for s in sorted(firsts):
+            if not any(a <= s < a + 7 for a in accepted):
+                if any(s < a < s + 7 for a in accepted):
+                    late.append((s, firsts[s]))
+                else:
+                    accepted.append(s)
+                    want.append((s, firsts[s]))
+    got, gone = ([(x.s, x.i) for x in spark.read.parquet(f"{path}/{p}").collect()] for p in ("rows", "late"))
+    assert sorted(got, key=str) == sorted(want, key=str) and sorted(gone) == sorted(late)
+
+    blocks = stateful._Blocks()
+    tracemalloc.start()
+    for i in range(100_000):
+        blocks.add(i % 90_000, (True, i), (i, "x" * 500))
+    times, count = blocks.instants()
+    assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    tracemalloc.stop()
+    some = np.array([5, 50, 89_999])
+    assert sorted((t, v[0]) for t, v in blocks.firsts(some, count[some])) == [(5, 5), (50, 50), (89_999, 89_999)]
+
+
 def test_rows_that_come_too_late_are_told(spark, feed, tmp_path):
     batches = [[("a", 10000), ("b", 20000)], [("a", 9800)], [("a", 30000)], [("a", 100), ("a", 29000), ("c", 50)]]
     sdf = feed(batches, "k string, s long").withColumn("ts", F.timestamp_seconds("s"))
