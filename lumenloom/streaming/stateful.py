@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,6 +92,7 @@ class _Blocks:
     def __init__(self) -> None:
         self.file = tempfile.SpooledTemporaryFile(1 << 24)
         self.times: list[np.ndarray] = []
+        self.packed = 0
         self.open: dict = {}
 
     def add(self, t: int, order: tuple, values: tuple) -> None:
@@ -101,21 +103,27 @@ class _Blocks:
 
     def pack(self) -> None:
         self.times.append(np.fromiter(self.open, np.int64, len(self.open)))
-        pickle.dump(list(self.open.values()), self.file, pickle.HIGHEST_PROTOCOL)
+        pickle.dump((self.times[-1], list(self.open.values())), self.file, pickle.HIGHEST_PROTOCOL)
+        self.packed += 1
         self.open = {}
 
     def instants(self) -> tuple[np.ndarray, np.ndarray]:
-        """All times in order, and in how many blocks each is."""
+        """All times in order, and in how many blocks each is; ends what is held of them."""
         self.pack()
-        return np.unique(np.concatenate(self.times), return_counts=True)
+        times, self.times = np.concatenate(self.times), []
+        times.sort()
+        new = np.append(True, times[1:] != times[:-1])[: times.size]
+        at = np.flatnonzero(new)
+        return times[new], np.diff(at, append=times.size).astype(np.int32)
 
     def firsts(self, times: np.ndarray, blocks: np.ndarray) -> Iterator[tuple[int, tuple]]:
         """Time and values of the first row of each of some instants (in order), given in how many blocks they are."""
         left, best = dict(zip(times[blocks > 1].tolist(), blocks[blocks > 1].tolist())), {}
         self.file.seek(0)
-        for held in self.times:
-            rows = pickle.load(self.file)
-            for i in np.flatnonzero(np.isin(held, times)).tolist():
+        for _ in range(self.packed if times.size else 0):
+            held, rows = pickle.load(self.file)
+            at = np.minimum(np.searchsorted(times, held), times.size - 1)
+            for i in np.flatnonzero(times[at] == held).tolist():
                 t = int(held[i])
                 if t in left:
                     if t not in best or rows[i][0] < best[t][0]:
@@ -129,21 +137,34 @@ class _Blocks:
 
 
 class _FirstAccepted(StatefulProcessor):
-    """State: the accepted times of a key, in microseconds, per chunk of one window.
+    """State: the accepted times of a key, in microseconds, per chunk of some windows.
 
-    Two accepted times are a window apart at least, so a chunk holds one, and whether a row is accepted
-    depends on its own chunk and the two beside it.
+    Two accepted times are a window apart at least, so a chunk holds one a window, and whether a row is
+    accepted depends on its own chunk and the two beside it. Rows are taken in the order of their times, so
+    no other chunk is held.
     """
 
-    def __init__(self, window: int, columns: list[str], expires: bool) -> None:
-        self.window, self.columns, self.expires = window, columns, expires
+    #: Windows of a chunk, and rows of a key that leave as one.
+    WINDOWS, TOGETHER = 64, 100
+
+    def __init__(self, window: int, columns: list[str], keep: int | None) -> None:
+        self.window, self.columns, self.expires = window, columns, keep is not None
+        # what is forgotten is forgotten by chunks: they are short beside what is kept
+        self.width = window * (min(max(keep // (16 * window), 1), self.WINDOWS) if self.expires else self.WINDOWS)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.chunks = handle.getMapState("accepted", "chunk bigint", "times array<bigint>")
 
     def _times(self, chunk: int) -> list[int]:
-        return list(self.chunks.getValue((chunk,))[0]) if self.chunks.containsKey((chunk,)) else []
+        held = self.chunks.getValue((chunk,))
+        return list(held[0]) if held else []
+
+    def _keep(self, chunk: int, times: list[int]) -> None:
+        self.chunks.updateValue((chunk,), (times,))
+        gone = ((chunk + 1) * self.width + self.window) // 1000  # milliseconds: a window after the chunk has ended
+        if self.expires and chunk != _NO_TIME and gone > 0:
+            self.handle.registerTimer(gone)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         blocks, untimed = _Blocks(), None
@@ -153,64 +174,86 @@ class _FirstAccepted(StatefulProcessor):
                 blocks.add(t, order, values)
             elif untimed is None or order < untimed[0]:
                 untimed = order, values
-        known: dict = {}
-        changed: set = set()
-
-        def near(c: int) -> list[int]:
-            if c not in known:
-                known[c] = self._times(c)
-            return known[c]
-
+        stored = self.chunks.exists()
         # rows without a time are one instant of their key, in a chunk of their own
-        if untimed is not None and not near(_NO_TIME):
-            known[_NO_TIME] = [0]
-            changed.add(_NO_TIME)
-            yield self._out(untimed[1], False)
+        if untimed is not None and not (stored and self._times(_NO_TIME)):
+            self._keep(_NO_TIME, [0])
+            yield self._out([(*untimed[1], False)])
         times, count = blocks.instants()
         final = timerValues.getCurrentWatermarkInMs() * 1000 if self.expires else None
+        told = self._told(times, final, stored)
+        out = told > 0
+        late = set(times[told == 2].tolist())
+        ready: list[tuple] = []
+        for t, values in blocks.firsts(times[out], count[out]):
+            ready.append((*values, t in late))
+            if len(ready) == self.TOGETHER:
+                yield self._out(ready)
+                ready = []
+        if ready:
+            yield self._out(ready)
+
+    def _told(self, times: np.ndarray, final: int | None, stored: bool) -> np.ndarray:
+        """What becomes of the first row of each instant (in order): 1 accepted, 2 late, 0 a repeat."""
+        known: dict[int, list[int]] = {}
+        changed: set[int] = set()
         at = int(np.searchsorted(times, final)) if final is not None else 0
-        told = np.zeros(len(times), dtype=np.int8)  # 1: accepted, 2: late
+        told = np.zeros(len(times), dtype=np.int8)
         told[:at] = 2
         while at < len(times):
             t = int(times[at])
-            chunk = t // self.window
-            accepted = [a for c in (chunk - 1, chunk, chunk + 1) for a in near(c)]
-            before = max((a for a in accepted if a <= t), default=None)
+            first, last = (t - self.window) // self.width, (t + self.window) // self.width
+            before = after = None
+            for c in range(first, last + 1):
+                if c not in known:
+                    known[c] = self._times(c) if stored else []
+                i = bisect.bisect_right(known[c], t)
+                before = known[c][i - 1] if i else before
+                after = known[c][i] if after is None and i < len(known[c]) else after
+            for c in [c for c in known if c < first]:
+                held = known.pop(c)
+                if c in changed:
+                    self._keep(c, held)
+                    changed.remove(c)
             if before is None or before + self.window <= t:
-                if any(t < a < t + self.window for a in accepted):
+                if after is not None and after < t + self.window:
                     # a later row was accepted that this one would have shadowed
                     told[at] = 2
                     at += 1
                     continue
                 told[at] = 1
-                known[chunk] = sorted([*known[chunk], t])
-                changed.add(chunk)
+                bisect.insort(known[t // self.width], t)
+                changed.add(t // self.width)
                 before = t
             # all up to a window after an accepted row are repeats
             at += int(np.searchsorted(times[at:], before + self.window))
-        out = told > 0
-        late = set(times[told == 2].tolist())
-        for t, values in blocks.firsts(times[out], count[out]):
-            yield self._out(values, t in late)
         for c in changed:
-            self.chunks.updateValue((c,), (known[c],))
-            gone = (c + 2) * (self.window // 1000)  # milliseconds: a window after the chunk has ended
-            if self.expires and c != _NO_TIME and gone > 0:
-                self.handle.registerTimer(gone)
+            self._keep(c, known[c])
+        return told
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        chunk = expiredTimerInfo.getExpiryTimeInMs() // (self.window // 1000) - 2
+        chunk = (expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.window) // self.width - 1
         if self.chunks.containsKey((chunk,)):
             self.chunks.removeKey((chunk,))
         return iter([])
 
-    def _out(self, values: tuple, late: bool) -> Row:
-        return Row(**dict(zip(self.columns, values)), _late=late)
+    def _out(self, rows: list[tuple]) -> Row:
+        # Spark gathers all a key gives in one batch before it sends it: many rows go as the bytes of one
+        packed = pickle.dumps(rows, pickle.HIGHEST_PROTOCOL)
+        return Row(**dict.fromkeys([*self.columns, "_late"]), _packed=packed)
 
     def close(self) -> None:
         pass
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows that came as bytes, by the types of the other columns."""
+    for batch in batches:
+        schema = pa.schema(list(batch.schema)[:-1])
+        for packed in batch.column(batch.num_columns - 1):
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in pickle.loads(packed.as_py())], schema=schema)
+
+
 _NO_TIME = -(1 << 62)
 
 
@@ -240,11 +283,12 @@ def stream_fifo_dedup(
     # the clock stays behind: of rows that carry it, Spark would drop the late ones before anybody sees them
     rows = rows.drop("_clock")
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in sdf.schema), T.StructField("_late", T.BooleanType())])
-    processor = _FirstAccepted(seconds * 1_000_000, columns, keep_seconds is not None)
+    processor = _FirstAccepted(seconds * 1_000_000, columns, None if keep_seconds is None else keep_seconds * 1_000_000)
+    packed = T.StructType([*schema, T.StructField("_packed", T.BinaryType())])
     decided = rows.groupBy(*keys).transformWithState(
-        processor, schema, outputMode="Append", timeMode="None" if keep_seconds is None else "EventTime"
+        processor, packed, outputMode="Append", timeMode="None" if keep_seconds is None else "EventTime"
     )
-    return _split_writer(decided, path, "rows")
+    return _split_writer(decided.mapInArrow(_unpacked, schema), path, "rows")
 
 
 # ── change images ────────────────────────────────────────────────────────────────

@@ -2,12 +2,15 @@ from __future__ import annotations
 
 import json
 import os
+import pickle
 import random
 import time
 import tracemalloc
+from decimal import Decimal
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from lumenloom.functions import json_paths as jp
@@ -163,6 +166,56 @@ def test_a_busy_key_is_held_as_its_times(spark, feed, tmp_path):
     assert sorted((t, v[0]) for t, v in blocks.firsts(some, count[some])) == [(5, 5), (50, 50), (89_999, 89_999)]
 
 
+class _Held(dict):
+    """A map state of one key, with its calls counted."""
+
+    calls = 0
+
+    def getMapState(self, *args):
+        return self
+
+    def exists(self):
+        return bool(self)
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+
+def test_a_busy_key_leaves_and_is_kept_in_pieces():
+    """What a key gives in one batch is held as bytes, and its state is asked for once in many windows."""
+    n, state = 60_000, _Held()
+    rows = lambda: (Row(s=i, _t=i * 10_000_000, _order=(i,)) for i in range(n))
+    decide = stateful._FirstAccepted(7_000_000, ["s"], None)
+    decide.init(state)
+    tracemalloc.start()
+    out = list(decide.handleInputRows(("a",), rows(), None))
+    assert tracemalloc.get_traced_memory()[1] < 14 << 20
+    tracemalloc.stop()
+    assert [r for x in out for r in pickle.loads(x._packed)] == [(i, False) for i in range(n)]
+    assert state.calls < n // 20
+    assert list(decide.handleInputRows(("a",), rows(), None)) == []
+
+
+def test_deduplicated_rows_keep_their_types(spark, feed, tmp_path, rows):
+    columns = "k string, s long, ts timestamp, d decimal(20,2), n struct<a: long, b: array<double>>, b binary"
+    whole = [("a" if i % 3 else None, i * 40 if i % 5 else None, None, Decimal(i) / 4, (None if i % 2 else 2**60 + i, [0.5, None]), bytes([i])) for i in range(40)]
+    sdf = feed([whole], columns).withColumn("ts", F.timestamp_seconds("s"))
+    path = str(tmp_path / "out")
+    finish(stateful.stream_fifo_dedup(sdf, ["k"], "ts", path, 300, ["d"]), tmp_path / "ck")
+    twin = changes.fifo_dedup(spark.createDataFrame(whole, columns).withColumn("ts", F.timestamp_seconds("s")), ["k"], "ts", 300, ["d"])
+    got = spark.read.parquet(f"{path}/rows").drop("batch")
+    assert got.schema == sdf.schema and rows(got) == rows(twin.select(*got.columns))
+
+
 def test_rows_that_come_too_late_are_told(spark, feed, tmp_path):
     batches = [[("a", 10000), ("b", 20000)], [("a", 9800)], [("a", 30000)], [("a", 100), ("a", 29000), ("c", 50)]]
     sdf = feed(batches, "k string, s long").withColumn("ts", F.timestamp_seconds("s"))
