@@ -317,74 +317,100 @@ def _as_output(value, kind: T.DataType):
     return value
 
 
+def _name(value):
+    """What equal values of a key have in common, as grouping sees them: zeros and not-a-numbers are equal."""
+    if isinstance(value, dict):
+        return tuple(map(_name, value.values()))
+    if isinstance(value, list):
+        return tuple(map(_name, value))
+    if isinstance(value, float):
+        return "NaN" if value != value else value + 0.0
+    return value
+
+
 class _Versions(StatefulProcessor):
-    """State: the versions of a key in order, per chunk of sequence numbers, and the highest number."""
+    """State: of each cell of keys the versions in order, per chunk of sequence numbers, and the keys' chunks and highest numbers.
+
+    A call of the state store, the start of a group and the sending of its events each cost more than a key's
+    versions, so keys come in buckets, of which the touched cells alone are read and written.
+    """
 
-    def __init__(self, names: list[str], image: T.StructType, width: int, keep: int | None, view: str) -> None:
-        self.names, self.image, self.width, self.keep, self.view = names, image, width, keep, VIEWS[view]
+    def __init__(self, n_keys: int, names: list[str], image: T.StructType, width: int, keep: int | None, view: str) -> None:
+        self.n_keys, self.names, self.image, self.width, self.keep, self.view = n_keys, names, image, width, keep, VIEWS[view]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        version = T.StructType(
-            [
-                T.StructField("seq", T.LongType()),
-                T.StructField("gone", T.BooleanType()),
-                T.StructField("revision", T.IntegerType()),
-                T.StructField("shown", T.BooleanType()),
-                T.StructField("image", self.image),
-            ]
-        )
-        self.versions = T.ArrayType(version)
-        held = T.StructType([T.StructField("versions", self.versions)])
-        self.chunks = handle.getMapState("versions", "chunk bigint", held)
-        self.top = handle.getValueState("top", "seq bigint")
+        # pickled: by key, lists of [seq, gone, revision, shown, image]; and by key, the highest number and the chunks
+        self.chunks = handle.getMapState("versions", "cell int, chunk bigint", "versions binary")
+        self.heads = handle.getMapState("heads", "cell int", "heads binary")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        top = self.top.get()[0] if self.top.exists() else None
+    def handleInputRows(self, bucket, rows, timerValues) -> Iterator[Row]:
+        stored = self.heads.exists()
+        cells: dict = {}
+        for row in rows:
+            seq, gone, image, cell = row[self.n_keys : self.n_keys + 4]
+            key = row[: self.n_keys]
+            versions = cells.setdefault(cell, {}).setdefault(tuple(map(_name, key)), (key, []))[1]
+            versions.append((seq, bool(gone), _as_state(image, self.image)))
+        while cells:
+            yield from self._cell(*cells.popitem(), stored)
+
+    def _cell(self, cell: int, keys: dict, stored: bool) -> Iterator[Row]:
+        found = self.heads.getValue((cell,)) if stored else None
+        heads = pickle.loads(found[0]) if found else {}
+        chunks: dict[int, dict] = {}
+        changed: set[int] = set()
+
+        def chunk(c: int) -> dict:
+            if c not in chunks:
+                held = self.chunks.getValue((cell, c)) if found else None
+                chunks[c] = pickle.loads(held[0]) if held else {}
+            return chunks[c]
+
+        for name, (key, rows) in keys.items():
+            key = [v + 0.0 if isinstance(v, float) else v for v in key]
+            yield from self._events(key, name, rows, heads, chunk, changed)
+        for c in changed:
+            if chunks[c]:
+                self.chunks.updateValue((cell, c), (pickle.dumps(chunks[c], pickle.HIGHEST_PROTOCOL),))
+            else:
+                self.chunks.removeKey((cell, c))
+        if changed:
+            self.heads.updateValue((cell,), (pickle.dumps(heads, pickle.HIGHEST_PROTOCOL),))
+
+    def _events(self, key: list, name: tuple, rows: list[tuple], heads: dict, chunk, changed: set[int]) -> Iterator[Row]:
+        """The events of one key; versions that come in order touch its last chunk only."""
+        top, places = heads.get(name, (None, []))
         oldest = None if self.keep is None or top is None else top - self.keep
-        rows = sorted(rows, key=lambda r: r["_seq"])
-        # versions that come in order touch the last chunk only
-        in_order = top is None or rows[0]["_seq"] > top
-        places = sorted(k[0] for k in self.chunks.keys()) if not in_order else [] if top is None else [top // self.width]
-        known: dict = {}
-        changed, fresh = set(), set()
-
-        def chunk(c: int) -> list:
-            if c not in known:
-                at = bisect.bisect_left(places, c)
-                held = at < len(places) and places[at] == c
-                known[c] = [list(v) for v in _as_state(self.chunks.getValue((c,))[0], self.versions)] if held else []
-                if not held:
-                    bisect.insort(places, c)
-            return known[c]
+        touched, fresh = set(), set()
 
         def neighbour(c: int, i: int, step: int) -> list | None:
             """The version before (-1) or after (1) place ``i`` of chunk ``c``, and where it is."""
-            if 0 <= i + step < len(chunk(c)):
-                return [c, chunk(c)[i + step]]
+            if 0 <= i + step < len(chunk(c)[name]):
+                return [c, chunk(c)[name][i + step]]
             at = bisect.bisect_left(places, c) + step
-            while 0 <= at < len(places):
-                if chunk(places[at]):
-                    return [places[at], chunk(places[at])[-1 if step < 0 else 0]]
-                at += step
+            if 0 <= at < len(places):
+                return [places[at], chunk(places[at])[name][-1 if step < 0 else 0]]
             return None
 
-        for row in rows:
-            seq, image = row["_seq"], _as_state(row["_image"], self.image)
+        for seq, gone, image in sorted(rows, key=lambda r: r[0]):
             if oldest is not None and seq < oldest:
                 yield self._out(key, seq, None, image, None, 0, True)
                 continue
             c = seq // self.width
-            versions = chunk(c)
-            at = bisect.bisect_left([v[0] for v in versions], seq)
+            if name not in chunk(c):
+                chunk(c)[name] = []
+                bisect.insort(places, c)
+            versions = chunk(c)[name]
+            at = bisect.bisect_left(versions, seq, key=lambda v: v[0])
             if at < len(versions) and versions[at][0] == seq:
                 continue  # a number names one version: this one has come before
-            versions.insert(at, [seq, bool(row["_gone"]), 0, False, image])
-            changed.add(c)
+            versions.insert(at, [seq, gone, 0, False, image])
+            touched.add(c)
             fresh.add(seq)
         # what has to be told: new versions, and old ones whose predecessor is new
         told = {}
-        for c in sorted(changed):
-            for i, v in enumerate(chunk(c)):
+        for c in sorted(touched):
+            for i, v in enumerate(chunk(c)[name]):
                 if v[0] in fresh:
                     told[v[0]] = c, v, neighbour(c, i, -1)
                     after = neighbour(c, i, 1)
@@ -393,23 +419,23 @@ class _Versions(StatefulProcessor):
         for seq in sorted(told):
             c, v, before = told[seq]
             old = None if before is None or before[1][1] else before[1][4]
-            name = "REMOVE" if v[1] else "INSERT" if old is None else "MODIFY"
-            is_new, shown = seq in fresh, not (name == "REMOVE" and old is None)
+            event = "REMOVE" if v[1] else "INSERT" if old is None else "MODIFY"
+            is_new, shown = seq in fresh, not (event == "REMOVE" and old is None)
             if shown or v[3]:
                 v[2] += not is_new
                 new = None if v[1] or not shown or not self.view[0] else v[4]
-                yield self._out(key, seq, name if shown else None, new, old if shown and self.view[1] else None, v[2], False)
+                yield self._out(key, seq, event if shown else None, new, old if shown and self.view[1] else None, v[2], False)
             v[3] = shown
-            changed.add(c)
-        for c in changed:
-            self.chunks.updateValue((c,), ([tuple(v) for v in known[c]],))
+            touched.add(c)
+        changed |= touched
         if fresh and (top is None or max(fresh) > top):
             before, top = top, max(fresh)
-            self.top.update((top,))
             if self.keep is not None and (before is None or before // self.width < top // self.width):
-                for c in [k[0] for k in self.chunks.keys()]:
-                    if (c + 1) * self.width <= top - self.keep:
-                        self.chunks.removeKey((c,))
+                while places and (places[0] + 1) * self.width <= top - self.keep:
+                    changed.add(places[0])
+                    del chunk(places.pop(0))[name]
+        if fresh:
+            heads[name] = top, places
 
     def _out(self, key, seq, name, new, old, revision: int, late: bool) -> Row:
         images = (_as_output(x, self.image) for x in (new, old))
@@ -419,6 +445,10 @@ class _Versions(StatefulProcessor):
         pass
 
 
+#: Groups that the cells of a change stream fall into.
+BUCKETS = 4096
+
+
 def stream_cdc(
     sdf: DataFrame,
     keys: list[str],
@@ -428,6 +458,7 @@ def stream_cdc(
     view: str = "NEW_AND_OLD_IMAGES",
     deleted: Column | None = None,
     keep: int | None = None,
+    cells: int = 1 << 16,
 ):
     """A writer of change events (with images) below path/events, and of versions too late below path/late.
 
@@ -436,11 +467,14 @@ def stream_cdc(
     has changed, another one with the next ``revision``; if nothing is left to tell (the removal of what is
     not there) its event name is null. So per key and seq the event of the highest revision is that of
     the batch twin. A number that comes again is ignored. Versions are kept in chunks of ``width`` numbers;
-    ``keep`` is how many numbers behind the highest a version may be, for ever unless given.
+    ``keep`` is how many numbers behind the highest a version may be, for ever unless given. Keys fall into
+    ``cells``, whose state is read and written as one; the number stays as long as the checkpoint is used.
     """
     images = [c for c in sdf.columns if c not in keys]
     gone = deleted if deleted is not None else F.lit(False)
-    rows = sdf.select(*keys, F.col(seq).cast("bigint").alias("_seq"), F.coalesce(gone, F.lit(False)).alias("_gone"), F.struct(*images).alias("_image"))
+    cell = F.pmod(F.xxhash64(*keys), F.lit(cells)).cast("int").alias("_cell")
+    rows = sdf.select(*keys, F.col(seq).cast("bigint").alias("_seq"), F.coalesce(gone, F.lit(False)).alias("_gone"), F.struct(*images).alias("_image"), cell)
+    rows = rows.withColumn("_bucket", F.col("_cell") % BUCKETS)
     image = T.StructType([T.StructField(c, sdf.schema[c].dataType) for c in images])
     schema = T.StructType(
         [
@@ -453,8 +487,8 @@ def stream_cdc(
             T.StructField("_late", T.BooleanType()),
         ]
     )
-    events = rows.groupBy(*keys).transformWithState(
-        _Versions(schema.names, image, width, keep, view), schema, outputMode="Append", timeMode="None"
+    events = rows.groupBy("_bucket").transformWithState(
+        _Versions(len(keys), schema.names, image, width, keep, view), schema, outputMode="Append", timeMode="None"
     )
     return _split_writer(events, path, "events")
 

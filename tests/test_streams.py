@@ -264,6 +264,24 @@ def test_late_versions_and_removals_equal_the_batch_twin(spark, feed, tmp_path,
     assert spark.read.parquet(f"{path}/late").count() == 0
 
 
+def test_keys_share_the_entries_of_their_cell(spark, feed, tmp_path):
+    """Many keys, also null, zeros of both signs and not-a-numbers, are kept in few entries and stay apart."""
+    r = random.Random(5)
+    named = [None, 0.0, -0.0, float("nan"), *map(float, range(1, 60))]
+    versions = [(r.choice(named), s, f"v{s}", r.random() < 0.2) for s in range(400)]
+    r.shuffle(versions)
+    schema = "k double, seq long, v string, gone boolean"
+    path = str(tmp_path / "out")
+    writer = stateful.stream_cdc(feed([versions[:250], versions[250:]], schema), ["k"], "seq", path, 100, deleted=F.col("gone"), cells=3)
+    finish(writer, tmp_path / "ck")
+    twin = changes.cdc_images(spark.createDataFrame(versions, schema), ["k"], "seq", deleted=F.col("gone"))
+    got = stateful.latest_events(spark.read.parquet(f"{path}/events"), ["k"], "seq")
+    columns = ["seq", "event_name", "new_image.v", "old_image.v"]
+    key = lambda df: sorted(str(x.k + 0.0 if x.k is not None else None) + str(tuple(x)[1:]) for x in df.select("k", *columns).collect())
+    assert key(got) == key(twin)
+    assert stored(spark, tmp_path / "ck", "versions").count() == 3 * 4
+
+
 def test_versions_past_what_is_kept_are_told(spark, feed, tmp_path):
     batches = [[("a", 1, "x", False), ("a", 50, "y", False)], [("a", 2, "late", False), ("a", 45, "back", False), ("a", 51, "z", False)]]
     path = str(tmp_path / "out")
