@@ -45,6 +45,28 @@ _SHARD = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("n_ids", pa.i
 _SHARD_SQL = "part int, number int, n_ids long, n_docs long, base long, " + ", ".join(f"{c} binary" for c in _ARRAYS)
 
 
+def _pairs(symbols: np.ndarray, at: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places whose pair is at LEAST of them, ordered by pair; the number of each one's pair; and the pairs in order."""
+    bits, low = max(top - 1, 1).bit_length(), max(at.size, 1).bit_length()
+    key = symbols[at].astype(np.uint64) << np.uint64(bits) | symbols[at + 1]
+    if 2 * bits + low <= 64:  # pair and place sort as one number
+        key <<= np.uint64(low)
+        key |= np.arange(at.size, dtype=np.uint64)
+        key.sort()
+        order = (key & np.uint64((1 << low) - 1)).astype(np.int64)
+        key >>= np.uint64(low)
+    else:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+    start = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: key.size])
+    uses = np.diff(start, append=key.size)
+    good = uses >= LEAST
+    pairs = key[start[good]]
+    which = np.repeat(np.arange(pairs.size), uses[good])
+    new = np.stack([pairs >> np.uint64(bits), pairs & np.uint64((1 << bits) - 1)], axis=1).astype(np.uint32)
+    return at[order[np.repeat(good, uses)]], which, new
+
+
 def repair(ids: np.ndarray, lengths: np.ndarray, base: int) -> dict[str, np.ndarray]:
     """The grammar of one shard: left, right, expansions, symbols and cuts."""
     symbols = ids.astype(np.uint32)
@@ -55,26 +77,30 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int) -> dict[str, np.ndar
     for _ in range(ROUNDS):
         if symbols.size < 2:
             break
-        key = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-        spot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE)).astype(np.int32) + 1
+        spot = symbols[:-1].astype(np.uint64)
+        spot <<= np.uint64(32)
+        spot |= symbols[1:]
+        spot *= np.uint64(0x9E3779B97F4A7C15)
+        spot >>= np.uint64(64 - _TABLE)
+        spot = spot.view(np.int64)
+        spot += 1
         spot[last[:-1]] = 0
         often = np.bincount(spot, minlength=(1 << _TABLE) + 1).astype(np.uint32)
         often[0] = 0  # places between two documents
-        often = often[spot]
+        often = often.take(spot)
         # a place is taken if no pair that overlaps it is more frequent; of equal neighbours every other one
         pick = often >= LEAST
         pick[1:] &= often[1:] >= often[:-1]
         pick[:-1] &= often[:-1] >= often[1:]
-        place = np.arange(often.size, dtype=np.int32 if often.size < 1 << 31 else np.int64)
-        first = np.maximum.accumulate(np.where(np.diff(often, prepend=0) != 0, place, place.dtype.type(0)))
-        pick &= (place - first) % 2 == 0
         at = np.flatnonzero(pick)
-        pairs, which, uses = np.unique(key[at], return_inverse=True, return_counts=True)
-        good = uses >= LEAST
-        at, which = at[good[which]], (np.cumsum(good) - 1)[which[good[which]]]
+        # a pair behind an equally frequent one counts from the start of their run
+        behind = np.flatnonzero((at > 0) & (often[at] == often[np.maximum(at - 1, 0)]))
+        run = np.flatnonzero(np.append(True, often[1:] != often[:-1]))
+        odd = (at[behind] - run[np.searchsorted(run, at[behind], side="right") - 1]) & 1
+        at = np.delete(at, behind[odd == 1])
+        at, which, new = _pairs(symbols, at, top)
         if at.size < GAIN * symbols.size:
             break
-        new = np.stack([pairs[good] >> np.uint64(32), pairs[good] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
         known = np.concatenate([size_of, np.empty(0, np.int64)])
         part = lambda s: np.where(s < base, 1, known[np.maximum(s.astype(np.int64) - base, 0)] if known.size else 1)
         sizes.append(part(new[:, 0]) + part(new[:, 1]))
