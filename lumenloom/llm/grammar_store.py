@@ -117,8 +117,7 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int) -> dict[str, np.ndar
     return {"left": both[:, 0], "right": both[:, 1], "expansions": size_of, "symbols": symbols, "cuts": cuts}
 
 
-def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:
-    """The ids that symbols stand for."""
+def _step(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:
     while (big := symbols >= base).any():
         out = np.repeat(symbols, 1 + big)
         at = (np.cumsum(1 + big) - 2)[big]
@@ -128,6 +127,24 @@ def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int)
     return symbols
 
 
+def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:
+    """The ids that symbols stand for."""
+    if symbols.size <= left.size:
+        return _step(symbols, left, right, base)
+    # more symbols than rules: each rule is expanded once, and every symbol is a stretch of what they give
+    sizes, before = np.ones(base + left.size, np.int64), None
+    while before is None or (sizes != before).any():
+        before = sizes.copy()
+        sizes[base:] = before[left] + before[right]
+    given = np.concatenate([np.arange(base, dtype=symbols.dtype), _step(np.arange(base, base + left.size, dtype=symbols.dtype), left, right, base)])
+    first = np.cumsum(sizes) - sizes
+    size = sizes[symbols]
+    shift = first[symbols] - (np.cumsum(size) - size)
+    where = np.repeat(shift, size)
+    where += np.arange(where.size)
+    return given[where]
+
+
 class Shard:
     """One row of the file; documents and ranges of ids are decoded without the rest."""
 
