@@ -70,8 +70,7 @@ def _pairs(symbols: np.ndarray, at: np.ndarray, top: int) -> tuple[np.ndarray, n
 def repair(ids: np.ndarray, lengths: np.ndarray, base: int) -> dict[str, np.ndarray]:
     """The grammar of one shard: left, right, expansions, symbols and cuts."""
     symbols = ids.astype(np.uint32)
-    last = np.zeros(symbols.size, dtype=bool)
-    last[np.cumsum(lengths) - 1] = True
+    cuts = lengths
     rules, sizes, top = [np.empty((0, 2), np.uint32)], [np.empty(0, np.int64)], base
     size_of = np.empty(0, np.int64)
     for _ in range(ROUNDS):
@@ -84,7 +83,7 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int) -> dict[str, np.ndar
         spot >>= np.uint64(64 - _TABLE)
         spot = spot.view(np.int64)
         spot += 1
-        spot[last[:-1]] = 0
+        spot[np.cumsum(cuts)[:-1] - 1] = 0
         often = np.bincount(spot, minlength=(1 << _TABLE) + 1).astype(np.uint32)
         often[0] = 0  # places between two documents
         often = often.take(spot)
@@ -94,8 +93,8 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int) -> dict[str, np.ndar
         pick[:-1] &= often[:-1] >= often[1:]
         at = np.flatnonzero(pick)
         # a pair behind an equally frequent one counts from the start of their run
-        behind = np.flatnonzero((at > 0) & (often[at] == often[np.maximum(at - 1, 0)]))
-        run = np.flatnonzero(np.append(True, often[1:] != often[:-1]))
+        change = np.append(True, often[1:] != often[:-1])
+        behind, run = np.flatnonzero(~change[at]), np.flatnonzero(change)
         odd = (at[behind] - run[np.searchsorted(run, at[behind], side="right") - 1]) & 1
         at = np.delete(at, behind[odd == 1])
         at, which, new = _pairs(symbols, at, top)
@@ -107,13 +106,12 @@ def repair(ids: np.ndarray, lengths: np.ndarray, base: int) -> dict[str, np.ndar
         rules.append(new)
         size_of = np.concatenate(sizes)
         symbols[at] = top + which
-        last[at] = last[at + 1]
         keep = np.ones(symbols.size, dtype=bool)
         keep[at + 1] = False
-        symbols, last = symbols[keep], last[keep]
+        cuts = np.add.reduceat(keep, np.cumsum(cuts) - cuts, dtype=np.int64)
+        symbols = symbols[keep]
         top += len(new)
     both = np.concatenate(rules)
-    cuts = np.diff(np.flatnonzero(last), prepend=-1)
     return {"left": both[:, 0], "right": both[:, 1], "expansions": size_of, "symbols": symbols, "cuts": cuts}
 
 
